@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when a bounded count proves it has at most
+    ``max_rows`` rows; otherwise return it unchanged so the planner shuffles
+    (or AQE broadcasts it later if its runtime size turns out small).
+
+    The count reads at most ``max_rows + 1`` rows (``limit``), so the check
+    itself is bounded, and the decision never depends on an estimate.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
