@@ -33,7 +33,9 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
     a balanced task. Then at most P keys are hot and there are at most 2P
     chunks, so the broadcast tables are bounded by P without counting
     anything. An explicit ``hot_rows`` is checked with a bounded count.
-    Returns None when the leading order column is not numeric/temporal.
+    Returns None when no key is hot (one aggregate job decides, so uniform
+    data keeps the single-exchange window) or when the leading order column
+    is not numeric/temporal.
     """
     items = parse_order(order)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -48,11 +50,15 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
         threshold = per_key.agg((F.sum("_n") / F.lit(float(parts))).alias("_t")).scalar()
         stats = per_key.where(F.col("_n") > threshold).withColumn(
             "_chunks", F.ceil(F.col("_n") / threshold).cast("int"))
+        if stats.isEmpty():  # no key exceeds a balanced task: the plain window is best
+            return None
     else:
         stats = per_key.where(F.col("_n") > hot_rows)
         while stats.limit(max_hot_keys + 1).count() > max_hot_keys:
             hot_rows *= 4
             stats = stats.where(F.col("_n") > hot_rows)
+        if stats.isEmpty():
+            return None
         stats = stats.withColumn("_chunks", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int"))
     stats = stats.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks", "_lo", "_hi")
     cond = None

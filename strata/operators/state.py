@@ -3,9 +3,11 @@ latest row per key and their composition ``consolidate_state``.
 
 Scale notes
 -----------
-* ``dedup_exact`` and ``latest_by_key`` are hash aggregates: Spark combines
-  map-side, so a key holding a third of all rows leaves every map task as
-  one row and never lands whole in one reducer.
+* ``dedup_exact`` is a hash aggregate and ``latest_by_key`` a
+  ``row_number() = 1`` window that Spark plans with a partial
+  ``WindowGroupLimit`` before the shuffle: both reduce a key to one row per
+  map task, so a key holding a third of all rows never lands whole in one
+  reducer.
 * ``forward_fill`` needs every row, so it is a running scan. The plain form
   is a window partitioned by key (one task per key). The default cuts a key
   holding more rows than a balanced task (rows / shuffle partitions) into
@@ -72,19 +74,20 @@ def forward_fill(df: DataFrame, keys: list[str], order, cols: list[str], skew_sa
 
 def latest_by_key(df: DataFrame, keys: list[str], order) -> DataFrame:
     """Exactly one row per key (a NULL key is a key): the first row in
-    ``order``. Ties are broken by the remaining columns, so the result is
-    reproducible even if ``order`` is not total."""
+    ``order``. The remaining columns are appended as tie-breakers, so the
+    result is reproducible (also when a task is recomputed) even if
+    ``order`` is not total.
+
+    Spark plans ``row_number() = 1`` with a partial ``WindowGroupLimit``
+    before the shuffle: every map task keeps one row per key, so a hot key
+    arrives at its reducer as one row per map task, not as all its rows.
+    """
     items = parse_order(order)
-    enc = encode_first(df, items)
-    payload = [c for c in df.columns if c not in keys]
+    named = {i.name for i in items} | set(keys)
     types = {f.name: f.dataType for f in df.schema.fields}
-    if enc is None or not all(orderable(types[c]) for c in payload):
-        w = Window.partitionBy(*keys).orderBy(*sort_columns(items), *[F.col(c) for c in payload if orderable(types[c])])
-        return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    best = F.max(F.struct(F.struct(*enc).alias("_ord"), *[F.col(c) for c in payload])).alias("_best")
-    return (df.groupBy(*keys).agg(best)
-            .select(*keys, *[F.col("_best")[c].alias(c) for c in payload])
-            .select(*df.columns))
+    ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in named and orderable(types[c])]
+    w = Window.partitionBy(*keys).orderBy(*sort_columns(items), *ties)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def consolidate_state(df: DataFrame, keys: list[str], attrs: list[str], time: str, source: str,
