@@ -8,7 +8,15 @@ from strata.operators.checks import (
     fanout_report,
     unresolved_keys,
 )
-from strata.operators.dims import calendar_dim, calendar_for, scd1_dim, scd2_apply, scd2_changes, scd2_init
+from strata.operators.dims import (
+    calendar_dim,
+    calendar_for,
+    scd1_dim,
+    scd2_apply,
+    scd2_changes,
+    scd2_has_changes,
+    scd2_init,
+)
 from strata.operators.facts import asof_version_join, build_fact, ratio_pct, resolve_keys, star_report
 from strata.operators.history import append_history, as_of, change_history_summary, change_log, retention_candidates
 from strata.operators.merge import DuplicateKeyError, classify_changes, merge_summary, upsert
@@ -21,6 +29,7 @@ from strata.operators.metrics import (
     top_groups,
     vs_population,
 )
+from strata.operators.joins import broadcast_if_small
 from strata.operators.partitions import merge_partitions, overwrite_impact, replace_partitions, replace_where
 from strata.operators.privacy import mask_columns
 from strata.operators.skew import plain_aggregate, salted_aggregate, skew_report

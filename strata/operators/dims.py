@@ -75,6 +75,15 @@ def scd2_changes(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str]
             .drop("_a_key", "_a_hash"))
 
 
+def scd2_has_changes(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str],
+                     hash_col: str = "attributes_hash", legacy_hash: bool = False,
+                     current: str = "is_current") -> bool:
+    """True when ``incoming`` brings a new key or a changed version: callers
+    skip publishing a new snapshot when nothing changed (one bounded job:
+    the join stops at the first changed row)."""
+    return not scd2_changes(dim, incoming, key, attrs, hash_col, legacy_hash, current).isEmpty()
+
+
 def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str], effective_date,
                version_ts, new_key_start=None, close_missing: bool = False, sk_col: str | None = None,
                hash_col: str = "attributes_hash", legacy_hash: bool = False, validate: bool = False,

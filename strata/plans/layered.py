@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.dims import calendar_dim, scd1_dim, scd2_apply, scd2_init
+from strata.operators.dims import calendar_dim, scd1_dim, scd2_apply, scd2_has_changes, scd2_init
 from strata.operators.facts import build_fact, ratio_pct
 from strata.operators.metrics import rollup_metrics
 from strata.operators.state import consolidate_state
@@ -69,7 +69,7 @@ def star_schema_flow(spark: SparkSession, facts: DataFrame, fact_key: str, scd1:
     t2 = Table(spark, f"{base_path}/{name}")
     if not t2.exists():
         t2.publish(scd2_init(df, key, attrs, version_ts))
-    else:
+    elif scd2_has_changes(t2.read(), df, key, attrs):  # no change: no new snapshot
         t2.publish(scd2_apply(t2.read(), df, key, attrs, effective_date, version_ts))
     fact = build_fact(facts, lookups=lookups, asof=[(t2.read(), fact_col, date_col, key, f"{key}_sk")],
                       measures=measures, keep=keep)
