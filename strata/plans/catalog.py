@@ -81,6 +81,13 @@ def fp_sql(cols):
     return "sha256(concat_ws(',', " + ", ".join(parts) + "))"
 
 
+def exact_mean_sql(col, digits=6):
+    """DuckDB twin of metrics.exact_mean for a 2-decimal column: HALF_UP mean
+    at ``digits`` in integer arithmetic (DuckDB divides DECIMALs in DOUBLE)."""
+    return (f"CAST((2 * sum(CAST(round({col} * 100) AS HUGEINT)) * {10 ** (digits - 2)} + count({col}))"
+            f" // (2 * count({col})) AS DOUBLE) / {10 ** digits}")
+
+
 CAL_COLS_SQL = f"""date, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_sk,
     CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
     CAST(day(date) AS INTEGER) AS day, CAST(ceil(month(date) / 2) AS INTEGER) AS period,
@@ -696,8 +703,8 @@ def q_overwrite_impact(spark, d):
     return partitions.overwrite_impact(daily, rework, ["day"], mode="static")
 
 
-@query("daily_metrics", """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events,
-    count(DISTINCT user_id) AS n_users, round(avg(value), 6) AS mean_value FROM events GROUP BY 1, 2""")
+@query("daily_metrics", f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events,
+    count(DISTINCT user_id) AS n_users, {exact_mean_sql("value")} AS mean_value FROM events GROUP BY 1, 2""")
 def q_daily_metrics(spark, d):
     path = scratch_path(spark, "events_by_day")
     ev = S.table(spark, d, "events").withColumn("day", F.to_date("ts"))
@@ -706,11 +713,11 @@ def q_daily_metrics(spark, d):
     ev.sortWithinPartitions("day", "event_type").write.partitionBy("day").parquet(path)
     return metrics.daily_metrics(spark.read.parquet(path), "day", ["event_type"],
                                  [("n_events", "count", None), ("n_users", "count_distinct", "user_id"),
-                                  ("mean_value", "mean", "value")], digits=6)
+                                  ("mean_value", "mean", "value", 2)], digits=6)
 
 
-@query("previous_day_metrics", """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events,
-    count(DISTINCT user_id) AS n_users, round(avg(value), 6) AS mean_value FROM events
+@query("previous_day_metrics", f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events,
+    count(DISTINCT user_id) AS n_users, {exact_mean_sql("value")} AS mean_value FROM events
   WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""")
 def q_previous_day_metrics(spark, d):
     """Daily job: the run date is the latest day present; only the partition
@@ -722,7 +729,7 @@ def q_previous_day_metrics(spark, d):
     prev = partitions.read_day(spark, path, "day", run_day - datetime.timedelta(days=1))
     return metrics.daily_metrics(prev, "day", ["event_type"],
                                  [("n_events", "count", None), ("n_users", "count_distinct", "user_id"),
-                                  ("mean_value", "mean", "value")], digits=6)
+                                  ("mean_value", "mean", "value", 2)], digits=6)
 
 
 # --------------------------------------------------------------------------
