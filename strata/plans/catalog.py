@@ -693,6 +693,19 @@ def q_merge_partition(spark, d):
     return partitions.merge_partitions(daily, rework, ["day", "event_type"])
 
 
+@query("table_partition_upsert", f"""WITH t AS ({DAILY_SQL}), s AS ({REWORK_SQL})
+SELECT * FROM s UNION ALL
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.day = t.day AND s.event_type = t.event_type)""")
+def q_table_partition_upsert(spark, d):
+    """Keyed upsert into a day-partitioned snapshot table: only the touched
+    day goes through the join, the other days are carried map-only."""
+    daily, rework = _daily_and_rework(spark, d)
+    t = Table(spark, scratch_path(spark, "daily_table"))
+    t.upsert(daily, ["day", "event_type"], partition_by=["day"])
+    t.upsert(rework, ["day", "event_type"], partition_by=["day"])
+    return t.read().select("day", "event_type", "n_events", "total_value")
+
+
 @query("overwrite_impact", f"""WITH b AS (SELECT day, count(*) AS n FROM ({DAILY_SQL}) GROUP BY 1),
 r AS (SELECT day, count(*) AS n FROM ({REWORK_SQL}) GROUP BY 1)
 SELECT COALESCE(b.day, r.day) AS day, COALESCE(b.n, 0) AS rows_before, COALESCE(r.n, 0) AS rows_in_batch,

@@ -12,7 +12,7 @@ Single writer per table; old snapshots are kept (time travel by version).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
+from strata.operators.joins import broadcast_if_small
 from strata.operators.merge import upsert
 
 _PREFIX = "snap="
@@ -93,8 +93,27 @@ class Table:
         writer.parquet(self._snap(v))
         return v
 
-    def upsert(self, source: DataFrame, keys: list[str], partition_by=None, **kw) -> int:
-        """First load publishes ``source``; later loads publish target upsert source."""
+    def upsert(self, source: DataFrame, keys: list[str], partition_by: list[str] | None = None, **kw) -> int:
+        """First load publishes ``source``; later loads publish target upsert source.
+
+        With ``partition_by`` (which must be part of ``keys``) only the
+        partitions present in ``source`` go through the keyed join; every
+        other partition is carried into the new snapshot by a map-only
+        anti-join against the (small) set of touched partition values, so
+        the shuffle is proportional to the changed partitions, not the table.
+        """
         if not self.exists():
             return self.publish(source, partition_by=partition_by)
-        return self.publish(upsert(self.read(), source, keys, **kw), partition_by=partition_by)
+        target = self.read()
+        if not partition_by:
+            return self.publish(upsert(target, source, keys, **kw))
+        missing = [c for c in partition_by if c not in keys]
+        if missing:
+            raise ValueError(f"partition columns {missing} must be part of the upsert keys")
+        # one row per touched partition; broadcast only after a bounded count
+        touched = broadcast_if_small(source.select(*partition_by).distinct(), 100_000)
+        cond = [target[c].eqNullSafe(touched[c]) for c in partition_by]
+        carried = target.join(touched, cond, "left_anti")
+        inside = target.join(touched, cond, "left_semi")
+        merged = upsert(inside, source, keys, **kw)
+        return self.publish(carried.unionByName(merged, allowMissingColumns=True), partition_by=partition_by)

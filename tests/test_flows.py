@@ -96,3 +96,26 @@ def test_streaming_ingest_and_upsert_equal_batch(spark, tmp):
     got = Table(spark, f"{tmp}/state").read()
     exp = consolidate_state(df, ["user_id"], ["value"], "ts", "event_type", ["purchase"], "event_id")
     assert rows(got) == rows(exp)
+
+
+def test_incremental_stream_upsert_in_order(spark, tmp):
+    from strata.operators.state import consolidate_state
+    base = dt.datetime(2026, 1, 1)
+    data = [(i, i % 5, "view", None if i % 3 == 0 else float(i), base + dt.timedelta(hours=i)) for i in range(90)]
+    df = spark.createDataFrame(data, EV)
+    for lo in (0, 30, 60):  # files arrive in time order
+        df.where(f"event_id >= {lo} and event_id < {lo + 30}").coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    stream_upsert(spark, f"{tmp}/in", EV, f"{tmp}/st", f"{tmp}/ck", ["user_id"], ["value"], "ts", "event_type",
+                  ["purchase"], "event_id", max_files_per_trigger=1, mode="incremental")
+    exp = consolidate_state(df, ["user_id"], ["value"], "ts", "event_type", ["purchase"], "event_id")
+    assert rows(Table(spark, f"{tmp}/st").read()) == rows(exp)
+
+
+def test_partition_scoped_table_upsert(spark, tmp):
+    t = Table(spark, f"{tmp}/daily")
+    cur = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (2, "a", 20), (3, "a", 30)], "day int, k string, v int")
+    t.upsert(cur, ["day", "k"], partition_by=["day"])
+    batch = spark.createDataFrame([(2, "a", 21), (2, "c", 22), (4, "a", 40)], "day int, k string, v int")
+    t.upsert(batch, ["day", "k"], partition_by=["day"])
+    assert rows(t.read().select("day", "k", "v")) == [(1, "a", 10), (1, "b", 11), (2, "a", 21), (2, "c", 22),
+                                                      (3, "a", 30), (4, "a", 40)]
