@@ -10,8 +10,8 @@ passes the state across chunk boundaries.
 Bounds: by default a key is hot when it holds more than rows/P rows (P =
 shuffle partitions), so at most P keys are hot and there are at most 2P
 chunks: both broadcast tables are bounded by P, not by the data. With an
-explicit ``hot_rows`` the hot table is counted (bounded ``limit``) before
-it is broadcast and ``hot_rows`` grows until it fits ``max_hot_keys``.
+explicit ``hot_rows`` the chunk total is measured first and ``hot_rows``
+grows until both tables fit ``max_hot_keys`` rows.
 Chunk ids are a pure function of the row values and the key statistics, so
 a task recomputed after an executor loss puts each row in the same chunk.
 """
@@ -32,7 +32,7 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
     it holds more than rows/P rows (P = shuffle partitions), i.e. more than
     a balanced task. Then at most P keys are hot and there are at most 2P
     chunks, so the broadcast tables are bounded by P without counting
-    anything. An explicit ``hot_rows`` is checked with a bounded count.
+    anything. An explicit ``hot_rows`` is checked by measuring the chunk total.
     Returns None when no key is hot (one aggregate job decides, so uniform
     data keeps the single-exchange window) or when the leading order column
     is not numeric/temporal.
@@ -53,13 +53,17 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
         if stats.isEmpty():  # no key exceeds a balanced task: the plain window is best
             return None
     else:
-        stats = per_key.where(F.col("_n") > hot_rows)
-        while stats.limit(max_hot_keys + 1).count() > max_hot_keys:
+        # both broadcast tables (hot keys, one carry row per chunk) must fit
+        # max_hot_keys rows: measure the chunk total and coarsen until it does
+        while True:
+            stats = per_key.where(F.col("_n") > hot_rows).withColumn(
+                "_chunks", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int"))
+            total = stats.agg(F.coalesce(F.sum("_chunks"), F.lit(0)).alias("c")).first()["c"]
+            if total <= max_hot_keys:
+                break
             hot_rows *= 4
-            stats = stats.where(F.col("_n") > hot_rows)
-        if stats.isEmpty():
+        if total == 0:
             return None
-        stats = stats.withColumn("_chunks", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int"))
     stats = stats.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks", "_lo", "_hi")
     cond = None
     for k in keys:
