@@ -34,5 +34,6 @@ def digits_masked(c: Column, keep_last: int = 2) -> Column:
     return F.regexp_replace(s, r"\d(?=(?:\D*\d){%d})" % keep_last, "*")
 
 
-def nullify(c: Column) -> Column:
-    return F.lit(None).cast("string")
+def nullify(c: Column, data_type=None) -> Column:
+    """NULL of the column's own type (string when the type is not given)."""
+    return F.lit(None).cast(data_type if data_type is not None else "string")

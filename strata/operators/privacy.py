@@ -19,7 +19,7 @@ RULES = {
     "partial": lambda c, p: partial(c, p.get("keep_start", 1), p.get("keep_end", 0), p.get("fill", "*")),
     "email": lambda c, p: email_domain_only(c),
     "digits": lambda c, p: digits_masked(c, p.get("keep_last", 2)),
-    "null": lambda c, p: nullify(c),
+    "null": lambda c, p: nullify(c, p.get("_type")),
 }
 
 
@@ -40,9 +40,9 @@ def mask_columns(df: DataFrame, policy: dict, audience: str, audiences: list[str
         if col not in df.columns:
             continue
         if audience not in known:
-            out[col] = nullify(F.col(col))
+            out[col] = nullify(F.col(col), df.schema[col].dataType)
         elif audience in allowed:
             continue
         else:
-            out[col] = mask_expr(col, rule, params)
+            out[col] = mask_expr(col, rule, {**params, "_type": df.schema[col].dataType})
     return df.withColumns(out) if out else df

@@ -649,7 +649,7 @@ def q_grain_safe_join(spark, d):
         {"n_lines": F.count(F.lit(1)), "total_qty": F.round(F.sum("l_quantity"), 2)})
 
 
-@query("fanout_report", """SELECT (SELECT count(*) FROM orders) AS rows_before, sum(n) AS rows_after,
+@query("fanout_report", """SELECT (SELECT count(*) FROM orders) AS rows_before, CAST(sum(n) AS BIGINT) AS rows_after,
     count(*) AS keys_after, max(n) AS max_rows_per_key, sum(n) > (SELECT count(*) FROM orders) AS fanout
   FROM (SELECT o.o_orderkey, count(*) AS n FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY 1)""")
 def q_fanout_report(spark, d):
@@ -837,7 +837,7 @@ def q_mask_auditor(spark, d):
 # --------------------------------------------------------------------------
 
 @query("check_unique", """WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)
-SELECT sum(n) AS n_rows, count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS n_duplicate_keys,
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS n_duplicate_keys,
   CAST(COALESCE(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS n_extra_rows, max(n) AS max_rows_per_key FROM k""")
 def q_check_unique(spark, d):
     return checks.check_unique(S.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
