@@ -59,8 +59,12 @@ def _as_number(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dt, T.TimestampNTZType):
-        # NTZ -> TIMESTAMP is monotonic under the UTC session zone used here.
-        return F.unix_micros(c.cast("timestamp"))
+        # zone-free microseconds since the epoch, from wall-clock parts (a cast
+        # to TIMESTAMP would go through the session zone and fold DST gaps)
+        day = F.unix_date(c.cast("date")).cast("long")
+        secs = F.date_part(F.lit("SECOND"), c)  # seconds with microsecond fraction
+        return (day * F.lit(86_400_000_000) + F.hour(c).cast("long") * F.lit(3_600_000_000)
+                + F.minute(c).cast("long") * F.lit(60_000_000) + (secs * F.lit(1_000_000)).cast("long"))
     if isinstance(dt, T.BooleanType):
         return c.cast("int")
     return c

@@ -86,7 +86,9 @@ class Table:
             v += 1
         w = df
         if sort_by:
-            w = w.sortWithinPartitions(*sort_by)
+            # the partitioned writer sorts by the partition columns; lead with
+            # them so the requested order survives inside each partition
+            w = w.sortWithinPartitions(*(partition_by or []), *sort_by)
         writer = w.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
