@@ -1,15 +1,15 @@
 """Running scans (forward fill, lag) that stay balanced when one key is hot.
 
 A window ``partitionBy(key)`` puts every row of a key into one task. For a
-key holding a third of all rows that task is a third of the job. Here keys
-with more than ``hot_rows`` rows are cut into ``ceil(rows / hot_rows)``
-chunks by the value of the leading order column; every (key, chunk) is an
-ordinary window partition, and a carry table with one row per hot chunk
-passes the state across chunk boundaries.
+key holding a third of all rows that task is a third of the job. Here hot
+keys are cut into chunks at approximate quantiles of the leading order
+column; every (key, chunk) is an ordinary window partition, and a carry
+table with one row per hot chunk passes the state across chunk boundaries.
 
 Bounds: by default a key is hot when it holds more than rows/P rows (P =
-shuffle partitions), so at most P keys are hot and there are at most 2P
-chunks: both broadcast tables are bounded by P, not by the data. With an
+shuffle partitions), so at most P keys are hot, each with at most P chunks
+and P-1 boundaries: the broadcast tables are bounded by P, not by the
+data. With an
 explicit ``hot_rows`` the chunk total is measured first and ``hot_rows``
 grows until both tables fit ``max_hot_keys`` rows.
 Chunk ids are a pure function of the row values and the key statistics, so
@@ -25,14 +25,22 @@ from strata.functions.ordering import _as_number, _negatable, encode_last, parse
 
 
 def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None = None,
-                  max_hot_keys: int = 100_000, partitions: int | None = None) -> DataFrame | None:
+                  max_hot_keys: int = 100_000, partitions: int | None = None,
+                  max_chunks_per_key: int = 1024) -> DataFrame | None:
     """``df`` plus ``_chunk`` (0 for ordinary keys) and ``_hot``.
 
     ``hot_rows=None`` derives the threshold from the data: a key is hot when
     it holds more than rows/P rows (P = shuffle partitions), i.e. more than
-    a balanced task. Then at most P keys are hot and there are at most 2P
-    chunks, so the broadcast tables are bounded by P without counting
-    anything. An explicit ``hot_rows`` is checked by measuring the chunk total.
+    a balanced task. Then at most P keys are hot with at most P chunks each,
+    so the broadcast tables are bounded by P and P x P values, not by the
+    data. An explicit ``hot_rows`` is checked by measuring the chunk total.
+
+    Chunk boundaries are approximate quantiles of the leading order column,
+    computed for the hot keys only (``percentile_approx`` combines map-side),
+    so chunks hold similar row counts however the values bunch up. Rows
+    with equal leading values share a chunk, which keeps every chunk a
+    contiguous run of the key's order.
+
     Returns None when no key is hot (one aggregate job decides, so uniform
     data keeps the single-exchange window) or when the leading order column
     is not numeric/temporal.
@@ -44,36 +52,50 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
         return None
     num = _as_number(F.col(head.name), types[head.name]).cast("double")
     num = -num if head.descending else num
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if hot_rows is None:
         parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         threshold = per_key.agg((F.sum("_n") / F.lit(float(parts))).alias("_t")).scalar()
-        stats = per_key.where(F.col("_n") > threshold).withColumn(
-            "_chunks", F.ceil(F.col("_n") / threshold).cast("int"))
-        if stats.isEmpty():  # no key exceeds a balanced task: the plain window is best
+        hot = per_key.where(F.col("_n") > threshold).withColumn(
+            "_chunks", F.least(F.ceil(F.col("_n") / threshold), F.lit(parts)).cast("int"))
+        if hot.isEmpty():  # no key exceeds a balanced task: the plain window is best
             return None
+        quantiles = parts
     else:
         # both broadcast tables (hot keys, one carry row per chunk) must fit
         # max_hot_keys rows: measure the chunk total and coarsen until it does
         while True:
-            stats = per_key.where(F.col("_n") > hot_rows).withColumn(
-                "_chunks", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int"))
-            total = stats.agg(F.coalesce(F.sum("_chunks"), F.lit(0)).alias("c")).first()["c"]
-            if total <= max_hot_keys:
+            hot = per_key.where(F.col("_n") > hot_rows).withColumn(
+                "_chunks", F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(max_chunks_per_key)).cast("int"))
+            got = hot.agg(F.coalesce(F.sum("_chunks"), F.lit(0)).alias("c"),
+                          F.coalesce(F.max("_chunks"), F.lit(0)).alias("m")).first()
+            if got["c"] <= max_hot_keys:
                 break
             hot_rows *= 4
-        if total == 0:
+        if got["c"] == 0:
             return None
-    stats = stats.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks", "_lo", "_hi")
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(stats[f"_h_{k}"])
-        cond = c if cond is None else cond & c
-    tagged = df.join(F.broadcast(stats), cond, "left")
-    span = F.col("_hi") - F.col("_lo") + F.lit(1.0)
-    by_value = F.least(F.floor((num - F.col("_lo")) / span * F.col("_chunks")).cast("int"), F.col("_chunks") - 1)
+        quantiles = max(int(got["m"]), 2)
+    hot = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks")
+
+    def on_hot(frame, h):
+        cond = None
+        for k in keys:
+            c = frame[k].eqNullSafe(h[f"_h_{k}"])
+            cond = c if cond is None else cond & c
+        return cond
+
+    # quantile boundaries of the leading column, hot keys only
+    fractions = F.array(*[F.lit(i / quantiles) for i in range(1, quantiles)])
+    hot_b = F.broadcast(hot)
+    bounds = (df.join(hot_b, on_hot(df, hot_b), "inner")
+              .groupBy(*[f"_h_{k}" for k in keys], "_chunks")
+              .agg(F.percentile_approx(num, fractions, max(10_000, 10 * quantiles)).alias("_bounds")))
+    stats = F.broadcast(bounds)
+    tagged = df.join(stats, on_hot(df, stats), "left")
+    rank = F.size(F.filter(F.col("_bounds"), lambda b: b <= num))  # 0 .. quantiles-1
+    by_rank = F.floor(rank * F.col("_chunks") / F.lit(quantiles)).cast("int")
     null_chunk = (F.col("_chunks") - 1) if head.descending else F.lit(0)
-    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).when(num.isNull(), null_chunk).otherwise(by_value)
+    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).when(num.isNull(), null_chunk).otherwise(by_rank)
     return tagged.select(*[F.col(c) for c in df.columns], chunk.alias("_chunk"),
                          F.col("_chunks").isNotNull().alias("_hot"))
 
