@@ -35,13 +35,14 @@ def as_of(history: DataFrame, keys: list[str], seq, seq_col: str = "batch_seq",
 
 
 def change_log(history: DataFrame, keys: list[str], attrs: list[str], seq_col: str = "batch_seq",
-               skew_safe: bool = True, hot_rows: int | None = None, only_changes: bool = True) -> DataFrame:
+               skew_safe: bool = True, hot_rows: int | None = None, only_changes: bool = True,
+               min_hot_rows: int = 1_000_000) -> DataFrame:
     """Per key and batch: each attribute next to its previous value
     (``prev_<attr>``) and ``changed`` (null-safe difference, true for the
     first row of a key). ``skew_safe`` scans hot keys in chunks (see
     ``operators.scan``); the result equals the plain ``lag`` window."""
     base = history.select(*keys, seq_col, *attrs)
-    tagged = assign_chunks(base, keys, [seq_col], hot_rows) if skew_safe else None
+    tagged = assign_chunks(base, keys, [seq_col], hot_rows, min_hot_rows=min_hot_rows) if skew_safe else None
     if tagged is not None:
         res = lag_chunked(tagged, keys, [seq_col], attrs, base.columns)
     else:

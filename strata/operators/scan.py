@@ -26,12 +26,14 @@ from strata.functions.ordering import _as_number, _negatable, encode_last, parse
 
 def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None = None,
                   max_hot_keys: int = 100_000, partitions: int | None = None,
-                  max_chunks_per_key: int = 1024) -> DataFrame | None:
+                  max_chunks_per_key: int = 1024, min_hot_rows: int = 1_000_000) -> DataFrame | None:
     """``df`` plus ``_chunk`` (0 for ordinary keys) and ``_hot``.
 
     ``hot_rows=None`` derives the threshold from the data: a key is hot when
     it holds more than rows/P rows (P = shuffle partitions), i.e. more than
-    a balanced task. Then at most P keys are hot with at most P chunks each,
+    a balanced task, and more than ``min_hot_rows`` (like AQE's absolute
+    skew floor: a key one task scans quickly is left alone). Then at most P
+    keys are hot with at most P chunks each,
     so the broadcast tables are bounded by P and P x P values, not by the
     data. An explicit ``hot_rows`` is checked by measuring the chunk total.
 
@@ -56,7 +58,7 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
     if hot_rows is None:
         parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         threshold = per_key.agg((F.sum("_n") / F.lit(float(parts))).alias("_t")).scalar()
-        hot = per_key.where(F.col("_n") > threshold).withColumn(
+        hot = per_key.where((F.col("_n") > threshold) & (F.col("_n") > F.lit(min_hot_rows))).withColumn(
             "_chunks", F.least(F.ceil(F.col("_n") / threshold), F.lit(parts)).cast("int"))
         if hot.isEmpty():  # no key exceeds a balanced task: the plain window is best
             return None

@@ -55,7 +55,8 @@ def source_priority(df: DataFrame, col: str, ranked: list, default: int | None =
 
 
 def forward_fill(df: DataFrame, keys: list[str], order, cols: list[str], skew_safe: bool = True,
-                 hot_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, partitions: int | None = None,
+                 min_hot_rows: int = 1_000_000) -> DataFrame:
     """Replace NULLs in ``cols`` by the last non-NULL value of the same key
     seen up to and including the row, in ``order`` (which should be total).
 
@@ -64,7 +65,7 @@ def forward_fill(df: DataFrame, keys: list[str], order, cols: list[str], skew_sa
     the plain per-key window, which ``skew_safe=False`` gives.
     """
     if skew_safe:
-        tagged = assign_chunks(df, keys, order, hot_rows, partitions=partitions)
+        tagged = assign_chunks(df, keys, order, hot_rows, partitions=partitions, min_hot_rows=min_hot_rows)
         if tagged is not None:
             return fill_chunked(tagged, keys, order, cols, df.columns)
     w = (Window.partitionBy(*keys).orderBy(*sort_columns(order))

@@ -231,7 +231,9 @@ def q_forward_fill_hot_key(spark, d):
     sk = S.skewed_events(spark, d)
     df = sk.select("event_id", "actor_id", "ts",
                    F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"))
-    return state.forward_fill(df, ["actor_id"], ["ts", "event_id"], ["value"])
+    # min_hot_rows=0: split the hot key at every scale (the library default
+    # leaves keys under a million rows to one task, like AQE's skew floor)
+    return state.forward_fill(df, ["actor_id"], ["ts", "event_id"], ["value"], min_hot_rows=0)
 
 
 @query("latest_by_key", """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
