@@ -12,23 +12,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import broadcast_if_small
 
-def resolve_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk_col: str) -> DataFrame:
+
+def resolve_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk_col: str,
+                 broadcast_max_rows: int | None = None) -> DataFrame:
     """Left join that adds ``sk_col`` of ``dim`` to every fact row."""
     d = dim.select(F.col(dim_key).alias("_rk"), F.col(sk_col).alias(sk_col))
+    if broadcast_max_rows:
+        d = broadcast_if_small(d, broadcast_max_rows)
     return fact.join(d, fact[fact_key] == d["_rk"], "left").drop("_rk")
 
 
 def asof_version_join(fact: DataFrame, dim: DataFrame, fact_key: str, date_col: str, cols: list[str],
                       dim_key: str | None = None, valid_from: str = "valid_from",
-                      valid_to: str = "valid_to") -> DataFrame:
+                      valid_to: str = "valid_to", broadcast_max_rows: int | None = None) -> DataFrame:
     """Left join to the dimension version valid at ``date_col``:
     equality on the key plus ``valid_from <= date < valid_to`` (open end NULL).
     Plans as a hash/sort-merge join on the key with the range as residual
-    filter; cost is the versions per key, which SCD2 keeps small."""
+    filter; cost is the versions per key, which SCD2 keeps small.
+    ``broadcast_max_rows``: broadcast the dimension when a bounded count
+    proves it has at most that many rows (use on a stored dimension, where
+    the count is cheap); otherwise the planner and AQE decide."""
     dim_key = dim_key or fact_key
     d = dim.select(F.col(dim_key).alias("_vk"), F.col(valid_from).alias("_vf"), F.col(valid_to).alias("_vt"),
                    *[F.col(c) for c in cols])
+    if broadcast_max_rows:
+        d = broadcast_if_small(d, broadcast_max_rows)
     day = F.col(date_col).cast("date")
     cond = ((fact[fact_key] == d["_vk"]) & (day >= d["_vf"]) & (d["_vt"].isNull() | (day < d["_vt"])))
     return fact.join(d, cond, "left").drop("_vk", "_vf", "_vt")
@@ -43,19 +53,20 @@ def ratio_pct(num: str | Column, den: str | Column, digits: int = 2) -> Column:
 
 
 def build_fact(fact: DataFrame, lookups=(), asof=(), measures: dict[str, Column] | None = None,
-               keep: list[str] | None = None) -> DataFrame:
+               keep: list[str] | None = None, broadcast_max_rows: int | None = None) -> DataFrame:
     """Resolve every dimension key of ``fact`` and add derived measures.
 
     ``lookups``: ``(dim, fact_key, dim_key, sk_col)`` current-state joins;
     ``asof``: ``(dim, fact_key, date_col, dim_key, sk_col)`` SCD2 joins;
     ``measures``: name -> column expression over the fact columns;
-    ``keep``: output column order (default: fact columns, keys, measures).
+    ``keep``: output column order (default: fact columns, keys, measures);
+    ``broadcast_max_rows``: size-checked broadcast of each dimension.
     """
     out = fact
     for dim, fk, dk, sk in lookups:
-        out = resolve_keys(out, dim, fk, dk, sk)
+        out = resolve_keys(out, dim, fk, dk, sk, broadcast_max_rows)
     for dim, fk, date_col, dk, sk in asof:
-        out = asof_version_join(out, dim, fk, date_col, [sk], dim_key=dk)
+        out = asof_version_join(out, dim, fk, date_col, [sk], dim_key=dk, broadcast_max_rows=broadcast_max_rows)
     if measures:
         out = out.withColumns(measures)
     return out.select(*keep) if keep else out
