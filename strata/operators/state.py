@@ -93,7 +93,8 @@ def latest_by_key(df: DataFrame, keys: list[str], order) -> DataFrame:
 
 def consolidate_state(df: DataFrame, keys: list[str], attrs: list[str], time: str, source: str,
                       ranked: list, id_col: str, default_priority: int | None = None,
-                      processed_at: Column | None = None, stamp_col: str = "processed_at") -> DataFrame:
+                      processed_at: Column | None = None, stamp_col: str = "processed_at",
+                      fill_ties: bool = False) -> DataFrame:
     """Latest reliable state per key from an event stream (exactly the
     sequence dedup -> source priority -> forward fill -> latest row).
 
@@ -102,7 +103,9 @@ def consolidate_state(df: DataFrame, keys: list[str], attrs: list[str], time: st
       then the largest id;
     * each attribute is the last non-NULL value at or before the winner in
       fill order (time asc, rank asc, id asc). A tied lower-ranked row after
-      the winner does not feed it (same as the reference behaviour).
+      the winner does not feed it (same as the reference behaviour);
+      ``fill_ties=True`` orders ties by rank descending instead, so rows tied
+      with the winner on time do feed its NULL attributes.
     Output: ``last_<id_col>``, keys, attrs, time, source [, stamp].
     """
     payload = keys + attrs + [time, source]
@@ -121,8 +124,10 @@ def consolidate_state(df: DataFrame, keys: list[str], attrs: list[str], time: st
     for k in keys:
         c = base[k].eqNullSafe(winners[f"_wk_{k}"])
         cond = c if cond is None else cond & c
-    pos = F.struct(F.col(time), F.col("_prio"), F.col(id_col))
-    wpos = F.struct(F.col("_w_time").alias(time), F.col("_w_prio").alias("_prio"), F.col("_w_id").alias(id_col))
+    sign = -1 if fill_ties else 1
+    pos = F.struct(F.col(time), (F.col("_prio") * sign).alias("_prio"), F.col(id_col))
+    wpos = F.struct(F.col("_w_time").alias(time), (F.col("_w_prio") * sign).alias("_prio"),
+                    F.col("_w_id").alias(id_col))
     rows = base.join(winners, cond, "inner").where(pos <= wpos)
     # winner columns depend on the key only, so grouping by them adds no groups
     group = [F.col(f"_wk_{k}").alias(k) for k in keys] + [

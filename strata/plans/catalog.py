@@ -399,6 +399,52 @@ def q_merge_actions(spark, d):
                                ["c_custkey"], ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
 
 
+# --------------------------------------------------------------------------
+# Layer flows (C18): typed file scan -> transform -> snapshot upsert, run twice
+# --------------------------------------------------------------------------
+
+CSV_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+FEED_CSV_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("k", T.IntegerType()), T.StructField("ts", T.StringType()),
+])
+
+
+@query("entity_state_flow", consolidate_sql(FEED_SQL))
+def q_entity_state_flow(spark, d):
+    from strata.plans.layered import entity_state_flow
+    src = scratch_path(spark, "bronze_feed_csv")
+    S.events_feed(spark, d).write.options(header="true", **CSV_TS).csv(src)
+    kw = dict(keys=["user_id"], attrs=["value", "k"], time="ts", source="event_type", ranked=["purchase"],
+              id_col="event_id")
+    table = scratch_path(spark, "silver_state")
+    entity_state_flow(spark, src, FEED_CSV_SCHEMA, table, **kw)
+    out = entity_state_flow(spark, src, FEED_CSV_SCHEMA, table, **kw)  # re-run: same state, no duplicates
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+ORDERS_CSV_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.DateType()), T.StructField("urgent", T.BooleanType()),
+])
+
+
+@query("grain_metrics_flow", ROLLUP_SQL)
+def q_grain_metrics_flow(spark, d):
+    from strata.plans.layered import grain_metrics_flow
+    src = scratch_path(spark, "silver_orders_csv")
+    (S.order_flags(spark, d).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                    F.col("o_orderdate").cast("date").alias("o_orderdate"), "urgent")
+     .write.option("header", "true").csv(src))
+    kw = dict(grain=["o_orderstatus", "order_month"], metrics=ROLLUP_METRICS, month_of={"order_month": "o_orderdate"},
+              digits=6)
+    table = scratch_path(spark, "gold_metrics")
+    grain_metrics_flow(spark, src, ORDERS_CSV_SCHEMA, table, **kw)
+    return grain_metrics_flow(spark, src, ORDERS_CSV_SCHEMA, table, **kw)
+
+
 # --------------------------------------------------------------------------
 # Dimensions
 # --------------------------------------------------------------------------
