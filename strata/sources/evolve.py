@@ -3,6 +3,7 @@ tolerant reads of columns that older batches do not have."""
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources.files import normalize, read_batch
-from strata.sources.table import committed, path_exists
+from strata.sources.table import committed, path_exists, read_text, write_text
 
 
 class SchemaConflictError(TypeError):
@@ -66,9 +67,11 @@ def select_tolerant(df: DataFrame, columns: dict[str, str], default_type: str =
 
 
 class BatchLog:
-    """Append-only table: one sub-directory per batch (``batch_id=<id>``),
-    read back with Parquet schema merging. Re-sending a committed batch is a
-    no-op, so a re-run after a crash neither loses nor duplicates data."""
+    """Append-only table: one sub-directory per batch (``batch_id=<id>``)
+    plus the merged schema in ``_schema.json``; reads use that schema, so a
+    column or nested field a batch lacks reads NULL. Re-sending a committed
+    batch is a no-op, so a re-run after a crash neither loses nor duplicates
+    data."""
 
     def __init__(self, spark: SparkSession, path: str, batch_col: str = "batch_id"):
         self.spark, self.path, self.batch_col = spark, path.rstrip("/"), batch_col
@@ -82,18 +85,43 @@ class BatchLog:
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
+    def schema(self) -> T.StructType | None:
+        """Merged schema of all committed batches, kept in ``_schema.json``
+        (updated after each append), so neither an append nor a read has to
+        open every batch's footers."""
+        stored = read_text(self.spark, f"{self.path}/_schema.json")
+        return T.StructType.fromJson(json.loads(stored)) if stored else None
+
+    def _cover(self, batch_id: str) -> None:
+        """Heal the stored schema after a crash between a batch's commit and
+        the schema update: merge in that one batch's footer schema."""
+        own = self.spark.read.parquet(self._dir(batch_id)).schema
+        current = self.schema()
+        merged = merge_schemas(current, own) if current is not None else own
+        if current is None or merged != current:
+            write_text(self.spark, f"{self.path}/_schema.json", merged.json())
+
     def read(self) -> DataFrame:
-        df = self.spark.read.option("mergeSchema", "true").option("basePath", self.path).parquet(self.path)
+        schema = self.schema()
+        reader = self.spark.read.option("basePath", self.path)
+        if schema is None:
+            df = reader.option("mergeSchema", "true").parquet(self.path)
+        else:
+            # Parquet schema evolution by name: a batch lacking a column reads NULL
+            df = reader.schema(T.StructType(schema.fields + [T.StructField(self.batch_col, T.StringType())])) \
+                .parquet(self.path)
         return df.withColumn(self.batch_col, F.col(self.batch_col).cast("string"))
 
     def append(self, df: DataFrame, batch_id: str) -> bool:
-        """Write one batch; returns False when it was already committed."""
+        """Write one batch; returns False when it was already committed.
+        A type conflict with earlier batches raises before anything is written."""
         if self.has(batch_id):
+            self._cover(batch_id)
             return False
-        if self.exists():
-            current = self.read().drop(self.batch_col).schema
-            merge_schemas(current, df.schema)
+        current = self.schema()
+        merged = merge_schemas(current, df.schema) if current is not None else df.schema
         df.write.mode("overwrite").parquet(self._dir(batch_id))
+        write_text(self.spark, f"{self.path}/_schema.json", merged.json())
         return True
 
 
@@ -106,6 +134,7 @@ def ingest_batches(spark: SparkSession, batches, log_path: str, casts: dict | No
     written = []
     for path, fmt, options, batch_id in batches:
         if log.has(batch_id):
+            log.append(None, batch_id)  # committed: only heals the stored schema
             continue
         df = normalize(read_batch(spark, path, fmt, options), casts, timestamps)
         if log.append(df, batch_id):

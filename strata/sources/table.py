@@ -11,7 +11,10 @@ Single writer per table; old snapshots are kept (time travel by version).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from strata.operators.joins import broadcast_if_small
 from strata.operators.merge import upsert
 
@@ -24,6 +27,28 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file through the cluster file system (driver side)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
@@ -65,10 +90,16 @@ class Table:
 
     # -- read -----------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
+        """Read a snapshot with the schema stored at publish time: no footer
+        merging, and partition columns keep their types."""
         v = self.current_version() if version is None else version
         if v is None:
             raise FileNotFoundError(f"table {self.path} has no committed snapshot")
-        return self.spark.read.option("mergeSchema", "true").parquet(self._snap(v))
+        stored = read_text(self.spark, self._snap(v) + "/_schema.json")
+        if stored is None:
+            return self.spark.read.option("mergeSchema", "true").parquet(self._snap(v))
+        schema = T.StructType.fromJson(json.loads(stored))
+        return self.spark.read.schema(schema).parquet(self._snap(v))
 
     # -- write ----------------------------------------------------------------
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
@@ -93,6 +124,10 @@ class Table:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self._snap(v))
+        # data columns first, then partition columns: the order Spark reads back
+        parts = set(partition_by or [])
+        fields = [f for f in df.schema.fields if f.name not in parts] + [df.schema[c] for c in partition_by or []]
+        write_text(self.spark, self._snap(v) + "/_schema.json", T.StructType(fields).json())
         return v
 
     def upsert(self, source: DataFrame, keys: list[str], partition_by: list[str] | None = None, **kw) -> int:

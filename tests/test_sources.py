@@ -116,3 +116,21 @@ def test_partitioned_publish_prunes(spark, tmp):
     q = t.read().where("day = 2")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and q.count() == 5
+
+
+def test_batch_log_nested_evolution_and_schema_heal(spark, tmp):
+    log = evolve.BatchLog(spark, f"{tmp}/log")
+    log.append(spark.createDataFrame([(1, (1,))], "id int, s struct<a:int>"), "b1")
+    log.append(spark.createDataFrame([(2, (2, "x"))], "id int, s struct<a:int,b:string>"), "b2")
+    assert rows(log.read().select("id", "s.a", "s.b")) == [(1, 1, None), (2, 2, "x")]
+    # a crash after the data commit but before the schema update: a re-send heals it
+    spark.createDataFrame([(3, 3.5)], "id int, extra double").write.parquet(f"{tmp}/log/batch_id=b3")
+    assert "extra" not in log.read().columns
+    assert log.append(spark.createDataFrame([(3, 3.5)], "id int, extra double"), "b3") is False
+    assert rows(log.read().where("id = 3").select("extra")) == [(3.5,)]
+
+
+def test_partition_column_type_survives_round_trip(spark, tmp):
+    t = Table(spark, f"{tmp}/t")
+    t.publish(spark.createDataFrame([("2024-01-03", 1), ("2024-01-04", 2)], "day string, v int"), partition_by=["day"])
+    assert dict((f.name, f.dataType) for f in t.read().schema.fields)["day"] == T.StringType()
