@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.scan import assign_chunks, lag_chunked
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys occurring more than once, with their row count (``n_rows``)."""
@@ -33,21 +35,29 @@ def check_not_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def check_scd2(dim: DataFrame, key: str, start: str = "valid_from", end: str = "valid_to",
-               current: str = "is_current") -> DataFrame:
-    """Per key: versions, active versions, overlapping or gapped neighbours.
-
-    A window over one key's versions is cheap: versions per key are few by
-    construction (one per attribute change)."""
-    w = Window.partitionBy(key).orderBy(F.col(start), F.col(end).asc_nulls_last())
-    nxt = F.lead(start).over(w)
-    v = dim.select(key, start, end, current, nxt.alias("_next_start"))
-    return v.groupBy(key).agg(
+               current: str = "is_current", skew_safe: bool = True, min_hot_rows: int = 1_000_000) -> DataFrame:
+    """Per key: versions, active versions, and neighbour pairs (in order of
+    start, then end with NULL first) that overlap or leave a gap; each pair
+    is counted on its later version.
+
+    The previous version comes from a ``lag`` scan that splits a key with
+    very many versions into chunks (``operators.scan``), like ``change_log``.
+    """
+    v = dim.select(key, start, end, current, F.lit(True).alias("_v"))
+    order = [start, end]
+    tagged = assign_chunks(v, [key], order, min_hot_rows=min_hot_rows) if skew_safe else None
+    if tagged is not None:
+        prev = lag_chunked(tagged, [key], order, [end, "_v"], v.columns)
+    else:
+        w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first(), F.col(end).asc_nulls_first())
+        prev = v.withColumns({f"prev_{end}": F.lag(end).over(w), "prev__v": F.lag("_v").over(w)})
+    has_prev = F.col("prev__v").isNotNull()
+    pe = F.col(f"prev_{end}")
+    return prev.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_versions"),
         F.count_if(F.col(current)).alias("n_active"),
-        F.count_if(F.col("_next_start").isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col("_next_start"))))
-        .alias("n_overlaps"),
-        F.count_if(F.col("_next_start").isNotNull() & F.col(end).isNotNull() & (F.col(end) < F.col("_next_start")))
-        .alias("n_gaps"),
+        F.count_if(has_prev & (pe.isNull() | (pe > F.col(start)))).alias("n_overlaps"),
+        F.count_if(has_prev & pe.isNotNull() & (pe < F.col(start))).alias("n_gaps"),
     )
 
 

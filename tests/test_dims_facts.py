@@ -110,3 +110,16 @@ def test_star_flow_twice(spark, tmp):
     from strata.sources.table import Table
     assert Table(spark, f"{tmp}/gold/dim_school").read().count() == 1
     assert checks.unresolved_keys(fact, ["student_sk", "subject_sk", "school_id_sk"]).collect()[0]["null_student_sk"] == 0
+
+
+def test_check_scd2_chunked_equals_plain_on_hot_key(spark):
+    base = dt.date(2000, 1, 1)
+    data = [("hot", base + dt.timedelta(days=i), base + dt.timedelta(days=i + 1), False) for i in range(3000)]
+    data += [("hot", base + dt.timedelta(days=3000), None, True),
+             ("hot", base + dt.timedelta(days=10), base + dt.timedelta(days=50), False)]  # overlapping version
+    data += [(f"k{i}", dt.date(1990, 1, 1), None, True) for i in range(20)]
+    df = spark.createDataFrame(data, "k string, valid_from date, valid_to date, is_current boolean")
+    split = checks.check_scd2(df, "k", min_hot_rows=0)
+    assert rows(split) == rows(checks.check_scd2(df, "k", skew_safe=False))
+    hot = split.where("k = 'hot'").collect()[0]
+    assert (hot["n_versions"], hot["n_active"], hot["n_overlaps"], hot["n_gaps"]) == (3002, 1, 2, 0)
