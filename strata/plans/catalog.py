@@ -114,7 +114,6 @@ V1_SQL = f"""SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
 V2_SQL = """SELECT c_custkey, c_name, c_nationkey,
     CASE WHEN c_acctbal < 0 THEN 'COLLECTIONS' ELSE c_mktsegment END AS c_mktsegment FROM customer"""
 ATTRS = ["c_name", "c_nationkey", "c_mktsegment"]
-DIM_COLS = "c_custkey, c_name, c_nationkey, c_mktsegment, attributes_hash, c_custkey_sk, valid_from, valid_to, is_current"
 SCD2_INIT_SQL = f"""SELECT c_custkey, c_name, c_nationkey, c_mktsegment, {fp_sql(ATTRS)} AS attributes_hash,
     sha256(CAST(c_custkey AS VARCHAR) || '||' || '{S.VERSION_TS_1}') AS c_custkey_sk,
     DATE '1900-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current
