@@ -86,7 +86,7 @@ def scd2_has_changes(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[
 
 def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str], effective_date,
                version_ts, new_key_start=None, close_missing: bool = False, sk_col: str | None = None,
-               hash_col: str = "attributes_hash", legacy_hash: bool = False, validate: bool = False,
+               hash_col: str = "attributes_hash", legacy_hash: bool = False, validate: bool = True,
                valid_from: str = "valid_from", valid_to: str = "valid_to", current: str = "is_current") -> DataFrame:
     """Next state of an SCD2 dimension, in one pass.
 
@@ -95,7 +95,9 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str],
     (default: ``effective_date``). Unchanged keys are untouched, so an
     unchanged input returns ``dim`` as it was. ``close_missing`` also closes
     current versions whose key is absent from ``incoming``. ``validate``
-    raises if ``effective_date`` precedes a current version's start.
+    (default) raises if ``effective_date`` precedes the start of a current
+    version being closed (out-of-order loads are rejected, not repaired);
+    it costs one bounded job (a join that stops at the first offending row).
     """
     sk_col = sk_col or f"{key}_sk"
     eff = _lit_date(effective_date)
