@@ -506,6 +506,17 @@ def q_calendar_dim(spark, d):
     return dims.calendar_for(o, "s", "e")
 
 
+@query("calendar_slice", f"""WITH cal AS ({CALENDAR_SQL})
+SELECT * FROM cal WHERE year = (SELECT CAST(year(min(o_orderdate)) AS INTEGER) FROM orders) AND month = 1""")
+def q_calendar_slice(spark, d):
+    """Conjunctive range filter on the calendar (year and month), ordered
+    for display; the year is the first order year, computed by Spark."""
+    o = S.table(spark, d, "orders").agg(F.min("o_orderdate").alias("s"), F.max("o_orderdate").alias("e"))
+    cal = dims.calendar_for(o, "s", "e")
+    first_year = o.select(F.year("s").alias("y")).scalar()
+    return cal.where((F.col("year") == first_year) & (F.col("month") == 1)).orderBy("date")
+
+
 # --------------------------------------------------------------------------
 # Facts and joins
 # --------------------------------------------------------------------------
