@@ -56,6 +56,8 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
     num = -num if head.descending else num
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if hot_rows is None:
+        if min_hot_rows > 0 and per_key.where(F.col("_n") > F.lit(min_hot_rows)).isEmpty():
+            return None  # one aggregate settles the common case: no key above the floor
         parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         threshold = per_key.agg((F.sum("_n") / F.lit(float(parts))).alias("_t")).scalar()
         hot = per_key.where((F.col("_n") > threshold) & (F.col("_n") > F.lit(min_hot_rows))).withColumn(
