@@ -67,3 +67,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def sizing_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4,
+                shuffle_expansion: float = 1.0, target_shuffle_partition_mb: int = 256) -> dict:
+    """Shuffle and scan sizing for a job reading ``input_bytes``.
+
+    AQE coalesces small shuffle partitions but never splits too few of
+    them (only skewed join partitions), so the initial count must follow
+    the data: shuffled bytes / target partition size, where the target keeps
+    one task's share of execution memory comfortably above its partition
+    (memory per core ~ executor memory x 0.6 / cores). E.g. 100 TB with the
+    defaults gives ~400 k shuffle partitions; AQE merges them back down
+    wherever a stage turns out smaller.
+    """
+    per_core_mb = executor_memory_gb * 1024 * 0.6 / executor_cores
+    target_mb = max(32, min(target_shuffle_partition_mb, int(per_core_mb / 2)))
+    shuffled = input_bytes * shuffle_expansion
+    partitions = max(200, int(shuffled // (target_mb << 20)) + 1)
+    scan_mb = max(128, min(1024, target_mb * 2))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_mb * 4}m",
+        "spark.sql.files.maxPartitionBytes": f"{scan_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }

@@ -134,3 +134,10 @@ def test_partition_column_type_survives_round_trip(spark, tmp):
     t = Table(spark, f"{tmp}/t")
     t.publish(spark.createDataFrame([("2024-01-03", 1), ("2024-01-04", 2)], "day string, v int"), partition_by=["day"])
     assert dict((f.name, f.dataType) for f in t.read().schema.fields)["day"] == T.StringType()
+
+
+def test_sizing_conf_scales_with_input():
+    from strata.session import sizing_conf
+    big = sizing_conf(100 * 2 ** 40)
+    assert int(big["spark.sql.shuffle.partitions"]) > 100_000
+    assert int(sizing_conf(10 * 2 ** 20)["spark.sql.shuffle.partitions"]) == 200
