@@ -94,5 +94,4 @@ def sizing_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_cor
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_mb * 4}m",
         "spark.sql.files.maxPartitionBytes": f"{scan_mb}m",
-        "spark.sql.autoBroadcastJoinThreshold": "64m",
     }
