@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from strata.operators.joins import broadcast_if_small
 from strata.operators.merge import upsert
@@ -102,8 +103,25 @@ class Table:
         return self.spark.read.schema(schema).parquet(self._snap(v))
 
     # -- write ----------------------------------------------------------------
+    def history(self) -> DataFrame:
+        """One row per committed version: ``version``, ``committed_at`` (time
+        of the ``_SUCCESS`` marker), ``operation`` and ``partition_by`` as
+        recorded at publish. Built from file-system metadata, bounded by the
+        number of versions, never by the data."""
+        entries = []
+        for v in self.versions():
+            fs, p = _fs(self.spark, self._snap(v) + "/_SUCCESS")
+            info = json.loads(read_text(self.spark, self._snap(v) + "/_commit.json") or "{}")
+            entries.append((v, fs.getFileStatus(p).getModificationTime(), info.get("operation"),
+                           ",".join(info.get("partition_by") or []) or None))
+        schema = "version int, committed_ms long, operation string, partition_by string"
+        df = self.spark.createDataFrame(entries, schema)
+        return df.select("version", F.timestamp_millis("committed_ms").alias("committed_at"), "operation",
+                         "partition_by")
+
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None, if_exists: str = "new_version") -> int:
+                sort_by: list[str] | None = None, if_exists: str = "new_version",
+                operation: str = "write") -> int:
         """Write ``df`` as the next snapshot and return its version.
 
         ``if_exists``: ``new_version`` (default), or ``error`` to refuse when
@@ -128,6 +146,8 @@ class Table:
         parts = set(partition_by or [])
         fields = [f for f in df.schema.fields if f.name not in parts] + [df.schema[c] for c in partition_by or []]
         write_text(self.spark, self._snap(v) + "/_schema.json", T.StructType(fields).json())
+        write_text(self.spark, self._snap(v) + "/_commit.json",
+                   json.dumps({"operation": operation, "partition_by": partition_by or []}))
         return v
 
     def upsert(self, source: DataFrame, keys: list[str], partition_by: list[str] | None = None, **kw) -> int:
@@ -140,10 +160,10 @@ class Table:
         the shuffle is proportional to the changed partitions, not the table.
         """
         if not self.exists():
-            return self.publish(source, partition_by=partition_by)
+            return self.publish(source, partition_by=partition_by, operation="create")
         target = self.read()
         if not partition_by:
-            return self.publish(upsert(target, source, keys, **kw))
+            return self.publish(upsert(target, source, keys, **kw), operation="upsert")
         missing = [c for c in partition_by if c not in keys]
         if missing:
             raise ValueError(f"partition columns {missing} must be part of the upsert keys")
@@ -153,4 +173,5 @@ class Table:
         carried = target.join(touched, cond, "left_anti")
         inside = target.join(touched, cond, "left_semi")
         merged = upsert(inside, source, keys, **kw)
-        return self.publish(carried.unionByName(merged, allowMissingColumns=True), partition_by=partition_by)
+        return self.publish(carried.unionByName(merged, allowMissingColumns=True), partition_by=partition_by,
+                            operation="upsert")

@@ -141,3 +141,14 @@ def test_sizing_conf_scales_with_input():
     big = sizing_conf(100 * 2 ** 40)
     assert int(big["spark.sql.shuffle.partitions"]) > 100_000
     assert int(sizing_conf(10 * 2 ** 20)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_table_history_lists_versions_and_operations(spark, tmp):
+    t = Table(spark, f"{tmp}/h")
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    t.upsert(df, ["k"])
+    t.upsert(spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
+    t.publish(t.read(), operation="compact")
+    h = [(r["version"], r["operation"]) for r in t.history().orderBy("version").collect()]
+    assert h == [(1, "create"), (2, "upsert"), (3, "compact")]
+    assert t.history().where("committed_at IS NULL").count() == 0
