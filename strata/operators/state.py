@@ -15,9 +15,10 @@ Scale notes
   its own task and a carry table (at most 2 x partitions rows) patches the
   chunk boundaries. Chunking is a pure function of the data, so a recomputed
   task after an executor loss lands every row in the same chunk.
-* ``consolidate_state`` picks the winner per key by aggregate, joins the rows
-  back to their key's winner (AQE splits a skewed join partition) and takes
-  the last non-NULL value per attribute with another aggregate.
+* ``consolidate_state`` picks the winner per key with the same pre-limited
+  window, joins the rows back to their key's winner (AQE splits a skewed
+  join partition) and takes the last non-NULL value per attribute with an
+  aggregate.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.ordering import encode_first, orderable, parse_order, sort_columns
+from strata.functions.ordering import orderable, parse_order, sort_columns
 from strata.operators.scan import assign_chunks, fill_chunked
 
 
@@ -111,15 +112,13 @@ def consolidate_state(df: DataFrame, keys: list[str], attrs: list[str], time: st
     payload = keys + attrs + [time, source]
     base = dedup_exact(df.select(id_col, *payload), payload, id_col)
     base = source_priority(base, source, ranked, default_priority, out="_prio")
-    # winner per key: first in (time desc, prio asc, id desc)
-    win_order = [f"{time} desc", "_prio", f"{id_col} desc"]
-    enc = encode_first(base, win_order)
-    winners = (base.groupBy(*keys)
-               .agg(F.max(F.struct(F.struct(*enc).alias("o"), F.col(time), F.col("_prio"), F.col(id_col),
-                                   F.col(source))).alias("_w"))
-               .select(*[F.col(k).alias(f"_wk_{k}") for k in keys],
-                       F.col("_w")[time].alias("_w_time"), F.col("_w")["_prio"].alias("_w_prio"),
-                       F.col("_w")[id_col].alias("_w_id"), F.col("_w")[source].alias("_w_src")))
+    # winner per key: first in (time desc, prio asc, id desc); a row_number()=1
+    # window that Spark pre-limits per map task, so a hot key ships one row per task
+    win = latest_by_key(base.select(*keys, time, "_prio", id_col, source), keys,
+                        [f"{time} desc", "_prio", f"{id_col} desc"])
+    winners = win.select(*[F.col(k).alias(f"_wk_{k}") for k in keys], F.col(time).alias("_w_time"),
+                         F.col("_prio").alias("_w_prio"), F.col(id_col).alias("_w_id"),
+                         F.col(source).alias("_w_src"))
     cond = None
     for k in keys:
         c = base[k].eqNullSafe(winners[f"_wk_{k}"])
