@@ -23,25 +23,39 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 class OrderItem:
     name: str
     descending: bool = False
+    nulls_last: bool | None = None  # None: Spark's default (asc NULLS FIRST, desc NULLS LAST)
+
+    @property
+    def nulls_at_end(self) -> bool:
+        return self.descending if self.nulls_last is None else self.nulls_last
 
     def column(self) -> Column:
         c = F.col(self.name)
-        return c.desc_nulls_last() if self.descending else c.asc_nulls_first()
+        if self.descending:
+            return c.desc_nulls_last() if self.nulls_at_end else c.desc_nulls_first()
+        return c.asc_nulls_last() if self.nulls_at_end else c.asc_nulls_first()
+
+    def reversed(self) -> "OrderItem":
+        return OrderItem(self.name, not self.descending, not self.nulls_at_end)
 
 
 def parse_order(order) -> list[OrderItem]:
+    """``"col"``, ``"col asc|desc"`` or ``"col asc|desc nulls first|last"``."""
     items = []
     for spec in [order] if isinstance(order, str) else order:
         if isinstance(spec, OrderItem):
             items.append(spec)
             continue
         parts = spec.split()
+        low = [p.lower() for p in parts[1:]]
         if len(parts) == 1:
             items.append(OrderItem(parts[0]))
-        elif len(parts) == 2 and parts[1].lower() in ("asc", "desc"):
-            items.append(OrderItem(parts[0], parts[1].lower() == "desc"))
+        elif len(parts) == 2 and low[0] in ("asc", "desc"):
+            items.append(OrderItem(parts[0], low[0] == "desc"))
+        elif len(parts) == 4 and low[0] in ("asc", "desc") and low[1] == "nulls" and low[2] in ("first", "last"):
+            items.append(OrderItem(parts[0], low[0] == "desc", low[2] == "last"))
         else:
-            raise ValueError(f"bad order item {spec!r}; use 'col', 'col asc' or 'col desc'")
+            raise ValueError(f"bad order item {spec!r}; use 'col [asc|desc] [nulls first|last]'")
     return items
 
 
@@ -71,7 +85,8 @@ def _as_number(c: Column, dt: T.DataType) -> Column:
 
 
 def encode_last(df: DataFrame, order) -> list[Column] | None:
-    """Struct fields whose ``max`` is the LAST row of ``order``.
+    """Struct fields whose ``max`` is the LAST row of ``order`` (in struct
+    ordering a NULL field is the smallest value).
 
     Returns None when an item cannot be encoded (a descending non-numeric
     column); callers then fall back to a window.
@@ -81,36 +96,23 @@ def encode_last(df: DataFrame, order) -> list[Column] | None:
     for i, item in enumerate(parse_order(order)):
         c = F.col(item.name)
         dt = types[item.name]
-        if not item.descending:
-            # ascending, NULLS FIRST: NULL is smallest, as in struct ordering
-            fields.append(c.alias(f"_o{i}"))
-        else:
-            if not _negatable(dt):
-                return None
-            # descending, NULLS LAST: NULL is the last row, i.e. the largest
-            fields.append(c.isNull().alias(f"_o{i}n"))
-            fields.append((-_as_number(c, dt)).alias(f"_o{i}"))
+        if item.descending and not _negatable(dt):
+            return None
+        value = (-_as_number(c, dt)) if item.descending else c
+        if not item.descending and not item.nulls_at_end:
+            fields.append(c.alias(f"_o{i}"))  # asc NULLS FIRST: NULL already smallest
+            continue
+        # NULLs last -> they must compare largest; NULLs first -> smallest
+        flag = c.isNull() if item.nulls_at_end else c.isNotNull()
+        fields.append(flag.alias(f"_o{i}n"))
+        fields.append(value.alias(f"_o{i}"))
     return fields
 
 
 def encode_first(df: DataFrame, order) -> list[Column] | None:
-    """Struct fields whose ``max`` is the FIRST row of ``order``."""
-    flipped = [OrderItem(i.name, not i.descending) for i in parse_order(order)]
-    fields = []
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    for i, item in enumerate(flipped):
-        c = F.col(item.name)
-        dt = types[item.name]
-        if not item.descending:
-            # original item was descending NULLS LAST: max wins, NULL loses
-            fields.append(c.alias(f"_o{i}"))
-        else:
-            # original item was ascending NULLS FIRST: min wins, NULL wins most
-            if not _negatable(dt):
-                return None
-            fields.append(c.isNull().alias(f"_o{i}n"))
-            fields.append((-_as_number(c, dt)).alias(f"_o{i}"))
-    return fields
+    """Struct fields whose ``max`` is the FIRST row of ``order``: the last
+    row of the fully reversed order (direction and NULL placement)."""
+    return encode_last(df, [i.reversed() for i in parse_order(order)])
 
 
 def orderable(dt: T.DataType) -> bool:

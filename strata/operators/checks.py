@@ -37,19 +37,20 @@ def check_not_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def check_scd2(dim: DataFrame, key: str, start: str = "valid_from", end: str = "valid_to",
                current: str = "is_current", skew_safe: bool = True, min_hot_rows: int = 1_000_000) -> DataFrame:
     """Per key: versions, active versions, and neighbour pairs (in order of
-    start, then end with NULL first) that overlap or leave a gap; each pair
-    is counted on its later version.
+    start, then end with the open end last) that overlap or leave a gap;
+    each pair is counted on its later version. A zero-length version
+    ``[d, d)`` followed by one starting at ``d`` is neither.
 
     The previous version comes from a ``lag`` scan that splits a key with
     very many versions into chunks (``operators.scan``), like ``change_log``.
     """
     v = dim.select(key, start, end, current, F.lit(True).alias("_v"))
-    order = [start, end]
+    order = [start, f"{end} asc nulls last"]
     tagged = assign_chunks(v, [key], order, min_hot_rows=min_hot_rows) if skew_safe else None
     if tagged is not None:
         prev = lag_chunked(tagged, [key], order, [end, "_v"], v.columns)
     else:
-        w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first(), F.col(end).asc_nulls_first())
+        w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first(), F.col(end).asc_nulls_last())
         prev = v.withColumns({f"prev_{end}": F.lag(end).over(w), "prev__v": F.lag("_v").over(w)})
     has_prev = F.col("prev__v").isNotNull()
     pe = F.col(f"prev_{end}")

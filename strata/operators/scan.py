@@ -98,7 +98,7 @@ def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None =
     tagged = df.join(stats, on_hot(df, stats), "left")
     rank = F.size(F.filter(F.col("_bounds"), lambda b: b <= num))  # 0 .. quantiles-1
     by_rank = F.floor(rank * F.col("_chunks") / F.lit(quantiles)).cast("int")
-    null_chunk = (F.col("_chunks") - 1) if head.descending else F.lit(0)
+    null_chunk = (F.col("_chunks") - 1) if head.nulls_at_end else F.lit(0)
     chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).when(num.isNull(), null_chunk).otherwise(by_rank)
     return tagged.select(*[F.col(c) for c in df.columns], chunk.alias("_chunk"),
                          F.col("_chunks").isNotNull().alias("_hot"))

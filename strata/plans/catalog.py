@@ -492,7 +492,7 @@ def q_scd2_noop(spark, d):
 @query("scd2_check", f"""WITH dim AS ({SCD2_APPLY_SQL}),
 v AS (SELECT c_custkey, valid_from, valid_to, is_current,
         lag(valid_to) OVER w AS prev_end, lag(true) OVER w AS has_prev
-      FROM dim WINDOW w AS (PARTITION BY c_custkey ORDER BY valid_from NULLS FIRST, valid_to NULLS FIRST))
+      FROM dim WINDOW w AS (PARTITION BY c_custkey ORDER BY valid_from NULLS FIRST, valid_to NULLS LAST))
 SELECT c_custkey, count(*) AS n_versions, count(*) FILTER (WHERE is_current) AS n_active,
   count(*) FILTER (WHERE has_prev AND (prev_end IS NULL OR prev_end > valid_from)) AS n_overlaps,
   count(*) FILTER (WHERE has_prev AND prev_end IS NOT NULL AND prev_end < valid_from) AS n_gaps

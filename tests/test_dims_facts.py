@@ -123,3 +123,29 @@ def test_check_scd2_chunked_equals_plain_on_hot_key(spark):
     assert rows(split) == rows(checks.check_scd2(df, "k", skew_safe=False))
     hot = split.where("k = 'hot'").collect()[0]
     assert (hot["n_versions"], hot["n_active"], hot["n_overlaps"], hot["n_gaps"]) == (3002, 1, 2, 0)
+
+
+def test_scd2_key_first_seen_on_second_load(spark):
+    v1 = spark.createDataFrame([("esc01", "Alfa", "Curitiba", "privada")], SCHOOL)
+    dim = dims.scd2_init(v1, "school_id", ATTRS, "t1")
+    v2 = spark.createDataFrame([("esc01", "Alfa", "Curitiba", "privada"), ("esc02", "Beta", "BH", "publica")], SCHOOL)
+    parity = dims.scd2_apply(dim, v2, "school_id", ATTRS, "2026-02-01", "t2").where("school_id = 'esc02'").collect()
+    assert parity[0]["valid_from"] == dt.date(2026, 2, 1)  # trap 11: earlier facts find no version
+    early = dims.scd2_apply(dim, v2, "school_id", ATTRS, "2026-02-01", "t2", new_key_start="1900-01-01")
+    assert early.where("school_id = 'esc02'").collect()[0]["valid_from"] == dt.date(1900, 1, 1)
+    assert early.where("school_id = 'esc01'").count() == 1  # unchanged key untouched
+
+
+def test_scd2_two_changes_on_one_day_leave_zero_length_version(spark):
+    v1 = spark.createDataFrame([("a", "A", "x", "p")], SCHOOL)
+    dim = dims.scd2_init(v1, "school_id", ATTRS, "t1")
+    d1 = dims.scd2_apply(dim, spark.createDataFrame([("a", "A", "x", "q")], SCHOOL), "school_id", ATTRS,
+                         "2026-03-01", "t2")
+    d2 = dims.scd2_apply(d1, spark.createDataFrame([("a", "A", "x", "r")], SCHOOL), "school_id", ATTRS,
+                         "2026-03-01", "t3")
+    zero = d2.where("network = 'q'").collect()[0]
+    assert zero["valid_from"] == zero["valid_to"] == dt.date(2026, 3, 1)  # [d, d) never matches
+    c = checks.check_scd2(d2, "school_id").collect()[0]
+    assert (c["n_versions"], c["n_active"], c["n_overlaps"], c["n_gaps"]) == (3, 1, 0, 0)
+    fact = spark.createDataFrame([(1, "a", dt.date(2026, 3, 1))], "id int, school_id string, day date")
+    assert facts.asof_version_join(fact, d2, "school_id", "day", ["network"]).collect()[0]["network"] == "r"
