@@ -24,11 +24,24 @@ def replace_partitions(target: DataFrame, batch: DataFrame, part_cols: list[str]
     return kept.unionByName(batch.select(*target.columns))
 
 
-def write_partitions(batch: DataFrame, path: str, part_cols: list[str]) -> None:
+def spread_for_write(df: DataFrame, part_cols: list[str], files_per_partition: int | None) -> DataFrame:
+    """Shuffle so that each partition value is written by at most
+    ``files_per_partition`` tasks: hash on (partition columns, salt) with a
+    deterministic salt ``pmod(xxhash64(row), k)``. Bounds the file count per
+    partition (no per-task file into every partition) and spreads a hot
+    partition over k writers instead of one. ``None`` leaves the layout as it is."""
+    if not files_per_partition:
+        return df
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+    return df.repartition(*[F.col(c) for c in part_cols], salt)
+
+
+def write_partitions(batch: DataFrame, path: str, part_cols: list[str],
+                     files_per_partition: int | None = None) -> None:
     """Physical dynamic overwrite of a ``partitionBy`` layout: only the
     partition directories present in the batch are rewritten."""
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*part_cols).parquet(path))
+    (spread_for_write(batch, part_cols, files_per_partition).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).parquet(path))
 
 
 def replace_where(target: DataFrame, batch: DataFrame, predicate: Column | str,

@@ -780,9 +780,9 @@ def q_overwrite_impact(spark, d):
 def q_daily_metrics(spark, d):
     path = scratch_path(spark, "events_by_day")
     ev = S.table(spark, d, "events").withColumn("day", F.to_date("ts"))
-    # no repartition by day: a hot day would land in one writer task; each task
-    # writes its own slice of every day it holds, sorted for data skipping
-    ev.sortWithinPartitions("day", "event_type").write.partitionBy("day").parquet(path)
+    # at most 4 files per day, a hot day spread over 4 writers (never one task per day)
+    (partitions.spread_for_write(ev, ["day"], 4).sortWithinPartitions("day", "event_type")
+     .write.partitionBy("day").parquet(path))
     return metrics.daily_metrics(spark.read.parquet(path), "day", ["event_type"],
                                  [("n_events", "count", None), ("n_users", "count_distinct", "user_id"),
                                   ("mean_value", "mean", "value", 2)], digits=6)
@@ -796,7 +796,8 @@ def q_previous_day_metrics(spark, d):
     of the day before is scanned (PartitionFilters on ``day``)."""
     path = scratch_path(spark, "events_by_day")
     ev = S.table(spark, d, "events").withColumn("day", F.to_date("ts"))
-    ev.sortWithinPartitions("day", "event_type").write.partitionBy("day").parquet(path)
+    (partitions.spread_for_write(ev, ["day"], 4).sortWithinPartitions("day", "event_type")
+     .write.partitionBy("day").parquet(path))
     run_day = spark.read.parquet(path).agg(F.max("day")).first()[0]  # one scalar: the job's run date
     prev = partitions.read_day(spark, path, "day", run_day - datetime.timedelta(days=1))
     return metrics.daily_metrics(prev, "day", ["event_type"],

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from strata.operators.joins import broadcast_if_small
 from strata.operators.merge import upsert
+from strata.operators.partitions import spread_for_write
 
 _PREFIX = "snap="
 
@@ -121,11 +122,12 @@ class Table:
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None, if_exists: str = "new_version",
-                operation: str = "write") -> int:
+                operation: str = "write", files_per_partition: int | None = None) -> int:
         """Write ``df`` as the next snapshot and return its version.
 
         ``if_exists``: ``new_version`` (default), or ``error`` to refuse when
-        the table already has data (create-only write).
+        the table already has data (create-only write). ``files_per_partition``
+        bounds the files per partition value (see ``spread_for_write``).
         """
         current = self.current_version()
         if current is not None and if_exists == "error":
@@ -133,7 +135,7 @@ class Table:
         v = (current or 0) + 1
         while path_exists(self.spark, self._snap(v)):  # skip a crashed attempt's leftovers
             v += 1
-        w = df
+        w = spread_for_write(df, partition_by, files_per_partition) if partition_by else df
         if sort_by:
             # the partitioned writer sorts by the partition columns; lead with
             # them so the requested order survives inside each partition

@@ -150,3 +150,21 @@ def test_static_overwrite_loses_history_and_predicate_is_validated(spark):
     assert (unpart["rows_before"], unpart["rows_after"]) == (5, 2)
     with pytest.raises(partitions.PredicateViolation):
         partitions.replace_where(cur, batch, F.col("day") == F.lit(d("2026-02-02")))
+
+
+def test_files_per_partition_bounds_files_and_spreads_hot_day(spark, tmp):
+    import glob
+    df = spark.range(0, 6000, numPartitions=12).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.concat(F.lit("d"), (F.col("id") % 5).cast("string")))
+        .alias("day"), "id")
+    # AQE would merge this tiny shuffle into one task (fine for small data);
+    # switch coalescing off to see how a large hot day is spread
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        partitions.write_partitions(df, f"{tmp}/p", ["day"], files_per_partition=3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot_files = glob.glob(f"{tmp}/p/day=hot/*.parquet")
+    assert 1 < len(hot_files) <= 3
+    assert all(len(glob.glob(f"{tmp}/p/day=d{i}/*.parquet")) <= 3 for i in range(5))
+    assert spark.read.parquet(f"{tmp}/p").count() == 6000
