@@ -30,7 +30,14 @@ from strata.operators.metrics import (
     vs_population,
 )
 from strata.operators.joins import broadcast_if_small
-from strata.operators.partitions import merge_partitions, overwrite_impact, replace_partitions, replace_where
+from strata.operators.partitions import (
+    merge_partitions,
+    overwrite_impact,
+    replace_partitions,
+    replace_where,
+    spread_for_write,
+    write_partitions,
+)
 from strata.operators.privacy import mask_columns
 from strata.operators.skew import plain_aggregate, salted_aggregate, skew_report
 from strata.operators.state import consolidate_state, dedup_exact, forward_fill, latest_by_key, source_priority
