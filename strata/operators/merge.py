@@ -1,10 +1,11 @@
 """Keyed upsert and change classification without a MERGE statement.
 
-Plain Parquet has no MERGE, so an upsert is expressed as one full outer
-join of target and source on the key followed by a per-column choice. Both
+Plain Parquet has no MERGE, so an upsert is expressed as a full outer join
+of target and source on the key followed by a per-column choice. Both
 inputs are unique on the key (the source is checked), so the join cannot
-fan out and no key can be hot; it is one shuffle of each side, or none for
-a side AQE finds small enough to broadcast at run time.
+fan out and no key can be hot. When the source is provably small (a bounded
+count), the target is only split map-side against the broadcast source keys
+and never shuffled; otherwise both sides shuffle once.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.checks import duplicate_keys
+from strata.operators.joins import broadcast_if_small
 
 
 class DuplicateKeyError(ValueError):
@@ -32,7 +34,8 @@ def _same(a: Column, b: Column) -> Column:
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = True,
            newer_by: str | None = None, coalesce_existing: bool = False,
-           when_changed: list[str] | None = None, validate: bool = True) -> DataFrame:
+           when_changed: list[str] | None = None, validate: bool = True,
+           broadcast_source_rows: int | None = 5_000_000) -> DataFrame:
     """Target rows whose key is in ``source`` are replaced by the source row,
     source rows with a new key are inserted, other target rows are kept.
 
@@ -43,12 +46,37 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], null_safe: boo
     * ``coalesce_existing`` -- a NULL in the source keeps the target value;
     * ``when_changed`` -- replace only if one of these columns differs
       (null-safe); identical re-sends keep the target row untouched;
-    * ``validate`` -- raise ``DuplicateKeyError`` if the source repeats a key.
+    * ``validate`` -- raise ``DuplicateKeyError`` if the source repeats a key;
+    * ``broadcast_source_rows`` -- when a bounded count proves the source has
+      at most this many rows, the target is never shuffled: its rows are
+      split map-side by anti/semi joins against the broadcast source keys
+      and only the touched rows meet the source in the keyed join (a small
+      delta into a large table costs a scan, not a shuffle of the table).
 
     Column order: target columns first, then new source columns.
     """
     if validate and not duplicate_keys(source, keys).isEmpty():
         raise DuplicateKeyError(f"source is not unique on {keys}")
+    opts = dict(null_safe=null_safe, newer_by=newer_by, coalesce_existing=coalesce_existing,
+                when_changed=when_changed)
+    if broadcast_source_rows:
+        src_keys = source.select(*keys)
+        small = broadcast_if_small(src_keys, broadcast_source_rows)
+        if small is not src_keys:  # the count proved the bound: broadcast plan
+            tgt, sk = target.alias("_tgt"), small.alias("_srck")
+            parts = [(F.col(f"_tgt.{k}").eqNullSafe(F.col(f"_srck.{k}")) if null_safe
+                      else F.col(f"_tgt.{k}") == F.col(f"_srck.{k}")) for k in keys]
+            cond = reduce(lambda x, y: x & y, parts)
+            untouched = tgt.join(sk, cond, "left_anti").select(*[F.col(f"_tgt.{c}") for c in target.columns])
+            touched = tgt.join(sk, cond, "left_semi").select(*[F.col(f"_tgt.{c}") for c in target.columns])
+            merged = _keyed_merge(touched, source, keys, **opts)
+            return untouched.unionByName(merged, allowMissingColumns=True).select(*merged.columns)
+    return _keyed_merge(target, source, keys, **opts)
+
+
+def _keyed_merge(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool,
+                 newer_by: str | None, coalesce_existing: bool, when_changed: list[str] | None) -> DataFrame:
+    """The full outer join of two key-unique inputs with the per-column choice."""
     t = target.withColumn("_t_present", F.lit(True)).alias("t")
     s = source.withColumn("_s_present", F.lit(True)).alias("s")
     j = t.join(s, _cond(t, s, keys, null_safe), "full_outer")

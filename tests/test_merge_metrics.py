@@ -168,3 +168,19 @@ def test_files_per_partition_bounds_files_and_spreads_hot_day(spark, tmp):
     assert 1 < len(hot_files) <= 3
     assert all(len(glob.glob(f"{tmp}/p/day=d{i}/*.parquet")) <= 3 for i in range(5))
     assert spark.read.parquet(f"{tmp}/p").count() == 6000
+
+
+def test_upsert_broadcast_path_equals_join_path(spark):
+    t = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"),
+                                   F.lit("t").alias("note"))
+    t = t.unionByName(spark.createDataFrame([(None, 7, "nullkey")], "k long, v long, note string"))
+    src = spark.range(480, 520).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"),
+                                       F.lit(True).alias("extra"))
+    src = src.unionByName(spark.createDataFrame([(None, 9, False)], "k long, v long, extra boolean"))
+    for kw in [{}, {"newer_by": "v"}, {"when_changed": ["v"]}, {"coalesce_existing": True}]:
+        a = merge.upsert(t, src, ["k"], broadcast_source_rows=1_000, **kw)
+        b = merge.upsert(t, src, ["k"], broadcast_source_rows=None, **kw)
+        assert a.columns == b.columns == ["k", "v", "note", "extra"]
+        assert rows(a) == rows(b)
+    plan = merge.upsert(t, src, ["k"], broadcast_source_rows=1_000)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
