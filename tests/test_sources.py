@@ -152,3 +152,11 @@ def test_table_history_lists_versions_and_operations(spark, tmp):
     h = [(r["version"], r["operation"]) for r in t.history().orderBy("version").collect()]
     assert h == [(1, "create"), (2, "upsert"), (3, "compact")]
     assert t.history().where("committed_at IS NULL").count() == 0
+
+
+def test_scratch_lives_under_the_session_checkpoint_dir(spark):
+    from strata.session import checkpoint_root, scratch_path
+    root = spark.sparkContext.getCheckpointDir()
+    assert root and checkpoint_root(spark) == root
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(root.rstrip("/") + "/strata-scratch/") and a != b
