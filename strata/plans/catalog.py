@@ -227,7 +227,7 @@ def q_forward_fill(spark, d):
         FROM ({SKEWED_SQL}))""")
 def q_forward_fill_hot_key(spark, d):
     """Forward fill where one key holds ~60% of the rows: the hot key is cut
-    into value-range chunks, scanned in parallel and stitched by a carry."""
+    into quantile chunks, scanned in parallel and stitched by a carry."""
     sk = S.skewed_events(spark, d)
     df = sk.select("event_id", "actor_id", "ts",
                    F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"))
