@@ -29,7 +29,6 @@ from strata.operators.metrics import (
     top_groups,
     vs_population,
 )
-from strata.operators.joins import broadcast_if_small
 from strata.operators.partitions import (
     merge_partitions,
     overwrite_impact,

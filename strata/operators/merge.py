@@ -3,9 +3,11 @@
 Plain Parquet has no MERGE, so an upsert is expressed as a full outer join
 of target and source on the key followed by a per-column choice. Both
 inputs are unique on the key (the source is checked), so the join cannot
-fan out and no key can be hot. When the source is provably small (a bounded
-count), the target is only split map-side against the broadcast source keys
-and never shuffled; otherwise both sides shuffle once.
+fan out and no key can be hot. The source is evaluated once: it is staged
+under the checkpoint folder, checked there, and read back with its real size.
+The target is first split by the source's keys, so only touched rows enter
+the keyed join; where the planner finds the staged keys below its broadcast
+threshold that split is map-only and the target is never shuffled.
 """
 
 from __future__ import annotations
@@ -15,8 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.checks import duplicate_keys
-from strata.operators.joins import broadcast_if_small
+from strata.session import staged
 
 
 class DuplicateKeyError(ValueError):
@@ -34,8 +35,7 @@ def _same(a: Column, b: Column) -> Column:
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = True,
            newer_by: str | None = None, coalesce_existing: bool = False,
-           when_changed: list[str] | None = None, validate: bool = True,
-           broadcast_source_rows: int | None = 5_000_000) -> DataFrame:
+           when_changed: list[str] | None = None, validate: bool = True, stage: bool = True) -> DataFrame:
     """Target rows whose key is in ``source`` are replaced by the source row,
     source rows with a new key are inserted, other target rows are kept.
 
@@ -47,31 +47,37 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], null_safe: boo
     * ``when_changed`` -- replace only if one of these columns differs
       (null-safe); identical re-sends keep the target row untouched;
     * ``validate`` -- raise ``DuplicateKeyError`` if the source repeats a key;
-    * ``broadcast_source_rows`` -- when a bounded count proves the source has
-      at most this many rows, the target is never shuffled: its rows are
-      split map-side by anti/semi joins against the broadcast source keys
-      and only the touched rows meet the source in the keyed join (a small
-      delta into a large table costs a scan, not a shuffle of the table).
+    * ``stage`` -- evaluate the source once, into the checkpoint folder; pass
+      False for a source that is already a stored table.
 
     Column order: target columns first, then new source columns.
     """
-    if validate and not duplicate_keys(source, keys).isEmpty():
-        raise DuplicateKeyError(f"source is not unique on {keys}")
+    if stage:
+        source = staged(source, "upsert-source")
+    if validate:
+        require_unique(source, keys)
     opts = dict(null_safe=null_safe, newer_by=newer_by, coalesce_existing=coalesce_existing,
                 when_changed=when_changed)
-    if broadcast_source_rows:
-        src_keys = source.select(*keys)
-        small = broadcast_if_small(src_keys, broadcast_source_rows)
-        if small is not src_keys:  # the count proved the bound: broadcast plan
-            tgt, sk = target.alias("_tgt"), small.alias("_srck")
-            parts = [(F.col(f"_tgt.{k}").eqNullSafe(F.col(f"_srck.{k}")) if null_safe
-                      else F.col(f"_tgt.{k}") == F.col(f"_srck.{k}")) for k in keys]
-            cond = reduce(lambda x, y: x & y, parts)
-            untouched = tgt.join(sk, cond, "left_anti").select(*[F.col(f"_tgt.{c}") for c in target.columns])
-            touched = tgt.join(sk, cond, "left_semi").select(*[F.col(f"_tgt.{c}") for c in target.columns])
-            merged = _keyed_merge(touched, source, keys, **opts)
-            return untouched.unionByName(merged, allowMissingColumns=True).select(*merged.columns)
-    return _keyed_merge(target, source, keys, **opts)
+    untouched, touched = split_by_keys(target, source, keys, null_safe)
+    merged = _keyed_merge(touched, source, keys, **opts)
+    return untouched.unionByName(merged, allowMissingColumns=True).select(*merged.columns)
+
+
+def require_unique(df: DataFrame, keys: list[str]) -> None:
+    """Raise ``DuplicateKeyError`` if ``df`` repeats a key (one aggregate; NULL is a key)."""
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1)).first()[0]
+    if repeated:
+        raise DuplicateKeyError(f"source is not unique on {keys}: {repeated} repeated keys")
+
+
+def split_by_keys(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = True):
+    """``target`` rows whose key is not in ``source``, and those whose key is."""
+    tgt, sk = target.alias("_tgt"), source.select(*keys).alias("_srck")
+    parts = [(F.col(f"_tgt.{k}").eqNullSafe(F.col(f"_srck.{k}")) if null_safe
+              else F.col(f"_tgt.{k}") == F.col(f"_srck.{k}")) for k in keys]
+    cond = reduce(lambda x, y: x & y, parts)
+    columns = [F.col(f"_tgt.{c}") for c in target.columns]
+    return tgt.join(sk, cond, "left_anti").select(*columns), tgt.join(sk, cond, "left_semi").select(*columns)
 
 
 def _keyed_merge(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool,

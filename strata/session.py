@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -47,8 +48,9 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local runs, tests) a private folder is
-    created and registered as the checkpoint directory.
+    Only when nothing is configured and the master is local (tests), a
+    private folder is created and registered as the checkpoint directory; on
+    a cluster every executor would write to its own disk, so that raises.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -58,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_LOCAL_TMP", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -69,28 +73,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def sizing_conf(input_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4,
-                shuffle_expansion: float = 1.0, target_shuffle_partition_mb: int = 256) -> dict:
-    """Shuffle and scan sizing for a job reading ``input_bytes``.
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back: the
+    plan above it runs once however many readers follow, its lineage is cut
+    with files every executor can reach, and the planner knows its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    AQE coalesces small shuffle partitions but never splits too few of
-    them (only skewed join partitions), so the initial count must follow
-    the data: shuffled bytes / target partition size, where the target keeps
-    one task's share of execution memory comfortably above its partition
-    (memory per core ~ executor memory x 0.6 / cores). E.g. 100 TB with the
-    defaults gives ~400 k shuffle partitions; AQE merges them back down
-    wherever a stage turns out smaller.
+
+def sizing_conf(shuffled_bytes: int, executor_memory_gb: float = 16.0, executor_cores: int = 4,
+                max_partitions: int = 50_000) -> dict:
+    """Shuffle and scan sizing for a job whose widest shuffle moves
+    ``shuffled_bytes`` -- after projection and map-side combine, not the
+    table's size on disk.
+
+    AQE coalesces small shuffle partitions but splits only skewed join
+    partitions, so the initial count must follow the data. A partition may
+    take half a core's execution memory (executor memory x 0.6 / cores / 2);
+    sorts and aggregates beyond that spill. Blocks are map tasks x
+    partitions, so scans read large splits (up to 1 GB) and the count stops
+    at ``max_partitions``, from where on partitions grow and spill instead.
+    E.g. 10 TB shuffled with the defaults: 8 534 partitions of 1.2 GB.
     """
     per_core_mb = executor_memory_gb * 1024 * 0.6 / executor_cores
-    target_mb = max(32, min(target_shuffle_partition_mb, int(per_core_mb / 2)))
-    shuffled = input_bytes * shuffle_expansion
-    partitions = max(200, int(shuffled // (target_mb << 20)) + 1)
-    scan_mb = max(128, min(1024, target_mb * 2))
+    target_mb = max(32, int(per_core_mb / 2))
+    partitions = min(max_partitions, max(200, int(shuffled_bytes // (target_mb << 20)) + 1))
+    scan_mb = max(128, min(1024, target_mb))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{min(target_mb, 256)}m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_mb * 4}m",
         "spark.sql.files.maxPartitionBytes": f"{scan_mb}m",

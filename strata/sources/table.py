@@ -7,6 +7,11 @@ re-run simply writes the next snapshot. Reading the current table and
 publishing its successor never touch the same files, which plain Parquet
 needs: overwriting a path that the plan is still reading deletes its input.
 Single writer per table; old snapshots are kept (time travel by version).
+
+A partitioned table is upserted in place of that: only the touched partitions
+of its snapshot are rewritten, by Spark's dynamic partition overwrite from a
+staged result, so a day's batch costs a day whatever the table holds. A run
+that dies in between is repaired by running it again.
 """
 
 from __future__ import annotations
@@ -14,11 +19,12 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from strata.operators.joins import broadcast_if_small
-from strata.operators.merge import upsert
-from strata.operators.partitions import spread_for_write
+
+from strata.functions.ordering import orderable
+from strata.operators.merge import _keyed_merge, require_unique, split_by_keys
+from strata.operators.partitions import spread_for_write, write_partitions
+from strata.session import staged
 
 _PREFIX = "snap="
 
@@ -61,6 +67,22 @@ def committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def committed_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Directories matching ``pattern`` that hold a finished Spark write."""
+    fs, p = _fs(spark, pattern + "/_SUCCESS")
+    return sorted(st.getPath().getParent().toString() for st in fs.globStatus(p) or [])
+
+
+def committed_epochs(spark: SparkSession, checkpoint: str) -> int:
+    """Micro-batches a streaming checkpoint has committed so far. Spark keeps
+    only the latest commit files, so the last number counts, not the files."""
+    fs, p = _fs(spark, f"{checkpoint.rstrip('/')}/commits")
+    if not fs.exists(p):
+        return 0
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return max((int(n) + 1 for n in names if n.isdigit()), default=0)
+
+
 class Table:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -104,25 +126,8 @@ class Table:
         return self.spark.read.schema(schema).parquet(self._snap(v))
 
     # -- write ----------------------------------------------------------------
-    def history(self) -> DataFrame:
-        """One row per committed version: ``version``, ``committed_at`` (time
-        of the ``_SUCCESS`` marker), ``operation`` and ``partition_by`` as
-        recorded at publish. Built from file-system metadata, bounded by the
-        number of versions, never by the data."""
-        entries = []
-        for v in self.versions():
-            fs, p = _fs(self.spark, self._snap(v) + "/_SUCCESS")
-            info = json.loads(read_text(self.spark, self._snap(v) + "/_commit.json") or "{}")
-            entries.append((v, fs.getFileStatus(p).getModificationTime(), info.get("operation"),
-                           ",".join(info.get("partition_by") or []) or None))
-        schema = "version int, committed_ms long, operation string, partition_by string"
-        df = self.spark.createDataFrame(entries, schema)
-        return df.select("version", F.timestamp_millis("committed_ms").alias("committed_at"), "operation",
-                         "partition_by")
-
     def publish(self, df: DataFrame, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None, if_exists: str = "new_version",
-                operation: str = "write", files_per_partition: int | None = None) -> int:
+                sort_by: list[str] | None = None, if_exists: str = "new_version", files_per_partition: int | None = None) -> int:
         """Write ``df`` as the next snapshot and return its version.
 
         ``if_exists``: ``new_version`` (default), or ``error`` to refuse when
@@ -144,36 +149,56 @@ class Table:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self._snap(v))
+        self._write_schema(v, df.schema, partition_by or [])
+        return v
+
+    def _write_schema(self, v: int, schema: T.StructType, partition_by: list[str]) -> None:
         # data columns first, then partition columns: the order Spark reads back
-        parts = set(partition_by or [])
-        fields = [f for f in df.schema.fields if f.name not in parts] + [df.schema[c] for c in partition_by or []]
+        fields = [f for f in schema.fields if f.name not in partition_by] + [schema[c] for c in partition_by]
         write_text(self.spark, self._snap(v) + "/_schema.json", T.StructType(fields).json())
-        write_text(self.spark, self._snap(v) + "/_commit.json",
-                   json.dumps({"operation": operation, "partition_by": partition_by or []}))
-        return v
 
-    def upsert(self, source: DataFrame, keys: list[str], partition_by: list[str] | None = None, **kw) -> int:
-        """First load publishes ``source``; later loads publish target upsert source.
+    def upsert(self, source: DataFrame, keys: list[str], partition_by: list[str] | None = None, null_safe: bool = True,
+               newer_by: str | None = None, coalesce_existing: bool = False, when_changed: list[str] | None = None) -> int:
+        """First load publishes ``source``; later loads merge it by ``keys``
+        (see ``merge.upsert`` for the options). Returns the current version.
+
+        ``source`` is evaluated once (staged) and must be unique on ``keys``,
+        on the first load too. When no row would change, nothing is written
+        and the version stays.
 
-        With ``partition_by`` (which must be part of ``keys``) only the
-        partitions present in ``source`` go through the keyed join; every
-        other partition is carried into the new snapshot by a map-only
-        anti-join against the (small) set of touched partition values, so
-        the shuffle is proportional to the changed partitions, not the table.
+        With ``partition_by`` (part of ``keys``) only partitions present in
+        ``source`` are read (the staged partition values prune the scan) and
+        rewritten; the files of all others stay as they are.
         """
-        if not self.exists():
-            return self.publish(source, partition_by=partition_by, operation="create")
-        target = self.read()
-        if not partition_by:
-            return self.publish(upsert(target, source, keys, **kw), operation="upsert")
-        missing = [c for c in partition_by if c not in keys]
+        missing = [c for c in partition_by or [] if c not in keys]
         if missing:
             raise ValueError(f"partition columns {missing} must be part of the upsert keys")
-        # one row per touched partition; broadcast only after a bounded count
-        touched = broadcast_if_small(source.select(*partition_by).distinct(), 100_000)
-        cond = [target[c].eqNullSafe(touched[c]) for c in partition_by]
-        carried = target.join(touched, cond, "left_anti")
-        inside = target.join(touched, cond, "left_semi")
-        merged = upsert(inside, source, keys, **kw)
-        return self.publish(carried.unionByName(merged, allowMissingColumns=True), partition_by=partition_by,
-                            operation="upsert")
+        source = staged(source, "upsert-source")
+        require_unique(source, keys)
+        if not self.exists():
+            return self.publish(source, partition_by=partition_by)
+        target = inside = self.read()
+        if partition_by:
+            parts = staged(source.select(*partition_by).distinct(), "upsert-partitions")
+            inside = split_by_keys(target, parts, partition_by)[1]
+        untouched, touched = split_by_keys(inside, source, keys, null_safe)
+        touched = staged(touched, "upsert-touched")
+        merged = staged(_keyed_merge(touched, source, keys, null_safe, newer_by, coalesce_existing, when_changed), "upsert-merged")
+        if not _differs(touched, merged):
+            return self.current_version()
+        if not partition_by:
+            return self.publish(untouched.unionByName(merged, allowMissingColumns=True).select(*merged.columns))
+        rewritten = staged(untouched.unionByName(merged, allowMissingColumns=True).select(*merged.columns), "upsert-rewritten")
+        v = self.current_version()
+        write_partitions(rewritten, self._snap(v), partition_by)
+        self._write_schema(v, rewritten.schema, partition_by)
+        return v
+
+
+def _differs(before: DataFrame, after: DataFrame) -> bool:
+    """Whether two tables hold other rows (NULLs equal); types without an order count as different."""
+    if [(f.name, f.dataType) for f in before.schema] != [(f.name, f.dataType) for f in after.schema]:
+        return True
+    if not all(orderable(f.dataType) for f in before.schema):
+        return True
+    return before.count() != after.count() or not after.exceptAll(before).isEmpty()
