@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources.files import normalize, read_batch
-from strata.sources.table import committed, path_exists, read_text, write_text
+from strata.sources.table import committed, committed_dirs, path_exists, read_text, write_text
 
 
 class SchemaConflictError(TypeError):
@@ -101,15 +101,23 @@ class BatchLog:
         if current is None or merged != current:
             write_text(self.spark, f"{self.path}/_schema.json", merged.json())
 
+    def batches(self) -> list[str]:
+        """Directories of the committed batches, found by one glob for their
+        ``_SUCCESS`` markers: a batch that died half-way is not among them."""
+        return committed_dirs(self.spark, f"{self.path}/{self.batch_col}=*")
+
     def read(self) -> DataFrame:
-        schema = self.schema()
+        """Rows of the committed batches."""
+        schema, dirs = self.schema(), self.batches()
         reader = self.spark.read.option("basePath", self.path)
+        if schema is None and not dirs:
+            raise FileNotFoundError(f"batch log {self.path} has no committed batch")
         if schema is None:
-            df = reader.option("mergeSchema", "true").parquet(self.path)
+            df = reader.option("mergeSchema", "true").parquet(*dirs)
         else:
             # Parquet schema evolution by name: a batch lacking a column reads NULL
-            df = reader.schema(T.StructType(schema.fields + [T.StructField(self.batch_col, T.StringType())])) \
-                .parquet(self.path)
+            full = T.StructType(schema.fields + [T.StructField(self.batch_col, T.StringType())])
+            df = reader.schema(full).parquet(*dirs) if dirs else self.spark.createDataFrame([], full)
         return df.withColumn(self.batch_col, F.col(self.batch_col).cast("string"))
 
     def append(self, df: DataFrame, batch_id: str) -> bool:

@@ -12,9 +12,8 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     """Scan with a declared schema (no inference pass). CSV defaults to a
     header row. Declared non-null is not enforced by Spark's file sources;
     use ``checks.check_not_null`` for that contract."""
-    opts = {"header": "true"} if fmt == "csv" else {}
-    opts.update({k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in (options or {}).items()})
-    return spark.read.format(fmt).schema(schema).options(**opts).load(path)
+    defaults = {"header": True} if fmt == "csv" else {}
+    return spark.read.format(fmt).schema(schema).options(**{**defaults, **(options or {})}).load(path)
 
 
 def read_batch(spark: SparkSession, path: str, fmt: str, options: dict | None = None,
@@ -25,9 +24,7 @@ def read_batch(spark: SparkSession, path: str, fmt: str, options: dict | None =
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, str(v).lower() if isinstance(v, bool) else v)
-    return reader.load(path)
+    return reader.options(**(options or {})).load(path)
 
 
 def normalize(df: DataFrame, casts: dict[str, str] | None = None,

@@ -8,20 +8,21 @@ scheduled job is idempotent and a crash resumes from the last commit.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.state import consolidate_state
+from strata.session import staged
 from strata.sources.evolve import BatchLog
-from strata.sources.table import Table
+from strata.sources.table import Table, committed_epochs, read_text
 
 
 def _source(spark: SparkSession, src_dir: str, schema: T.StructType, fmt: str, options: dict | None,
             max_files_per_trigger: int | None) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
+    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(src_dir)
@@ -38,9 +39,9 @@ def stream_ingest(spark: SparkSession, src_dir: str, schema: T.StructType, out_d
     w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(out_dir)
-    q.awaitTermination()
-    return len(q.recentProgress)
+    before = committed_epochs(spark, checkpoint)
+    w.start(out_dir).awaitTermination()
+    return committed_epochs(spark, checkpoint) - before
 
 
 def stream_upsert(spark: SparkSession, src_dir: str, schema: T.StructType, table_path: str, checkpoint: str,
@@ -50,13 +51,16 @@ def stream_upsert(spark: SparkSession, src_dir: str, schema: T.StructType, table
     """Keep a per-key state table current from a stream of events.
 
     Each micro-batch is appended to a bronze batch log (one directory per
-    epoch, skipped if already committed) and the state of every key the
+    query id and epoch, skipped if already committed) and the state of every key the
     batch touches is recomputed from that key's full history and upserted.
     Recomputing whole keys makes the result independent of arrival order:
     late events cannot regress or mis-fill the state, and the final table
     equals the one-shot ``consolidate_state`` of all events. ``foreachBatch``
     is at-least-once; a replayed epoch finds its log entry committed and
-    republishes the same state. Returns the number of micro-batches run.
+    merges the same state, which writes nothing. A new checkpoint is a new
+    query: its epochs get their own entries, and files it reads again are
+    exact duplicates, which the consolidation removes. Returns the number of
+    micro-batches run.
 
     Cost: ``recompute`` (default, exact for any arrival order) scans the
     log for the touched keys on every micro-batch. ``mode="incremental"``
@@ -73,23 +77,27 @@ def stream_upsert(spark: SparkSession, src_dir: str, schema: T.StructType, table
         raise ValueError("recompute mode needs log_path for the bronze history")
     log = BatchLog(spark, log_path) if log_path else None
 
+    ran = 0
+
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        nonlocal ran
+        ran += 1
+        # the id in the checkpoint's metadata stays with the checkpoint and is new with a new one
+        query_id = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        entry = f"q{query_id.replace('-', '')}e{epoch_id:09d}"
+        events = batch.select(id_col, *keys, *attrs, time, source)
+        if log is not None:
+            log.append(events, entry)
         if mode == "incremental":
-            state = consolidate_state(batch, keys, attrs, time, source, ranked, id_col)
-            if log is not None:
-                log.append(batch.select(id_col, *keys, *attrs, time, source), f"e{epoch_id:09d}")
+            state = consolidate_state(events, keys, attrs, time, source, ranked, id_col)
             table.upsert(state, keys, newer_by=time, coalesce_existing=True)
             return
-        events = batch.select(id_col, *keys, *attrs, time, source)
-        log.append(events, f"e{epoch_id:09d}")
-        touched = events.select(*keys).distinct()
+        touched = staged(events.select(*keys).distinct(), "stream-keys")
         history = log.read().drop(log.batch_col)
         cond = [history[k].eqNullSafe(touched[k]) for k in keys]
         state = consolidate_state(history.join(touched, cond, "left_semi"), keys, attrs, time, source, ranked, id_col)
         table.upsert(state, keys)
 
     df = _source(spark, src_dir, schema, fmt, options, max_files_per_trigger)
-    q = (df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return len(q.recentProgress)
+    df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return ran
