@@ -109,12 +109,6 @@ def encode_last(df: DataFrame, order) -> list[Column] | None:
     return fields
 
 
-def encode_first(df: DataFrame, order) -> list[Column] | None:
-    """Struct fields whose ``max`` is the FIRST row of ``order``: the last
-    row of the fully reversed order (direction and NULL placement)."""
-    return encode_last(df, [i.reversed() for i in parse_order(order)])
-
-
 def orderable(dt: T.DataType) -> bool:
     """Whether ``max`` over a struct holding this type is allowed."""
     if isinstance(dt, T.MapType):

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.scan import assign_chunks, lag_chunked
+from strata.operators.scan import lag_ranges
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,20 +35,19 @@ def check_not_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def check_scd2(dim: DataFrame, key: str, start: str = "valid_from", end: str = "valid_to",
-               current: str = "is_current", skew_safe: bool = True, min_hot_rows: int = 1_000_000) -> DataFrame:
+               current: str = "is_current", skew_safe: bool = True) -> DataFrame:
     """Per key: versions, active versions, and neighbour pairs (in order of
     start, then end with the open end last) that overlap or leave a gap;
     each pair is counted on its later version. A zero-length version
     ``[d, d)`` followed by one starting at ``d`` is neither.
 
-    The previous version comes from a ``lag`` scan that splits a key with
-    very many versions into chunks (``operators.scan``), like ``change_log``.
+    The previous version comes from a ``lag`` scan over ranges, which splits
+    a key with very many versions (``operators.scan``), like ``change_log``.
     """
     v = dim.select(key, start, end, current, F.lit(True).alias("_v"))
     order = [start, f"{end} asc nulls last"]
-    tagged = assign_chunks(v, [key], order, min_hot_rows=min_hot_rows) if skew_safe else None
-    if tagged is not None:
-        prev = lag_chunked(tagged, [key], order, [end, "_v"], v.columns)
+    if skew_safe:
+        prev = lag_ranges(v, [key], order, [end, "_v"])
     else:
         w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first(), F.col(end).asc_nulls_last())
         prev = v.withColumns({f"prev_{end}": F.lag(end).over(w), "prev__v": F.lag("_v").over(w)})
@@ -68,14 +67,18 @@ def unresolved_keys(fact: DataFrame, key_cols: list[str]) -> DataFrame:
                     *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in key_cols])
 
 
-def fanout_report(left: DataFrame, joined: DataFrame, grain: list[str]) -> DataFrame:
-    """Rows and distinct grain keys before and after a join: a join is
-    grain-safe when rows_after == rows_before and keys are still unique."""
-    before = left.agg(F.count(F.lit(1)).cast("long").alias("rows_before"))
-    after = joined.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n")).agg(
-        F.sum("_n").cast("long").alias("rows_after"), F.count(F.lit(1)).cast("long").alias("keys_after"),
-        F.max("_n").cast("long").alias("max_rows_per_key"))
-    # two one-row aggregates side by side: union + max instead of a join
-    both = before.unionByName(after, allowMissingColumns=True)
-    out = both.agg(*[F.max(c).alias(c) for c in ["rows_before", "rows_after", "keys_after", "max_rows_per_key"]])
+def fanout_report(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """What ``left`` inner join ``right`` on ``on`` would do to the rows of
+    ``left``: rows before and after, keys after, most rows of one key, and
+    whether the join fans out. Each side is counted per key before the
+    (one row per key) join, so the joined rows are never built and a hot key
+    costs one row per task."""
+    per_l = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l"))
+    per_r = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_r"))
+    after = per_l.join(per_r, on, "left").select("_l", (F.col("_l") * F.coalesce("_r", F.lit(0))).alias("_n"))
+    out = after.agg(
+        F.coalesce(F.sum("_l"), F.lit(0)).cast("long").alias("rows_before"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows_after"),
+        F.count_if(F.col("_n") > 0).cast("long").alias("keys_after"),
+        F.coalesce(F.max("_n"), F.lit(0)).cast("long").alias("max_rows_per_key"))
     return out.withColumn("fanout", F.col("rows_after") > F.col("rows_before"))

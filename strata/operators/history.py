@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.scan import assign_chunks, lag_chunked
+from strata.operators.scan import lag_ranges
 from strata.operators.state import latest_by_key
 
 
@@ -25,6 +25,20 @@ def append_history(history: DataFrame | None, changes: DataFrame, batch_seq: int
     return stamped if history is None else history.unionByName(stamped, allowMissingColumns=True)
 
 
+def record_upsert(history: DataFrame | None, before: DataFrame, after: DataFrame, keys: list[str], batch_seq: int,
+                  seq_col: str = "batch_seq", op_col: str = "op") -> DataFrame:
+    """The change history of a table write: rows of ``after`` that are new or
+    differ from ``before`` as ``upsert``, rows of ``before`` whose key is gone
+    as ``delete``. Both states are unique on ``keys`` (NULL is a key); NULLs
+    compare equal, so an identical re-write records nothing."""
+    after = after.select(*before.columns)
+    a, b = after.alias("a"), before.alias("b")
+    same_key = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    same_row = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in before.columns])
+    written = append_history(history, a.join(b, same_key & same_row, "left_anti"), batch_seq, "upsert", seq_col, op_col)
+    return append_history(written, b.join(a, same_key, "left_anti"), batch_seq, "delete", seq_col, op_col)
+
+
 def as_of(history: DataFrame, keys: list[str], seq, seq_col: str = "batch_seq", op_col: str = "op",
           delete_value: str = "delete") -> DataFrame:
     """State of the table as of batch ``seq``: the latest row per key with
@@ -35,16 +49,14 @@ def as_of(history: DataFrame, keys: list[str], seq, seq_col: str = "batch_seq",
 
 
 def change_log(history: DataFrame, keys: list[str], attrs: list[str], seq_col: str = "batch_seq",
-               skew_safe: bool = True, hot_rows: int | None = None, only_changes: bool = True,
-               min_hot_rows: int = 1_000_000) -> DataFrame:
+               skew_safe: bool = True, only_changes: bool = True) -> DataFrame:
     """Per key and batch: each attribute next to its previous value
     (``prev_<attr>``) and ``changed`` (null-safe difference, true for the
-    first row of a key). ``skew_safe`` scans hot keys in chunks (see
+    first row of a key). ``skew_safe`` scans ranges, so a hot key is split (see
     ``operators.scan``); the result equals the plain ``lag`` window."""
     base = history.select(*keys, seq_col, *attrs)
-    tagged = assign_chunks(base, keys, [seq_col], hot_rows, min_hot_rows=min_hot_rows) if skew_safe else None
-    if tagged is not None:
-        res = lag_chunked(tagged, keys, [seq_col], attrs, base.columns)
+    if skew_safe:
+        res = lag_ranges(base, keys, [seq_col], attrs)
     else:
         w = Window.partitionBy(*keys).orderBy(F.col(seq_col))
         res = base.withColumns({f"prev_{c}": F.lag(c).over(w) for c in attrs})

@@ -1,148 +1,95 @@
 """Running scans (forward fill, lag) that stay balanced when one key is hot.
 
-A window ``partitionBy(key)`` puts every row of a key into one task. For a
-key holding a third of all rows that task is a third of the job. Here hot
-keys are cut into chunks at approximate quantiles of the leading order
-column; every (key, chunk) is an ordinary window partition, and a carry
-table with one row per hot chunk passes the state across chunk boundaries.
-
-Bounds: by default a key is hot when it holds more than rows/P rows (P =
-shuffle partitions), so at most P keys are hot, each with at most P chunks
-and P-1 boundaries: the broadcast tables are bounded by P, not by the
-data. With an
-explicit ``hot_rows`` the chunk total is measured first and ``hot_rows``
-grows until both tables fit ``max_hot_keys`` rows.
-Chunk ids are a pure function of the row values and the key statistics, so
-a task recomputed after an executor loss puts each row in the same chunk.
+A window ``partitionBy(key)`` puts every row of a key into one task. Here the
+rows are range-partitioned on (keys, full order) instead, so a key with very
+many rows simply covers several ranges, whatever its values are and however
+they bunch up. Every row is tagged with the number of its range and the
+result is staged once under the checkpoint folder, so all readers (and every
+retried task) see the same tags. Each (key, range) is an ordinary window
+partition; a carry row passes the state on to the next range of the key.
+
+Only keys that end or begin a range can lie in two of them, so the carry
+table has at most two rows per range. There are no thresholds, nothing is
+sized by the number of keys, and uniform data takes the same path.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.ordering import _as_number, _negatable, encode_last, parse_order, sort_columns
-
-
-def assign_chunks(df: DataFrame, keys: list[str], order, hot_rows: int | None = None,
-                  max_hot_keys: int = 100_000, partitions: int | None = None,
-                  max_chunks_per_key: int = 1024, min_hot_rows: int = 1_000_000) -> DataFrame | None:
-    """``df`` plus ``_chunk`` (0 for ordinary keys) and ``_hot``.
-
-    ``hot_rows=None`` derives the threshold from the data: a key is hot when
-    it holds more than rows/P rows (P = shuffle partitions), i.e. more than
-    a balanced task, and more than ``min_hot_rows`` (like AQE's absolute
-    skew floor: a key one task scans quickly is left alone). Then at most P
-    keys are hot with at most P chunks each,
-    so the broadcast tables are bounded by P and P x P values, not by the
-    data. An explicit ``hot_rows`` is checked by measuring the chunk total.
-
-    Chunk boundaries are approximate quantiles of the leading order column,
-    computed for the hot keys only (``percentile_approx`` combines map-side),
-    so chunks hold similar row counts however the values bunch up. Rows
-    with equal leading values share a chunk, which keeps every chunk a
-    contiguous run of the key's order.
-
-    Returns None when no key is hot (one aggregate job decides, so uniform
-    data keeps the single-exchange window) or when the leading order column
-    is not numeric/temporal.
-    """
-    items = parse_order(order)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    head = items[0]
-    if not _negatable(types[head.name]) or encode_last(df, items) is None:
-        return None
-    num = _as_number(F.col(head.name), types[head.name]).cast("double")
-    num = -num if head.descending else num
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if hot_rows is None:
-        if min_hot_rows > 0 and per_key.where(F.col("_n") > F.lit(min_hot_rows)).isEmpty():
-            return None  # one aggregate settles the common case: no key above the floor
-        parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        threshold = per_key.agg((F.sum("_n") / F.lit(float(parts))).alias("_t")).scalar()
-        hot = per_key.where((F.col("_n") > threshold) & (F.col("_n") > F.lit(min_hot_rows))).withColumn(
-            "_chunks", F.least(F.ceil(F.col("_n") / threshold), F.lit(parts)).cast("int"))
-        if hot.isEmpty():  # no key exceeds a balanced task: the plain window is best
-            return None
-        quantiles = parts
-    else:
-        # both broadcast tables (hot keys, one carry row per chunk) must fit
-        # max_hot_keys rows: measure the chunk total and coarsen until it does
-        while True:
-            hot = per_key.where(F.col("_n") > hot_rows).withColumn(
-                "_chunks", F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(max_chunks_per_key)).cast("int"))
-            got = hot.agg(F.coalesce(F.sum("_chunks"), F.lit(0)).alias("c"),
-                          F.coalesce(F.max("_chunks"), F.lit(0)).alias("m")).first()
-            if got["c"] <= max_hot_keys:
-                break
-            hot_rows *= 4
-        if got["c"] == 0:
-            return None
-        quantiles = max(int(got["m"]), 2)
-    hot = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_chunks")
-
-    def on_hot(frame, h):
-        cond = None
-        for k in keys:
-            c = frame[k].eqNullSafe(h[f"_h_{k}"])
-            cond = c if cond is None else cond & c
-        return cond
-
-    # quantile boundaries of the leading column, hot keys only
-    fractions = F.array(*[F.lit(i / quantiles) for i in range(1, quantiles)])
-    hot_b = F.broadcast(hot)
-    bounds = (df.join(hot_b, on_hot(df, hot_b), "inner")
-              .groupBy(*[f"_h_{k}" for k in keys], "_chunks")
-              .agg(F.percentile_approx(num, fractions, max(10_000, 10 * quantiles)).alias("_bounds")))
-    stats = F.broadcast(bounds)
-    tagged = df.join(stats, on_hot(df, stats), "left")
-    rank = F.size(F.filter(F.col("_bounds"), lambda b: b <= num))  # 0 .. quantiles-1
-    by_rank = F.floor(rank * F.col("_chunks") / F.lit(quantiles)).cast("int")
-    null_chunk = (F.col("_chunks") - 1) if head.nulls_at_end else F.lit(0)
-    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).when(num.isNull(), null_chunk).otherwise(by_rank)
-    return tagged.select(*[F.col(c) for c in df.columns], chunk.alias("_chunk"),
-                         F.col("_chunks").isNotNull().alias("_hot"))
-
-
-def _key_match(keys, prefix):
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def fill_chunked(tagged: DataFrame, keys: list[str], order, cols: list[str], out_cols: list[str]) -> DataFrame:
-    """Forward fill over a chunk-tagged frame (see ``assign_chunks``)."""
-    items = parse_order(order)
-    w = (Window.partitionBy(*keys, "_chunk").orderBy(*sort_columns(items))
+from strata.functions.ordering import parse_order, sort_columns
+from strata.session import staged
+
+
+def _same_key(keys, prefix):
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
+def by_range(df: DataFrame, keys: list[str], order, partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``_range``: ranges follow (keys, order), staged under the checkpoint folder."""
+    columns = [F.col(k).asc_nulls_first() for k in keys] + sort_columns(parse_order(order))
+    dealt = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
+    return staged(dealt.withColumn("_range", F.spark_partition_id()), "by-range")
+
+
+def _shared_keys(tagged: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that lie in more than one range: at most one per range."""
+    key = F.struct(*[F.col(k) for k in keys])
+    ends = tagged.groupBy("_range").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    seen = ends.select("_range", F.explode(F.array("lo", "hi")).alias("key")).distinct()
+    shared = seen.groupBy("key").count().where("count > 1")
+    return staged(shared.select(*[F.col(f"key.{k}").alias(f"_s_{k}") for k in keys]), "shared-keys")
+
+
+def _carry(tagged: DataFrame, keys: list[str], order, pick, names: list[str]) -> DataFrame:
+    """``pick(last-row window)`` per (shared key, range), moved on to the following range."""
+    shared = _shared_keys(tagged, keys)
+    rows = tagged.join(shared, _same_key(keys, "_s_"), "left_semi")
+    per_range = pick(rows)
+    after = Window.partitionBy(*keys).orderBy("_range")
+    moved = [F.last(n, ignorenulls=True).over(after.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_c_{n}") for n in names]
+    return staged(per_range.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_k_range"), *moved), "carry")
+
+
+def _last_rows(rows: DataFrame, keys: list[str], order, where=None) -> DataFrame:
+    """The last row per (key, range); planned with a limit before the shuffle."""
+    backwards = [i.reversed() for i in parse_order(order)]
+    w = Window.partitionBy(*keys, "_range").orderBy(*sort_columns(backwards))
+    rows = rows if where is None else rows.where(where)
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def fill_ranges(df: DataFrame, keys: list[str], order, cols: list[str], partitions: int | None = None) -> DataFrame:
+    """Forward fill of ``cols`` per key in ``order``; same columns as ``df``."""
+    tagged = by_range(df, keys, order, partitions)
+    w = (Window.partitionBy(*keys, "_range").orderBy(*sort_columns(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = tagged.withColumns({f"_l_{c}": F.last(c, ignorenulls=True).over(w) for c in cols})
-    enc = encode_last(tagged, items)
-    summary = (tagged.where("_hot").groupBy(*keys, "_chunk")
-               .agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct(F.struct(*enc).alias("o"), F.col(c).alias("v"))))["v"]
-                      .alias(f"_e_{c}") for c in cols]))
-    wk = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col("_chunk").alias("_cchunk"),
-                           *[F.last(f"_e_{c}", ignorenulls=True).over(wk).alias(f"_c_{c}") for c in cols])
-    joined = local.join(F.broadcast(carry), (F.col("_chunk") == F.col("_cchunk")) & _key_match(keys, "_ck_"), "left")
-    out = {c: F.coalesce(F.col(f"_l_{c}"), F.col(f"_c_{c}")) for c in cols}
-    return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in out_cols])
-
-
-def lag_chunked(tagged: DataFrame, keys: list[str], order, cols: list[str], out_cols: list[str],
-                prefix: str = "prev_") -> DataFrame:
-    """Previous row's ``cols`` per key (``prev_<col>``) over a chunk-tagged frame."""
-    items = parse_order(order)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*sort_columns(items))
-    local = tagged.withColumns({f"_l_{c}": F.lag(c).over(w) for c in cols}).withColumn(
-        "_first", F.row_number().over(w) == 1)
-    enc = encode_last(tagged, items)
-    last_row = (tagged.where("_hot").groupBy(*keys, "_chunk")
-                .agg(F.max(F.struct(F.struct(*enc).alias("o"), *[F.col(c) for c in cols])).alias("_last")))
-    wk = Window.partitionBy(*keys).orderBy("_chunk")
-    carry = last_row.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col("_chunk").alias("_cchunk"),
-                            F.lag("_last").over(wk).alias("_prev_last"))
-    joined = local.join(F.broadcast(carry), (F.col("_chunk") == F.col("_cchunk")) & _key_match(keys, "_ck_"), "left")
-    prev = {f"{prefix}{c}": F.when(F.col("_first"), F.col("_prev_last")[c]).otherwise(F.col(f"_l_{c}")) for c in cols}
-    return joined.select(*[F.col(c) for c in out_cols], *[v.alias(k) for k, v in prev.items()])
+
+    def last_values(rows):
+        found = [_last_rows(rows, keys, order, F.col(c).isNotNull()).select(*keys, "_range", F.col(c).alias(f"v_{c}")) for c in cols]
+        every = rows.select(*keys, "_range").distinct()  # a range without a value passes the earlier one on
+        parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [every, *found])
+        return parts.groupBy(*keys, "_range").agg(*[F.first(f"v_{c}", ignorenulls=True).alias(f"v_{c}") for c in cols])
+
+    carry = _carry(tagged, keys, order, last_values, [f"v_{c}" for c in cols])
+    joined = local.join(carry, (F.col("_range") == F.col("_k_range")) & _same_key(keys, "_k_"), "left")
+    return joined.select(*[F.coalesce(F.col(f"_l_{c}"), F.col(f"_c_v_{c}")).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def lag_ranges(df: DataFrame, keys: list[str], order, cols: list[str], prefix: str = "prev_", partitions: int | None = None) -> DataFrame:
+    """``df`` plus the previous row's ``cols`` per key as ``prev_<col>``."""
+    tagged = by_range(df, keys, order, partitions)
+    w = Window.partitionBy(*keys, "_range").orderBy(*sort_columns(order))
+    local = tagged.withColumns({f"_l_{c}": F.lag(c).over(w) for c in cols}).withColumn("_first", F.row_number().over(w) == 1)
+
+    def last_row(rows):
+        return _last_rows(rows, keys, order).select(*keys, "_range", F.struct(*[F.col(c) for c in cols]).alias("row"))
+
+    carry = _carry(tagged, keys, order, last_row, ["row"])
+    joined = local.join(carry, (F.col("_range") == F.col("_k_range")) & _same_key(keys, "_k_"), "left")
+    prev = [F.when(F.col("_first"), F.col("_c_row")[c]).otherwise(F.col(f"_l_{c}")).alias(f"{prefix}{c}") for c in cols]
+    return joined.select(*[F.col(c) for c in df.columns], *prev)

@@ -8,13 +8,11 @@ Scale notes
   ``WindowGroupLimit`` before the shuffle: both reduce a key to one row per
   map task, so a key holding a third of all rows never lands whole in one
   reducer.
-* ``forward_fill`` needs every row, so it is a running scan. The plain form
-  is a window partitioned by key (one task per key). The default cuts a key
-  holding more rows than a balanced task (rows / shuffle partitions) into
-  chunks by the value of the leading order column; each chunk is filled in
-  its own task and a carry table (at most 2 x partitions rows) patches the
-  chunk boundaries. Chunking is a pure function of the data, so a recomputed
-  task after an executor loss lands every row in the same chunk.
+* ``forward_fill`` needs every row, so it is a running scan. The default
+  range-partitions on (key, order), so a hot key covers several tasks, and a
+  carry row joins its ranges (``operators.scan``). ``skew_safe=False`` is the
+  plain window partitioned by key: one shuffle less, one task per key, for
+  keys known to be small.
 * ``consolidate_state`` picks the winner per key with the same pre-limited
   window, joins the rows back to their key's winner (AQE splits a skewed
   join partition) and takes the last non-NULL value per attribute with an
@@ -27,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.ordering import orderable, parse_order, sort_columns
-from strata.operators.scan import assign_chunks, fill_chunked
+from strata.operators.scan import fill_ranges
 
 
 def dedup_exact(df: DataFrame, payload: list[str], id_col: str) -> DataFrame:
@@ -56,19 +54,16 @@ def source_priority(df: DataFrame, col: str, ranked: list, default: int | None =
 
 
 def forward_fill(df: DataFrame, keys: list[str], order, cols: list[str], skew_safe: bool = True,
-                 hot_rows: int | None = None, partitions: int | None = None,
-                 min_hot_rows: int = 1_000_000) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """Replace NULLs in ``cols`` by the last non-NULL value of the same key
     seen up to and including the row, in ``order`` (which should be total).
 
-    ``skew_safe`` (default) scans keys holding more than a balanced task's
-    share of rows in several chunks (``operators.scan``); the result equals
+    ``skew_safe`` (default) scans ranges of (keys, order), so a key with many
+    rows is scanned by several tasks (``operators.scan``); the result equals
     the plain per-key window, which ``skew_safe=False`` gives.
     """
     if skew_safe:
-        tagged = assign_chunks(df, keys, order, hot_rows, partitions=partitions, min_hot_rows=min_hot_rows)
-        if tagged is not None:
-            return fill_chunked(tagged, keys, order, cols, df.columns)
+        return fill_ranges(df, keys, order, cols, partitions)
     w = (Window.partitionBy(*keys).orderBy(*sort_columns(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
