@@ -11,17 +11,16 @@ from strata.functions.calendar import (
 )
 from strata.functions.keys import (
     fingerprint,
-    key_condition,
     legacy_fingerprint,
     surrogate_key,
     version_key,
 )
 from strata.functions.masking import digits_masked, email_domain_only, hash_with_salt, nullify, partial
-from strata.functions.ordering import encode_first, encode_last, parse_order, sort_columns
+from strata.functions.ordering import encode_last, parse_order, sort_columns
 
 __all__ = [
     "BEGINNING_OF_TIME", "MONTH_NAMES_PT", "WEEKDAY_NAMES_PT", "date_sk", "month_start", "name_lookup",
-    "period_of_year", "fingerprint", "key_condition", "legacy_fingerprint", "surrogate_key", "version_key",
-    "digits_masked", "email_domain_only", "hash_with_salt", "nullify", "partial", "encode_first",
-    "encode_last", "parse_order", "sort_columns",
+    "period_of_year", "fingerprint", "legacy_fingerprint", "surrogate_key", "version_key",
+    "digits_masked", "email_domain_only", "hash_with_salt", "nullify", "partial", "encode_last",
+    "parse_order", "sort_columns",
 ]

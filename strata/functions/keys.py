@@ -1,10 +1,8 @@
-"""Key expressions: join conditions, surrogate keys and attribute hashes."""
+"""Key expressions: surrogate keys and attribute hashes."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Separator of the legacy attribute hash and of the version key.
@@ -14,17 +12,6 @@ LEGACY_SEPARATOR = "||"
 NULL_MARKER = "\u0000"
 
 
-def key_condition(left: DataFrame, right: DataFrame, keys, null_safe: bool = True,
-                  right_keys=None) -> Column:
-    """AND of per-key equalities; ``null_safe`` makes NULL match NULL."""
-    right_keys = right_keys or keys
-    parts = []
-    for lk, rk in zip(keys, right_keys):
-        a, b = left[lk], right[rk]
-        parts.append(a.eqNullSafe(b) if null_safe else a == b)
-    return reduce(lambda x, y: x & y, parts)
-
-
 def surrogate_key(*cols, bits: int = 256) -> Column:
     """Deterministic key of the natural key: sha2 over its string form."""
     if len(cols) == 1:

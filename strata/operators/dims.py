@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.calendar import (
     BEGINNING_OF_TIME,
-    MONTH_NAMES_PT,
-    WEEKDAY_NAMES_PT,
     date_sk,
     name_lookup,
     period_of_year,
@@ -28,6 +26,20 @@ class EffectiveDateError(ValueError):
     pass
 
 
+class NaturalKeyError(ValueError):
+    pass
+
+
+def require_natural_key(df: DataFrame, key: str) -> None:
+    """Raise ``NaturalKeyError`` if ``key`` is NULL or repeated in ``df`` (one
+    aggregate): either would leave two current versions of a key, or a new
+    one on every run."""
+    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    nulls, repeated = per.agg(F.count_if(F.col(key).isNull()), F.count_if(F.col("_n") > 1)).first()
+    if nulls or repeated:
+        raise NaturalKeyError(f"{key}: {nulls} NULL, {repeated} repeated")
+
+
 def scd1_dim(df: DataFrame, key: str, attrs: list[str] | None = None, sk_col: str | None = None) -> DataFrame:
     """Current-state dimension: natural key, attributes and a deterministic
     surrogate key ``sha2(key)``; load it with ``upsert`` on ``key``."""
@@ -52,8 +64,12 @@ def _lit_date(d) -> Column:
 
 def scd2_init(df: DataFrame, key: str, attrs: list[str], version_ts, start=BEGINNING_OF_TIME,
               sk_col: str | None = None, hash_col: str = "attributes_hash", legacy_hash: bool = False,
-              valid_from: str = "valid_from", valid_to: str = "valid_to", current: str = "is_current") -> DataFrame:
-    """First load: every row becomes an open, current version starting at ``start``."""
+              valid_from: str = "valid_from", valid_to: str = "valid_to", current: str = "is_current",
+              validate: bool = True) -> DataFrame:
+    """First load: every row becomes an open, current version starting at
+    ``start``. ``validate`` raises on a NULL or repeated natural key."""
+    if validate:
+        require_natural_key(df, key)
     sk_col = sk_col or f"{key}_sk"
     out = with_attr_hash(df, attrs, hash_col, legacy_hash)
     return (out.withColumn(sk_col, version_key(key, version_ts))
@@ -96,9 +112,11 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str],
     unchanged input returns ``dim`` as it was. ``close_missing`` also closes
     current versions whose key is absent from ``incoming``. ``validate``
     (default) raises if ``effective_date`` precedes the start of a current
-    version being closed (out-of-order loads are rejected, not repaired);
-    it costs one bounded job (a join that stops at the first offending row).
+    version being closed (out-of-order loads are rejected, not repaired), or
+    if ``incoming`` repeats a natural key or has a NULL one.
     """
+    if validate:
+        require_natural_key(incoming, key)
     sk_col = sk_col or f"{key}_sk"
     eff = _lit_date(effective_date)
     changes = scd2_changes(dim, incoming, key, attrs, hash_col, legacy_hash, current)
@@ -127,18 +145,18 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str],
     return kept.unionByName(new_rows)
 
 
-def calendar_dim(spark: SparkSession, start, end, period_months: int = 2,
-                 month_names: list[str] = MONTH_NAMES_PT, day_names: list[str] = WEEKDAY_NAMES_PT) -> DataFrame:
+def calendar_dim(spark: SparkSession, start, end, month_names: list[str], day_names: list[str],
+                 period_months: int = 2) -> DataFrame:
     """One row per day in [start, end] (inclusive); ``start``/``end`` may be
     dates, ISO strings or columns of a one-row DataFrame (see
-    ``calendar_for``)."""
+    ``calendar_for``). ``month_names`` start with January, ``day_names`` with
+    Sunday."""
     days = spark.range(1).select(F.explode(F.sequence(_lit_date(start), _lit_date(end))).alias("date"))
-    return calendar_columns(days, period_months, month_names, day_names)
+    return calendar_columns(days, month_names, day_names, period_months)
 
 
-def calendar_for(bounds: DataFrame, start_col: str, end_col: str, period_months: int = 2,
-                 month_names: list[str] = MONTH_NAMES_PT, day_names: list[str] = WEEKDAY_NAMES_PT,
-                 whole_years: bool = True) -> DataFrame:
+def calendar_for(bounds: DataFrame, start_col: str, end_col: str, month_names: list[str], day_names: list[str],
+                 period_months: int = 2, whole_years: bool = True) -> DataFrame:
     """Calendar spanning a range computed by Spark (e.g. ``min``/``max`` of a
     fact date); ``whole_years`` widens it to full calendar years."""
     s, e = F.col(start_col).cast("date"), F.col(end_col).cast("date")
@@ -146,11 +164,10 @@ def calendar_for(bounds: DataFrame, start_col: str, end_col: str, period_months:
         s = F.make_date(F.year(s), F.lit(1), F.lit(1))
         e = F.make_date(F.year(e), F.lit(12), F.lit(31))
     days = bounds.select(F.explode(F.sequence(s, e)).alias("date"))
-    return calendar_columns(days, period_months, month_names, day_names)
+    return calendar_columns(days, month_names, day_names, period_months)
 
 
-def calendar_columns(days: DataFrame, period_months: int = 2, month_names=MONTH_NAMES_PT,
-                     day_names=WEEKDAY_NAMES_PT) -> DataFrame:
+def calendar_columns(days: DataFrame, month_names: list[str], day_names: list[str], period_months: int = 2) -> DataFrame:
     d = F.col("date")
     return days.select(
         d.alias("date"),

@@ -101,15 +101,6 @@ def period_change(df: DataFrame, entity: list[str], period_col: str, p1, p2, mea
     return res
 
 
-def sum_in(col: str) -> callable:
-    """Aggregate factory for ``period_change``: sum of ``col`` where cond."""
-    return lambda cond: F.sum(F.when(cond, F.col(col)))
-
-
-def count_in(col: str | None = None) -> callable:
-    return lambda cond: F.count(F.when(cond, F.col(col) if col else F.lit(1)))
-
-
 def double_decline(changes: DataFrame, measure_a: str, measure_b: str) -> DataFrame:
     """Entities where both measures fell from period 1 to period 2."""
     return changes.where((F.col(f"{measure_a}_change") < 0) & (F.col(f"{measure_b}_change") < 0))
@@ -150,17 +141,14 @@ def grain_safe_join(left: DataFrame, right: DataFrame, grain: list[str], left_ag
     ``right_grain`` (default ``grain``) lets a coarser right side (e.g. no
     subject column) be aggregated on its own grain and attached to every
     left row of that coarser key: still no fan-out, because the right side
-    is unique on its key after aggregation."""
+    is unique on its key after aggregation. NULL grain values are values:
+    they group together and match each other, so the result is unique on
+    ``grain``; a coarse right row without any left row stands alone with NULL
+    in the columns it does not have."""
     rg = right_grain or grain
     l = left.groupBy(*grain).agg(*[v.alias(k) for k, v in left_aggs.items()])
-    r = right.groupBy(*rg).agg(*[v.alias(k) for k, v in right_aggs.items()])
-    return l.join(r, rg, how)
-
-
-def naive_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """The fan-out-prone join, for ``checks.fanout_report``."""
-    return left.join(right, on, "inner")
-
-
-def all_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)
+    r = right.groupBy(*[F.col(c).alias(f"_r_{c}") for c in rg]).agg(*[v.alias(k) for k, v in right_aggs.items()])
+    l, r = l.withColumn("_in_l", F.lit(True)), r.withColumn("_in_r", F.lit(True))
+    cond = reduce(lambda a, b: a & b, [l[c].eqNullSafe(r[f"_r_{c}"]) for c in rg])
+    keys = [F.when(F.col("_in_l").isNotNull(), F.col(c)).otherwise(F.col(f"_r_{c}")).alias(c) if c in rg else F.col(c) for c in grain]
+    return l.join(r, cond, how).select(*keys, *left_aggs, *right_aggs)

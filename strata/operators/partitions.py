@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.merge import upsert
+from strata.session import staged
 
 
 class PredicateViolation(ValueError):
@@ -36,14 +35,37 @@ def spread_for_write(df: DataFrame, part_cols: list[str], files_per_partition: i
     return df.repartition(*[F.col(c) for c in part_cols], salt)
 
 
+class OverwriteLoss(ValueError):
+    pass
+
+
 def write_partitions(batch: DataFrame, path: str, part_cols: list[str],
                      files_per_partition: int | None = None) -> None:
     """Physical dynamic overwrite of a ``partitionBy`` layout: only the
-    partition directories present in the batch are rewritten."""
+    partition directories present in the batch are rewritten. Without
+    partition columns the write would replace the whole directory whatever
+    the mode, so that raises; see ``overwrite_table``."""
+    if not part_cols:
+        raise OverwriteLoss("a dynamic overwrite without partition columns replaces the whole table")
     (spread_for_write(batch, part_cols, files_per_partition).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).parquet(path))
 
 
+def overwrite_table(batch: DataFrame, path: str, part_cols: list[str] | None = None, allow_loss: bool = False) -> None:
+    """Static overwrite of a whole directory. Unless ``allow_loss`` is set it
+    is refused when partitions (or, without partition columns, rows) that the
+    directory holds would not come back: see ``overwrite_impact``."""
+    from strata.sources.table import path_exists
+
+    spark = batch.sparkSession
+    if not allow_loss and path_exists(spark, path):
+        lost = overwrite_impact(spark.read.parquet(path), batch, part_cols or [], "static").where("lost")
+        if not lost.isEmpty():
+            raise OverwriteLoss(f"the overwrite of {path} would lose {lost.count()} partitions it does not replace")
+    writer = staged(batch, "overwrite").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*part_cols) if part_cols else writer).parquet(path)
+
+
 def replace_where(target: DataFrame, batch: DataFrame, predicate: Column | str,
                   validate: bool = True) -> DataFrame:
     """Delete target rows matching ``predicate`` and insert ``batch``.
@@ -66,20 +88,17 @@ def merge_partitions(target: DataFrame, batch: DataFrame, keys: list[str]) -> Da
 def overwrite_impact(target: DataFrame, batch: DataFrame, part_cols: list[str],
                      mode: str = "static") -> DataFrame:
     """Per partition: rows before, rows in the batch, rows after, and
-    whether the partition is ``lost`` by the overwrite.
+    whether the partition is ``lost`` by the overwrite. NULL is a partition.
 
     ``static`` replaces the whole table, so every partition absent from the
-    batch is lost; ``dynamic`` loses nothing it does not rewrite, unless
-    the table is unpartitioned (``part_cols`` empty), where it also wipes it.
+    batch is lost; ``dynamic`` loses nothing it does not rewrite. Without
+    ``part_cols`` either mode replaces the table, one partition as a whole: it
+    is lost when rows of it are not in the batch.
     """
-    if part_cols:
-        before = target.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("rows_before"))
-        inbatch = batch.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("rows_in_batch"))
-        j = before.join(inbatch, part_cols, "full_outer")
-    else:
-        j = target.agg(F.count(F.lit(1)).alias("rows_before")).unionByName(
-            batch.agg(F.count(F.lit(1)).alias("rows_in_batch")), allowMissingColumns=True).agg(
-            F.max("rows_before").alias("rows_before"), F.max("rows_in_batch").alias("rows_in_batch"))
+    one = F.lit(1).cast("long")
+    sides = target.select(*part_cols, one.alias("b"), F.lit(0).cast("long").alias("i")).unionAll(
+        batch.select(*part_cols, F.lit(0).cast("long").alias("b"), one.alias("i")))
+    j = sides.groupBy(*part_cols).agg(F.sum("b").alias("rows_before"), F.sum("i").alias("rows_in_batch"))
     rb = F.coalesce(F.col("rows_before"), F.lit(0)).cast("long")
     ri = F.coalesce(F.col("rows_in_batch"), F.lit(0)).cast("long")
     if mode == "static" or not part_cols:
@@ -88,8 +107,11 @@ def overwrite_impact(target: DataFrame, batch: DataFrame, part_cols: list[str],
         after = F.when(ri > 0, ri).otherwise(rb)
     else:
         raise ValueError(mode)
-    return j.select(*part_cols, rb.alias("rows_before"), ri.alias("rows_in_batch"),
-                    after.alias("rows_after"), ((rb > 0) & (ri == 0) & (after == 0)).alias("lost"))
+    if part_cols:
+        lost = (rb > 0) & (after == 0)
+    else:
+        lost = F.lit(not target.exceptAll(batch.select(*target.columns)).isEmpty())
+    return j.select(*part_cols, rb.alias("rows_before"), ri.alias("rows_in_batch"), after.alias("rows_after"), lost.alias("lost"))
 
 
 def daily_partition_filter(day_col: str, day) -> Column:
@@ -100,6 +122,3 @@ def daily_partition_filter(day_col: str, day) -> Column:
 def read_day(spark: SparkSession, path: str, day_col: str, day) -> DataFrame:
     return spark.read.parquet(path).where(daily_partition_filter(day_col, day))
 
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)

@@ -10,23 +10,23 @@ recomputed task must salt the same row the same way).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def skew_report(df: DataFrame, keys: list[str], hot_share: float = 0.2, digits: int = 6) -> DataFrame:
-    """Rows per key, its share of all rows and its ratio to the mean rows per
-    key; ``is_hot`` when the share reaches ``hot_share``. Totals are scalar
-    subqueries over the per-key counts (no join, no global window)."""
+def skew_report(df: DataFrame, keys: list[str], hot_ratio: float = 100.0, digits: int = 6) -> DataFrame:
+    """Rows per key, its share of all rows and its ratio to the median rows
+    per key; ``is_hot`` when that ratio reaches ``hot_ratio``. The median is
+    exact and, like the total, a scalar subquery over the per-key counts; it
+    is found among the distinct counts, of which there are at most
+    sqrt(2 x rows)."""
     per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     tot = per.agg(F.sum("n_rows").alias("t")).scalar()
-    nkeys = per.agg(F.count(F.lit(1)).alias("k")).scalar()
-    share = F.col("n_rows") / tot
-    return per.select(*keys, "n_rows", F.round(share, digits).alias("share"),
-                      F.round(F.col("n_rows") / (tot / nkeys), digits).alias("ratio_to_mean"),
-                      (share >= F.lit(hot_share)).alias("is_hot"))
+    sizes = per.groupBy("n_rows").agg(F.count(F.lit(1)).alias("k"))
+    median = sizes.agg(F.percentile("n_rows", F.lit(0.5), F.col("k")).alias("m")).scalar()
+    ratio = F.col("n_rows") / median
+    return per.select(*keys, "n_rows", F.round(F.col("n_rows") / tot, digits).alias("share"),
+                      F.round(ratio, digits).alias("ratio_to_median"), (ratio >= F.lit(float(hot_ratio))).alias("is_hot"))
 
 
 def salt_of(cols: list[str], salts: int) -> Column:
@@ -35,44 +35,37 @@ def salt_of(cols: list[str], salts: int) -> Column:
 
 
 def salted_aggregate(df: DataFrame, keys: list[str], salts: int, sums: list[str] = (), counts: list[str] = (),
-                     distincts: list[str] = (), salt_by: list[str] | None = None, count_rows: str | None = "n_rows",
+                     distincts: list[str] = (), count_rows: str | None = "n_rows",
                      mins: list[str] = (), maxs: list[str] = ()) -> DataFrame:
     """Equals ``groupBy(keys).agg(count(*), sum(s), count(c), min, max,
     count(DISTINCT d))`` for any ``salts``.
 
-    Stage 1 groups by (keys, salt) for the combinable aggregates, stage 2
-    folds the salts. Each distinct column is first grouped by (keys, value),
-    which spreads a hot key over its distinct values, then counted per key.
-    The branches are merged with a union and one final aggregate (no joins).
+    One scan, two shuffles. Every row counts towards the combinable
+    aggregates on a plain row per (key, salt), and each of its distinct
+    columns adds a (key, salt of the value, column, value) row; a first
+    aggregate makes values unique and combines the rest, a second folds the
+    salts. A value always has the same salt, so the distinct counts of the
+    salts add up; a hot key's values are spread over ``salts`` tasks.
     Output names: n_rows, sum_<s>, count_<c>, min_<m>, max_<m>, distinct_<d>.
     """
-    salt_by = salt_by or [c for c in df.columns if c not in keys]
-    parts = []
-    s1 = [F.sum(c).alias(f"sum_{c}") for c in sums] + [F.count(c).alias(f"count_{c}") for c in counts]
-    s1 += [F.min(c).alias(f"min_{c}") for c in mins] + [F.max(c).alias(f"max_{c}") for c in maxs]
-    if count_rows:
-        s1.append(F.count(F.lit(1)).alias(count_rows))
-    if s1:
-        stage1 = df.withColumn("_salt", salt_of(salt_by, salts)).groupBy(*keys, "_salt").agg(*s1)
-        fold = [F.sum(f"sum_{c}").alias(f"sum_{c}") for c in sums]
-        fold += [F.sum(f"count_{c}").cast("long").alias(f"count_{c}") for c in counts]
-        fold += [F.min(f"min_{c}").alias(f"min_{c}") for c in mins] + [F.max(f"max_{c}").alias(f"max_{c}") for c in maxs]
-        if count_rows:
-            fold.append(F.sum(count_rows).cast("long").alias(count_rows))
-        parts.append(stage1.groupBy(*keys).agg(*fold))
-    for d in distincts:
-        per_value = df.where(F.col(d).isNotNull()).select(*keys, d).distinct()
-        parts.append(per_value.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"distinct_{d}")))
-    if len(parts) == 1:
-        out = parts[0]
-    else:
-        # one row per key in every part; the union + max merge them and
-        # coalesce a missing distinct count (key with only NULL values) to 0
-        u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        value_cols = [c for p in parts for c in p.columns if c not in keys]
-        out = u.groupBy(*keys).agg(*[F.max(c).alias(c) for c in value_cols])
-    return out.withColumns({f"distinct_{d}": F.coalesce(F.col(f"distinct_{d}"), F.lit(0)).cast("long")
-                            for d in distincts})
+    tags = [F.struct(F.lit(None).cast("int").alias("d"), F.lit(None).cast("string").alias("v"), F.lit(0).alias("salt"))]
+    tags += [F.struct(F.lit(i).alias("d"), F.col(c).cast("string").alias("v"), salt_of([c], salts).alias("salt"))
+             for i, c in enumerate(distincts)]
+    values = list(dict.fromkeys([*sums, *counts, *mins, *maxs]))
+    rows = df.select(*keys, *values, F.explode(F.array(*tags)).alias("_t")).select(*keys, *values, "_t.*")
+    rows = rows.where(F.col("d").isNull() | F.col("v").isNotNull())
+    plain = F.col("d").isNull()
+    only = lambda c: F.when(plain, F.col(c))  # noqa: E731 - the tag rows repeat the values
+    s1 = [F.sum(only(c)).alias(f"sum_{c}") for c in sums] + [F.count(only(c)).alias(f"count_{c}") for c in counts]
+    s1 += [F.min(only(c)).alias(f"min_{c}") for c in mins] + [F.max(only(c)).alias(f"max_{c}") for c in maxs]
+    s1.append(F.count_if(plain).alias("_rows"))
+    stage1 = rows.groupBy(*keys, "salt", "d", "v").agg(*s1)
+    fold = [F.sum("_rows").cast("long").alias(count_rows)] if count_rows else []
+    fold += [F.sum(f"sum_{c}").alias(f"sum_{c}") for c in sums]
+    fold += [F.sum(f"count_{c}").cast("long").alias(f"count_{c}") for c in counts]
+    fold += [F.min(f"min_{c}").alias(f"min_{c}") for c in mins] + [F.max(f"max_{c}").alias(f"max_{c}") for c in maxs]
+    fold += [F.count_if(F.col("d") == i).cast("long").alias(f"distinct_{c}") for i, c in enumerate(distincts)]
+    return stage1.groupBy(*keys).agg(*fold)
 
 
 def plain_aggregate(df: DataFrame, keys: list[str], sums: list[str] = (), counts: list[str] = (),

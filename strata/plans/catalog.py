@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from strata.functions.calendar import MONTH_NAMES_PT, WEEKDAY_NAMES_PT
 from strata.functions.keys import fingerprint, legacy_fingerprint
 from strata.operators import checks, dims, facts, history, merge, metrics, partitions, privacy, skew, state
-from strata.operators.joins import broadcast_if_small
 from strata.plans import scenarios as S
 from strata.session import scratch_path
 from strata.sources import evolve, files
@@ -217,7 +216,7 @@ def q_source_priority(spark, d):
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_forward_fill(spark, d):
     base = S.events_base(spark, d).select("event_id", "user_id", "ts", "value", "k")
-    return state.forward_fill(base, ["user_id"], ["ts", "event_id"], ["value", "k"])
+    return state.forward_fill(base, ["user_id"], ["ts", "event_id"], ["value", "k"], skew_safe=False)
 
 
 @query("forward_fill_hot_key", f"""SELECT event_id, actor_id, ts,
@@ -226,14 +225,27 @@ def q_forward_fill(spark, d):
   FROM (SELECT event_id, actor_id, ts, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value
         FROM ({SKEWED_SQL}))""")
 def q_forward_fill_hot_key(spark, d):
-    """Forward fill where one key holds ~60% of the rows: the hot key is cut
-    into quantile chunks, scanned in parallel and stitched by a carry."""
+    """Forward fill where one key holds ~60% of the rows: the hot key covers
+    several ranges, scanned in parallel and stitched by a carry."""
     sk = S.skewed_events(spark, d)
     df = sk.select("event_id", "actor_id", "ts",
                    F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"))
-    # min_hot_rows=0: split the hot key at every scale (the library default
-    # leaves keys under a million rows to one task, like AQE's skew floor)
-    return state.forward_fill(df, ["actor_id"], ["ts", "event_id"], ["value"], min_hot_rows=0)
+    return state.forward_fill(df, ["actor_id"], ["ts", "event_id"], ["value"])
+
+
+TIED_SQL = """SELECT event_id, 0 AS actor_id, CASE WHEN event_type = 'signup' THEN strftime(ts, '%Y-%m-%d') ELSE '2024-01-15' END AS day,
+    CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value FROM events"""
+
+
+@query("forward_fill_ties", f"""SELECT event_id, actor_id, day, last_value(value IGNORE NULLS) OVER (
+    PARTITION BY actor_id ORDER BY day, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM ({TIED_SQL})""")
+def q_forward_fill_ties(spark, d):
+    """All rows on one key, most of them tied on a leading string column."""
+    ev = S.table(spark, d, "events")
+    day = F.when(F.col("event_type") == "signup", F.date_format("ts", "yyyy-MM-dd")).otherwise(F.lit("2024-01-15"))
+    value = F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value"))
+    df = ev.select("event_id", F.lit(0).alias("actor_id"), day.alias("day"), value.alias("value"))
+    return state.forward_fill(df, ["actor_id"], ["day", "event_id"], ["value"])
 
 
 @query("latest_by_key", """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
@@ -277,6 +289,19 @@ def q_scan_json_batch(spark, d):
     return norm.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+@query("scan_json_multiline", """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+  FROM customer""")
+def q_scan_json_multiline(spark, d):
+    """One pretty-printed JSON array per file, a thousand customers each."""
+    path = scratch_path(spark, "customer_json_arrays")
+    c = S.table(spark, d, "customer").withColumn("file", F.floor(F.col("c_custkey") / 1000))
+    body = F.to_json(F.collect_list(F.struct("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")), {"pretty": "true"})
+    c.groupBy("file").agg(body.alias("value")).write.partitionBy("file").text(path)
+    raw = files.read_batch(spark, path, "json", {"multiLine": True}).drop("file")
+    norm = files.normalize(raw, casts={"c_custkey": "string", "c_nationkey": "int"})
+    return norm.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
 EVOLVE_SQL = f"""SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, ts,
     CASE WHEN ts >= TIMESTAMP '{S.BATCH2_FROM}' THEN value END AS value,
     CASE WHEN ts >= TIMESTAMP '{S.BATCH3_FROM}' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS meta_k,
@@ -334,12 +359,49 @@ def q_table_roundtrip(spark, d):
     return t.read()
 
 
+@query("upsert_first_load_checked", UPSERT_CUSTOMER_SQL)
+def q_upsert_first_load_checked(spark, d):
+    """A first load that repeats keys is refused and leaves no table; the load
+    without the repeats starts it."""
+    t = Table(spark, scratch_path(spark, "customer_checked"))
+    first = S.customer_load1(spark, d)
+    try:
+        t.upsert(first.unionByName(S.customer_load2(spark, d)), ["c_custkey"])
+        raise AssertionError("repeated keys were accepted")
+    except merge.DuplicateKeyError:
+        assert not t.exists()
+    t.upsert(first, ["c_custkey"])
+    t.upsert(S.customer_load2(spark, d), ["c_custkey"])
+    return t.read()
+
+
+@query("upsert_resend_noop", f"SELECT *, 2 AS n_versions FROM ({UPSERT_CUSTOMER_SQL})")
+def q_upsert_resend_noop(spark, d):
+    """Re-sending an identical batch writes no third version."""
+    t = Table(spark, scratch_path(spark, "customer_resent"))
+    for load in (S.customer_load1, S.customer_load2, S.customer_load2):
+        t.upsert(load(spark, d), ["c_custkey"])
+    return t.read().withColumn("n_versions", F.lit(len(t.versions())))
+
+
+@query("create_only", LOAD1_SQL)
+def q_create_only(spark, d):
+    """A create-only write refuses a table that exists."""
+    t = Table(spark, scratch_path(spark, "customer_once"))
+    t.publish(S.customer_load1(spark, d), if_exists="error")
+    try:
+        t.publish(S.customer_load2(spark, d), if_exists="error")
+        raise AssertionError("the table was written twice")
+    except FileExistsError:
+        return t.read()
+
+
 @query("calendar_regenerate", CALENDAR_SQL)
 def q_calendar_regenerate(spark, d):
     t = Table(spark, scratch_path(spark, "dim_calendar"))
     o = S.table(spark, d, "orders").agg(F.min("o_orderdate").alias("s"), F.max("o_orderdate").alias("e"))
     for _ in range(2):
-        t.publish(dims.calendar_for(o, "s", "e"))
+        t.publish(dims.calendar_for(o, "s", "e", MONTH_NAMES_PT, WEEKDAY_NAMES_PT))
     return t.read()
 
 
@@ -504,7 +566,7 @@ def q_scd2_check(spark, d):
 @query("calendar_dim", CALENDAR_SQL)
 def q_calendar_dim(spark, d):
     o = S.table(spark, d, "orders").agg(F.min("o_orderdate").alias("s"), F.max("o_orderdate").alias("e"))
-    return dims.calendar_for(o, "s", "e")
+    return dims.calendar_for(o, "s", "e", MONTH_NAMES_PT, WEEKDAY_NAMES_PT)
 
 
 @query("calendar_slice", f"""WITH cal AS ({CALENDAR_SQL})
@@ -513,7 +575,7 @@ def q_calendar_slice(spark, d):
     """Conjunctive range filter on the calendar (year and month), ordered
     for display; the year is the first order year, computed by Spark."""
     o = S.table(spark, d, "orders").agg(F.min("o_orderdate").alias("s"), F.max("o_orderdate").alias("e"))
-    cal = dims.calendar_for(o, "s", "e")
+    cal = dims.calendar_for(o, "s", "e", MONTH_NAMES_PT, WEEKDAY_NAMES_PT)
     first_year = o.select(F.year("s").alias("y")).scalar()
     return cal.where((F.col("year") == first_year) & (F.col("month") == 1)).orderBy("date")
 
@@ -532,12 +594,13 @@ def q_asof_version_join(spark, d):
                                    dim_key="c_custkey")
 
 
-def _fact(spark, d):
+def _fact(spark, d, part_dim=None, supp_dim=None, cust_dim=None):
     li = S.table(spark, d, "lineitem")
     o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("_ok"), "o_custkey", "o_orderdate")
     lines = li.join(o, li["l_orderkey"] == o["_ok"], "inner").drop("_ok")
-    part_dim = dims.scd1_dim(S.table(spark, d, "part"), "p_partkey", ["p_brand"])
-    supp_dim = dims.scd1_dim(S.table(spark, d, "supplier"), "s_suppkey", ["s_name"])
+    part_dim = part_dim or dims.scd1_dim(S.table(spark, d, "part"), "p_partkey", ["p_brand"])
+    supp_dim = supp_dim or dims.scd1_dim(S.table(spark, d, "supplier"), "s_suppkey", ["s_name"])
+    cust_dim = cust_dim or _scd2_v2(spark, d)
     measures = {
         "ship_date": F.col("l_shipdate").cast("date"),
         "order_date_sk": F.date_format(F.col("o_orderdate").cast("date"), "yyyyMMdd").cast("int"),
@@ -551,7 +614,7 @@ def _fact(spark, d):
     return facts.build_fact(
         lines,
         lookups=[(part_dim, "l_partkey", "p_partkey", "p_partkey_sk"), (supp_dim, "l_suppkey", "s_suppkey", "s_suppkey_sk")],
-        asof=[(_scd2_v2(spark, d), "o_custkey", "o_orderdate", "c_custkey", "c_custkey_sk")],
+        asof=[(cust_dim, "o_custkey", "o_orderdate", "c_custkey", "c_custkey_sk")],
         measures=measures, keep=keep)
 
 
@@ -569,21 +632,62 @@ LEFT JOIN dim ON f.c_custkey_sk = dim.c_custkey_sk
 LEFT JOIN nation n ON dim.c_nationkey = n.n_nationkey
 LEFT JOIN cal ON f.order_date_sk = cal.date_sk""")
 def q_star_report(spark, d):
-    f = _fact(spark, d)
-    part_dim = dims.scd1_dim(S.table(spark, d, "part"), "p_partkey", ["p_brand"]).drop("p_partkey")
-    supp_dim = dims.scd1_dim(S.table(spark, d, "supplier"), "s_suppkey", ["s_name"]).drop("s_suppkey")
-    cust_dim = _scd2_v2(spark, d).select("c_custkey_sk", "c_mktsegment", "c_nationkey")
-    nation = S.table(spark, d, "nation").select("n_nationkey", "n_name")
+    """The dimensions are published once and read back by the fact build and the report."""
+    base = scratch_path(spark, "star")
     o = S.table(spark, d, "orders").agg(F.min("o_orderdate").alias("s"), F.max("o_orderdate").alias("e"))
-    cal = dims.calendar_for(o, "s", "e").select("date_sk", "year", "month_name")
+    built = {"part": dims.scd1_dim(S.table(spark, d, "part"), "p_partkey", ["p_brand"]),
+             "supplier": dims.scd1_dim(S.table(spark, d, "supplier"), "s_suppkey", ["s_name"]),
+             "customer": _scd2_v2(spark, d), "calendar": dims.calendar_for(o, "s", "e", MONTH_NAMES_PT, WEEKDAY_NAMES_PT)}
+    stored = {}
+    for name, dim in built.items():
+        t = Table(spark, f"{base}/{name}")
+        t.publish(dim)
+        stored[name] = t.read()
+    f = _fact(spark, d, stored["part"], stored["supplier"], stored["customer"])
+    nation = S.table(spark, d, "nation").select("n_nationkey", "n_name")
     return facts.star_report(
-        f, [(part_dim, "p_partkey_sk", "p_partkey_sk"), (supp_dim, "s_suppkey_sk", "s_suppkey_sk"),
-            (cust_dim, "c_custkey_sk", "c_custkey_sk"), (nation, "c_nationkey", "n_nationkey"),
-            (cal, "order_date_sk", "date_sk")],
+        f, [(stored["part"].drop("p_partkey"), "p_partkey_sk", "p_partkey_sk"),
+            (stored["supplier"].drop("s_suppkey"), "s_suppkey_sk", "s_suppkey_sk"),
+            (stored["customer"].select("c_custkey_sk", "c_mktsegment", "c_nationkey"), "c_custkey_sk", "c_custkey_sk"),
+            (nation, "c_nationkey", "n_nationkey"), (stored["calendar"].select("date_sk", "year", "month_name"), "order_date_sk", "date_sk")],
         ["l_orderkey", "l_linenumber", "p_brand", "s_name", "c_mktsegment", "n_name", "year", "month_name",
          "net_price"])
 
 
+FLOW_LINES_SQL = """SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey,
+    count(*) AS n_rows FROM lineitem GROUP BY 1, 2"""
+
+
+@query("star_schema_flow", f"""WITH dim AS ({SCD2_APPLY_SQL})
+SELECT l.l_orderkey, l.l_linenumber, l.n_rows, sha256(CAST(p.p_partkey AS VARCHAR)) AS p_partkey_sk,
+       sha256(CAST(s.s_suppkey AS VARCHAR)) AS s_suppkey_sk, d.c_custkey_sk
+FROM ({FLOW_LINES_SQL}) l JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN dim d ON o.o_custkey = d.c_custkey AND CAST(o.o_orderdate AS DATE) >= d.valid_from
+     AND (d.valid_to IS NULL OR CAST(o.o_orderdate AS DATE) < d.valid_to)""")
+def q_star_schema_flow(spark, d):
+    """The whole flow twice: first with the early orders and customers, then
+    with all of them, customers that changed and a new effective date."""
+    from strata.plans.layered import star_schema_flow
+    li = S.table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_partkey").alias("l_partkey"), F.max("l_suppkey").alias("l_suppkey"), F.count(F.lit(1)).alias("n_rows"))
+    o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("_ok"), "o_custkey", "o_orderdate")
+    lines = li.join(o, li["l_orderkey"] == o["_ok"]).drop("_ok")
+    part, supp = S.table(spark, d, "part"), S.table(spark, d, "supplier")
+    base = scratch_path(spark, "star_flow")
+
+    def run(rows, customers, version, effective):
+        return star_schema_flow(
+            spark, rows, ["l_orderkey", "l_linenumber"],
+            [("part", part, "p_partkey", ["p_brand"], "l_partkey"), ("supplier", supp, "s_suppkey", ["s_name"], "l_suppkey")],
+            ("customer", customers, "c_custkey", ATTRS, "o_custkey", "o_orderdate"), base,
+            ("1992-01-01", "1999-12-31", MONTH_NAMES_PT, WEEKDAY_NAMES_PT), version, effective,
+            keep=["l_orderkey", "l_linenumber", "n_rows", "p_partkey_sk", "s_suppkey_sk", "c_custkey_sk"])
+
+    run(lines.where(F.col("o_orderdate") < S.ntz(S.FIRST_LOAD_BEFORE)), S.customer_v1(spark, d), S.VERSION_TS_1, S.EFFECTIVE_DATE)
+    return run(lines, S.customer_v2(spark, d), S.VERSION_TS_2, S.EFFECTIVE_DATE)
+
+
 @query("unresolved_keys", f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE p_partkey_sk IS NULL) AS null_p_partkey_sk,
     count(*) FILTER (WHERE s_suppkey_sk IS NULL) AS null_s_suppkey_sk,
     count(*) FILTER (WHERE c_custkey_sk IS NULL) AS null_c_custkey_sk FROM ({FACT_SQL})""")
@@ -597,8 +701,9 @@ def q_broadcast_join(spark, d):
     o = S.table(spark, d, "orders").select("o_orderkey", "o_custkey")
     c = S.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = S.table(spark, d, "nation").select("n_nationkey", "n_name")
-    cn = c.join(broadcast_if_small(n, 100_000), c["c_nationkey"] == n["n_nationkey"])
-    j = o.join(broadcast_if_small(cn, 1_000_000), o["o_custkey"] == cn["c_custkey"])
+    # no hints: the planner broadcasts what it finds below its byte threshold
+    cn = c.join(n, c["c_nationkey"] == n["n_nationkey"])
+    j = o.join(cn, o["o_custkey"] == cn["c_custkey"])
     return j.select("o_orderkey", "c_name", "n_name")
 
 
@@ -708,13 +813,33 @@ def q_grain_safe_join(spark, d):
         {"n_lines": F.count(F.lit(1)), "total_qty": F.round(F.sum("l_quantity"), 2)})
 
 
+@query("grain_safe_coarse", """WITH l AS (SELECT o_orderpriority AS priority, CAST(year(o_orderdate) AS INTEGER) AS order_year, o_orderstatus,
+    count(*) AS n_orders FROM ({orders}) GROUP BY 1, 2, 3),
+r AS (SELECT o_orderpriority AS priority, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_lines
+  FROM lineitem li JOIN ({orders}) o ON li.l_orderkey = o.o_orderkey GROUP BY 1, 2)
+SELECT CASE WHEN l.n_orders IS NULL THEN r.priority ELSE l.priority END AS priority,
+       CASE WHEN l.n_orders IS NULL THEN r.order_year ELSE l.order_year END AS order_year, l.o_orderstatus, l.n_orders, r.n_lines
+FROM l FULL OUTER JOIN r ON l.priority IS NOT DISTINCT FROM r.priority AND l.order_year IS NOT DISTINCT FROM r.order_year""".format(
+    orders="""SELECT o_orderkey, o_orderdate, o_orderstatus,
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders"""))
+def q_grain_safe_coarse(spark, d):
+    """The right side lacks the status: it is counted on its own, coarser
+    grain and attached to every status; NULL priorities match each other."""
+    pri = F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority"))
+    o = S.table(spark, d, "orders").select("o_orderkey", pri.alias("priority"), F.year("o_orderdate").alias("order_year"), "o_orderstatus")
+    li = S.table(spark, d, "lineitem").select("l_orderkey")
+    lines = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select("priority", "order_year")
+    return metrics.grain_safe_join(o, lines, ["priority", "order_year", "o_orderstatus"], {"n_orders": F.count(F.lit(1))},
+                                   {"n_lines": F.count(F.lit(1))}, right_grain=["priority", "order_year"])
+
+
 @query("fanout_report", """SELECT (SELECT count(*) FROM orders) AS rows_before, CAST(sum(n) AS BIGINT) AS rows_after,
     count(*) AS keys_after, max(n) AS max_rows_per_key, sum(n) > (SELECT count(*) FROM orders) AS fanout
   FROM (SELECT o.o_orderkey, count(*) AS n FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY 1)""")
 def q_fanout_report(spark, d):
     o = S.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     li = S.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
-    return checks.fanout_report(o, metrics.naive_join(o, li, ["o_orderkey"]), ["o_orderkey"])
+    return checks.fanout_report(o, li, ["o_orderkey"])
 
 
 # --------------------------------------------------------------------------
@@ -775,6 +900,21 @@ def q_overwrite_impact(spark, d):
     return partitions.overwrite_impact(daily, rework, ["day"], mode="static")
 
 
+IMPACT_SIDE = """SELECT CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS kind, count(*) AS n FROM events
+  WHERE event_type {cond} GROUP BY 1"""
+
+
+@query("overwrite_impact_dynamic", f"""WITH b AS ({IMPACT_SIDE.format(cond="<> 'signup'")}), r AS ({IMPACT_SIDE.format(cond="IN ('view', 'signup')")})
+SELECT CASE WHEN b.n IS NULL THEN r.kind ELSE b.kind END AS kind, COALESCE(b.n, 0) AS rows_before, COALESCE(r.n, 0) AS rows_in_batch,
+       COALESCE(r.n, b.n) AS rows_after, false AS lost
+FROM b FULL OUTER JOIN r ON b.kind IS NOT DISTINCT FROM r.kind""")
+def q_overwrite_impact_dynamic(spark, d):
+    """Dynamic overwrite of a table with a NULL partition: nothing is lost."""
+    kind = F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind")
+    ev = S.table(spark, d, "events").select("event_id", "event_type", kind)
+    return partitions.overwrite_impact(ev.where("event_type <> 'signup'"), ev.where("event_type IN ('view', 'signup')"), ["kind"], "dynamic")
+
+
 @query("daily_metrics", f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events,
     count(DISTINCT user_id) AS n_users, {exact_mean_sql("value")} AS mean_value FROM events GROUP BY 1, 2""")
 def q_daily_metrics(spark, d):
@@ -790,15 +930,15 @@ def q_daily_metrics(spark, d):
 
 @query("previous_day_metrics", f"""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events,
     count(DISTINCT user_id) AS n_users, {exact_mean_sql("value")} AS mean_value FROM events
-  WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""")
+  WHERE CAST(ts AS DATE) = DATE '{S.RUN_DAY}' - INTERVAL 1 DAY GROUP BY 1, 2""")
 def q_previous_day_metrics(spark, d):
-    """Daily job: the run date is the latest day present; only the partition
-    of the day before is scanned (PartitionFilters on ``day``)."""
+    """Daily job for a given run date: only the partition of the day before is
+    scanned (PartitionFilters on ``day``)."""
     path = scratch_path(spark, "events_by_day")
     ev = S.table(spark, d, "events").withColumn("day", F.to_date("ts"))
     (partitions.spread_for_write(ev, ["day"], 4).sortWithinPartitions("day", "event_type")
      .write.partitionBy("day").parquet(path))
-    run_day = spark.read.parquet(path).agg(F.max("day")).first()[0]  # one scalar: the job's run date
+    run_day = datetime.date.fromisoformat(S.RUN_DAY)
     prev = partitions.read_day(spark, path, "day", run_day - datetime.timedelta(days=1))
     return metrics.daily_metrics(prev, "day", ["event_type"],
                                  [("n_events", "count", None), ("n_users", "count_distinct", "user_id"),
@@ -811,8 +951,8 @@ def q_previous_day_metrics(spark, d):
 
 @query("skew_report", f"""WITH per AS (SELECT actor_id, count(*) AS n_rows FROM ({SKEWED_SQL}) GROUP BY 1)
 SELECT actor_id, n_rows, round(n_rows / (SELECT sum(n_rows) FROM per), 6) AS share,
-  round(n_rows / ((SELECT sum(n_rows) FROM per) / (SELECT count(*) FROM per)), 6) AS ratio_to_mean,
-  n_rows / (SELECT sum(n_rows) FROM per) >= 0.2 AS is_hot FROM per""")
+  round(n_rows / (SELECT quantile_cont(n_rows, 0.5) FROM per), 6) AS ratio_to_median,
+  n_rows / (SELECT quantile_cont(n_rows, 0.5) FROM per) >= 100 AS is_hot FROM per""")
 def q_skew_report(spark, d):
     return skew.skew_report(S.skewed_events(spark, d), ["actor_id"])
 
@@ -825,7 +965,7 @@ SALTED_SQL = f"""SELECT actor_id, round(sum(value), 4) AS sum_value, count(value
 @query("salted_aggregate", SALTED_SQL)
 def q_salted_aggregate(spark, d):
     res = skew.salted_aggregate(S.skewed_events(spark, d), ["actor_id"], salts=16, sums=["value"], counts=["value"],
-                                distincts=["event_type", "day"], salt_by=["event_id"])
+                                distincts=["event_type", "day"])
     return res.withColumn("sum_value", F.round("sum_value", 4))
 
 
@@ -847,6 +987,20 @@ def q_history_as_of(spark, d):
     return history.as_of(S.monthly_history(spark, d), ["o_custkey"], S.HISTORY_CUTOFF)
 
 
+@query("history_from_writes", f"""WITH l1 AS ({LOAD1_SQL}), l2 AS ({LOAD2_SQL}), first AS (SELECT * EXCLUDE (load_no) FROM l1),
+second AS (SELECT * EXCLUDE (load_no) FROM l2)
+SELECT *, 1 AS as_of FROM first UNION ALL SELECT *, 2 AS as_of FROM second""")
+def q_history_from_writes(spark, d):
+    """A history recorded by two writes, the second of which drops customers,
+    read back as of either: deleted keys are absent from the second."""
+    load1, load2 = S.customer_load1(spark, d).drop("load_no"), S.customer_load2(spark, d).drop("load_no")
+    log = Table(spark, scratch_path(spark, "customer_history"))
+    log.publish(history.record_upsert(None, load1.limit(0), load1, ["c_custkey"], 1))
+    log.publish(history.record_upsert(log.read(), load1, load2, ["c_custkey"], 2))
+    states = [history.as_of(log.read(), ["c_custkey"], n).drop("batch_seq", "op").withColumn("as_of", F.lit(n)) for n in (1, 2)]
+    return states[0].unionByName(states[1])
+
+
 @query("change_log", f"""SELECT * FROM (
   SELECT o_custkey, batch_seq, n_orders, lag(n_orders) OVER (PARTITION BY o_custkey ORDER BY batch_seq) AS prev_n_orders
   FROM ({HISTORY_SQL})) WHERE n_orders IS DISTINCT FROM prev_n_orders""")
@@ -892,6 +1046,21 @@ def q_mask_auditor(spark, d):
     return privacy.mask_columns(S.table(spark, d, "customer"), MASK_POLICY, "auditor", AUDIENCES)
 
 
+@query("mask_email", """SELECT c_custkey, '***@' || lower(c_mktsegment) || '.example' AS email FROM customer""")
+def q_mask_email(spark, d):
+    c = S.table(spark, d, "customer")
+    c = c.select("c_custkey", F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@"), F.lower("c_mktsegment"), F.lit(".example")).alias("email"))
+    return privacy.mask_columns(c, {"EMAIL": ("email", ["auditor"])}, "analyst", AUDIENCES)
+
+
+@query("mask_digits", """SELECT c_custkey, '***.***-*' || right(lpad(CAST(c_custkey AS VARCHAR), 9, '0'), 2) AS tax_id FROM customer""")
+def q_mask_digits(spark, d):
+    digits = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    tax_id = F.concat_ws("-", F.concat_ws(".", F.substring(digits, 1, 3), F.substring(digits, 4, 3)), F.substring(digits, 7, 3))
+    c = S.table(spark, d, "customer").select("c_custkey", tax_id.alias("tax_id"))
+    return privacy.mask_columns(c, {"tax_id": ("digits", ["auditor"])}, "analyst", AUDIENCES)
+
+
 # --------------------------------------------------------------------------
 # Contract checks (Q1, Q2)
 # --------------------------------------------------------------------------
@@ -937,18 +1106,36 @@ def q_stream_ingest(spark, d):
     return spark.read.parquet(out).select(*EVENT_SCHEMA.fieldNames())
 
 
+FEED_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("k", T.IntegerType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("day", T.DateType())])
+
+
+def _stream_state(spark, src, table_path, log_path, checkpoint):
+    from strata.streaming import stream_upsert
+    stream_upsert(spark, src, FEED_SCHEMA, table_path, checkpoint, ["user_id"], ["value", "k"],
+                  "ts", "event_type", ["purchase"], "event_id", log_path=log_path, max_files_per_trigger=64)
+
+
 @query("stream_upsert", consolidate_sql(FEED_BASE_SQL))
 def q_stream_upsert(spark, d):
-    from strata.streaming import stream_upsert
+    src = scratch_path(spark, "landing")
+    S.events_base(spark, d).withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(src)
+    table_path, log_path = scratch_path(spark, "state"), scratch_path(spark, "state_log")
+    _stream_state(spark, src, table_path, log_path, scratch_path(spark, "stream_ckpt"))
+    return Table(spark, table_path).read()
+
+
+@query("stream_upsert_new_checkpoint", consolidate_sql(FEED_BASE_SQL))
+def q_stream_upsert_new_checkpoint(spark, d):
+    """Files land after the first run and the checkpoint is replaced: its
+    epochs start at 0 again, and no event may be missed or counted twice."""
     src = scratch_path(spark, "landing")
     feed = S.events_base(spark, d).withColumn("day", F.to_date("ts"))
-    feed.write.partitionBy("day").parquet(src)
-    schema = T.StructType([
-        T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
-        T.StructField("k", T.IntegerType()), T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("day", T.DateType())])
     table_path, log_path = scratch_path(spark, "state"), scratch_path(spark, "state_log")
-    stream_upsert(spark, src, schema, table_path, scratch_path(spark, "stream_ckpt"), ["user_id"], ["value", "k"],
-                  "ts", "event_type", ["purchase"], "event_id", log_path=log_path, max_files_per_trigger=64)
+    for half in (F.col("ts") < S.ntz(S.BATCH2_FROM), F.col("ts") >= S.ntz(S.BATCH2_FROM)):
+        feed.where(half).write.mode("append").partitionBy("day").parquet(src)
+        _stream_state(spark, src, table_path, log_path, scratch_path(spark, "stream_ckpt"))
     return Table(spark, table_path).read()

@@ -49,22 +49,22 @@ def grain_metrics_flow(spark: SparkSession, src: str, schema: T.StructType, tabl
     return t.read()
 
 
-def star_schema_flow(spark: SparkSession, facts: DataFrame, fact_key: str, scd1: list[tuple], scd2: tuple,
+def star_schema_flow(spark: SparkSession, facts: DataFrame, fact_key: str | list[str], scd1: list[tuple], scd2: tuple,
                      base_path: str, calendar: tuple, version_ts, effective_date,
                      measures: dict | None = None, keep: list[str] | None = None) -> DataFrame:
     """Dimensions then fact.
 
-    ``scd1``: [(name, df, key, attrs)], ``scd2``: (name, df, key, attrs, fact_col, date_col),
-    ``calendar``: (start, end). SCD1 dims are upserted, the SCD2 dim is
+    ``scd1``: [(name, df, key, attrs, fact_col)], ``scd2``: (name, df, key, attrs, fact_col, date_col),
+    ``calendar``: (start, end, month names, day names). SCD1 dims are upserted, the SCD2 dim is
     initialised or advanced at ``effective_date``; the fact is re-read
     against the published dimensions and upserted on ``fact_key``.
     """
     Table(spark, f"{base_path}/dim_calendar").publish(calendar_dim(spark, *calendar))
     lookups = []
-    for name, df, key, attrs in scd1:
+    for name, df, key, attrs, fact_col in scd1:
         t = Table(spark, f"{base_path}/{name}")
         t.upsert(scd1_dim(df, key, attrs), [key])
-        lookups.append((t.read(), key, key, f"{key}_sk"))
+        lookups.append((t.read(), fact_col, key, f"{key}_sk"))
     name, df, key, attrs, fact_col, date_col = scd2
     t2 = Table(spark, f"{base_path}/{name}")
     if not t2.exists():
@@ -74,7 +74,7 @@ def star_schema_flow(spark: SparkSession, facts: DataFrame, fact_key: str, scd1:
     fact = build_fact(facts, lookups=lookups, asof=[(t2.read(), fact_col, date_col, key, f"{key}_sk")],
                       measures=measures, keep=keep)
     tf = Table(spark, f"{base_path}/fact")
-    tf.upsert(fact, [fact_key])
+    tf.upsert(fact, [fact_key] if isinstance(fact_key, str) else fact_key)
     return tf.read()
 
 

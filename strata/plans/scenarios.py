@@ -23,6 +23,7 @@ EFFECTIVE_DATE = "1998-01-01"
 VERSION_TS_1 = "1996-12-31 23:00:00"
 VERSION_TS_2 = "1998-01-01 06:00:00"
 REWORK_DAY = "2024-01-03"
+RUN_DAY = "2024-01-21"            # the daily job runs on this date for the day before
 MASK_SALT = "strata"
 RISK_THRESHOLD = 150000.0
 HISTORY_CUTOFF = 199712
