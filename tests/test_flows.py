@@ -1,20 +1,23 @@
-"""End-to-end layer flows (C18) from files, run twice (idempotence, Q6),
-batch formats (S8) and the streaming entry points (X1, X2)."""
+"""End-to-end layer flows from files, run twice, batch formats and the
+streaming entry points, on invented tram and weather-buoy reports."""
 
 import datetime as dt
+import glob
+import os
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
 from strata.operators.dims import scd2_has_changes, scd2_init
+from strata.operators.state import consolidate_state
 from strata.plans.layered import batch_ingestion_flow, entity_state_flow, grain_metrics_flow
 from strata.sources.evolve import BatchLog
 from strata.sources.table import Table
 from strata.streaming import stream_ingest, stream_upsert
 
-ENROL = T.StructType([T.StructField(c, T.StringType()) for c in
-                      ["event_id", "student_id", "name", "class", "status", "event_time", "source"]])
+TRAM = T.StructType([T.StructField(c, T.StringType()) for c in ["rep", "tram", "line", "crew", "state", "seen", "via"]])
+HEADER = "rep,tram,line,crew,state,seen,via\n"
 
 
 def write(path, text):
@@ -24,44 +27,38 @@ def write(path, text):
 
 
 def test_entity_state_flow_twice_then_update(spark, tmp):
-    src = write(f"{tmp}/b1.csv", "event_id,student_id,name,class,status,event_time,source\n"
-                "ev001,1001,Maria,7A,ativo,2026-01-05T08:00:00,cdc\n"
-                "ev002,1001,Maria,7A,ativo,2026-01-05T08:00:00,cdc\n"
-                "ev003,1002,Joao,,ativo,2026-01-06T08:00:00,backfill\n")
-    kw = dict(keys=["student_id"], attrs=["name", "class", "status"], time="event_time", source="source",
-              ranked=["cdc"], id_col="event_id", processed_at=F.lit(dt.datetime(2026, 1, 31)))
-    entity_state_flow(spark, src, ENROL, f"{tmp}/silver", **kw)
-    out = entity_state_flow(spark, src, ENROL, f"{tmp}/silver", **kw)
-    assert out.count() == 2 and "processed_at" in out.columns
-    src2 = write(f"{tmp}/b2.csv", "event_id,student_id,name,class,status,event_time,source\n"
-                 "ev010,1001,Maria,,trancado,2026-01-10T08:00:00,cdc\n")
-    out = {r["student_id"]: r for r in entity_state_flow(spark, src2, ENROL, f"{tmp}/silver", **kw).collect()}
-    assert out["1001"]["status"] == "trancado" and out["1001"]["class"] is None  # batch-local fill (parity)
-    assert out["1002"]["status"] == "ativo"
-
-
-SUBS = T.StructType([T.StructField("sid", T.StringType()), T.StructField("student", T.StringType()),
-                     T.StructField("school", T.StringType()), T.StructField("day", T.DateType()),
-                     T.StructField("correct", T.BooleanType()), T.StructField("secs", T.IntegerType())])
+    src = write(f"{tmp}/b1.csv", HEADER + "r1,t-40,12,Nils,running,2031-04-01T05:20:00,gps\n"
+                "r2,t-40,12,Nils,running,2031-04-01T05:20:00,gps\nr3,t-41,,Asta,depot,2031-04-01T06:00:00,hand\n")
+    kw = dict(keys=["tram"], attrs=["line", "crew", "state"], time="seen", source="via", ranked=["gps"], id_col="rep",
+              processed_at=F.lit(dt.datetime(2031, 4, 2)))
+    entity_state_flow(spark, src, TRAM, f"{tmp}/silver", **kw)
+    out = entity_state_flow(spark, src, TRAM, f"{tmp}/silver", **kw)
+    assert out.count() == 2 and "processed_at" in out.columns and Table(spark, f"{tmp}/silver").versions() == [1]
+    src2 = write(f"{tmp}/b2.csv", HEADER + "r9,t-40,,Nils,broken,2031-04-03T07:00:00,gps\n")
+    out = {r["tram"]: r for r in entity_state_flow(spark, src2, TRAM, f"{tmp}/silver", **kw).collect()}
+    assert out["t-40"]["state"] == "broken" and out["t-40"]["line"] is None  # the fill is local to a batch
+    assert out["t-41"]["state"] == "depot"
+
+
+TRIP = T.StructType([T.StructField("trip", T.StringType()), T.StructField("tram", T.StringType()), T.StructField("line", T.StringType()),
+                     T.StructField("day", T.DateType()), T.StructField("late", T.BooleanType()), T.StructField("riders", T.IntegerType())])
 
 
 def test_grain_metrics_flow_twice(spark, tmp):
-    src = write(f"{tmp}/s.csv", "sid,student,school,day,correct,secs\ns1,a,e1,2026-02-01,true,10\n"
-                "s2,b,e1,2026-02-20,false,30\ns3,a,e2,2026-03-01,,5\n")
-    kw = dict(grain=["school", "month"], metrics=[("n", "count", "sid"), ("rate", "rate_pct", "correct"),
-                                                 ("secs", "mean", "secs")], month_of={"month": "day"}, digits=2)
-    grain_metrics_flow(spark, src, SUBS, f"{tmp}/gold", **kw)
-    out = grain_metrics_flow(spark, src, SUBS, f"{tmp}/gold", **kw)
-    assert rows(out, "school", "n", "rate") == [("e1", 2, 50.0), ("e2", 1, None)]
+    src = write(f"{tmp}/s.csv", "trip,tram,line,day,late,riders\nx1,a,12,2031-02-01,true,10\nx2,b,12,2031-02-20,false,30\nx3,a,7,2031-03-01,,5\n")
+    kw = dict(grain=["line", "month"], metrics=[("n", "count", "trip"), ("late_pct", "rate_pct", "late"), ("riders", "mean", "riders")],
+              month_of={"month": "day"}, digits=2)
+    grain_metrics_flow(spark, src, TRIP, f"{tmp}/gold", **kw)
+    out = grain_metrics_flow(spark, src, TRIP, f"{tmp}/gold", **kw)
+    assert rows(out, "line", "n", "late_pct") == [("12", 2, 50.0), ("7", 1, None)]
 
 
 def test_batch_formats_parquet_orc(spark, tmp):
-    spark.createDataFrame([("e1", 1)], "evento_id string, aluno_id long").write.parquet(f"{tmp}/p")
-    spark.createDataFrame([("e2", 2)], "evento_id string, aluno_id long").write.orc(f"{tmp}/o")
-    written = batch_ingestion_flow(spark, [(f"{tmp}/p", "parquet", {}, "b1"), (f"{tmp}/o", "orc", {}, "b2")],
-                                   f"{tmp}/log", casts={"aluno_id": "string"})
+    spark.createDataFrame([("a", 1)], "rep string, buoy long").write.parquet(f"{tmp}/p")
+    spark.createDataFrame([("b", 2)], "rep string, buoy long").write.orc(f"{tmp}/o")
+    written = batch_ingestion_flow(spark, [(f"{tmp}/p", "parquet", {}, "b1"), (f"{tmp}/o", "orc", {}, "b2")], f"{tmp}/log", casts={"buoy": "string"})
     assert written == ["b1", "b2"]
-    assert rows(BatchLog(spark, f"{tmp}/log").read(), "evento_id", "aluno_id") == [("e1", "1"), ("e2", "2")]
+    assert rows(BatchLog(spark, f"{tmp}/log").read(), "rep", "buoy") == [("a", "1"), ("b", "2")]
 
 
 def test_scd2_noop_detection(spark):
@@ -71,51 +68,69 @@ def test_scd2_noop_detection(spark):
     assert scd2_has_changes(dim, spark.createDataFrame([("a", "y")], "k string, v string"), "k", ["v"])
 
 
-EV = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
-                   T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
-                   T.StructField("ts", T.TimestampType())])
+EV = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("buoy", T.LongType()), T.StructField("kind", T.StringType()),
+                   T.StructField("wave", T.DoubleType()), T.StructField("ts", T.TimestampType())])
+
+
+def readings(spark, n):
+    base = dt.datetime(2031, 1, 1)
+    return spark.createDataFrame([(i, i % 5, "storm" if i % 4 == 0 else "calm", None if i % 3 == 0 else float(i), base + dt.timedelta(hours=i))
+                                  for i in range(n)], EV)
+
+
+def upsert_stream(spark, tmp, checkpoint, **kw):
+    return stream_upsert(spark, f"{tmp}/in", EV, f"{tmp}/state", checkpoint, ["buoy"], ["wave"], "ts", "kind", ["storm"], "event_id", **kw)
+
+
+def batch_state(df):
+    return rows(consolidate_state(df, ["buoy"], ["wave"], "ts", "kind", ["storm"], "event_id"))
 
 
 def test_streaming_ingest_and_upsert_equal_batch(spark, tmp):
-    from strata.operators.state import consolidate_state
-    base = dt.datetime(2026, 1, 1)
-    data = [(i, i % 5, "purchase" if i % 4 == 0 else "view", None if i % 3 == 0 else float(i),
-             base + dt.timedelta(hours=i)) for i in range(200)]
-    df = spark.createDataFrame(data, EV)
+    df = readings(spark, 200)
     # land in three files written out of time order: the result must not depend on arrival
-    for n, part in enumerate([df.where("event_id >= 120"), df.where("event_id < 60"),
-                              df.where("event_id >= 60 and event_id < 120")]):
-        part.coalesce(1).write.mode("append").parquet(f"{tmp}/landing")
-    out, ck = f"{tmp}/out", f"{tmp}/ck"
-    stream_ingest(spark, f"{tmp}/landing", EV, out, ck, max_files_per_trigger=1)
-    assert spark.read.parquet(out).count() == 200
-    stream_ingest(spark, f"{tmp}/landing", EV, out, ck)  # second run: the checkpoint has every file
-    assert spark.read.parquet(out).count() == 200
-    stream_upsert(spark, f"{tmp}/landing", EV, f"{tmp}/state", f"{tmp}/ck2", ["user_id"], ["value"], "ts",
-                  "event_type", ["purchase"], "event_id", log_path=f"{tmp}/log", max_files_per_trigger=1)
-    got = Table(spark, f"{tmp}/state").read()
-    exp = consolidate_state(df, ["user_id"], ["value"], "ts", "event_type", ["purchase"], "event_id")
-    assert rows(got) == rows(exp)
+    for part in ("event_id >= 120", "event_id < 60", "event_id >= 60 and event_id < 120"):
+        df.where(part).coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    assert stream_ingest(spark, f"{tmp}/in", EV, f"{tmp}/out", f"{tmp}/ck", max_files_per_trigger=1) == 3
+    assert spark.read.parquet(f"{tmp}/out").count() == 200
+    assert stream_ingest(spark, f"{tmp}/in", EV, f"{tmp}/out", f"{tmp}/ck") == 0  # the checkpoint has every file
+    assert spark.read.parquet(f"{tmp}/out").count() == 200
+    assert upsert_stream(spark, tmp, f"{tmp}/ck2", log_path=f"{tmp}/log", max_files_per_trigger=1) == 3
+    assert rows(Table(spark, f"{tmp}/state").read()) == batch_state(df)
+
+
+def test_new_checkpoint_loses_and_repeats_nothing(spark, tmp):
+    df = readings(spark, 90)
+    df.where("event_id < 60").coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    upsert_stream(spark, tmp, f"{tmp}/ck-a", log_path=f"{tmp}/log")
+    df.where("event_id >= 60").coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    upsert_stream(spark, tmp, f"{tmp}/ck-b", log_path=f"{tmp}/log")  # epoch 0 again
+    assert rows(Table(spark, f"{tmp}/state").read()) == batch_state(df)
+
+
+def test_more_batches_than_the_progress_list_holds(spark, tmp):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(5):
+            readings(spark, 5 * (i + 1)).where(f"event_id >= {5 * i}").coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+        assert stream_ingest(spark, f"{tmp}/in", EV, f"{tmp}/out", f"{tmp}/ck", max_files_per_trigger=1) == 5
+        assert upsert_stream(spark, tmp, f"{tmp}/ck2", log_path=f"{tmp}/log", max_files_per_trigger=1) == 5
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_commit_count_beyond_the_files_spark_keeps(spark, tmp):
+    from strata.sources.table import committed_epochs
+    os.makedirs(f"{tmp}/ck/commits")
+    for n in range(180, 280):  # Spark keeps the latest hundred
+        write(f"{tmp}/ck/commits/{n}", "v1\n{}")
+    assert committed_epochs(spark, f"{tmp}/ck") == 280
 
 
 def test_incremental_stream_upsert_in_order(spark, tmp):
-    from strata.operators.state import consolidate_state
-    base = dt.datetime(2026, 1, 1)
-    data = [(i, i % 5, "view", None if i % 3 == 0 else float(i), base + dt.timedelta(hours=i)) for i in range(90)]
-    df = spark.createDataFrame(data, EV)
+    df = readings(spark, 90)
     for lo in (0, 30, 60):  # files arrive in time order
         df.where(f"event_id >= {lo} and event_id < {lo + 30}").coalesce(1).write.mode("append").parquet(f"{tmp}/in")
-    stream_upsert(spark, f"{tmp}/in", EV, f"{tmp}/st", f"{tmp}/ck", ["user_id"], ["value"], "ts", "event_type",
-                  ["purchase"], "event_id", max_files_per_trigger=1, mode="incremental")
-    exp = consolidate_state(df, ["user_id"], ["value"], "ts", "event_type", ["purchase"], "event_id")
-    assert rows(Table(spark, f"{tmp}/st").read()) == rows(exp)
-
-
-def test_partition_scoped_table_upsert(spark, tmp):
-    t = Table(spark, f"{tmp}/daily")
-    cur = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (2, "a", 20), (3, "a", 30)], "day int, k string, v int")
-    t.upsert(cur, ["day", "k"], partition_by=["day"])
-    batch = spark.createDataFrame([(2, "a", 21), (2, "c", 22), (4, "a", 40)], "day int, k string, v int")
-    t.upsert(batch, ["day", "k"], partition_by=["day"])
-    assert rows(t.read().select("day", "k", "v")) == [(1, "a", 10), (1, "b", 11), (2, "a", 21), (2, "c", 22),
-                                                      (3, "a", 30), (4, "a", 40)]
+    upsert_stream(spark, tmp, f"{tmp}/ck", max_files_per_trigger=1, mode="incremental")
+    assert rows(Table(spark, f"{tmp}/state").read()) == batch_state(df)
+    assert glob.glob(f"{tmp}/state/snap=*")

@@ -1,12 +1,17 @@
-"""Typed and generic scans, schema-evolving batch log (fixture F2), tables."""
+"""Typed and generic scans, schema-evolving batch log, tables and scratch
+folders, on invented lighthouse messages."""
 
 import json
+import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from strata import session
+from strata.operators.checks import check_not_null
 from strata.sources import evolve, files
 from strata.sources.table import Table
 
@@ -19,75 +24,70 @@ def write(path, text):
 
 @pytest.fixture
 def batches(tmp):
-    d1 = write(f"{tmp}/dia1.csv", "evento_id,aluno_id,tipo_evento,timestamp\n"
-               "e1001,2001,login,2026-02-01T08:00:00\n")
-    d2 = write(f"{tmp}/dia2.csv", "evento_id,aluno_id,tipo_evento,timestamp,dispositivo\n"
-               "e2001,2001,login,2026-02-02T08:00:00,mobile\n")
-    d3 = write(f"{tmp}/dia3.json", json.dumps([
-        {"evento_id": "e3001", "aluno_id": 2001, "tipo_evento": "login", "timestamp": "2026-02-03T08:00:00",
-         "dispositivo": "mobile", "metadata": {"app_version": "4.2.1", "os": "android"}},
-        {"evento_id": "e3002", "aluno_id": 2002, "tipo_evento": "submissao_exercicio",
-         "timestamp": "2026-02-03T09:00:00", "dispositivo": "web", "metadata": None}]))
-    return [(d1, "csv", {"header": True}, "d1"), (d2, "csv", {"header": True}, "d2"),
-            (d3, "json", {"multiLine": True}, "d3")]
+    early = write(f"{tmp}/early.csv", "msg,lamp,kind,at\nm-a,17,lit,2031-09-01T19:02:00\n")
+    later = write(f"{tmp}/later.csv", "msg,lamp,kind,at,keeper\nm-b,17,dim,2031-09-04T22:40:00,Oda\n")
+    arrays = write(f"{tmp}/nested.json", json.dumps([
+        {"msg": "m-c", "lamp": 17, "kind": "lit", "at": "2031-09-09T19:10:00", "keeper": "Oda", "link": {"radio": "vhf9", "gain": 4}},
+        {"msg": "m-d", "lamp": 23, "kind": "fault", "at": "2031-09-09T19:11:00", "keeper": "Rui", "link": None}], indent=1))
+    return [(early, "csv", {"header": True}, "e"), (later, "csv", {"header": True}, "l"), (arrays, "json", {"multiLine": True}, "n")]
 
 
-CASTS = {"aluno_id": "string"}
-STAMPS = {"timestamp": None}
+CASTS, STAMPS = {"lamp": "string"}, {"at": None}
 
 
 def test_first_batch_alone_keeps_id_as_string(spark, tmp, batches):
-    evolve.ingest_batches(spark, batches[:1], f"{tmp}/bronze", CASTS, STAMPS)
-    r = evolve.BatchLog(spark, f"{tmp}/bronze").read().collect()
-    assert len(r) == 1 and r[0]["aluno_id"] == "2001"
+    evolve.ingest_batches(spark, batches[:1], f"{tmp}/log", CASTS, STAMPS)
+    assert rows(evolve.BatchLog(spark, f"{tmp}/log").read(), "lamp") == [("17",)]
 
 
 def test_three_batches_evolve_and_rerun_adds_nothing(spark, tmp, batches):
-    log = f"{tmp}/bronze"
-    assert evolve.ingest_batches(spark, batches, log, CASTS, STAMPS) == ["d1", "d2", "d3"]
+    log = f"{tmp}/log"
+    assert evolve.ingest_batches(spark, batches, log, CASTS, STAMPS) == ["e", "l", "n"]
     assert evolve.ingest_batches(spark, batches, log, CASTS, STAMPS) == []
     df = evolve.BatchLog(spark, log).read()
-    assert dict((f.name, f.dataType) for f in df.schema.fields)["timestamp"] == T.TimestampType()
-    out = evolve.select_tolerant(df, {"evento_id": "evento_id", "dispositivo": "dispositivo",
-                                      "app_version": "metadata.app_version", "missing": "metadata.build"})
-    got = {r["evento_id"]: r for r in out.collect()}
-    assert len(got) == 4
-    assert got["e1001"]["dispositivo"] is None and got["e2001"]["dispositivo"] == "mobile"
-    assert [got[k]["app_version"] for k in ("e1001", "e2001", "e3001", "e3002")] == [None, None, "4.2.1", None]
-    assert all(r["missing"] is None for r in got.values())
+    assert df.schema["at"].dataType == T.TimestampType()
+    out = evolve.select_tolerant(df, {"msg": "msg", "keeper": "keeper", "radio": "link.radio", "missing": "link.mast"})
+    got = {r["msg"]: (r["keeper"], r["radio"], r["missing"]) for r in out.collect()}
+    assert got == {"m-a": (None, None, None), "m-b": ("Oda", None, None), "m-c": ("Oda", "vhf9", None), "m-d": ("Rui", None, None)}
 
 
 def test_type_conflict_raises_before_write(spark, tmp, batches):
-    log = f"{tmp}/bronze"
-    evolve.ingest_batches(spark, batches[:1], log, CASTS, STAMPS)
-    bad = spark.createDataFrame([("e9", 1)], "evento_id string, aluno_id long")
+    log = evolve.BatchLog(spark, f"{tmp}/log")
+    evolve.ingest_batches(spark, batches[:1], f"{tmp}/log", CASTS, STAMPS)
     with pytest.raises(evolve.SchemaConflictError):
-        evolve.BatchLog(spark, log).append(bad, "d9")
-    assert not evolve.BatchLog(spark, log).has("d9")
+        log.append(spark.createDataFrame([("m-z", 1)], "msg string, lamp long"), "z")
+    assert not log.has("z")
+
+
+def test_half_written_batch_is_not_read(spark, tmp):
+    log = evolve.BatchLog(spark, f"{tmp}/log")
+    log.append(spark.createDataFrame([(1, "a")], "id int, v string"), "b1")
+    log.append(spark.createDataFrame([(2, "b")], "id int, v string"), "b2")
+    os.remove(f"{tmp}/log/batch_id=b2/_SUCCESS")  # the writer died before its commit
+    assert not log.has("b2") and rows(log.read(), "id") == [(1,)]
+    assert log.append(spark.createDataFrame([(2, "b")], "id int, v string"), "b2")
+    assert rows(log.read(), "id") == [(1,), (2,)]
+    os.remove(f"{tmp}/log/batch_id=b1/_SUCCESS"), os.remove(f"{tmp}/log/batch_id=b2/_SUCCESS")
+    assert log.read().count() == 0
 
 
 def test_evolve_union_nested_fields(spark):
     a = spark.createDataFrame([(1, (1, "x"))], "id int, s struct<a:int,b:string>")
     b = spark.createDataFrame([(2, (2, "y", 3.0))], "id int, s struct<a:int,b:string,c:double>")
-    u = evolve.evolve_union(a, b)
-    assert rows(u.select("id", "s.c")) == [(1, None), (2, 3.0)]
+    assert rows(evolve.evolve_union(a, b).select("id", "s.c")) == [(1, None), (2, 3.0)]
     with pytest.raises(evolve.SchemaConflictError):
         evolve.evolve_union(a, spark.createDataFrame([("z",)], "id string"))
 
 
 def test_read_typed_does_not_enforce_not_null_and_nulls_malformed(spark, tmp):
     p = write(f"{tmp}/s.csv", "id,n\na,1\n,2\nc,x\n")
-    st = T.StructType([T.StructField("id", T.StringType(), False), T.StructField("n", T.IntegerType())])
-    df = files.read_typed(spark, p, st)
-    assert df.count() == 3
-    from strata.operators.checks import check_not_null
-    assert dict(rows(check_not_null(df))) == {"id": 1, "n": 1}
+    df = files.read_typed(spark, p, T.StructType([T.StructField("id", T.StringType(), False), T.StructField("n", T.IntegerType())]))
+    assert df.count() == 3 and dict(rows(check_not_null(df))) == {"id": 1, "n": 1}
 
 
 def test_normalize_safe_timestamps(spark):
-    df = spark.createDataFrame([("2026-01-01T00:00:00",), ("garbage",)], "ts string")
-    out = files.normalize(df, timestamps={"ts": None}, safe=True)
-    assert [r[0] is None for r in out.collect()] == [False, True]
+    df = spark.createDataFrame([("2031-01-01T00:00:00",), ("garbage",)], "ts string")
+    assert [r[0] is None for r in files.normalize(df, timestamps={"ts": None}, safe=True).collect()] == [False, True]
 
 
 def test_table_snapshots_create_only_and_versions(spark, tmp):
@@ -101,7 +101,6 @@ def test_table_snapshots_create_only_and_versions(spark, tmp):
 
 
 def test_table_ignores_uncommitted_snapshot(spark, tmp):
-    import os
     t = Table(spark, f"{tmp}/t")
     t.publish(spark.range(3))
     os.makedirs(f"{tmp}/t/snap=000002")  # a crashed writer: no _SUCCESS
@@ -111,11 +110,9 @@ def test_table_ignores_uncommitted_snapshot(spark, tmp):
 
 def test_partitioned_publish_prunes(spark, tmp):
     t = Table(spark, f"{tmp}/t")
-    df = spark.range(20).withColumn("day", (F.col("id") % 4).cast("int"))
-    t.publish(df, partition_by=["day"], sort_by=["id"])
+    t.publish(spark.range(20).withColumn("day", (F.col("id") % 4).cast("int")), partition_by=["day"], sort_by=["id"])
     q = t.read().where("day = 2")
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan and q.count() == 5
+    assert "PartitionFilters: [isnotnull(day" in q._jdf.queryExecution().executedPlan().toString() and q.count() == 5
 
 
 def test_batch_log_nested_evolution_and_schema_heal(spark, tmp):
@@ -132,31 +129,30 @@ def test_batch_log_nested_evolution_and_schema_heal(spark, tmp):
 
 def test_partition_column_type_survives_round_trip(spark, tmp):
     t = Table(spark, f"{tmp}/t")
-    t.publish(spark.createDataFrame([("2024-01-03", 1), ("2024-01-04", 2)], "day string, v int"), partition_by=["day"])
-    assert dict((f.name, f.dataType) for f in t.read().schema.fields)["day"] == T.StringType()
+    t.publish(spark.createDataFrame([("2031-01-03", 1), ("2031-01-04", 2)], "day string, v int"), partition_by=["day"])
+    assert t.read().schema["day"].dataType == T.StringType()
 
 
-def test_sizing_conf_scales_with_input():
-    from strata.session import sizing_conf
-    big = sizing_conf(100 * 2 ** 40)
-    assert int(big["spark.sql.shuffle.partitions"]) > 100_000
-    assert int(sizing_conf(10 * 2 ** 20)["spark.sql.shuffle.partitions"]) == 200
-
-
-def test_table_history_lists_versions_and_operations(spark, tmp):
-    t = Table(spark, f"{tmp}/h")
-    df = spark.createDataFrame([(1, "a")], "k int, v string")
-    t.upsert(df, ["k"])
-    t.upsert(spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
-    t.publish(t.read(), operation="compact")
-    h = [(r["version"], r["operation"]) for r in t.history().orderBy("version").collect()]
-    assert h == [(1, "create"), (2, "upsert"), (3, "compact")]
-    assert t.history().where("committed_at IS NULL").count() == 0
+def test_sizing_follows_the_shuffled_bytes_up_to_a_bound():
+    count = lambda b: int(session.sizing_conf(b)["spark.sql.shuffle.partitions"])
+    assert count(10 << 20) == 200 and 8_000 < count(10 << 40) < 9_000 and count(1 << 50) == 50_000
 
 
 def test_scratch_lives_under_the_session_checkpoint_dir(spark):
-    from strata.session import checkpoint_root, scratch_path
     root = spark.sparkContext.getCheckpointDir()
-    assert root and checkpoint_root(spark) == root
-    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert root and session.checkpoint_root(spark) == root
+    a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
     assert a.startswith(root.rstrip("/") + "/strata-scratch/") and a != b
+
+
+def test_cluster_without_a_shared_folder_raises():
+    unset = SimpleNamespace(get=lambda key, default=None: default)
+    for master, fails in (("yarn", True), ("spark://h:7077", True), ("local-cluster[2,1,1024]", True), ("local[*]", False), ("local", False)):
+        made = []
+        sc = SimpleNamespace(master=master, getConf=lambda: unset, getCheckpointDir=lambda made=made: made[-1] if made else None,
+                             setCheckpointDir=made.append)
+        if fails:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                session.checkpoint_root(SimpleNamespace(sparkContext=sc))
+        else:
+            assert session.checkpoint_root(SimpleNamespace(sparkContext=sc)) == made[0]
