@@ -40,7 +40,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def token_output_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token shards; a row per sequence with its slot."""
     sequences, _, _ = token_output.materialise(docs)
-    return sequences.select("slot", "shard", F.col("id").alias("doc_id"), "chunk", "n_tokens", F.col("sha256").alias("ids_sha256"))
+    return sequences.select("slot", "shard", F.col("ids").alias("doc_ids"), "n_tokens", F.col("sha256").alias("ids_sha256"))
 
 
 STAGES = [

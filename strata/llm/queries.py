@@ -95,7 +95,7 @@ def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
 def op7_token_shards(spark: SparkSession, d: str) -> DataFrame:
     sequences, manifest, path = token_output.materialise(table(spark, d, "documents"))
     read = token_output.read_slots(manifest, path, stride=1024)
-    return sequences.join(read, "slot").select("slot", "shard", F.col("id").alias("doc_id"), "chunk", "n_tokens", "ids_sha256")
+    return sequences.join(read, "slot").select("slot", "shard", F.col("ids").alias("doc_ids"), "n_tokens", "ids_sha256")
 
 
 @query("op8_quality")

@@ -1,10 +1,11 @@
 """Training-order token shards: fixed-stride sequences at keyed random slots.
 
 1. Texts become token ids with a public tokenizer (its file is a parameter).
-   A document's ids, ended by the end-of-text id, are cut into sequences of
-   ``stride`` ids; the last one is padded. The token table is written once.
+   The ids of a scan task's documents, each ended by the end-of-text id, are
+   packed one after another into sequences of ``stride`` ids; the last one of
+   the task is padded. The token table is written once, in compressed blocks.
 2. Sequences are numbered 0..n-1 in the order of the written table: the
-   partition's offset plus the running count inside it.
+   task's offset plus the running count inside it.
 3. A keyed Feistel network permutes the smallest even-width power of two that
    holds n; walking the cycle until the value is below n makes it a
    permutation of 0..n-1. The value is the sequence's global slot.
@@ -15,13 +16,12 @@
 5. A shard is written under a temporary name, then renamed; the rows of the
    manifest (with the SHA-256 of each file) are published last.
 
-Token ids travel compressed between stages; a shard's records are never held
-in memory together.
+Token ids travel compressed between stages; neither a shard nor a task's
+documents are ever held in memory together.
 
-Edge cases: null and empty texts yield one sequence holding only the end id;
-rows that repeat an id or a text are separate documents (``row`` tells them
-apart); an empty table gives no shards and an empty result; extra columns are
-ignored.
+Edge cases: null and empty texts yield only the end id; rows that repeat an
+id or a text are separate documents; an empty table gives no shards and an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 END_ID = 50256
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 ROUNDS = 6
-CHUNK = 1 << 15  # characters encoded at a time, cut at white space
+BLOCK_SEQUENCES = 512    # sequences compressed together in the token table
+MAX_PARTITIONS = 20_000  # write tasks; beyond it a task writes several shards
 
 
 # -- tokenizer --------------------------------------------------------------
@@ -84,35 +85,53 @@ def feistel_slots(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 # -- tokens -----------------------------------------------------------------
+TOKENS = "part int, first long, n_sequences long, n_tokens long, doc_ids array<long>, doc_starts array<long>, ids binary"
+SEQUENCES = "slot long, shard long, part int, chunk long, ids array<long>, n_tokens long, tokens binary"
+
+
 def tokenize(docs: DataFrame, stride: int, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(part, row, id, n_tokens, first, n_sequences, ids): token ids of whole texts as compressed uint16,
-    with the partition, the row in it and the number of sequences before it."""
+    """Blocks of packed token ids as compressed uint16, with the scan task, the number of its sequences before the
+    block, and the documents in the block with their starts (a document that began earlier starts below 0)."""
 
     def run(batches):
         import zstandard
         from pyspark import TaskContext
 
-        part, row, before = TaskContext.get().partitionId(), 0, 0
-        enc, squeeze = encoding(vocabulary), zstandard.ZstdCompressor(level=1)
+        part, first, size = TaskContext.get().partitionId(), 0, BLOCK_SEQUENCES * stride
+        enc, squeeze = encoding(vocabulary), zstandard.ZstdCompressor(level=3)
+        held, n, doc_ids, starts = [], 0, [], []
+
+        def block(stream, sequences):
+            inside = sum(s < len(stream) for s in starts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([sequences], pa.int64()), pa.array([len(stream)], pa.int64()),
+                 pa.array([doc_ids[:inside]], pa.list_(pa.int64())), pa.array([starts[:inside]], pa.list_(pa.int64())),
+                 pa.array([squeeze.compress(stream.tobytes())], pa.binary())],
+                names=["part", "first", "n_sequences", "n_tokens", "doc_ids", "doc_starts", "ids"])
+
         for b in batches:
-            out = [], [], [], [], []
-            for text in b.column(1).to_pylist():
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = np.array([*(enc.encode_ordinary(text) if text else ()), END_ID], np.uint16)
-                sequences = -(-len(ids) // stride)
-                for column, value in zip(out, (row, len(ids), before, sequences, squeeze.compress(ids.tobytes())), strict=True):
-                    column.append(value)
-                row, before = row + 1, before + sequences
-            types = pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()
-            rows, *rest = (pa.array(c, t) for c, t in zip(out, types, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, part, np.int32)), rows, b.column(0), *rest],
-                                             names=["part", "row", "id", "n_tokens", "first", "n_sequences", "ids"])
+                doc_ids.append(i), starts.append(n)
+                held.append(ids)
+                n += len(ids)
+                while n >= size:
+                    stream = np.concatenate(held)
+                    yield block(stream[:size], BLOCK_SEQUENCES)
+                    first, n, held = first + BLOCK_SEQUENCES, n - size, [stream[size:]]
+                    over = [k for k, s in enumerate(starts) if s < size]
+                    last = over[-1]  # the document that the cut goes through, unless it ends there
+                    keep = last if (starts[last + 1] if last + 1 < len(starts) else size + n) > size else last + 1
+                    doc_ids, starts = doc_ids[keep:], [s - size for s in starts[keep:]]
+        if n:
+            yield block(np.concatenate(held), -(-n // stride))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "part int, row long, id long, n_tokens long, first long, n_sequences long, ids binary")
+    return rows.mapInArrow(run, TOKENS)
 
 
 def place(tokens: DataFrame, stride: int, shard_sequences: int, key: int) -> tuple[DataFrame, int]:
-    """One row per sequence: (slot, shard, id, part, row, chunk, n_tokens, ids); and their number."""
+    """One row per sequence (``SEQUENCES``; ``ids`` are its documents), and their number."""
     counts = tokens.groupBy("part").agg(F.sum("n_sequences").alias("n")).collect()  # one number per scan task
     offsets, n = {}, 0
     for r in sorted(counts, key=lambda r: r["part"]):
@@ -122,34 +141,31 @@ def place(tokens: DataFrame, stride: int, shard_sequences: int, key: int) -> tup
     def run(batches):
         import zstandard
 
-        squeeze, expand, start = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor(), shared.value
+        squeeze, expand, start = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor(), shared.value
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                d = b.slice(at, 256).to_pydict()
-                reps = np.array(d["n_sequences"], np.int64)
-                chunk = np.concatenate([np.arange(r) for r in reps])
-                base = np.array([start[p] + f for p, f in zip(d["part"], d["first"], strict=True)], np.int64)
-                slot = feistel_slots(np.repeat(base, reps) + chunk, n, key)
-                sizes, blobs = [], []
-                for blob in d["ids"]:
-                    ids = np.frombuffer(expand.decompress(blob), np.uint16)
-                    for s in range(0, len(ids), stride):
-                        sizes.append(len(ids[s:s + stride])), blobs.append(squeeze.compress(ids[s:s + stride].tobytes()))
-                of = np.repeat(np.arange(len(reps)), reps)
+            for r in (x for k in range(b.num_rows) for x in b.slice(k, 1).to_pylist()):
+                stream = np.frombuffer(expand.decompress(r["ids"]), np.uint16)
+                chunk = r["first"] + np.arange(r["n_sequences"])
+                slot = feistel_slots(start[r["part"]] + chunk, n, key)
+                starts, docs = np.array(r["doc_starts"]), r["doc_ids"]
+                cuts = np.arange(0, len(stream), stride)
+                lo = np.searchsorted(starts, cuts, side="right") - 1       # the document a sequence begins in
+                hi = np.searchsorted(starts, cuts + stride, side="left")   # the first that begins behind it
+                pieces = [stream[c:c + stride] for c in cuts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot), pa.array(slot // shard_sequences), pa.array(d["id"], pa.int64()).take(pa.array(of)),
-                     pa.array(np.array(d["part"], np.int32)[of]), pa.array(np.array(d["row"], np.int64)[of]), pa.array(chunk),
-                     pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())],
-                    names=["slot", "shard", "id", "part", "row", "chunk", "n_tokens", "ids"])
+                    [pa.array(slot), pa.array(slot // shard_sequences), pa.array(np.full(len(chunk), r["part"], np.int32)), pa.array(chunk),
+                     pa.array([docs[x:y] for x, y in zip(lo, hi, strict=True)], pa.list_(pa.int64())), pa.array([len(p) for p in pieces], pa.int64()),
+                     pa.array([squeeze.compress(p.tobytes()) for p in pieces], pa.binary())],
+                    names=["slot", "shard", "part", "chunk", "ids", "n_tokens", "tokens"])
 
-    return tokens.mapInArrow(run, "slot long, shard long, id long, part int, row long, chunk long, n_tokens long, ids binary"), n
+    return tokens.mapInArrow(run, SEQUENCES), n
 
 
 # -- shards -----------------------------------------------------------------
-RECORD = pa.schema([("kind", pa.string()), ("slot", pa.int64()), ("shard", pa.int64()), ("id", pa.int64()), ("part", pa.int32()),
-                    ("row", pa.int64()), ("chunk", pa.int64()), ("n_tokens", pa.int64()), ("sha256", pa.string()), ("file", pa.string()),
+RECORD = pa.schema([("kind", pa.string()), ("slot", pa.int64()), ("shard", pa.int64()), ("part", pa.int32()), ("chunk", pa.int64()),
+                    ("ids", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("sha256", pa.string()), ("file", pa.string()),
                     ("n_sequences", pa.int64()), ("bytes", pa.int64())])
-RECORD_DDL = ("kind string, slot long, shard long, id long, part int, row long, chunk long, n_tokens long, sha256 string, file string, "
+RECORD_DDL = ("kind string, slot long, shard long, part int, chunk long, ids array<long>, n_tokens long, sha256 string, file string, "
               "n_sequences long, bytes long")
 
 
@@ -195,7 +211,7 @@ def write_shards(sequences: DataFrame, path: str, stride: int, shard_sequences:
                     begin(r["shard"])
                 if r["slot"] != r["shard"] * shard_sequences + state["n"]:
                     raise ValueError(f"slot {r['slot']} is not the next of shard {r['shard']}")
-                ids = expand.decompress(r.pop("ids"))
+                ids = expand.decompress(r.pop("tokens"))
                 data = ids + END_ID.to_bytes(2, "little") * ((size - len(ids)) // 2)
                 state["out"].write(data), state["sha"].update(data)
                 state["n"] += 1
@@ -205,7 +221,8 @@ def write_shards(sequences: DataFrame, path: str, stride: int, shard_sequences:
             yield pa.RecordBatch.from_pylist([close()], schema=RECORD)
 
     shards = max(1, -(-n // shard_sequences))
-    dealt = sequences.repartitionById(shards, F.col("shard").cast("int"))
+    tasks = min(shards, MAX_PARTITIONS)
+    dealt = sequences.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
     return dealt.sortWithinPartitions("shard", "slot").mapInArrow(run, RECORD_DDL)
 
 
@@ -231,12 +248,12 @@ def read_slots(manifest: DataFrame, path: str, stride: int, start: int = 0) -> D
     return manifest.where(F.col("first_slot") + F.col("n_sequences") > start).mapInArrow(run, "slot long, ids_sha256 string")
 
 
-def materialise(docs: DataFrame, path: str | None = None, stride: int = 1024, shard_sequences: int = 4096, key: int = 7,
+def materialise(docs: DataFrame, path: str | None = None, stride: int = 1024, shard_sequences: int = 16_384, key: int = 7,
                 vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, str]:
     """Write the shards of ``docs``; returns (sequences, manifest, path).
 
-    ``sequences`` has (slot, shard, id, part, row, chunk, n_tokens, sha256)
-    for every sequence, ``manifest`` (shard, file, first_slot, n_sequences,
+    ``sequences`` has (slot, shard, part, chunk, ids, n_tokens, sha256) for
+    every sequence, ``ids`` being its documents; ``manifest`` (shard, file, first_slot, n_sequences,
     bytes, sha256) for every file. Both are published by one commit after the
     last shard has its name.
     """
@@ -247,6 +264,6 @@ def materialise(docs: DataFrame, path: str | None = None, stride: int = 1024, sh
     placed, n = place(tokens, stride, shard_sequences, key)
     write_shards(placed, path, stride, shard_sequences, n).write.parquet(f"{path}/_records")
     records = spark.read.parquet(f"{path}/_records")
-    sequences = records.where("kind = 'sequence'").select("slot", "shard", "id", "part", "row", "chunk", "n_tokens", "sha256")
+    sequences = records.where("kind = 'sequence'").select("slot", "shard", "part", "chunk", "ids", "n_tokens", "sha256")
     manifest = records.where("kind = 'shard'").select("shard", "file", F.col("slot").alias("first_slot"), "n_sequences", "bytes", "sha256")
     return sequences, manifest, path
