@@ -98,7 +98,7 @@ def tokenize(docs: DataFrame, stride: int, vocabulary: str = VOCABULARY, id_col:
         from pyspark import TaskContext
 
         part, first, size = TaskContext.get().partitionId(), 0, BLOCK_SEQUENCES * stride
-        enc, squeeze = encoding(vocabulary), zstandard.ZstdCompressor(level=3)
+        enc, squeeze = encoding(vocabulary), zstandard.ZstdCompressor(level=6)
         held, n, doc_ids, starts = [], 0, [], []
 
         def block(stream, sequences):
@@ -141,7 +141,7 @@ def place(tokens: DataFrame, stride: int, shard_sequences: int, key: int) -> tup
     def run(batches):
         import zstandard
 
-        squeeze, expand, start = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor(), shared.value
+        squeeze, expand, start = zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor(), shared.value
         for b in batches:
             for r in (x for k in range(b.num_rows) for x in b.slice(k, 1).to_pylist()):
                 stream = np.frombuffer(expand.decompress(r["ids"]), np.uint16)
