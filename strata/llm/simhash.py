@@ -29,7 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import staged, utf8
@@ -378,7 +378,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
 def one_per_class(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` without near copies: of every class the document with the smallest id stays.
 
-    Of rows that repeat an id one stays. Rows without an id cannot be told
+    Of rows that repeat an id the first by its columns stays. Rows without an id cannot be told
     apart from others and stay.
     """
     found = staged(near_duplicates(docs, shingle_words, max_bits).where(F.col("id").isNotNull()), "simhash-found")
@@ -387,7 +387,9 @@ def one_per_class(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) ->
     kept = docs.join(dropped, "doc_id", "left_anti")
     again = staged(_repeats(found).join(found.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct(),
                                         "doc_id", "left_semi"), "simhash-repeats")
-    return kept.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    first = Window.partitionBy("doc_id").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
+    repeated = docs.join(again, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
+    return kept.unionByName(repeated).select(*docs.columns)
 
 
 def _repeats(found: DataFrame) -> DataFrame:
