@@ -200,7 +200,8 @@ def plan_layout(distinct: DataFrame, max_bits: int) -> Layout:
     """Count over all fingerprints, group the bits, and take the partition count of least cost."""
     together = co_occurrence(distinct)
     n = distinct.count()
-    counts = range(max(2, -(-(max_bits + 1) // MAX_UNITS)), max_bits + 2) if max_bits else [1]
+    # with as many partitions as units each would get one; fewer, and the units can be dealt unequally
+    counts = range(max(2, -(-(max_bits + 1) // MAX_UNITS)), max(2, max_bits) + 1) if max_bits else [1]
     layouts = [Layout(group_bits(together, n, m), max_bits) for m in counts]
     flat = [(k, i, b, block) for k, lay in enumerate(layouts) for i, bs in enumerate(lay.blocks) for b, block in enumerate(bs)]
 
