@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.ordering import orderable
 from strata.session import staged
 
 
@@ -81,8 +82,11 @@ def split_by_keys(target: DataFrame, source: DataFrame, keys: list[str], null_sa
 
 
 def _keyed_merge(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool,
-                 newer_by: str | None, coalesce_existing: bool, when_changed: list[str] | None) -> DataFrame:
-    """The full outer join of two key-unique inputs with the per-column choice."""
+                 newer_by: str | None, coalesce_existing: bool, when_changed: list[str] | None,
+                 flag: str | None = None) -> DataFrame:
+    """The full outer join of two key-unique inputs with the per-column choice.
+    ``flag`` adds whether the row is new or differs from the target's (NULLs
+    equal); columns of types without equality count as different."""
     t = target.withColumn("_t_present", F.lit(True)).alias("t")
     s = source.withColumn("_s_present", F.lit(True)).alias("s")
     j = t.join(s, _cond(t, s, keys, null_safe), "full_outer")
@@ -107,8 +111,15 @@ def _keyed_merge(target: DataFrame, source: DataFrame, keys: list[str], null_saf
             expr = F.when(take, F.coalesce(sc, tc)).otherwise(tc)
         else:
             expr = F.when(take, sc).otherwise(tc)
-        sel.append(expr.alias(c))
-    return j.select(*sel)
+        sel.append(expr)
+    named = [e.alias(c) for c, e in zip(out_cols, sel, strict=True)]
+    if flag:
+        types = {f.name: f.dataType for f in target.schema}
+        same = [e.eqNullSafe(F.col(f"t.{c}")) if c in types and orderable(types[c]) else F.lit(False)
+                for c, e in zip(out_cols, sel, strict=True)]
+        changed = ~in_t | (take & ~reduce(lambda a, b: a & b, same))
+        named.append(changed.alias(flag))
+    return j.select(*named)
 
 
 def classify_changes(target: DataFrame, source: DataFrame, keys: list[str], attrs: list[str],

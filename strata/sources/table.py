@@ -21,7 +21,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.functions.ordering import orderable
 from strata.operators.merge import _keyed_merge, require_unique, split_by_keys
 from strata.operators.partitions import spread_for_write, write_partitions
 from strata.session import staged
@@ -182,10 +181,10 @@ class Table:
             parts = staged(source.select(*partition_by).distinct(), "upsert-partitions")
             inside = split_by_keys(target, parts, partition_by)[1]
         untouched, touched = split_by_keys(inside, source, keys, null_safe)
-        touched = staged(touched, "upsert-touched")
-        merged = staged(_keyed_merge(touched, source, keys, null_safe, newer_by, coalesce_existing, when_changed), "upsert-merged")
-        if not _differs(touched, merged):
+        merged = staged(_keyed_merge(touched, source, keys, null_safe, newer_by, coalesce_existing, when_changed, "_changed"), "upsert-merged")
+        if merged.where("_changed").isEmpty():
             return self.current_version()
+        merged = merged.drop("_changed")
         if not partition_by:
             return self.publish(untouched.unionByName(merged, allowMissingColumns=True).select(*merged.columns))
         rewritten = staged(untouched.unionByName(merged, allowMissingColumns=True).select(*merged.columns), "upsert-rewritten")
@@ -193,12 +192,3 @@ class Table:
         write_partitions(rewritten, self._snap(v), partition_by)
         self._write_schema(v, rewritten.schema, partition_by)
         return v
-
-
-def _differs(before: DataFrame, after: DataFrame) -> bool:
-    """Whether two tables hold other rows (NULLs equal); types without an order count as different."""
-    if [(f.name, f.dataType) for f in before.schema] != [(f.name, f.dataType) for f in after.schema]:
-        return True
-    if not all(orderable(f.dataType) for f in before.schema):
-        return True
-    return before.count() != after.count() or not after.exceptAll(before).isEmpty()
