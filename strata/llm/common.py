@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,20 +14,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+ROWS_PER_TASK = 500_000  # of narrow rows whose number is known
+
+
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage with files that every executor can reach, evaluates the
     plan once for several readers, and gives the planner a real size: small
     tables are broadcast below Spark's own threshold, larger ones take a
     sort-merge join whose skewed partitions adaptive execution can split.
+    Where the number of (narrow) rows is known, the last stage gets a task and
+    a file for every ``ROWS_PER_TASK`` of them, however many shuffle partitions
+    the session has.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands rows to Python in Arrow batches of
+    at most ``BATCH_BYTES`` (or one row), so texts of any length fit a worker."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", conf.get(key))
+    if not now or not 0 < int(now[1]) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows that no model may learn from: crc32 of the id's digits mod 5 is 0."""
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0

@@ -19,19 +19,20 @@ def _checksum(edges: DataFrame) -> tuple:
     return r["n"], r["s"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or the node)."""
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("lo"), F.least("u", "m").alias("m")), "cc-min")
-    return edges.join(least, "lo").select("hi", F.col("m").alias("lo")).distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("lo"), F.least("u", "m").alias("m"))
+    moved = edges.join(staged(least, "cc-min", 2 * n), "lo").select("hi", F.col("m").alias("lo"))
+    return staged(moved.distinct(), "cc-large", n)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = staged(edges.groupBy("hi").agg(F.min("lo").alias("m")), "cc-min")
+    least = staged(edges.groupBy("hi").agg(F.min("lo").alias("m")), "cc-min", n)
     moved = edges.join(least, "hi").where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    return moved.unionAll(least.select("hi", F.col("m").alias("lo"))).distinct()
+    return staged(moved.unionAll(least.select("hi", F.col("m").alias("lo"))).distinct(), "cc-small", n)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -40,11 +41,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     ``root`` is the smallest node that can be reached. Null ends, self links
     and repeated links are ignored; an empty input gives an empty result.
     """
-    links = links.where(F.col("a") != F.col("b"))
-    edges = staged(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "cc-edges")
+    links = staged(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")), "cc-links")
+    edges = staged(links.distinct(), "cc-edges", links.count())
     state = _checksum(edges)
     while state[0]:
-        edges = staged(_small_star(staged(_large_star(edges), "cc-large")), "cc-small")
+        edges = _small_star(_large_star(edges, state[0]), state[0])
         before, state = state, _checksum(edges)
         if before == state:
             break

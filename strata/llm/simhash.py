@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged, utf8
+from strata.llm.common import small_batches, staged, utf8
 from strata.llm.components import connected_components
 
 SEED = 42
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, shingle_words: int, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    return small_batches(rows).mapInArrow(run, "id long, fp long")
 
 
 # -- statistics over all fingerprints ---------------------------------------
@@ -360,9 +360,10 @@ def classes(fps: DataFrame, max_bits: int) -> DataFrame:
     """``fps`` (id, fp) -> (fp, component_id): one row per distinct fingerprint."""
     distinct = staged(fps.groupBy("fp").agg(F.min("id").alias("first_id")).select("fp", "first_id"), "simhash-distinct")
     member = staged(connected_components(links(distinct, max_bits)), "simhash-members")
+    n = member.count()
     linked = distinct.join(member, distinct["fp"] == member["node"]).select("fp", "first_id", "root")
-    least = staged(linked.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-roots")
-    of = staged(member.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "simhash-classes")
+    least = staged(linked.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-roots", n)
+    of = staged(member.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "simhash-classes", n)
     return staged(distinct.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "simhash-map")
 
 
