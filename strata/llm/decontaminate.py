@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import staged, utf8
+from strata.llm.common import small_batches, staged, utf8
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # UTF-8 bytes of [^\x00-\x2F\x3A-\x60\x7B-\x7F]
 BLOCK_BYTES = 32 << 20                     # pattern text held by a task at a time
@@ -120,7 +120,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
             out = staged(out, "bench-pass")
         part = patterns.where(F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks)) == k)
         found = [(bytes(r["pattern"]), r["item"]) for r in part.collect()]  # about block_bytes at most
-        out = out.mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(found), at, len(own)), out.schema)
+        out = small_batches(out).mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(found), at, len(own)), out.schema)
     return out
 
 

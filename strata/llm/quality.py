@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import hash_sample, held_out, staged, utf8
+from strata.llm.common import hash_sample, held_out, small_batches, staged, utf8
 
 TOKEN = re.compile(rb"[a-z0-9_\x80-\xff]+|[^\sa-z0-9_\x80-\xff]+")
 HASH_BITS = 18
@@ -48,7 +48,7 @@ BUCKETS = 1 << HASH_BITS
 WORD_CACHE = 1 << 18      # tokens whose hash a task remembers
 PRIOR = 20.0              # smoothing, in counts of the target
 LENGTH, FEW = 200, 20
-KEEP = 5.0
+KEEP = 10.0
 MIX = np.uint32(0x9E3779B1)
 SCALE = float(1 << 20)    # key units: keys are compared as whole numbers
 BITS, DIGIT = 48, 12      # digits of the select
@@ -96,7 +96,7 @@ def count_ngrams(docs: DataFrame, text_col: str, flag_col: str) -> tuple[np.ndar
         v = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int32)), pa.array(raw[v]), pa.array(target[v])], names=["bucket", "raw", "target"])
 
-    rows = docs.select(F.col(text_col), F.col(flag_col)).mapInArrow(run, "bucket int, raw long, target long")
+    rows = small_batches(docs.select(F.col(text_col), F.col(flag_col))).mapInArrow(run, "bucket int, raw long, target long")
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for r in rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toLocalIterator():
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]  # one row per bucket, however large the corpus
@@ -165,7 +165,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(w, pa.float64()), b.column(2)], names=["id", "log_weight", "quality"])
 
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    weights = rows.mapInArrow(run, f"id {types['id']}, log_weight double, quality {types['_quality']}")
+    weights = small_batches(rows).mapInArrow(run, f"id {types['id']}, log_weight double, quality {types['_quality']}")
     key = F.col("log_weight") + gumbel("id", seed)
     half = float(1 << (BITS - 1))
     keyed = staged(weights.withColumn("gumbel_key", key).withColumn(

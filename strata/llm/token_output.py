@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import small_batches, staged
 from strata.session import scratch_path
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed value of the vocabulary
@@ -127,7 +127,7 @@ def tokenize(docs: DataFrame, stride: int, vocabulary: str = VOCABULARY, id_col:
             yield block(np.concatenate(held), -(-n // stride))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, TOKENS)
+    return small_batches(rows).mapInArrow(run, TOKENS)
 
 
 def place(tokens: DataFrame, stride: int, shard_sequences: int, key: int) -> tuple[DataFrame, int]:
@@ -158,7 +158,7 @@ def place(tokens: DataFrame, stride: int, shard_sequences: int, key: int) -> tup
                      pa.array([squeeze.compress(p.tobytes()) for p in pieces], pa.binary())],
                     names=["slot", "shard", "part", "chunk", "ids", "n_tokens", "tokens"])
 
-    return tokens.mapInArrow(run, SEQUENCES), n
+    return small_batches(tokens).mapInArrow(run, SEQUENCES), n
 
 
 # -- shards -----------------------------------------------------------------
@@ -223,7 +223,7 @@ def write_shards(sequences: DataFrame, path: str, stride: int, shard_sequences:
     shards = max(1, -(-n // shard_sequences))
     tasks = min(shards, MAX_PARTITIONS)
     dealt = sequences.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
-    return dealt.sortWithinPartitions("shard", "slot").mapInArrow(run, RECORD_DDL)
+    return small_batches(dealt.sortWithinPartitions("shard", "slot")).mapInArrow(run, RECORD_DDL)
 
 
 def read_slots(manifest: DataFrame, path: str, stride: int, start: int = 0) -> DataFrame:

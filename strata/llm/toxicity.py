@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import hash_sample, held_out, staged
+from strata.llm.common import hash_sample, held_out, small_batches, staged
 
 ORDERS = (3, 4, 5)
 HASH_BITS = 20
@@ -94,7 +94,7 @@ def _count(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     holds, n = np.zeros((2, 1 << HASH_BITS), np.int32), np.zeros(2, np.int64)
     schema = "at int, holds binary, n binary"
-    for r in rows.mapInArrow(run, schema).groupBy("at").applyInPandas(add, schema).toLocalIterator():
+    for r in small_batches(rows).mapInArrow(run, schema).groupBy("at").applyInPandas(add, schema).toLocalIterator():
         part = np.frombuffer(bytes(r["holds"]), np.int32).reshape(2, -1)
         holds[:, r["at"]:r["at"] + part.shape[1]], n = part, np.frombuffer(bytes(r["n"]), np.int64)
     return n, holds
@@ -166,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, features:
             yield pa.RecordBatch.from_arrays([pa.array([f[f >= 0].tobytes() for f in found], pa.binary()), b.column(1)], names=["f", "toxic"])
 
     bags = [(np.frombuffer(bytes(r["f"]), np.int32), int(r["toxic"] > 0))
-            for r in rows.mapInArrow(extract, "f binary, toxic int").toLocalIterator()]  # max_rows documents at most
+            for r in small_batches(rows).mapInArrow(extract, "f binary, toxic int").toLocalIterator()]  # max_rows documents at most
     w, bias = _fit(bags, ratio[chosen], penalty, steps)
     return Model(chosen, w * ratio[chosen], bias)
 
@@ -181,4 +181,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([one(t) for t in b.column(1).to_pylist()], pa.float64())], names=["id", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    return small_batches(rows).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import small_batches, staged
 from strata.session import scratch_path
 
 SHARD_BYTES = 32 << 20   # payload bytes a shard aims at
@@ -192,7 +192,7 @@ def write(pages: DataFrame, path: str | None = None, key_col: str = "page_id", u
 
     dealt = rows.join(winners, "digest", "left").withColumn("shard", shard_of("key"))
     dealt = dealt.select("shard", "key", "digest", "url", "payload", "first_key").repartitionById(len(bounds) + 1, F.col("shard").cast("int"))
-    written = dealt.sortWithinPartitions("shard", "key", "digest", "url").mapInArrow(_writer(path, roll_bytes), MANIFEST_DDL)
+    written = small_batches(dealt.sortWithinPartitions("shard", "key", "digest", "url")).mapInArrow(_writer(path, roll_bytes), MANIFEST_DDL)
     written.write.parquet(f"{path}/_written")
     written = spark.read.parquet(f"{path}/_written")
     written.repartition("temporary").mapInArrow(_renamer(path), MANIFEST_DDL).write.parquet(f"{path}/_manifest")
