@@ -46,6 +46,7 @@ TOKEN = re.compile(rb"[a-z0-9_\x80-\xff]+|[^\sa-z0-9_\x80-\xff]+")
 HASH_BITS = 18
 BUCKETS = 1 << HASH_BITS
 WORD_CACHE = 1 << 18      # tokens whose hash a task remembers
+MAX_COUNTERS = 8192       # counting tasks: each hands on up to BUCKETS rows
 PRIOR = 20.0              # smoothing, in counts of the target
 LENGTH, FEW = 200, 20
 KEEP = 10.0
@@ -96,7 +97,7 @@ def count_ngrams(docs: DataFrame, text_col: str, flag_col: str) -> tuple[np.ndar
         v = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int32)), pa.array(raw[v]), pa.array(target[v])], names=["bucket", "raw", "target"])
 
-    rows = small_batches(docs.select(F.col(text_col), F.col(flag_col))).mapInArrow(run, "bucket int, raw long, target long")
+    rows = small_batches(docs.select(F.col(text_col), F.col(flag_col)).coalesce(MAX_COUNTERS)).mapInArrow(run, "bucket int, raw long, target long")
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for r in rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toLocalIterator():
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]  # one row per bucket, however large the corpus
