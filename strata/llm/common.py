@@ -36,6 +36,12 @@ def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(files: DataFrame, per_task: int = 1, at_most: int = 50_000) -> DataFrame:
+    """Rows that each stand for a file, dealt to tasks by their number: by their
+    own size adaptive execution would put them all into one."""
+    return files.repartition(max(1, min(at_most, -(-files.count() // per_task))))
+
+
 BATCH_BYTES = 8 << 20
 
 

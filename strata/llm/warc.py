@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import small_batches, staged
+from strata.llm.common import small_batches, spread, staged
 from strata.session import scratch_path
 
 SHARD_BYTES = 32 << 20   # payload bytes a shard aims at
@@ -195,7 +195,7 @@ def write(pages: DataFrame, path: str | None = None, key_col: str = "page_id", u
     written = small_batches(dealt.sortWithinPartitions("shard", "key", "digest", "url")).mapInArrow(_writer(path, roll_bytes), MANIFEST_DDL)
     written.write.parquet(f"{path}/_written")
     written = spark.read.parquet(f"{path}/_written")
-    written.repartition("temporary").mapInArrow(_renamer(path), MANIFEST_DDL).write.parquet(f"{path}/_manifest")
+    spread(written, per_task=100).mapInArrow(_renamer(path), MANIFEST_DDL).write.parquet(f"{path}/_manifest")
     return spark.read.parquet(f"{path}/_manifest"), path
 
 
@@ -236,5 +236,4 @@ def _reader(path: str, with_payload: bool, checked: bool):
 
 def read(manifest: DataFrame, path: str, with_payload: bool = False, checked: bool = True) -> DataFrame:
     """Every record of the files in the manifest, one file a time per task; digests are checked on the way."""
-    files = manifest.select("file")
-    return files.repartition("file").mapInArrow(_reader(path, with_payload, checked), READ_DDL)
+    return small_batches(spread(manifest.select("file"))).mapInArrow(_reader(path, with_payload, checked), READ_DDL)
