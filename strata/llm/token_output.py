@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import small_batches, staged
+from strata.llm.common import small_batches, spread, staged
 from strata.session import scratch_path
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed value of the vocabulary
@@ -245,7 +245,8 @@ def read_slots(manifest: DataFrame, path: str, stride: int, start: int = 0) -> D
                         digests = [hashlib.sha256(data[k * size:(k + 1) * size]).hexdigest() for k in range(len(slots))]
                         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(digests, pa.string())], names=["slot", "ids_sha256"])
 
-    return manifest.where(F.col("first_slot") + F.col("n_sequences") > start).mapInArrow(run, "slot long, ids_sha256 string")
+    wanted = manifest.where(F.col("first_slot") + F.col("n_sequences") > start)
+    return spread(wanted).mapInArrow(run, "slot long, ids_sha256 string")
 
 
 def materialise(docs: DataFrame, path: str | None = None, stride: int = 1024, shard_sequences: int = 16_384, key: int = 7,
