@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strata.llm import secret_scan
 from tests.llm.fixtures import doc, frame, odd_documents, prose
 
-BASE = [(0, r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 8),
+BASE = [(0, r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 8),
         (1, r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 16), (2, r"[0-9a-f]+", lambda m: len(m.group()) >= 32)]
 
 

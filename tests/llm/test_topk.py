@@ -46,7 +46,7 @@ def test_matches_brute_force(spark, monkeypatch):
 
 
 def test_few_candidates_and_empty(spark):
-    rows = vectors(3, 4)[:3]
+    rows = vectors(60, 4)[:3]
     assert run(spark, rows) == brute(rows)
     assert run(spark, []) == []
 
