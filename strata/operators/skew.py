@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import staged
+
 
 def skew_report(df: DataFrame, keys: list[str], hot_ratio: float = 100.0, digits: int = 6) -> DataFrame:
     """Rows per key, its share of all rows and its ratio to the median rows
@@ -20,7 +22,7 @@ def skew_report(df: DataFrame, keys: list[str], hot_ratio: float = 100.0, digits
     exact and, like the total, a scalar subquery over the per-key counts; it
     is found among the distinct counts, of which there are at most
     sqrt(2 x rows)."""
-    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    per = staged(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")), "skew-counts")  # read three times
     tot = per.agg(F.sum("n_rows").alias("t")).scalar()
     sizes = per.groupBy("n_rows").agg(F.count(F.lit(1)).alias("k"))
     median = sizes.agg(F.percentile("n_rows", F.lit(0.5), F.col("k")).alias("m")).scalar()

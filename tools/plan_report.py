@@ -58,7 +58,7 @@ def main() -> None:
 
     query_of, plans = {}, {}
     for root, _, files in os.walk(events):
-        for file in files:
+        for file in (f for f in files if f.startswith(("events_", "local-"))):
             with open(os.path.join(root, file)) as f:
                 for line in f:
                     ev = json.loads(line)
