@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, mixing, quality, secret_scan, simhash, token_output, topk, toxicity, warc
+from strata.llm import chat, decontaminate, lexical, minhash, mixing, phrases, quality, secret_scan, simhash, token_output, topk, toxicity, warc
 from strata.llm.common import held_out, table
 
 Q = {}
@@ -166,6 +166,57 @@ def op10_chat(spark: SparkSession, d: str) -> DataFrame:
                         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+_LOWERED = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_phrases", f"""
+WITH p AS (SELECT row_number() OVER () AS piece, lang, string_split_regex(trim(piece, chr(32) || chr(9)), '[\\x20\\x09]+') AS w
+           FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWERED.format(t="coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+                 FROM documents) WHERE length(trim(piece, chr(32) || chr(9))) > 0),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS k) AS ks, unnest(range(1, len(w) - k + 2)) AS t(i)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 100),
+cuts AS (SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r,
+                (1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f) AS score
+         FROM c JOIN n ON n.lang = c.lang, unnest(range(1, c.k)) AS t(j)
+         JOIN f l ON l.lang = c.lang AND l.k = j AND l.phrase = array_to_string(c.w[1:j], ' ')
+         JOIN f r ON r.lang = c.lang AND r.k = c.k - j AND r.phrase = array_to_string(c.w[j + 1:], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cuts),
+inside AS (SELECT DISTINCT x.lang, x.phrase FROM c x JOIN c y ON x.lang = y.lang AND y.k > x.k AND y.a >= x.a
+           WHERE contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ')),
+o AS (SELECT b.lang, b.phrase, a, l, r, n.n, score, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase)::INT AS rank
+      FROM b JOIN n ON n.lang = b.lang ANTI JOIN inside ON inside.lang = b.lang AND inside.phrase = b.phrase WHERE o = 1)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM o WHERE rank <= 2000""")
+def op11_phrases(spark: SparkSession, d: str) -> DataFrame:
+    found = phrases.collocations(table(spark, d, "documents"), min_count=100, max_words=5, absorb_percent=100)
+    return phrases.top(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query("op12_minhash")
+def op12_minhash(spark: SparkSession, d: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, d, "documents"), shingle_words=3, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+_TERMS = "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op13_lexical", f"""
+WITH b AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS.format(t="coalesce(text, '')")}) AS t FROM benchmark)),
+d AS (SELECT doc_id, {_TERMS.format(t="coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, sum(len(w))::BIGINT AS terms FROM d),
+o AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM b) GROUP BY ALL),
+f AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM o, s GROUP BY t, docs),
+c AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))) AS c FROM o JOIN f USING (t), s),
+r AS (SELECT item_id, doc_id, sum(c)::BIGINT AS score FROM b JOIN c USING (t) GROUP BY ALL HAVING sum(c) > 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM r)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50""")
+def op13_lexical(spark: SparkSession, d: str) -> DataFrame:
+    return lexical.rank(table(spark, d, "documents"), table(spark, d, "benchmark"), k=50)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
