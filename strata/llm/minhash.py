@@ -13,9 +13,8 @@
    key's bucket the signatures are compared by distance, which leaves links
    that span the bucket, never its pairs; components of all links are clusters
    that hold every pair within the distance.
-5. Clusters are cut into blocks of bounded size, to which the sets come as
-   hashed shingles, read again from the texts of clustered documents only. A
-   block compares the pairs within the distance that no confirmed link joins
+5. Clusters are cut into blocks of bounded size, to which the texts of the
+   clustered documents travel, and only theirs, once per set. A block compares the pairs within the distance that no confirmed link joins
    yet on their full sets. Where a cluster has several blocks, representatives
    of what is joined so far meet next, and at last the blocks of what is still
    apart, pair by pair.
@@ -218,10 +217,11 @@ def _sweep(uid: np.ndarray, sig: np.ndarray, distance: int):
 
 def cluster_links(distinct: DataFrame, distance: int) -> DataFrame:
     """(a, b): links that span all sets whose signatures reach each other by steps within ``distance``."""
-    per_key = keys_of(distinct, distance).groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.bit_xor(F.xxhash64("uid")).alias("x"))
-    buckets = staged(per_key.where("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"), "minhash-buckets")
-    rows = keys_of(distinct, distance).join(buckets, "key").withColumn("parts", F.ceil(F.col("n") / F.lit(BUCKET)).cast("int"))
+    shared = staged(keys_of(distinct, distance).groupBy("key").count().where("count > 1").select("key"), "minhash-shared")
+    rows = staged(keys_of(distinct, distance).join(shared, "key"), "minhash-keys")
+    per_key = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi"), F.bit_xor(F.xxhash64("uid")).alias("x"))
+    buckets = staged(per_key.groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"), "minhash-buckets")
+    rows = rows.join(buckets, "key").withColumn("parts", F.ceil(F.col("n") / F.lit(BUCKET)).cast("int"))
     own = F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")
     dealt = rows.select("key", "uid", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "uid")
@@ -272,104 +272,101 @@ def _confirmed(uid, joined, side, sig, sets, distance: int, percent: int):
                 yield int(uid[x]), int(uid[i])
 
 
-def _confirm(rows: DataFrame, distance: int, percent: int) -> DataFrame:
-    """``rows`` (block columns..., side, uid, joined, sig, shingles) -> confirmed links (a, b) within each block."""
-    block = [c for c in rows.columns if c not in ("side", "uid", "joined", "sig", "shingles")]
+class Texts:
+    """The documents of clustered sets: where blocks get their sets from."""
 
-    def run(batches):
-        for rows, starts in _groups(batches, len(block)):
-            whole = [rows.column(c).to_numpy() for c in ("uid", "joined", "side")]
-            sig, shingles = _matrix(rows.column("sig")), rows.column("shingles")
-            links = []
-            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows], strict=True):
-                if e - s > 1:
-                    sets = [np.frombuffer(x, np.uint64) for x in shingles.slice(s, e - s).to_pylist()]
-                    links.extend(_confirmed(*[x[s:e] for x in whole], sig[s:e], sets, distance, percent))
-            yield _link_batch(links)
+    def __init__(self, docs: DataFrame, distance: int, percent: int, shingle_words: int, repeats: bool, id_col: str, text_col: str):
+        self.rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.distance, self.percent, self.shingle_words, self.repeats = distance, percent, shingle_words, repeats
+
+    def confirm(self, members: DataFrame, block: list[str]) -> DataFrame:
+        """``members`` (block columns..., side, uid, joined, first_id, digest) -> confirmed links (a, b) within each block.
+
+        The text of ``first_id`` goes to the block as it is; sets and signatures are made there. Texts of the
+        same id with another set fall away by their digest.
+        """
+        distance, percent, shingle_words = self.distance, self.percent, self.shingle_words
 
-    columns = [*block, "side", "uid", "joined", "sig", "shingles"]
-    return small_batches(rows.select(*columns)).repartition(*block).sortWithinPartitions(*block, "side").mapInArrow(run, "a long, b long")
+        def run(batches):
+            from xxhash import xxh3_128_digest
+
+            made, (a, b) = Sets(shingle_words), _functions()
+            for rows, starts in _groups(batches, len(block)):
+                uid, joined, side = (rows.column(c).to_numpy() for c in ("uid", "joined", "side"))
+                digest, links = rows.column("digest"), []
+                for s, e in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows], strict=True):
+                    if e - s < 2:
+                        continue
+                    sets, real = [], []
+                    for i, text in enumerate(utf8(rows.column("text").slice(s, e - s)), s):
+                        x = made.of(text)
+                        if xxh3_128_digest(x.tobytes()) == digest[i].as_py():
+                            sets.append(x), real.append(i)
+                    if len(real) > 1:
+                        sig = np.stack([signature(x, a, b) for x in sets])
+                        links.extend(_confirmed(uid[real], joined[real], side[real], sig, sets, distance, percent))
+                yield _link_batch(links)
+
+        read = self.rows.join(members, self.rows["id"].eqNullSafe(members["first_id"])).select(*block, "side", "uid", "joined", "digest", "text")
+        if self.repeats:  # rows that repeat an id and a text
+            read = read.dropDuplicates([*block, "side", "uid", "text"])
+        return staged(small_batches(read).repartition(*block).sortWithinPartitions(*block, "side").mapInArrow(run, "a long, b long"), "minhash-links")
 
 
 def _pieces(count: str, size: str):
     return F.greatest(F.ceil(F.col(count) / F.lit(BLOCK_SETS)), F.ceil(F.col(size) / F.lit(BLOCK_SHINGLES))).cast("int")
 
 
-def _within_blocks(sets: DataFrame, distance: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _within_blocks(sets: DataFrame, texts: Texts) -> tuple[DataFrame, DataFrame]:
     """Links within hashed blocks of each cluster, and the clusters that have several blocks."""
     sized = staged(sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
                    .select("cluster", _pieces("m", "s").alias("pieces")), "minhash-clusters")
-    rows = sets.join(sized, "cluster").select("cluster", F.pmod(F.xxhash64("uid"), F.col("pieces")).cast("int").alias("piece"), F.lit(0).alias("side"),
-                                              "uid", "joined", "sig", "shingles")
-    return staged(_confirm(rows, distance, percent), "minhash-links"), sized.where("pieces > 1").select("cluster")
+    members = sets.join(sized, "cluster").select("cluster", F.pmod(F.xxhash64("uid"), F.col("pieces")).cast("int").alias("piece"), F.lit(0).alias("side"),
+                                                 "uid", "joined", "first_id", "digest")
+    return texts.confirm(members, ["cluster", "piece"]), sized.where("pieces > 1").select("cluster")
 
 
 def _join_up(sets: DataFrame, links: DataFrame) -> DataFrame:
     """``sets`` with ``joined``: the smallest uid that confirmed links reach."""
     found = staged(connected_components(links), "minhash-joined")
-    return sets.drop("joined").join(found.withColumnRenamed("node", "uid"), "uid", "left").withColumn(
-        "joined", F.coalesce("root", "uid")).select("cluster", "uid", "joined", "n", "sig", "shingles")
+    return staged(sets.drop("joined").join(found.withColumnRenamed("node", "uid"), "uid", "left")
+                  .select("cluster", "uid", F.coalesce("root", "uid").alias("joined"), "n", "first_id", "digest"), "minhash-apart")
 
 
-def _across_blocks(sets: DataFrame, distance: int, percent: int) -> DataFrame:
+def _across_blocks(sets: DataFrame, texts: Texts) -> DataFrame:
     """Links between what is still apart: what has many members has blocks of its own, the rest shares blocks;
     all pairs of blocks meet but those of one and the same."""
     parts = sets.groupBy("cluster", "joined").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
-    parts = parts.withColumn("own", F.when(F.col("m") * 2 > BLOCK_SETS, F.col("joined")).otherwise(F.lit(-1)).cast("long"))
-    parts = staged(parts, "minhash-parts")
+    parts = staged(parts.withColumn("own", F.when(F.col("m") * 2 > BLOCK_SETS, F.col("joined")).otherwise(F.lit(-1)).cast("long")), "minhash-parts")
     per = staged(parts.groupBy("cluster", "own").agg(F.sum("m").alias("m"), F.sum("s").alias("s"))
                  .select("cluster", "own", _pieces("m", "s").alias("pieces")), "minhash-own")
-    blocks = per.select("cluster", "own", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-    block = F.struct("own", "piece").alias("left")
-    tiles = blocks.select("cluster", block).join(blocks.select("cluster", block).withColumnRenamed("left", "right"), "cluster").where(
+    block = per.select("cluster", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "own").select("cluster", F.struct("own", "piece").alias("left"))
+    tiles = block.join(block.withColumnRenamed("left", "right"), "cluster").where(
         (F.col("left") <= F.col("right")) & ((F.col("left.own") != F.col("right.own")) | (F.col("left.own") == -1)))
-    tiles = tiles.select("cluster", F.xxhash64("left", "right").alias("tile"), "left", "right")
     ends = F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("at")), F.struct(F.lit(1).alias("side"), F.col("right").alias("at")))
     ends = F.when(F.col("left") == F.col("right"), F.slice(ends, 1, 1)).otherwise(ends)
-    ends = tiles.select("cluster", "tile", F.explode(ends).alias("e")).select("cluster", "tile", "e.side", "e.at.own", "e.at.piece")
+    ends = tiles.select("cluster", F.xxhash64("left", "right").alias("tile"), F.explode(ends).alias("e"))
+    ends = staged(ends.select("cluster", "tile", "e.side", "e.at.own", "e.at.piece"), "minhash-tiles")
     by = F.when(F.col("own") == -1, F.xxhash64("joined")).otherwise(F.xxhash64("uid"))
     placed = sets.join(parts.select("cluster", "joined", "own"), ["cluster", "joined"]).join(per, ["cluster", "own"]).withColumn(
         "piece", F.pmod(by, F.col("pieces")).cast("int"))
-    rows = placed.join(staged(ends, "minhash-tiles"), ["cluster", "own", "piece"]).select("cluster", "tile", "side", "uid", "joined", "sig", "shingles")
-    return staged(_confirm(rows, distance, percent), "minhash-links")
+    members = placed.join(ends, ["cluster", "own", "piece"]).select("cluster", "tile", "side", "uid", "joined", "first_id", "digest")
+    return texts.confirm(members, ["cluster", "tile"])
 
 
-def confirmed_links(sets: DataFrame, distance: int, percent: int) -> DataFrame:
-    """``sets`` (cluster, uid, n, sig, shingles), stored -> links (a, b) that span the true classes."""
+def confirmed_links(sets: DataFrame, texts: Texts) -> DataFrame:
+    """``sets`` (cluster, uid, n, first_id, digest), stored -> links (a, b) that span the true classes."""
     sets = sets.withColumn("joined", F.col("uid"))
-    links, several = _within_blocks(sets, distance, percent)
+    links, several = _within_blocks(sets, texts)
     if several.isEmpty():
         return links
-    sets = sets.join(several, "cluster", "left_semi")
-    now = staged(_join_up(sets, links), "minhash-apart")
+    now = _join_up(sets.join(several, "cluster", "left_semi"), links)
     order = Window.partitionBy("cluster", "joined").orderBy(F.xxhash64("uid"), "uid")
     ranked = now.select("cluster", "joined", "uid").withColumn("r", F.row_number().over(order)).where(F.col("r") <= REPRESENTATIVES)
-    several_members = now.groupBy("cluster", "joined").count().where("count > 1").select("cluster", "joined")
-    chosen = staged(ranked.join(several_members, ["cluster", "joined"], "left_semi").select("uid"), "minhash-chosen")
-    links = links.unionAll(_within_blocks(now.join(chosen, "uid", "left_semi").select(*now.columns), distance, percent)[0])
-    return links.unionAll(_across_blocks(staged(_join_up(now, links), "minhash-apart"), distance, percent))
-
-
-def _full_sets(docs: DataFrame, clustered: DataFrame, repeats: bool, shingle_words: int, id_col: str, text_col: str) -> DataFrame:
-    """``clustered`` (uid, cluster, first_id, digest, n, sig) with the shingle hashes of each set."""
-
-    def run(batches):
-        from xxhash import xxh3_128_digest
-
-        sets = Sets(shingle_words)
-        for b in batches:
-            found = [sets.of(t).tobytes() for t in utf8(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxh3_128_digest(s) for s in found], pa.binary()), pa.array(found, pa.binary())],
-                                             names=["first_id", "digest", "shingles"])
-
-    ids = clustered.select("first_id").distinct()
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(ids, rows["id"].eqNullSafe(ids["first_id"]), "left_semi")
-    read = small_batches(rows).mapInArrow(run, "first_id long, digest binary, shingles binary").alias("r")
-    c = clustered.alias("c")
-    out = read.join(c, (F.col("r.digest") == F.col("c.digest")) & F.col("r.first_id").eqNullSafe(F.col("c.first_id"))).select(
-        "cluster", "uid", "n", "sig", "shingles")
-    return out.dropDuplicates(["uid"]) if repeats else out
+    joined = now.groupBy("cluster", "joined").count().where("count > 1").select("cluster", "joined")
+    chosen = staged(ranked.join(joined, ["cluster", "joined"], "left_semi").select("uid"), "minhash-chosen")
+    links = links.unionAll(_within_blocks(now.join(chosen, "uid", "left_semi").select(*now.columns), texts)[0])
+    return links.unionAll(_across_blocks(_join_up(now, links), texts))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -383,10 +380,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
     distinct = signed.where("n > 0").groupBy("digest", "n", "sig").agg(F.min("id").alias("first_id"))
     distinct = staged(distinct.withColumn("uid", F.monotonically_increasing_id()), "minhash-distinct")
     clusters = staged(connected_components(cluster_links(distinct, distance)), "minhash-members")
-    clustered = staged(distinct.join(clusters, distinct["uid"] == clusters["node"]).withColumnRenamed("root", "cluster").drop("node"), "minhash-clustered")
+    sets = distinct.join(clusters.withColumnRenamed("node", "uid"), "uid").select(F.col("root").alias("cluster"), "uid", "n", "first_id", "digest")
     repeats = not signed.where("n > 0").groupBy("id", "digest").count().where("count > 1").isEmpty()
-    sets = staged(_full_sets(docs, clustered, repeats, shingle_words, id_col, text_col), "minhash-sets")
-    classes = staged(connected_components(confirmed_links(sets, distance, percent)), "minhash-classes")
+    texts = Texts(docs, distance, percent, shingle_words, repeats, id_col, text_col)
+    classes = staged(connected_components(confirmed_links(staged(sets, "minhash-sets"), texts)), "minhash-classes")
     rooted = distinct.select("uid", "digest", "first_id").join(classes.withColumnRenamed("node", "uid"), "uid")
     least = staged(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "minhash-least")
     of = staged(rooted.join(least, "root").select("digest", "component_id"), "minhash-of")

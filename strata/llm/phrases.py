@@ -1,19 +1,21 @@
 """Phrase collocations, counted in HAT-tries.
 
-Counting. A task reads whole texts, numbers the words it meets and counts
-phrases in a HAT-trie: a shallow trie over word numbers whose leaves are hash
-containers. A container that outgrows ``BURST`` entries bursts into a trie
-node with a container for every next word. When a task holds more than
+Sieve. One scan of whole texts counts 64-bit hashes of all words and of all
+pairs of neighbouring words: per task as sorted arrays, then per hash. No
+phrase can reach the minimum count that holds a word or a pair below it. The
+hashes that reach it go to the tasks of the second scan as a bit table of
+bounded size, which may let a rare phrase through (it is counted and dropped)
+but never loses one.
+
+Counting. The second scan counts the phrases that the sieve lets through by
+their words, in a HAT-trie: a shallow trie over word numbers whose leaves are
+hash containers. A container that outgrows ``BURST`` entries bursts into a
+trie node with a container for every next word. When a task holds more than
 ``ENTRIES`` phrases it spills whole subtrees, largest first, each as a sorted
 run; runs carry the partition of their first two words, to which they are
 shuffled and merged there. A phrase costs one row per task and spill however
 often it occurs, and a hot first word is spread over its second words.
 
-Passes. Single words first, then pairs of frequent words, then longer phrases
-all of whose pairs are frequent; no other phrase can reach the minimum count.
-The frequent ones reach the tasks as bit tables of bounded size, which may
-let a rare phrase through (it is counted and dropped) but never lose one.
-
 Scores are exact: products are 38-digit decimals.
 
 Edge cases: null and empty texts have no words, a null language is ``und``
@@ -39,16 +41,17 @@ from strata.llm.common import small_batches, staged, utf8
 BURST = 4096            # entries of a container before it bursts
 ENTRIES = 400_000       # phrases a task holds before it spills
 WORDS = 400_000         # distinct words a task numbers before it starts afresh
-SLICE_BYTES = 4 << 20   # text cut into words at a time
-PAIRS = 1_000_000       # remembered answers about pairs
-MAX_BITS = 26           # bit tables of at most 8 MB
+SLICE_BYTES = 1 << 20   # text cut into words at a time
+HASHES = 2_000_000      # hashes of the sieve a task holds before it hands them on
+MAX_BITS = 26           # a bit table of at most 8 MB
 SEED = 42
 RANK_ROWS = 100_000     # phrases of a language ranked in one task
 
-_EMPTY, _BREAK = 0, 1   # numbers of the empty word and of the end of a piece
 _TABLE = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 _GAP = re.compile(rb"[ \n]")
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
+HASH_SCHEMA = pa.schema([("h", pa.int64()), ("lang", pa.binary()), ("n", pa.int64())])
 RUN_SCHEMA = pa.schema([("lang", pa.binary()), ("part", pa.int64()), ("k", pa.int32()), ("phrase", pa.binary()), ("n", pa.int64())])
 
 
@@ -109,203 +112,260 @@ class HatTrie:
             self.entries -= size
 
 
-# -- bit tables of frequent phrases -----------------------------------------
+# -- words of a text --------------------------------------------------------
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Slicer:
+    """Cuts texts into words and hashes them, a slice at a time."""
+
+    def __init__(self, overlap: int):
+        self.overlap = overlap  # words of a slice that the next one begins with
+        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.up) < n:
+            n = max(n, SLICE_BYTES + 1)
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                powers = np.full(n, base, np.uint64)
+                powers[0] = 1
+                setattr(self, name, np.cumprod(powers, dtype=np.uint64))
+
+    def of(self, text: bytes):
+        """(slice, starts, ends, hashes, follows, carried): ``follows`` tells of each word whether it goes on
+        the piece of the word before; the first ``carried`` words belonged to the slice before."""
+        text, at, carried = text.lower().translate(_TABLE), 0, 0
+        while at < len(text):
+            end = len(text)
+            if end - at > SLICE_BYTES:
+                gap = _GAP.search(text, at + SLICE_BYTES)
+                end = gap.start() if gap else end
+            part = text[at:end]
+            b = np.frombuffer(part, np.uint8)
+            inside = np.concatenate([[False], (b != 32) & (b != 10), [False]])
+            edges = np.flatnonzero(inside[1:] != inside[:-1])
+            starts, ends = edges[::2], edges[1::2]
+            self._powers(len(b) + 1)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.up[:len(b)], dtype=np.uint64)])
+            hashes = _mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+            piece = np.cumsum(b == 10)[starts] if len(starts) else starts
+            follows = np.concatenate([[False], piece[1:] == piece[:-1]])[:len(starts)]
+            if len(starts) > carried:
+                yield part, starts, ends, hashes, follows, carried
+            if end == len(text):
+                return
+            carried = min(self.overlap, len(starts))
+            at = at + int(starts[-carried]) if carried else end
+
+
+def _lang_hash(lang: bytes) -> np.uint64:
+    from xxhash import xxh64_intdigest
+
+    return np.uint64(xxh64_intdigest(lang, SEED))
+
+
+def _word_keys(lang: np.uint64, hashes: np.ndarray) -> np.ndarray:
+    return _mix(hashes ^ lang)
+
+
+def _pair_keys(lang: np.uint64, hashes: np.ndarray) -> np.ndarray:
+    """Of each word and the next."""
+    return _mix(hashes[:-1] * np.uint64(_BASE) + hashes[1:] + lang)
+
+
+def _by_lang(batch):
+    out: dict[bytes, list[bytes]] = {}
+    for lang, text in zip(utf8(batch.column(0)), utf8(batch.column(1)), strict=True):
+        if text:
+            out.setdefault(lang, []).append(text)
+    return {lang: b"\n".join(texts) for lang, texts in out.items()}
+
+
+def _rows(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
+    return small_batches(docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text")))
+
+
+# -- the sieve --------------------------------------------------------------
 class Marks:
-    """Which phrases may be frequent: two bits a phrase in a table of bounded size."""
+    """Which hashes may be frequent: two bits each in a table of bounded size."""
 
     def __init__(self, bits: int, table: np.ndarray):
         self.mask, self.table = (1 << bits) - 1, table
 
     @classmethod
-    def of(cls, frequent: DataFrame, n: int) -> Marks:
-        """``frequent``: ``n`` rows of (lang, phrase)."""
-        bits = min(MAX_BITS, max(16, (16 * n).bit_length()))
-        h = F.xxhash64(F.concat_ws("\n", "lang", "phrase"))
-        at = [h.bitwiseAND(F.lit((1 << bits) - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit((1 << bits) - 1))]
-        cells = frequent.select(F.explode(F.array(*at)).alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(
-            F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("word"))
+    def of(cls, frequent: DataFrame) -> Marks:
+        """``frequent``: stored rows (h long)."""
+        bits = min(MAX_BITS, max(16, (16 * frequent.count()).bit_length()))
+        low, high = F.col("h"), F.shiftrightunsigned("h", 32)
+        at = F.explode(F.array(*[x.bitwiseAND(F.lit((1 << bits) - 1)) for x in (low, high)])).alias("at")
+        cells = frequent.select(at).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("word"))
         table = np.zeros(1 << (bits - 6), np.uint64)
         for r in cells.toLocalIterator():  # at most 2^(bits - 6) cells, whatever the corpus
             table[r["cell"]] = r["word"] & 0xFFFFFFFFFFFFFFFF
         return cls(bits, table)
 
-    def has(self, lang: bytes, phrases: list[bytes]) -> np.ndarray:
-        from xxhash import xxh64_intdigest
-
-        h = np.fromiter((xxh64_intdigest(lang + b"\n" + p, SEED) for p in phrases), np.uint64, len(phrases))
-        out = np.ones(len(phrases), bool)
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
         for at in (h, h >> np.uint64(32)):
             at = at & np.uint64(self.mask)
             out &= (self.table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
         return out
 
 
-# -- counting in a task -----------------------------------------------------
-class _Words(dict):
-    """Word -> number in order of appearance."""
+class _Hashes:
+    """Counts of hashes in one task, as arrays."""
 
     def __init__(self):
-        super().__init__({b"": _EMPTY, b"\n": _BREAK})
-        self.names = [b"", b"\n"]
+        self.held, self.size = [], 0
+
+    def add(self, h: np.ndarray):
+        h, n = np.unique(h, return_counts=True)
+        self.held.append((h, n))
+        self.size += len(h)
+        if self.size > HASHES:
+            self.merge()
+            if self.size > HASHES // 2:
+                yield from self.hand_on()
+
+    def merge(self) -> None:
+        if not self.held:
+            return
+        h, n = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        order = np.argsort(h, kind="stable")
+        h, n = h[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        self.held, self.size = [(h[first], np.add.reduceat(n, first))], len(first)
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.names)
-        self.names.append(word)
-        return n
+    def hand_on(self):
+        self.merge()
+        for h, n in self.held:
+            for at in range(0, len(h), 1 << 18):
+                part = h[at:at + (1 << 18)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.nulls(len(part), pa.binary()), pa.array(n[at:at + (1 << 18)])], schema=HASH_SCHEMA)
+        self.held, self.size = [], 0
 
 
-def _slices(text: bytes):
-    at = 0
-    while len(text) - at > SLICE_BYTES:
-        end = max(text.rfind(b"\n", at + 1, at + SLICE_BYTES), text.rfind(b" ", at + 1, at + SLICE_BYTES))
-        if end <= at:
-            gap = _GAP.search(text, at + SLICE_BYTES)
-            end = gap.start() if gap else len(text)
-        yield text[at:end]
-        at = end
-    yield text[at:]
+def sieve(docs: DataFrame, min_count: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(h, lang, n): hashes of the words and neighbouring pairs that occur at least ``min_count`` times, counted
+    with whatever else has their hash; and, where ``lang`` is not null, all words of that language."""
 
+    def run(batches):
+        slicer, counts, total = Slicer(1), _Hashes(), {}
+
+        def totals():
+            langs, n = list(total), list(total.values())
+            total.clear()
+            return pa.RecordBatch.from_arrays([pa.array([0] * len(n), pa.int64()), pa.array(langs, pa.binary()), pa.array(n, pa.int64())], schema=HASH_SCHEMA)
+
+        for b in batches:
+            for lang, text in _by_lang(b).items():
+                seed = _lang_hash(lang)
+                for _, _, _, hashes, follows, carried in slicer.of(text):
+                    total[lang] = total.get(lang, 0) + len(hashes) - carried
+                    yield from counts.add(_word_keys(seed, hashes[carried:]))
+                    yield from counts.add(_pair_keys(seed, hashes)[follows[1:]])
+            if len(total) > 10_000:
+                yield totals()
+        yield totals()
+        yield from counts.hand_on()
+
+    hashed = _rows(docs, lang_col, text_col).mapInArrow(run, "h long, lang binary, n long")
+    counted = hashed.repartition("h").groupBy("h", "lang").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("lang").isNotNull() | (F.col("n") >= min_count)).select("h", F.col("lang").cast("string").alias("lang"), "n")
 
+
+# -- counting in a task -----------------------------------------------------
 class Counter:
-    """Counts the phrases of ``lengths`` words in the texts of one task."""
+    """Counts the phrases of 1 to ``longest`` words that the sieve lets through, in the texts of one task."""
 
-    def __init__(self, lengths, words: Marks | None, pairs: Marks | None):
-        self.lengths, self.words_kept, self.pairs_kept = sorted(lengths), words, pairs
+    def __init__(self, longest: int, marks: Marks):
+        self.longest, self.marks, self.slicer = longest, marks, Slicer(longest - 1)
         self._start()
 
     def _start(self) -> None:
-        self.words, self.tries, self.totals = _Words(), {}, {}
-        self.kept, self.pair_answers = {}, {}
-
-    def add(self, lang: bytes, texts: list[bytes]) -> None:
-        trie = self.tries.setdefault(lang, HatTrie(min(2, self.lengths[0])))
-        carried = np.zeros(0, np.int64)
-        for part in _slices(b"\n".join(texts).lower().translate(_TABLE)):
-            tokens = part.replace(b"\n", b" \n ").split(b" ")
-            ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
-            ids = np.concatenate([carried, ids[ids != _EMPTY]])
-            self._slice(lang, trie, ids, len(carried))
-            carried = ids[max(0, len(ids) - self.lengths[-1] + 1):] if self.lengths[-1] > 1 else carried
-
-    def _slice(self, lang: bytes, trie: HatTrie, ids: np.ndarray, carried: int) -> None:
-        """Phrases that end after the first ``carried`` words."""
-        if self.lengths == [1]:
-            words, n = np.unique(ids[carried:], return_counts=True)
-            real = words != _BREAK
-            self.totals[lang] = self.totals.get(lang, 0) + int(n[real].sum())
-            for w, c in zip(words[real].tolist(), n[real].tolist(), strict=True):
-                trie.add((w,), c)
-            return
-        keep = self._word_answers(lang, ids)
-        code = (ids[:-1] << 32) | ids[1:]
-        ok = keep[:-1] & keep[1:]                       # ok[i]: the phrase of the current length at i may be frequent
-        if self.lengths[-1] > 2 and self.pairs_kept:
-            at = np.flatnonzero(ok)
-            ok[at] = self._pair_answers(lang, code[at])
-        step, at = ok, np.flatnonzero(ok)
-        codes, rank = np.unique(code[at], return_inverse=True)
-        for length in range(2, self.lengths[-1] + 1):
-            if length > 2:                              # extend by a word: dense rank of the shorter phrase, and the word
-                more = at + length - 2 < len(step)
-                more[more] = step[at[more] + length - 2]
-                at, rank = at[more], rank[more]
-                codes, rank = np.unique((rank << 32) | ids[at + length - 1], return_inverse=True)
-            if length in self.lengths and len(at):
-                new = at + length > carried
-                n = np.bincount(rank[new], minlength=len(codes))
-                first = np.zeros(len(codes), np.int64)
-                first[rank] = at
+        self.numbers, self.names, self.tries = {}, [], {}
+
+    def add(self, lang: bytes, text: bytes) -> None:
+        trie, seed = self.tries.setdefault(lang, HatTrie(1)), _lang_hash(lang)
+        for part, starts, ends, hashes, follows, carried in self.slicer.of(text):
+            keep = self.marks.has(_word_keys(seed, hashes))
+            pair = follows.copy()                                   # pair[i]: words i - 1 and i may be a frequent pair
+            pair[1:] &= keep[:-1] & keep[1:]
+            at = np.flatnonzero(pair)
+            pair[at] = self.marks.has(_pair_keys(seed, hashes)[at - 1])
+            at = np.flatnonzero(keep)
+            if not len(at):
+                continue
+            _, first, rank = np.unique(hashes[at], return_index=True, return_inverse=True)
+            ids = np.zeros(len(hashes), np.int64)                   # of the words kept
+            ids[at] = np.array([self._number(part[s:e]) for s, e in zip(starts[at[first]].tolist(), ends[at[first]].tolist(), strict=True)], np.int64)[rank]
+            for length in range(1, self.longest + 1):               # at: where phrases of this length begin
+                if length > 1:                                      # extend by a word: rank of the shorter phrase, and the word
+                    more = at + length - 1 < len(ids)
+                    more[more] = pair[at[more] + length - 1]
+                    at, rank = at[more], rank[more]
+                    if not len(at):
+                        break
+                    _, rank = np.unique((rank.astype(np.int64) << 32) | ids[at + length - 1], return_inverse=True)
+                n = np.bincount(rank[at + length > carried], minlength=int(rank.max()) + 1)
+                begins = np.zeros(len(n), np.int64)
+                begins[rank] = at
                 seen = np.flatnonzero(n)
-                for key, c in zip(zip(*(ids[first[seen] + j].tolist() for j in range(length)), strict=True), n[seen].tolist(), strict=True):
+                for key, c in zip(zip(*(ids[begins[seen] + j].tolist() for j in range(length)), strict=True), n[seen].tolist(), strict=True):
                     trie.add(key, c)
 
-    def _word_answers(self, lang: bytes, ids: np.ndarray) -> np.ndarray:
-        known = self.kept.get(lang, np.full(2, 2, np.int8))  # 0 not asked, 1 may be frequent, 2 is not
-        known = np.concatenate([known, np.zeros(max(0, len(self.words.names) - len(known)), np.int8)])
-        if self.words_kept is None:
-            known[2:] = 1
-        ask = np.unique(ids[known[ids] == 0])
-        if len(ask):
-            known[ask] = np.where(self.words_kept.has(lang, [self.words.names[w] for w in ask.tolist()]), 1, 2)
-        self.kept[lang] = known
-        return known[ids] == 1
-
-    def _pair_answers(self, lang: bytes, code: np.ndarray) -> np.ndarray:
-        answers = self.pair_answers.setdefault(lang, {})
-        if len(answers) > PAIRS:
-            answers.clear()
-        pairs, back = np.unique(code, return_inverse=True)
-        listed = pairs.tolist()
-        ask = [p for p in listed if p not in answers]
-        names = self.words.names
-        answers.update(zip(ask, self.pairs_kept.has(lang, [names[p >> 32] + b" " + names[p & 0xFFFFFFFF] for p in ask]).tolist(), strict=True))
-        return np.fromiter((answers[p] for p in listed), bool, len(listed))[back]
+    def _number(self, word: bytes) -> int:
+        n = self.numbers.get(word)
+        if n is None:
+            n = self.numbers[word] = len(self.names)
+            self.names.append(word)
+        return n
 
     # -- runs ---------------------------------------------------------------
     def spill(self, all_of_it: bool = False):
         """Sorted runs: everything at the end or with too many words, else the largest subtrees."""
-        fresh = all_of_it or len(self.words.names) > WORDS
-        held = sum(t.entries for t in self.tries.values())
-        if not fresh and held <= ENTRIES:
+        fresh = all_of_it or len(self.names) > WORDS
+        if not fresh and sum(t.entries for t in self.tries.values()) <= ENTRIES:
             return
         for lang, trie in self.tries.items():
             for subtree in trie.spill(0 if fresh else trie.entries // 2):
                 yield from self._run(lang, subtree)
         if fresh:
-            for lang, n in self.totals.items():
-                yield self._batch(lang, [(b"", 0, n, 0)])
             self._start()
 
     def _run(self, lang: bytes, subtree: list):
-        names = self.words.names
+        names = self.names
         rows = sorted((b" ".join([names[w] for w in key]), len(key), n, crc32(b" ".join([names[w] for w in key[:2]]))) for key, n in subtree)
         for at in range(0, len(rows), 65_536):
-            yield self._batch(lang, rows[at:at + 65_536])
+            phrase, k, n, part = zip(*rows[at:at + 65_536], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrase), pa.binary()), pa.array(part, pa.int64()), pa.array(k, pa.int32()),
+                                              pa.array(phrase, pa.binary()), pa.array(n, pa.int64())], schema=RUN_SCHEMA)
 
-    def _batch(self, lang: bytes, rows: list):
-        phrase, k, n, part = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.binary()), pa.array(part, pa.int64()), pa.array(k, pa.int32()),
-                                           pa.array(phrase, pa.binary()), pa.array(n, pa.int64())], schema=RUN_SCHEMA)
 
-
-def count_phrases(docs: DataFrame, lengths, min_count: int, words: Marks | None = None, pairs: Marks | None = None, lang_col: str = "lang",
-                  text_col: str = "text") -> DataFrame:
-    """(lang, k, phrase, f) of the phrases of ``lengths`` words that occur at least ``min_count`` times;
-    when single words are counted, also a row with k = 0 of all words of the language."""
+def frequent_phrases(docs: DataFrame, min_count: int, max_words: int, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(lang, k, phrase, f): all phrases of 1 to ``max_words`` words that occur at least ``min_count`` times;
+    and (lang, n): all words of each language."""
+    sieved = staged(sieve(docs, min_count, lang_col, text_col), "phrases-sieve")
+    marks = Marks.of(sieved.where("lang is null"))
 
     def run(batches):
-        counter = Counter(lengths, words, pairs)
+        counter = Counter(max_words, marks)
         for b in batches:
-            by_lang: dict[bytes, list[bytes]] = {}
-            for lang, text in zip(utf8(b.column(0)), utf8(b.column(1)), strict=True):
-                if text:
-                    by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                counter.add(lang, texts)
+            for lang, text in _by_lang(b).items():
+                counter.add(lang, text)
                 yield from counter.spill()
         yield from counter.spill(all_of_it=True)
 
-    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    runs = small_batches(rows).mapInArrow(run, "lang binary, part long, k int, phrase binary, n long").repartition("part")
-    merged = runs.groupBy("part", "lang", "k", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= min_count) | (F.col("k") == 0))
-    return merged.select(F.col("lang").cast("string").alias("lang"), "k", F.col("phrase").cast("string").alias("phrase"), "f")
+    runs = _rows(docs, lang_col, text_col).mapInArrow(run, "lang binary, part long, k int, phrase binary, n long").repartition("part")
+    merged = runs.groupBy("part", "lang", "k", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    found = merged.select(F.col("lang").cast("string").alias("lang"), "k", F.col("phrase").cast("string").alias("phrase"), "f")
+    return staged(found, "phrases-all"), sieved.where("lang is not null").select("lang", "n")
 
 
 # -- collocations -----------------------------------------------------------
-def frequent_phrases(docs: DataFrame, min_count: int, max_words: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, k, phrase, f): all phrases of 1 to ``max_words`` words that occur ``min_count`` times, and the totals (k = 0)."""
-    found = staged(count_phrases(docs, [1], min_count, lang_col=lang_col, text_col=text_col), "phrases-1")
-    single = found.where(F.col("k") == 1)
-    words, pairs = Marks.of(single, single.count()), None
-    for lengths in ([2], list(range(3, max_words + 1))):
-        if lengths and lengths[-1] <= max_words:
-            more = staged(count_phrases(docs, lengths, min_count, words, pairs, lang_col, text_col), f"phrases-{lengths[0]}")
-            found = found.unionAll(more)
-            if lengths == [2]:
-                pairs = Marks.of(more, more.count())
-    return found
-
-
 def _part(first, length):
     return F.array_join(F.slice("w", first, length), " ")
 
@@ -318,9 +378,8 @@ def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, abso
     counts, ties to the earlier one. A phrase is dropped that lies inside a
     longer frequent phrase with ``absorb_percent`` of its occurrences.
     """
-    found = staged(frequent_phrases(docs, min_count, max_words, lang_col, text_col), "phrases-all")
-    parts = found.where("k > 0").select("lang", "phrase", "f")
-    totals = found.where("k = 0").select("lang", F.col("f").alias("n"))
+    found, words = frequent_phrases(docs, min_count, max_words, lang_col, text_col)
+    parts = found.select("lang", "phrase", "f")
     longer = found.where("k > 2").select("lang", "f", "k", F.split("phrase", " ").alias("w"))
     # an extension by one word occurs at least as often as any longer one, so it decides
     inside = longer.select("lang", "f", F.explode(F.array(_part(F.lit(1), F.col("k") - 1), _part(F.lit(2), F.col("k") - 1))).alias("phrase"))
@@ -331,7 +390,7 @@ def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, abso
     cuts = cuts.select("lang", "phrase", "k", "a", "cut", _part(F.lit(1), F.col("cut")).alias("head"),
                        _part(F.col("cut") + 1, F.col("k") - F.col("cut")).alias("tail"))
     side = lambda name, out: parts.select("lang", F.col("phrase").alias(name), F.col("f").alias(out))
-    cuts = cuts.join(side("head", "l"), ["lang", "head"]).join(side("tail", "r"), ["lang", "tail"]).join(totals, "lang")
+    cuts = cuts.join(side("head", "l"), ["lang", "head"]).join(side("tail", "r"), ["lang", "tail"]).join(words, "lang")
     whole = {c: f"cast({c} as decimal(20,0))" for c in ("a", "n", "l", "r")}
     score = F.expr(f"(cast(1000 as decimal(4,0)) * {whole['a']} * {whole['n']}) div ({whole['l']} * {whole['r']})")
     best = cuts.groupBy("lang", "phrase", "k", "a", "n").agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("b"))
