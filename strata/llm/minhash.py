@@ -275,8 +275,9 @@ def _confirmed(uid, joined, side, sig, sets, distance: int, percent: int):
 class Texts:
     """The documents of clustered sets: where blocks get their sets from."""
 
-    def __init__(self, docs: DataFrame, distance: int, percent: int, shingle_words: int, repeats: bool, id_col: str, text_col: str):
-        self.rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    def __init__(self, docs: DataFrame, ids: DataFrame, distance: int, percent: int, shingle_words: int, repeats: bool, id_col: str, text_col: str):
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.rows = staged(rows.join(ids, rows["id"].eqNullSafe(ids["first_id"]), "left_semi"), "minhash-texts")  # they are read several times
         self.distance, self.percent, self.shingle_words, self.repeats = distance, percent, shingle_words, repeats
 
     def confirm(self, members: DataFrame, block: list[str]) -> DataFrame:
@@ -286,6 +287,7 @@ class Texts:
         same id with another set fall away by their digest.
         """
         distance, percent, shingle_words = self.distance, self.percent, self.shingle_words
+        members = staged(members, "minhash-blocks")
 
         def run(batches):
             from xxhash import xxh3_128_digest
@@ -382,8 +384,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
     clusters = staged(connected_components(cluster_links(distinct, distance)), "minhash-members")
     sets = distinct.join(clusters.withColumnRenamed("node", "uid"), "uid").select(F.col("root").alias("cluster"), "uid", "n", "first_id", "digest")
     repeats = not signed.where("n > 0").groupBy("id", "digest").count().where("count > 1").isEmpty()
-    texts = Texts(docs, distance, percent, shingle_words, repeats, id_col, text_col)
-    classes = staged(connected_components(confirmed_links(staged(sets, "minhash-sets"), texts)), "minhash-classes")
+    sets = staged(sets, "minhash-sets")
+    texts = Texts(docs, staged(sets.select("first_id").distinct(), "minhash-ids"), distance, percent, shingle_words, repeats, id_col, text_col)
+    classes = staged(connected_components(confirmed_links(sets, texts)), "minhash-classes")
     rooted = distinct.select("uid", "digest", "first_id").join(classes.withColumnRenamed("node", "uid"), "uid")
     least = staged(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "minhash-least")
     of = staged(rooted.join(least, "root").select("digest", "component_id"), "minhash-of")

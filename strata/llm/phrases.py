@@ -1,13 +1,13 @@
 """Phrase collocations, counted in HAT-tries.
 
 Sieve. One scan of whole texts counts 64-bit hashes of all words and of all
-pairs of neighbouring words: per task as sorted arrays, then per hash. No
-phrase can reach the minimum count that holds a word or a pair below it. The
-hashes that reach it go to the tasks of the second scan as a bit table of
-bounded size, which may let a rare phrase through (it is counted and dropped)
-but never loses one.
+pairs of neighbouring words, a second one of all triples whose pairs passed:
+per task as sorted arrays, then per hash. No phrase can reach the minimum
+count that holds a word, pair or triple below it. The hashes that reach it go
+to the tasks of the next scan as a bit table of bounded size, which may let a
+rare phrase through (it is counted and dropped) but never loses one.
 
-Counting. The second scan counts the phrases that the sieve lets through by
+Counting. The last scan counts the phrases that the sieve lets through by
 their words, in a HAT-trie: a shallow trie over word numbers whose leaves are
 hash containers. A container that outgrows ``BURST`` entries bursts into a
 trie node with a container for every next word. When a task holds more than
@@ -176,6 +176,11 @@ def _pair_keys(lang: np.uint64, hashes: np.ndarray) -> np.ndarray:
     return _mix(hashes[:-1] * np.uint64(_BASE) + hashes[1:] + lang)
 
 
+def _triple_keys(lang: np.uint64, hashes: np.ndarray) -> np.ndarray:
+    """Of each word and the next two."""
+    return _mix((hashes[:-2] * np.uint64(_BASE) + hashes[1:-1]) * np.uint64(_BASE) + hashes[2:] + lang)
+
+
 def _by_lang(batch):
     out: dict[bytes, list[bytes]] = {}
     for lang, text in zip(utf8(batch.column(0)), utf8(batch.column(1)), strict=True):
@@ -277,12 +282,39 @@ def sieve(docs: DataFrame, min_count: int, lang_col: str = "lang", text_col: str
     return counted.where(F.col("lang").isNotNull() | (F.col("n") >= min_count)).select("h", F.col("lang").cast("string").alias("lang"), "n")
 
 
+def _may_be(marks: Marks, seed: np.uint64, hashes: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word: may it be frequent, and may it and the word before be a frequent pair."""
+    keep, pair = marks.has(_word_keys(seed, hashes)), follows.copy()
+    pair[1:] &= keep[:-1] & keep[1:]
+    at = np.flatnonzero(pair)
+    pair[at] = marks.has(_pair_keys(seed, hashes)[at - 1])
+    return keep, pair
+
+
+def sieve_triples(docs: DataFrame, min_count: int, marks: Marks, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(h): as ``sieve``, of the three neighbouring words both of whose pairs passed it."""
+
+    def run(batches):
+        slicer, counts = Slicer(2), _Hashes()
+        for b in batches:
+            for lang, text in _by_lang(b).items():
+                seed = _lang_hash(lang)
+                for _, _, _, hashes, follows, _ in slicer.of(text):
+                    if len(hashes) > 2:  # the overlap is two words, so no triple comes twice
+                        pair = _may_be(marks, seed, hashes, follows)[1]
+                        yield from counts.add(_triple_keys(seed, hashes)[pair[1:-1] & pair[2:]])
+        yield from counts.hand_on()
+
+    hashed = _rows(docs, lang_col, text_col).mapInArrow(run, "h long, lang binary, n long")
+    return hashed.select("h", "n").repartition("h").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h")
+
+
 # -- counting in a task -----------------------------------------------------
 class Counter:
     """Counts the phrases of 1 to ``longest`` words that the sieve lets through, in the texts of one task."""
 
-    def __init__(self, longest: int, marks: Marks):
-        self.longest, self.marks, self.slicer = longest, marks, Slicer(longest - 1)
+    def __init__(self, longest: int, marks: Marks, triples: Marks):
+        self.longest, self.marks, self.triples, self.slicer = longest, marks, triples, Slicer(longest - 1)
         self._start()
 
     def _start(self) -> None:
@@ -291,11 +323,12 @@ class Counter:
     def add(self, lang: bytes, text: bytes) -> None:
         trie, seed = self.tries.setdefault(lang, HatTrie(1)), _lang_hash(lang)
         for part, starts, ends, hashes, follows, carried in self.slicer.of(text):
-            keep = self.marks.has(_word_keys(seed, hashes))
-            pair = follows.copy()                                   # pair[i]: words i - 1 and i may be a frequent pair
-            pair[1:] &= keep[:-1] & keep[1:]
-            at = np.flatnonzero(pair)
-            pair[at] = self.marks.has(_pair_keys(seed, hashes)[at - 1])
+            keep, pair = _may_be(self.marks, seed, hashes, follows)
+            triple = np.zeros(len(hashes), bool)                    # triple[i]: words i - 2 to i may be frequent
+            if len(hashes) > 2:
+                triple[2:] = pair[1:-1] & pair[2:]
+                at = np.flatnonzero(triple)
+                triple[at] = self.triples.has(_triple_keys(seed, hashes)[at - 2])
             at = np.flatnonzero(keep)
             if not len(at):
                 continue
@@ -305,7 +338,7 @@ class Counter:
             for length in range(1, self.longest + 1):               # at: where phrases of this length begin
                 if length > 1:                                      # extend by a word: rank of the shorter phrase, and the word
                     more = at + length - 1 < len(ids)
-                    more[more] = pair[at[more] + length - 1]
+                    more[more] = (pair if length == 2 else triple)[at[more] + length - 1]
                     at, rank = at[more], rank[more]
                     if not len(at):
                         break
@@ -350,9 +383,10 @@ def frequent_phrases(docs: DataFrame, min_count: int, max_words: int, lang_col:
     and (lang, n): all words of each language."""
     sieved = staged(sieve(docs, min_count, lang_col, text_col), "phrases-sieve")
     marks = Marks.of(sieved.where("lang is null"))
+    triples = Marks.of(staged(sieve_triples(docs, min_count, marks, lang_col, text_col), "phrases-triples"))
 
     def run(batches):
-        counter = Counter(max_words, marks)
+        counter = Counter(max_words, marks, triples)
         for b in batches:
             for lang, text in _by_lang(b).items():
                 counter.add(lang, text)
