@@ -3,8 +3,11 @@ so that several checks can be combined into one job."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.scan import lag_ranges
 
@@ -82,3 +85,31 @@ def fanout_report(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame
         F.count_if(F.col("_n") > 0).cast("long").alias("keys_after"),
         F.coalesce(F.max("_n"), F.lit(0)).cast("long").alias("max_rows_per_key"))
     return out.withColumn("fanout", F.col("rows_after") > F.col("rows_before"))
+
+
+def table_digest(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Per value of ``by`` (or for the whole table): ``n_rows`` and two sums of row hashes, ``digest_1`` and
+    ``digest_2``. They do not depend on the order of rows, files or columns; repeated rows count, and NULL
+    differs from every value. One aggregate, combined before its shuffle."""
+    by, names = by or [], sorted(df.columns)
+    parts = []
+    for c in names:
+        v = F.col(f"`{c}`")
+        v = F.to_json(v) if isinstance(df.schema[c].dataType, (T.MapType, T.VariantType)) else v
+        parts += [v, v.isNull()]
+    hashes = [F.sum(F.xxhash64(F.lit(i), *parts).cast("decimal(20,0)")).alias(f"digest_{i}") for i in (1, 2)]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *hashes)
+
+
+def check_rerun(first: DataFrame, second: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Whether two runs gave the same table: per value of ``by`` (NULL is a value) the rows of either run and
+    ``same`` (equal rows, each as often). Only digests meet, so the cost is a scan of each side."""
+    by = by or []
+    a, b = table_digest(first, by), table_digest(second, by)
+    one = F.lit(1)
+    a = a.select(*[F.col(c).alias(f"_a_{c}") for c in by], F.struct("n_rows", "digest_1", "digest_2").alias("a"), one.alias("_1"))
+    b = b.select(*[F.col(c).alias(f"_b_{c}") for c in by], F.struct("n_rows", "digest_1", "digest_2").alias("b"), one.alias("_2"))
+    cond = reduce(lambda x, y: x & y, [F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")) for c in by], F.col("_1") == F.col("_2"))
+    n = lambda side: F.coalesce(F.col(f"{side}.n_rows"), F.lit(0)).cast("long")
+    key = [F.when(F.col("_1").isNotNull(), F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")).alias(c) for c in by]
+    return a.join(b, cond, "full_outer").select(*key, n("a").alias("rows_first"), n("b").alias("rows_second"), F.col("a").eqNullSafe(F.col("b")).alias("same"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.calendar import (
@@ -20,6 +20,8 @@ from strata.functions.calendar import (
     period_of_year,
 )
 from strata.functions.keys import fingerprint, legacy_fingerprint, surrogate_key, version_key
+from strata.operators.merge import split_by_keys
+from strata.session import staged
 
 
 class EffectiveDateError(ValueError):
@@ -145,6 +147,43 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str],
     return kept.unionByName(new_rows)
 
 
+def scd2_merge(dim: DataFrame | None, incoming: DataFrame, key: str, attrs: list[str], effective_date, sk_col: str | None = None,
+               hash_col: str = "attributes_hash", legacy_hash: bool = False, valid_from: str = "valid_from", valid_to: str = "valid_to",
+               current: str = "is_current", seen: str = "seen_on") -> DataFrame:
+    """``dim`` after one more load, whose ``effective_date`` may lie before, inside or after what is there:
+    loads applied in any order give one and the same table.
+
+    A version runs from the first day its attributes were seen to the first
+    later day others were; ``seen_on`` holds all days a load confirmed it
+    (one per load, so it stays short). A load inside an interval splits it:
+    what was seen on later days comes back as a version of its own. Two loads
+    of the same day that differ keep the row with the larger hash. The
+    surrogate key hashes the natural key and ``valid_from``, so it does not
+    depend on the order either. The table has the key, ``attrs`` and the
+    columns named above. Only keys of ``incoming`` are rebuilt; ``incoming``
+    is evaluated once and may not repeat a key or have a NULL one. Keys that a
+    load lacks stay as they are (see ``scd2_apply(close_missing=True)``).
+    """
+    sk_col = sk_col or f"{key}_sk"
+    load = staged(with_attr_hash(incoming.select(key, *attrs), attrs, hash_col, legacy_hash), "scd2-load")
+    require_natural_key(load, key)
+    columns = [key, *attrs, hash_col, sk_col, valid_from, valid_to, current, seen]
+    rows = load.withColumn("_on", _lit_date(effective_date))
+    rest = None
+    if dim is not None:
+        rest, touched = split_by_keys(dim.select(*columns), load, [key])
+        rows = touched.select(key, *attrs, hash_col, F.explode(seen).alias("_on")).unionByName(rows)
+    per_day = rows.groupBy(key, "_on").agg(F.max(F.struct(hash_col, *attrs)).alias("_row")).select(key, "_on", "_row.*")
+    by_day = Window.partitionBy(key).orderBy("_on")  # as many rows as loads
+    starts = F.coalesce(F.col(hash_col) != F.lag(hash_col).over(by_day), F.lit(True))
+    numbered = per_day.withColumn("_starts", starts).withColumn("_run", F.sum(F.col("_starts").cast("int")).over(by_day))
+    runs = numbered.groupBy(key, "_run").agg(F.min("_on").alias(valid_from), F.sort_array(F.collect_set("_on")).alias(seen),
+                                            F.max(F.struct(hash_col, *attrs)).alias("_row")).select(key, "_run", valid_from, seen, "_row.*")
+    ends = F.lead(valid_from).over(Window.partitionBy(key).orderBy("_run"))
+    made = runs.withColumn(valid_to, ends).withColumn(current, F.col(valid_to).isNull()).withColumn(sk_col, version_key(key, F.col(valid_from))).select(*columns)
+    return made if rest is None else rest.unionByName(made)
+
+
 def calendar_dim(spark: SparkSession, start, end, month_names: list[str], day_names: list[str],
                  period_months: int = 2) -> DataFrame:
     """One row per day in [start, end] (inclusive); ``start``/``end`` may be

@@ -83,10 +83,12 @@ def split_by_keys(target: DataFrame, source: DataFrame, keys: list[str], null_sa
 
 def _keyed_merge(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool,
                  newer_by: str | None, coalesce_existing: bool, when_changed: list[str] | None,
-                 flag: str | None = None) -> DataFrame:
+                 flag: str | None = None, combine: dict | None = None) -> DataFrame:
     """The full outer join of two key-unique inputs with the per-column choice.
-    ``flag`` adds whether the row is new or differs from the target's (NULLs
-    equal); columns of types without equality count as different."""
+    ``combine``: column -> function of (target, source) values where both
+    sides have the row. ``flag`` adds whether the row is new or differs from
+    the target's (NULLs equal; columns of types without equality count as
+    different), and as ``<flag>_new`` whether it is new."""
     t = target.withColumn("_t_present", F.lit(True)).alias("t")
     s = source.withColumn("_s_present", F.lit(True)).alias("s")
     j = t.join(s, _cond(t, s, keys, null_safe), "full_outer")
@@ -103,7 +105,9 @@ def _keyed_merge(target: DataFrame, source: DataFrame, keys: list[str], null_saf
     for c in out_cols:
         tc = F.col(f"t.{c}") if c in target.columns else None
         sc = F.col(f"s.{c}") if c in source.columns else None
-        if sc is None:
+        if c in (combine or {}) and tc is not None and sc is not None:
+            expr = F.when(in_t & in_s, combine[c](tc, sc)).otherwise(F.coalesce(sc, tc))
+        elif sc is None:
             expr = tc
         elif tc is None:
             expr = F.when(take, sc)
@@ -118,7 +122,7 @@ def _keyed_merge(target: DataFrame, source: DataFrame, keys: list[str], null_saf
         same = [e.eqNullSafe(F.col(f"t.{c}")) if c in types and orderable(types[c]) else F.lit(False)
                 for c, e in zip(out_cols, sel, strict=True)]
         changed = ~in_t | (take & ~reduce(lambda a, b: a & b, same))
-        named.append(changed.alias(flag))
+        named += [changed.alias(flag), (~in_t).alias(f"{flag}_new")]
     return j.select(*named)
 
 

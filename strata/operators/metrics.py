@@ -152,3 +152,23 @@ def grain_safe_join(left: DataFrame, right: DataFrame, grain: list[str], left_ag
     cond = reduce(lambda a, b: a & b, [l[c].eqNullSafe(r[f"_r_{c}"]) for c in rg])
     keys = [F.when(F.col("_in_l").isNotNull(), F.col(c)).otherwise(F.col(f"_r_{c}")).alias(c) if c in rg else F.col(c) for c in grain]
     return l.join(r, cond, how).select(*keys, *left_aggs, *right_aggs)
+
+
+def distinct_sketches(df: DataFrame, grain: list[str], cols: list[str], lg_k: int = 12) -> DataFrame:
+    """Per group of ``grain``: ``n_rows`` and for each column a HyperLogLog sketch ``sketch_<col>`` of its
+    distinct values (NULL is none), to be stored and merged later without the raw rows. The relative standard
+    error is 1.04 / sqrt(2^lg_k): 1.6 % at the default, in 2 kB a group and column."""
+    sketches = [F.hll_sketch_agg(c, F.lit(lg_k)).alias(f"sketch_{c}") for c in cols]
+    return df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n_rows"), *sketches)
+
+
+def merge_sketches(sketches: DataFrame, grain: list[str], cols: list[str]) -> DataFrame:
+    """Stored sketches at a coarser ``grain`` (a subset of theirs), or of further batches at the same."""
+    merged = [F.hll_union_agg(f"sketch_{c}").alias(f"sketch_{c}") for c in cols]
+    return sketches.groupBy(*grain).agg(F.sum("n_rows").cast("long").alias("n_rows"), *merged)
+
+
+def sketch_counts(sketches: DataFrame, cols: list[str]) -> DataFrame:
+    """Sketches replaced by the estimates ``distinct_<col>``."""
+    named = {f"sketch_{c}": F.hll_sketch_estimate(f"sketch_{c}").alias(f"distinct_{c}") for c in cols}
+    return sketches.select(*[named.get(c, F.col(c)) for c in sketches.columns])

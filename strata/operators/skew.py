@@ -31,6 +31,24 @@ def skew_report(df: DataFrame, keys: list[str], hot_ratio: float = 100.0, digits
                       F.round(ratio, digits).alias("ratio_to_median"), (ratio >= F.lit(float(hot_ratio))).alias("is_hot"))
 
 
+def heavy_hitters(df: DataFrame, keys: list[str], share: float, digits: int = 6) -> DataFrame:
+    """Every key with at least ``share`` of all rows, its exact ``n_rows`` and ``share``. NULL is a key.
+
+    Each task summarises its rows in a frequent-items sketch of a size set by
+    ``share`` alone; the sketches merge to candidates that include every such
+    key (the sketch's error is below a quarter of ``share``), and a second
+    scan counts the candidates only. No shuffle grows with the number of keys.
+    """
+    size = 1 << max(6, int(16 / share - 1).bit_length())
+    mark = F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())])
+    rows = df.select(*keys, mark.alias("_h"))
+    found, total = rows.agg(F.expr(f"approx_top_k(_h, {size}, {size})"), F.count(F.lit(1))).first()
+    limit = share * total
+    marks = [r["item"] for r in found or [] if r["count"] >= limit / 2]  # at most 4 / share of them
+    counted = rows.where(F.col("_h").isin(marks) if marks else F.lit(False)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.where(F.col("n_rows") >= F.lit(limit)).withColumn("share", F.round(F.col("n_rows") / F.lit(max(total, 1)), digits))
+
+
 def salt_of(cols: list[str], salts: int) -> Column:
     """Deterministic salt in [0, salts)."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)).cast("int")

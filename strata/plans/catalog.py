@@ -19,9 +19,9 @@ from strata.functions.calendar import MONTH_NAMES_PT, WEEKDAY_NAMES_PT
 from strata.functions.keys import fingerprint, legacy_fingerprint
 from strata.operators import checks, dims, facts, history, merge, metrics, partitions, privacy, skew, state
 from strata.plans import scenarios as S
-from strata.session import scratch_path
+from strata.session import scratch_path, staged
 from strata.sources import evolve, files
-from strata.sources.table import Table
+from strata.sources.table import BrokenContract, Table
 
 Q = {}
 SQL = {}
@@ -1139,3 +1139,207 @@ def q_stream_upsert_new_checkpoint(spark, d):
         feed.where(half).write.mode("append").partitionBy("day").parquet(src)
         _stream_state(spark, src, table_path, log_path, scratch_path(spark, "stream_ckpt"))
     return Table(spark, table_path).read()
+
+
+# --------------------------------------------------------------------------
+# State of streams, widening, layered tables, late changes
+# --------------------------------------------------------------------------
+
+@query("stream_upsert_any_order", consolidate_sql(FEED_SQL))
+def q_stream_upsert_any_order(spark, d):
+    """Latest files first, re-sent windows among them, over three runs; the state has no history behind it."""
+    from strata.streaming import read_registers, stream_upsert
+    src, path, checkpoint = (scratch_path(spark, n) for n in ("landing", "state", "stream_ckpt"))
+    feed = S.events_feed(spark, d).withColumn("day", F.to_date("ts"))
+    late, middle = F.col("ts") >= S.ntz(S.BATCH3_FROM), F.col("ts") >= S.ntz(S.BATCH2_FROM)
+    for part in (late, ~middle, middle & ~late):
+        feed.where(part).write.mode("append").partitionBy("day").parquet(src)
+        stream_upsert(spark, src, FEED_SCHEMA, path, checkpoint, ["user_id"], ["value", "k"], "ts", "event_type", ["purchase"], "event_id",
+                      max_files_per_trigger=64, mode="register", buckets=8)
+    return read_registers(spark, path, ["user_id"], ["value", "k"], "ts", "event_type", "event_id")
+
+
+@query("stream_dedup", f"SELECT DISTINCT user_id, event_type, value, k, ts FROM ({FEED_SQL})")
+def q_stream_dedup(spark, d):
+    """Events that later files send again under a new id arrive once."""
+    from strata.streaming import stream_dedup
+    src, out = scratch_path(spark, "landing"), scratch_path(spark, "stream_out")
+    payload = ["user_id", "event_type", "value", "k", "ts"]
+    checkpoint = scratch_path(spark, "stream_ckpt")
+    feed = S.events_feed(spark, d).withColumn("day", F.to_date("ts"))
+    first = F.col("event_id") < S.REPLAY_ID_OFFSET
+    for part in (first, ~first):
+        feed.where(part).write.mode("append").partitionBy("day").parquet(src)
+        stream_dedup(spark, src, FEED_SCHEMA, out, checkpoint, payload, "ts", "40 days", max_files_per_trigger=64)
+    return spark.read.parquet(out).select(*payload)
+
+
+WIDE_SQL = """SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS custkey, CAST(floor(o_totalprice) AS DECIMAL(22,2)) AS amount,
+  CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS placed FROM orders WHERE o_orderdate < TIMESTAMP '1994-01-01'
+UNION ALL SELECT o_orderkey, o_custkey + 5000000000, CAST(floor(o_totalprice) * 100000 AS DECIMAL(22,2)), CAST(o_orderdate AS TIMESTAMP)
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1994-01-01' AND o_orderdate < TIMESTAMP '1996-01-01'
+UNION ALL SELECT o_orderkey, o_custkey, CAST(round(o_totalprice * 100) / 100 AS DECIMAL(22,2)), CAST(o_orderdate AS TIMESTAMP)
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'"""
+
+
+def _widening_batches(spark, d):
+    o = S.table(spark, d, "orders")
+    first, second = F.col("o_orderdate") < S.ntz("1994-01-01 00:00:00"), F.col("o_orderdate") < S.ntz("1996-01-01 00:00:00")
+    whole = F.floor("o_totalprice")
+    stamp = F.col("o_orderdate").cast("timestamp_ntz").alias("placed")
+    return [o.where(first).select("o_orderkey", F.col("o_custkey").cast("int").alias("custkey"), whole.cast("int").alias("amount"), F.to_date("o_orderdate").alias("placed")),
+            o.where(~first & second).select("o_orderkey", (F.col("o_custkey").cast("long") + F.lit(5000000000)).alias("custkey"),
+                                            (whole * 100000).cast("long").alias("amount"), stamp),
+            o.where(~second).select("o_orderkey", F.col("o_custkey").cast("int").alias("custkey"), F.col("o_totalprice").cast("decimal(12,2)").alias("amount"), stamp)]
+
+
+@query("ingest_widening", WIDE_SQL)
+def q_ingest_widening(spark, d):
+    """Int, long and decimal amounts, int and long keys, dates and timestamps: one table of the widest types."""
+    log = evolve.BatchLog(spark, scratch_path(spark, "widening_log"))
+    for i, batch in enumerate(_widening_batches(spark, d)):
+        log.append(batch, f"b{i}")
+    return log.read().drop("batch_id")
+
+
+@query("evolve_widening", WIDE_SQL)
+def q_evolve_widening(spark, d):
+    return evolve.evolve_union(*_widening_batches(spark, d))
+
+
+@query("select_nested", """SELECT o_orderkey, count(*) AS n_items, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents,
+  sum(l_partkey) AS parts, max(CASE WHEN o_orderstatus = 'F' THEN l_quantity END) AS closed, CAST(NULL AS VARCHAR) AS weight
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus""")
+def q_select_nested(spark, d):
+    """Paths through arrays of structs and maps, names in another case, and one that no batch has yet."""
+    items = F.collect_list(F.struct("l_extendedprice", F.struct(F.col("l_partkey").alias("Key")).alias("part"))).alias("items")
+    orders = S.table(spark, d, "lineitem").join(S.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    nested = orders.groupBy("o_orderkey", "o_orderstatus").agg(items, F.max("l_quantity").alias("q")).withColumn("largest", F.create_map("o_orderstatus", "q"))
+    flat = evolve.select_tolerant(nested, {"o_orderkey": "o_orderkey", "prices": "items.l_extendedprice", "keys": "Items.PART.key",
+                                           "closed": "largest.F", "weight": "items.weight"})
+    cents = F.aggregate("prices", F.lit(0).cast("long"), lambda a, x: a + F.round(x * 100).cast("long"))
+    return flat.select("o_orderkey", F.size("prices").cast("long").alias("n_items"), cents.alias("cents"),
+                       F.aggregate("keys", F.lit(0).cast("long"), lambda a, x: a + x).alias("parts"), "closed", "weight")
+
+
+@query("upsert_bucketed", UPSERT_CUSTOMER_SQL)
+def q_upsert_bucketed(spark, d):
+    t = Table(spark, scratch_path(spark, "customer_buckets"))
+    t.upsert(S.customer_load1(spark, d), ["c_custkey"], buckets=16)
+    t.upsert(S.customer_load2(spark, d), ["c_custkey"])
+    return t.read()
+
+
+LOADED_AT = ("2030-01-01 06:00:00", "2030-02-01 06:00:00", "2030-03-01 06:00:00")  # fixed values: commit times
+
+
+def _loaded(spark, d) -> Table:
+    t = Table(spark, scratch_path(spark, "customer_history"))
+    for load, at in zip((S.customer_load1, S.customer_load2, S.customer_load2), LOADED_AT, strict=True):
+        t.upsert(load(spark, d), ["c_custkey"], buckets=16, feed=True, committed_at=at)  # the third changes nothing
+    return t
+
+
+@query("table_history", f"""WITH l1 AS ({LOAD1_SQL}), l2 AS ({LOAD2_SQL})
+SELECT CAST(1 AS BIGINT) AS version, TIMESTAMP '{LOADED_AT[0]}' AS committed_at, 'upsert' AS operation, (SELECT count(*) FROM l1) AS n_inserted, CAST(0 AS BIGINT) AS n_updated
+UNION ALL SELECT 2, TIMESTAMP '{LOADED_AT[1]}', 'upsert', (SELECT count(*) FROM l2 ANTI JOIN l1 USING (c_custkey)), (SELECT count(*) FROM l2 SEMI JOIN l1 USING (c_custkey))""")
+def q_table_history(spark, d):
+    return _loaded(spark, d).history().withColumn("committed_at", F.to_utc_timestamp("committed_at", F.current_timezone()).cast("timestamp_ntz"))
+
+
+@query("table_as_of_time", LOAD1_SQL)
+def q_table_as_of_time(spark, d):
+    """The table as it was after the first load, read after the second."""
+    return _loaded(spark, d).read(as_of="2030-01-15 00:00:00")
+
+
+@query("table_changes", f"""SELECT l2.*, CASE WHEN l1.c_custkey IS NULL THEN 'insert' ELSE 'update' END AS op, CAST(2 AS BIGINT) AS version
+FROM ({LOAD2_SQL}) l2 LEFT JOIN ({LOAD1_SQL}) l1 ON l1.c_custkey = l2.c_custkey""")
+def q_table_changes(spark, d):
+    return _loaded(spark, d).changes(since=1).drop("_committed_at").withColumnsRenamed({"_op": "op", "_version": "version"})
+
+
+@query("publish_contract", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def q_publish_contract(spark, d):
+    """Contracts are counted in the writing scan; a write that breaks one is refused and leaves the table as it was."""
+    t = Table(spark, scratch_path(spark, "orders_checked"))
+    orders = S.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    contracts = {"key": "o_orderkey IS NOT NULL", "price": "o_totalprice > 0"}
+    t.publish(orders, contracts=contracts)
+    try:
+        t.publish(orders.withColumn("o_totalprice", -F.col("o_totalprice")), contracts=contracts)
+        raise AssertionError("a broken contract was published")
+    except BrokenContract:
+        return t.read()
+
+
+ASOF_FACTS = "('click', 'purchase', 'error')"
+
+
+@query("asof_hot_key", f"""WITH e AS ({SKEWED_SQL}),
+v AS (SELECT actor_id, ts AS valid_from, max(value) AS level, lead(ts) OVER (PARTITION BY actor_id ORDER BY ts) AS valid_to FROM e
+      WHERE event_type NOT IN {ASOF_FACTS} GROUP BY actor_id, ts)
+SELECT f.event_id, f.actor_id, f.ts, v.level FROM (SELECT * FROM e WHERE event_type IN {ASOF_FACTS}) f
+ASOF LEFT JOIN v ON f.actor_id = v.actor_id AND f.ts >= v.valid_from""")
+def q_asof_hot_key(spark, d):
+    """One actor has most of the facts and thousands of versions."""
+    from pyspark.sql import Window
+    e = S.skewed_events(spark, d)
+    fact = F.col("event_type").isin("click", "purchase", "error")
+    starts = e.where(~fact).groupBy("actor_id", F.col("ts").alias("valid_from")).agg(F.max("value").alias("level"))
+    # versions of half-open validity; their end is the next one's start
+    versions = starts.withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy("actor_id").orderBy("valid_from")))
+    return facts.asof_scan(e.where(fact).select("event_id", "actor_id", "ts"), versions, "actor_id", "ts", ["level"])
+
+
+LATE_DATE = "1997-06-01"  # fixed value: effective date of the load that comes last
+
+
+LATE_SQL = f"""WITH o AS (SELECT c_custkey, c_mktsegment, DATE '1900-01-01' AS d FROM ({V1_SQL})
+  UNION ALL SELECT c_custkey, c_mktsegment, DATE '{S.EFFECTIVE_DATE}' FROM ({V2_SQL})
+  UNION ALL SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN 'PREMIUM' ELSE c_mktsegment END, DATE '{LATE_DATE}' FROM customer),
+n AS (SELECT *, coalesce(c_mktsegment <> lag(c_mktsegment) OVER w, true) AS s FROM o WINDOW w AS (PARTITION BY c_custkey ORDER BY d)),
+r AS (SELECT *, sum(s::INT) OVER (PARTITION BY c_custkey ORDER BY d) AS run FROM n),
+g AS (SELECT c_custkey, run, any_value(c_mktsegment) AS c_mktsegment, min(d) AS valid_from, count(*) AS n_seen FROM r GROUP BY c_custkey, run)
+SELECT c_custkey, c_mktsegment, valid_from, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current, n_seen FROM g
+WINDOW w AS (PARTITION BY c_custkey ORDER BY run)"""
+
+
+@query("scd2_late_change", LATE_SQL)
+def q_scd2_late_change(spark, d):
+    """The load of the middle date comes last and splits the intervals it falls into."""
+    c = S.table(spark, d, "customer")
+    late = c.withColumn("c_mktsegment", F.when(F.col("c_acctbal") > 5000, F.lit("PREMIUM")).otherwise(F.col("c_mktsegment")))
+    dim = None
+    for load, at in ((S.customer_v1(spark, d), "1900-01-01"), (S.customer_v2(spark, d), S.EFFECTIVE_DATE), (late, LATE_DATE)):
+        dim = staged(dims.scd2_merge(dim, load, "c_custkey", ["c_mktsegment"], at), "dim-late")
+    return dim.select("c_custkey", "c_mktsegment", "valid_from", "valid_to", "is_current", F.size("seen_on").cast("long").alias("n_seen"))
+
+
+@query("check_rerun", f"""WITH a AS ({DAILY_SQL}) SELECT day, count(*) AS rows_first, count(*) * CASE WHEN day = DATE '{S.RUN_DAY}' THEN 2 ELSE 1 END AS rows_second,
+  day NOT IN (DATE '{S.RUN_DAY}', DATE '{S.REWORK_DAY}') AS same FROM a GROUP BY day""")
+def q_check_rerun(spark, d):
+    """A second run that repeats the rows of one day and moves a value of another."""
+    first = S.daily_totals(S.table(spark, d, "events"))
+    again = F.col("day") == F.lit(S.RUN_DAY).cast("date")
+    moved = F.when(F.col("day") == F.lit(S.REWORK_DAY).cast("date"), F.col("n_events") + 1).otherwise(F.col("n_events"))
+    second = first.unionByName(first.where(again)).withColumn("n_events", moved).repartition(7)
+    return checks.check_rerun(first, second, ["day"])
+
+
+@query("heavy_hitters", f"""SELECT actor_id, count(*) AS n_rows, round(count(*) / (SELECT count(*) FROM events), 6) AS share FROM ({SKEWED_SQL})
+GROUP BY 1 HAVING count(*) >= 0.002 * (SELECT count(*) FROM events)""")
+def q_heavy_hitters(spark, d):
+    return skew.heavy_hitters(S.skewed_events(spark, d), ["actor_id"], 0.002)
+
+
+@query("distinct_sketches", """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_customers, TRUE AS within_bound
+FROM orders GROUP BY 1""")
+def q_distinct_sketches(spark, d):
+    """Monthly sketches merged to years, against the exact counts: within four standard errors."""
+    o = S.table(spark, d, "orders").withColumn("order_year", F.year("o_orderdate")).withColumn("order_month", F.month("o_orderdate"))
+    monthly = staged(metrics.distinct_sketches(o, ["order_year", "order_month"], ["o_custkey"]), "monthly-sketches")
+    yearly = metrics.sketch_counts(metrics.merge_sketches(monthly, ["order_year"], ["o_custkey"]), ["o_custkey"])
+    exact = o.groupBy("order_year").agg(F.countDistinct("o_custkey").alias("n_customers"))
+    error = F.abs(F.col("distinct_o_custkey") - F.col("n_customers")) / F.col("n_customers")
+    return yearly.join(exact, "order_year").select("order_year", "n_rows", "n_customers", (error <= 4 * 1.04 / 64).alias("within_bound"))

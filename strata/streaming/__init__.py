@@ -1,5 +1,5 @@
 """Structured Streaming entry points."""
 
-from strata.streaming.ingest import stream_ingest, stream_upsert
+from strata.streaming.ingest import read_registers, stream_dedup, stream_ingest, stream_upsert
 
-__all__ = ["stream_ingest", "stream_upsert"]
+__all__ = ["read_registers", "stream_dedup", "stream_ingest", "stream_upsert"]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.register import REGISTER, event_register, merge_registers, register_state
 from strata.operators.state import consolidate_state
 from strata.session import staged
 from strata.sources.evolve import BatchLog
@@ -47,7 +48,7 @@ def stream_ingest(spark: SparkSession, src_dir: str, schema: T.StructType, out_d
 def stream_upsert(spark: SparkSession, src_dir: str, schema: T.StructType, table_path: str, checkpoint: str,
                   keys: list[str], attrs: list[str], time: str, source: str, ranked: list, id_col: str,
                   log_path: str | None = None, fmt: str = "parquet", options: dict | None = None,
-                  max_files_per_trigger: int | None = None, mode: str = "recompute") -> int:
+                  max_files_per_trigger: int | None = None, mode: str = "recompute", buckets: int | None = None) -> int:
     """Keep a per-key state table current from a stream of events.
 
     Each micro-batch is appended to a bronze batch log (one directory per
@@ -68,10 +69,15 @@ def stream_upsert(spark: SparkSession, src_dir: str, schema: T.StructType, table
     (``newer_by=time`` keeps the later winner, ``coalesce_existing`` carries
     attributes the batch lacks): no history scan, exact when each key's
     events arrive in time order, which is what an append-only feed with a
-    watermark upstream delivers.
+    watermark upstream delivers. ``mode="register"`` needs neither: the table
+    holds a mergeable register per key (``operators.register``), so a batch is
+    merged into the keys it touches and the result is that of all events at
+    once in any order of arrival, with no log. Read it with
+    ``read_registers``; ``buckets`` (on the first run) keeps the cost of a
+    batch to the buckets of its keys.
     """
     table = Table(spark, table_path)
-    if mode not in ("recompute", "incremental"):
+    if mode not in ("recompute", "incremental", "register"):
         raise ValueError(mode)
     if mode == "recompute" and not log_path:
         raise ValueError("recompute mode needs log_path for the bronze history")
@@ -86,6 +92,10 @@ def stream_upsert(spark: SparkSession, src_dir: str, schema: T.StructType, table
         query_id = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
         entry = f"q{query_id.replace('-', '')}e{epoch_id:09d}"
         events = batch.select(id_col, *keys, *attrs, time, source)
+        if mode == "register":
+            registers = event_register(events, keys, attrs, time, source, ranked, id_col)
+            table.upsert(registers, keys, buckets=buckets, combine={REGISTER: lambda old, new: merge_registers(old, new, len(attrs))})
+            return
         if log is not None:
             log.append(events, entry)
         if mode == "incremental":
@@ -101,3 +111,29 @@ def stream_upsert(spark: SparkSession, src_dir: str, schema: T.StructType, table
     df = _source(spark, src_dir, schema, fmt, options, max_files_per_trigger)
     df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return ran
+
+
+def read_registers(spark: SparkSession, table_path: str, keys: list[str], attrs: list[str], time: str, source: str, id_col: str) -> DataFrame:
+    """The state kept by ``stream_upsert(mode="register")``, as ``consolidate_state`` gives it."""
+    return register_state(Table(spark, table_path).read(), keys, attrs, time, source, id_col)
+
+
+def stream_dedup(spark: SparkSession, src_dir: str, schema: T.StructType, out_dir: str, checkpoint: str, keys: list[str], time: str, delay: str,
+                 fmt: str = "parquet", options: dict | None = None, partition_by: list[str] | None = None,
+                 max_files_per_trigger: int | None = None) -> int:
+    """Append new events to a Parquet directory, each of them once, although later files send some again.
+
+    Events are the same that agree on ``keys``; the first to arrive stays. The
+    state holds the keys of the last ``delay`` behind the watermark on
+    ``time`` (a timestamp) and no others, so it is bounded by the traffic of
+    that span; an event sent again within it is dropped. Returns the number
+    of micro-batches that ran."""
+    df = _source(spark, src_dir, schema, fmt, options, max_files_per_trigger)
+    # watermarks need a timestamp with a zone
+    once = df.withColumn("_event_time", F.col(time).cast("timestamp")).withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(keys).drop("_event_time")
+    w = once.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    before = committed_epochs(spark, checkpoint)
+    w.start(out_dir).awaitTermination()
+    return committed_epochs(spark, checkpoint) - before
