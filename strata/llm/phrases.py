@@ -137,12 +137,10 @@ class Slicer:
     def of(self, text: bytes):
         """(slice, starts, ends, hashes, follows, carried): ``follows`` tells of each word whether it goes on
         the piece of the word before; the first ``carried`` words belonged to the slice before."""
-        text, at, carried = text.lower().translate(_TABLE), 0, 0
-        while at < len(text):
-            end = len(text)
-            if end - at > SLICE_BYTES:
-                gap = _GAP.search(text, at + SLICE_BYTES)
-                end = gap.start() if gap else end
+        text, at, done, carried = text.lower().translate(_TABLE), 0, 0, 0
+        while done < len(text):
+            gap = _GAP.search(text, max(at + SLICE_BYTES, done + 1))  # beyond the slice before, whatever it carries
+            end = gap.start() if gap else len(text)
             part = text[at:end]
             b = np.frombuffer(part, np.uint8)
             inside = np.concatenate([[False], (b != 32) & (b != 10), [False]])
@@ -155,9 +153,7 @@ class Slicer:
             follows = np.concatenate([[False], piece[1:] == piece[:-1]])[:len(starts)]
             if len(starts) > carried:
                 yield part, starts, ends, hashes, follows, carried
-            if end == len(text):
-                return
-            carried = min(self.overlap, len(starts))
+            carried, done = min(self.overlap, len(starts)), end
             at = at + int(starts[-carried]) if carried else end
 
 

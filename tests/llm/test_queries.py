@@ -36,7 +36,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_all_are_registered(spark):
     assert set(Q) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in Q if n.startswith("op")) == list(range(1, 11)) and "pipeline" in Q
+    assert sorted(int(n[2:].split("_")[0]) for n in Q if n.startswith("op")) == list(range(1, 14)) and "pipeline" in Q
 
 
 @pytest.mark.parametrize("name", ["op2_toxicity", "op3_simhash", "op6_secrets", "op8_quality"])
