@@ -1193,22 +1193,30 @@ def _widening_batches(spark, d):
             o.where(~second).select("o_orderkey", F.col("o_custkey").cast("int").alias("custkey"), F.col("o_totalprice").cast("decimal(12,2)").alias("amount"), stamp)]
 
 
-@query("ingest_widening", WIDE_SQL)
+WIDE_CENTS_SQL = f"SELECT o_orderkey, custkey, CAST(amount * 100 AS BIGINT) AS cents, placed FROM ({WIDE_SQL})"
+
+
+def _in_cents(df):
+    assert df.schema["amount"].dataType == T.DecimalType(22, 2)
+    return df.select("o_orderkey", "custkey", (F.col("amount") * 100).cast("long").alias("cents"), "placed")
+
+
+@query("ingest_widening", WIDE_CENTS_SQL)
 def q_ingest_widening(spark, d):
     """Int, long and decimal amounts, int and long keys, dates and timestamps: one table of the widest types."""
     log = evolve.BatchLog(spark, scratch_path(spark, "widening_log"))
     for i, batch in enumerate(_widening_batches(spark, d)):
         log.append(batch, f"b{i}")
-    return log.read().drop("batch_id")
+    return _in_cents(log.read())
 
 
-@query("evolve_widening", WIDE_SQL)
+@query("evolve_widening", WIDE_CENTS_SQL)
 def q_evolve_widening(spark, d):
-    return evolve.evolve_union(*_widening_batches(spark, d))
+    return _in_cents(evolve.evolve_union(*_widening_batches(spark, d)))
 
 
-@query("select_nested", """SELECT o_orderkey, count(*) AS n_items, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents,
-  sum(l_partkey) AS parts, max(CASE WHEN o_orderstatus = 'F' THEN l_quantity END) AS closed, CAST(NULL AS VARCHAR) AS weight
+@query("select_nested", """SELECT o_orderkey, count(*) AS n_items, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
+  CAST(sum(l_partkey) AS BIGINT) AS parts, max(CASE WHEN o_orderstatus = 'F' THEN l_quantity END) AS closed, CAST(NULL AS VARCHAR) AS weight
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus""")
 def q_select_nested(spark, d):
     """Paths through arrays of structs and maps, names in another case, and one that no batch has yet."""
