@@ -55,6 +55,42 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def plain(docs: DataFrame, *known: str) -> DataFrame:
+    """``docs`` whose columns but the ``known`` ones are named by their position, so
+    that no name of a caller's column can clash with one of an operator."""
+    return docs.toDF(*[c.lower() if c.lower() in known else f"_{i}" for i, c in enumerate(docs.columns)])
+
+
+def let(value, use):
+    """``use(value)``, where ``value`` is computed once however often ``use`` reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+RUN = 256  # values that a running total appends one by one
+
+
+def running(values, step=lambda a, b: a + b):
+    """Array of non-negative longs -> its running totals under ``step`` (addition or greatest).
+
+    Totals within runs of ``RUN`` values and over the runs, so an array costs
+    about its length instead of the square of it.
+    """
+    def totals(xs):
+        start = F.array().cast("array<bigint>")
+        return F.aggregate(xs, start, lambda a, x: F.concat(a, F.array(step(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0).cast("long")), x))))
+
+    def joined(inner):
+        return let(F.struct(inner.alias("runs"), totals(F.transform(inner, lambda r: F.element_at(r, -1))).alias("ends")), lambda s: F.flatten(
+            F.transform(s["runs"], lambda r, i: let(F.coalesce(F.try_element_at(s["ends"], F.nullif(i, F.lit(0))), F.lit(0).cast("long")),
+                                                    lambda before: F.transform(r, lambda x: step(before, x))))))
+
+    def cut(xs):
+        starts = F.sequence(F.lit(1), F.greatest(F.size(xs), F.lit(1)), F.lit(RUN))
+        return let(F.transform(starts, lambda at: totals(F.slice(xs, at, RUN))), joined)
+
+    return F.when(F.size(values) > 0, let(values, cut)).otherwise(F.array().cast("array<bigint>"))
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows that no model may learn from: crc32 of the id's digits mod 5 is 0."""
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0

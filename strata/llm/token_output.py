@@ -249,6 +249,20 @@ def read_slots(manifest: DataFrame, path: str, stride: int, start: int = 0) -> D
     return spread(wanted).mapInArrow(run, "slot long, ids_sha256 string")
 
 
+def read_back(sequences: DataFrame, manifest: DataFrame, path: str, stride: int) -> DataFrame:
+    """``sequences`` with ids_sha256, the digest of the record as read from its shard.
+
+    A sequence without a record, a record without a sequence and a record that
+    differs from what was written raise. Both sides are shuffled by slot: the
+    size of what is read cannot be told from that of the manifest, and a full
+    join broadcasts neither.
+    """
+    rows = sequences.join(read_slots(manifest, path, stride), "slot", "full")
+    same = F.col("sha256").eqNullSafe(F.col("ids_sha256"))
+    wrong = F.raise_error(F.concat(F.lit("the record of slot "), F.col("slot").cast("string"), F.lit(" is lost or differs"))).cast("string")
+    return rows.withColumn("ids_sha256", F.when(same, F.col("ids_sha256")).otherwise(wrong))
+
+
 def materialise(docs: DataFrame, path: str | None = None, stride: int = 1024, shard_sequences: int = 16_384, key: int = 7,
                 vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, str]:
     """Write the shards of ``docs``; returns (sequences, manifest, path).

@@ -2,6 +2,7 @@ import hashlib
 import os
 
 import numpy as np
+import pytest
 
 from strata.llm import token_output
 from tests.llm.fixtures import frame, odd_documents
@@ -78,3 +79,20 @@ def test_order_depends_on_the_key_alone(spark):
 def test_empty(spark):
     sequences, manifest, path = token_output.materialise(frame(spark, []))
     assert sequences.count() == 0 and manifest.count() == 0 and token_output.read_slots(manifest, path, 1024).count() == 0
+
+
+def test_lost_and_changed_records_raise(spark, tmp):
+    docs = frame(spark, odd_documents())
+    sequences, manifest, path = token_output.materialise(docs, f"file://{tmp}/t", 64, 50)
+    read = token_output.read_back(sequences, manifest, path, 64)
+    assert read.count() == sequences.count() and read.where("sha256 <> ids_sha256").count() == 0
+    assert "Broadcast" not in read._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="is lost or differs"):
+        token_output.read_back(sequences, manifest.where("shard <> 1"), path, 64).collect()
+    name = f"{tmp}/t/{token_output.shard_name(0)}"
+    data = bytearray(open(name, "rb").read())
+    data[5] ^= 1
+    with open(name, "wb") as f:
+        f.write(data)
+    with pytest.raises(Exception, match="is lost or differs"):
+        token_output.read_back(sequences, manifest, path, 64).collect()
