@@ -31,7 +31,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import let, running, staged
 
 # fixed values: the rules
 NAMES = ("password", "passwd", "secret", "token", "api_?key")
@@ -53,17 +53,24 @@ SPAN = "array<struct<start:bigint,kind:int,end:bigint,text:string>>"
 
 def _spans(found: str, pieces, kind: int, keep):
     """Matches in ``found`` and the pieces around them -> array of (start, kind, end, text)."""
-    pairs = F.arrays_zip(F.col(found).alias("m"), F.slice(pieces, 1, F.size(found)).alias("p"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
+    lengths = F.zip_with(F.col(found), F.slice(pieces, 1, F.size(found)), lambda m, p: (F.length(m) + F.length(p)).cast("long"))
+    spans = F.zip_with(F.col(found), running(lengths), lambda m, end: F.struct(
+        (end - F.length(m)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), m.alias("text")))
+    return F.when(F.size(found) > 0, F.filter(spans, lambda s: keep(s["text"]))).otherwise(F.array().cast(SPAN))
 
-    def step(state, x):
-        start = state["at"] + F.length(x["p"])
-        end = start + F.length(x["m"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["m"].alias("text"))
-        return F.struct(end.alias("at"), F.when(keep(x["m"]), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
-    walked = F.aggregate(pairs, zero, step, lambda state: state["out"])
-    return F.when(F.size(found) > 0, walked).otherwise(F.array().cast(SPAN))
+def _outside(runs, base):
+    """The ``runs`` that lie in no span of ``base``: in the order of their starts, those
+    that end behind the furthest end of the spans begun before."""
+    row = lambda s, which: F.struct(s["start"].alias("start"), F.lit(which).alias("which"), s["end"].alias("end"), s.alias("span"))
+    both = F.sort_array(F.concat(F.transform(base, lambda s: row(s, 0)), F.transform(runs, lambda s: row(s, 1))))
+
+    def beyond(rows):
+        furthest = running(F.transform(rows, lambda r: F.when(r["which"] == 0, r["end"]).otherwise(F.lit(0).cast("long"))), F.greatest)
+        free = F.zip_with(rows, furthest, lambda r, end: F.when((r["which"] == 1) & (r["end"] > end), r["span"]))
+        return F.filter(free, lambda s: s.isNotNull())
+
+    return F.when(F.size(base) > 0, let(both, beyond)).otherwise(runs)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,8 +82,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     for k, (pattern, keep) in enumerate(rules):
         rows = rows.withColumn(f"s{k}", _spans(f"m{k}", F.split("text", pattern, -1), k, keep or (lambda m: F.lit(True))))
     rows = rows.select("id", F.sort_array(F.concat("s0", "s1", "s2")).alias("base"), F.col("s3").alias("runs"))
-    outside = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])))
-    return rows.select("id", "base", outside.alias("candidates"))
+    return rows.select("id", "base", _outside(F.col("runs"), F.col("base")).alias("candidates"))
 
 
 def _upper_tail(z):

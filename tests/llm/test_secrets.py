@@ -1,6 +1,8 @@
 import base64
+import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -66,3 +68,40 @@ def test_cut_is_the_step_up_rule(spark):
 
 def test_empty(spark):
     assert secret_scan.scan(frame(spark, [])).count() == 0
+
+
+def test_work_is_linear_in_the_matches(spark):
+    n = 200_000
+    text = "token=abcdefgh " * (n // 2) + "ABCDEFGHIJKLMNOPQRST0123 " * (n // 2)
+    df = frame(spark, [doc(1, text)]).cache()
+    df.count()
+    start = time.monotonic()
+    r = secret_scan.find(df).selectExpr("size(base) AS b", "size(candidates) AS c", "base[99999].start AS s", "candidates[99999].end AS e").first()
+    assert tuple(r) == (n // 2, n // 2, 15 * 99_999, len(text) - 1)
+    assert time.monotonic() - start < 10
+
+
+def test_candidates_lie_outside_the_base_spans(spark):
+    rng = random.Random(11)
+    words = [lambda: "token=" + rng.choice("abXY12") * rng.randint(5, 30), lambda: rng.randbytes(rng.randint(9, 40)).hex(),
+             lambda: "AKIA" + "Q7" * rng.randint(4, 20), lambda: base64.b64encode(rng.randbytes(rng.randint(9, 60))).decode(), lambda: "word"]
+    rows = [doc(i, rng.choice([" ", "", "+"]).join(rng.choice(words)() for _ in range(rng.randint(0, 700)))) for i in range(40)]
+    for r, (_, text, *_) in zip(secret_scan.find(frame(spark, rows)).orderBy("id").collect(), rows, strict=True):
+        runs = [(m.start(), m.end()) for m in re.finditer(secret_scan.CANDIDATE, text)]
+        assert [(s["start"], s["kind"], s["end"]) for s in r["base"]] == brute(text)
+        assert [(s["start"], s["end"]) for s in r["candidates"]] == [x for x in runs if not any(a <= x[0] and x[1] <= b for a, _, b in brute(text))]
+
+
+def test_query_matches_brute_force(spark):
+    from strata.llm import queries
+
+    d = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.Q["op6_secrets"](spark, d).collect()
+    assert {r["doc_id"] for r in got} == set(texts)
+    for r in got:
+        base = [(s, secret_scan.KINDS[k], e) for s, k, e in brute(texts[r["doc_id"]])]
+        said = ",".join(f"{k}:{s}:{e}" for s, k, e in base)
+        assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[1] == k for x in base) for k in secret_scan.KINDS[:3]]
+        assert set(filter(None, said.split(","))) <= set(r["spans"].split(","))
