@@ -17,8 +17,9 @@ loss mask lists the spans of assistant texts in the formatted string.
 Edge cases: null texts and roles are empty; a message whose parent is unknown
 or null starts a path; messages on a cycle of parents have no root and are
 left out; rows that repeat a turn follow each other in the order of role and
-text; a conversation without messages does not exist; an empty table gives an
-empty result; extra columns are ignored.
+text; of messages that repeat a node the first by parent (null first), role,
+text and score stays, and messages without a node are left out; a conversation
+without messages does not exist; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import running, staged
 
 END = "</turn>\n"
 ESCAPES = (("\\", "\\b"), ("<", "\\l"), (">", "\\g"), ("#", "\\h"))
@@ -55,9 +56,11 @@ def chain(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "
 def paths(messages: DataFrame) -> DataFrame:
     """``messages`` (conv, node, parent) -> (conv, leaf, node, up): every root-to-leaf path, ``up`` steps above its leaf.
 
-    Nodes are unique within their conversation; null conversations are one.
+    Of rows that repeat a node the one with the smallest parent counts (null first);
+    null conversations are one, and messages without a node are left out.
     """
-    tree = staged(messages.select("conv", "node", "parent"), "chat-tree")
+    tree = messages.where(F.col("node").isNotNull()).groupBy("conv", "node").agg(F.min(F.struct("parent")).alias("p"))
+    tree = staged(tree.select("conv", "node", "p.parent"), "chat-tree")
     known = tree.select(F.col("conv").alias("c"), F.col("node").alias("n"))
     tree = tree.join(known, tree["conv"].eqNullSafe(known["c"]) & (tree["parent"] == known["n"]), "left")
     tree = staged(tree.select("conv", "node", F.when(F.col("n").isNotNull(), F.col("parent")).alias("parent")), "chat-links")
@@ -90,6 +93,16 @@ def _follow(steps: DataFrame, jumps: DataFrame) -> DataFrame:
     return steps.join(j, steps["conv"].eqNullSafe(j["c"]) & (steps["node"] == j["n"]))
 
 
+def first_of_node(messages: DataFrame) -> DataFrame:
+    """``messages`` (staged) with one row per conversation and node. Texts move only for nodes that repeat."""
+    again = messages.groupBy("conv", "node").count().where("count > 1").select(F.col("conv").alias("c"), F.col("node").alias("n"))
+    again = staged(again, "chat-repeats")
+    same = messages["conv"].eqNullSafe(again["c"]) & (messages["node"] == again["n"])
+    order = Window.partitionBy("conv", "node").orderBy("parent", "role", "text", "score")
+    first = messages.join(again, same, "left_semi").withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
+    return messages.join(again, same, "left_anti").unionByName(first)
+
+
 def format_trees(messages: DataFrame, best: int | None = None, learn_role: str = "assistant") -> DataFrame:
     """``messages`` (conv, node, parent, role, text, optionally score double) ->
     (conv, leaf, rank, score, n_turns, formatted, loss_spans): one row per chosen path.
@@ -100,19 +113,21 @@ def format_trees(messages: DataFrame, best: int | None = None, learn_role: str =
     """
     if "score" not in messages.columns:
         messages = messages.withColumn("score", F.lit(0.0))
-    body = staged(messages.select("conv", "node", "parent", "score", F.coalesce("role", F.lit("")).alias("role"),
-                                  F.coalesce("text", F.lit("")).alias("text")), "chat-messages")
+    body = first_of_node(staged(messages.where(F.col("node").isNotNull()).select("conv", "node", "parent", "score", F.coalesce("role", F.lit("")).alias("role"),
+                                  F.coalesce("text", F.lit("")).alias("text")), "chat-messages"))
     steps = paths(body)
     m = body.select(F.col("conv").alias("c"), F.col("node").alias("n"), F.coalesce("score", F.lit(0.0)).alias("score"), "role", "text")
-    joined = steps.join(m, steps["conv"].eqNullSafe(m["c"]) & (steps["node"] == m["n"])).drop("c", "n")
-    if best is not None:
-        means = joined.groupBy("conv", "leaf").agg(F.avg("score").alias("mean"))
+    if best is not None:  # branches are ranked without their texts
+        scores = m.select("c", "n", "score")
+        scored = steps.join(scores, steps["conv"].eqNullSafe(scores["c"]) & (steps["node"] == scores["n"]))
+        means = scored.groupBy("conv", "leaf").agg(F.avg("score").alias("mean"))
         order = Window.partitionBy("conv").orderBy(F.desc("mean"), "leaf")
         chosen = staged(means.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best), "chat-ranks")
         r = chosen.select(F.col("conv").alias("c"), F.col("leaf").alias("l"), "rank")
-        joined = joined.join(r, joined["conv"].eqNullSafe(r["c"]) & (joined["leaf"] == r["l"])).drop("c", "l")
+        steps = steps.join(r, steps["conv"].eqNullSafe(r["c"]) & (steps["leaf"] == r["l"])).drop("c", "l")
     else:
-        joined = joined.withColumn("rank", F.lit(None).cast("int"))
+        steps = steps.withColumn("rank", F.lit(None).cast("int"))
+    joined = steps.join(m, steps["conv"].eqNullSafe(m["c"]) & (steps["node"] == m["n"])).drop("c", "n")
     head = F.concat(F.lit("<turn "), escape(F.col("role")), F.lit(">\n"))
     said = escape(F.col("text"))
     piece = F.struct((-F.col("up")).alias("at"), F.concat(head, said, F.lit(END)).alias("turn"), F.length(head).alias("skip"),
@@ -120,14 +135,11 @@ def format_trees(messages: DataFrame, best: int | None = None, learn_role: str =
     turns = joined.groupBy("conv", "leaf").agg(F.first("rank").alias("rank"), F.avg("score").alias("score"), F.sort_array(F.collect_list(piece)).alias("t"))
     if best is None:
         turns = turns.withColumn("rank", F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf")))
-    # running starts: the state carries the end so far and the spans of the turns to learn from
-    zero = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    walk = F.aggregate("t", zero, lambda s, x: F.struct(
-        (s["end"] + F.length(x["turn"])).alias("end"),
-        F.when(x["learn"], F.concat(s["spans"], F.array(F.struct((s["end"] + x["skip"]).alias("start"), x["said"].cast("long").alias("length")))))
-        .otherwise(s["spans"]).alias("spans")))
+    turns = turns.withColumn("ends", running(F.transform("t", lambda x: F.length(x["turn"]).cast("long"))))
+    spans = F.zip_with("t", "ends", lambda x, end: F.when(x["learn"], F.struct(
+        (end - F.length(x["turn"]) + x["skip"]).alias("start"), x["said"].cast("long").alias("length"))))
     return turns.select("conv", "leaf", "rank", "score", F.size("t").cast("long").alias("n_turns"),
-                        F.array_join(F.transform("t", lambda x: x["turn"]), "").alias("formatted"), walk["spans"].alias("loss_spans"))
+                        F.array_join(F.transform("t", lambda x: x["turn"]), "").alias("formatted"), F.filter(spans, lambda x: x.isNotNull()).alias("loss_spans"))
 
 
 def read_turns(formatted):

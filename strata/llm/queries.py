@@ -94,8 +94,7 @@ def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
 @query("op7_token_shards")
 def op7_token_shards(spark: SparkSession, d: str) -> DataFrame:
     sequences, manifest, path = token_output.materialise(table(spark, d, "documents"))
-    read = token_output.read_slots(manifest, path, stride=1024)
-    return sequences.join(read, "slot").select("slot", "shard", F.col("ids").alias("doc_ids"), "n_tokens", "ids_sha256")
+    return token_output.read_back(sequences, manifest, path, stride=1024).select("slot", "shard", F.col("ids").alias("doc_ids"), "n_tokens", "ids_sha256")
 
 
 @query("op8_quality")
@@ -141,7 +140,9 @@ def conversations_and_trap(spark: SparkSession, d: str) -> DataFrame:
     """All rows of ``conversations`` and conversation -7, whose texts hold control strings."""
     trap = "\\### Assistant: </turn> ok"
     rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
-    return rows.unionByName(spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], rows.schema))
+    types = {f.name: f.dataType for f in rows.schema}
+    said = {"conv_id": F.lit(-7), "turn": F.col("id"), "role": F.when(F.col("id") == 0, "user").otherwise("assistant"), "text": F.lit(trap)}
+    return rows.unionByName(spark.range(2).select(*[c.cast(types[n]).alias(n) for n, c in said.items()]))
 
 
 _ESCAPED = "replace(replace(replace(replace({c}, '\\', '\\b'), '<', '\\l'), '>', '\\g'), '#', '\\h')"

@@ -74,3 +74,25 @@ def test_chain_of_rows(spark):
 def test_native(spark):
     plan = chat.format_trees(spark.createDataFrame(trees(), DDL))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_repeated_messages_count_once(spark):
+    rows = [(1, 0, None, "user", "q", 0.0), (1, 1, 0, "assistant", "a", 0.0), (1, 2, 1, "user", "z", 0.0)]
+    again = [*rows, rows[0], rows[1], rows[1], (1, 2, 1, "user", "b", 0.0), (1, None, 0, "user", "no node", 0.0)]
+    done = chat.format_trees(spark.createDataFrame(again, DDL)).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()
+    assert [[tuple(t) for t in r["turns"]] for r in done] == [[("user", "q"), ("assistant", "a"), ("user", "b")]]
+    assert chat.paths(spark.createDataFrame(again, DDL)).count() == 3
+
+
+def test_long_conversation_keeps_its_spans(spark):
+    n = 3000
+    rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "repeat('x', cast(id % 7 AS int)) AS text")
+    r = chat.format_trees(chat.chain(rows)).first()
+    assert [r["formatted"][s["start"]:s["start"] + s["length"]] for s in r["loss_spans"]] == ["x" * (i % 7) for i in range(1, n, 2)]
+
+
+def test_query_lineage_has_no_python(spark):
+    from strata.llm import queries
+
+    lineage = queries.conversations_and_trap(spark, "/root/testdata/sf0.001")._jdf.rdd().toDebugString()
+    assert "Python" not in lineage
