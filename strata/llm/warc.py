@@ -18,7 +18,8 @@ The same rows give the same files, byte for byte.
 
 Edge cases: null payloads are empty and null addresses become ``urn:key:KEY``;
 control characters and blanks in addresses are percent-coded; rows without a
-key are written as responses and never referred to; of rows that repeat key
+key are written as responses, never referred to and dealt to the shards by
+their digest; every record has an id of its own; of rows that repeat key
 and payload the first is the response and the others revisit it; payloads
 below ``min_dedup`` bytes are always responses; an empty table leaves an empty
 manifest; extra columns are ignored.
@@ -56,8 +57,10 @@ def _digest(data: bytes) -> str:
     return "sha256:" + hashlib.sha256(data).hexdigest()
 
 
-def _record_id(key, digest: str) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{key}/{digest}'.encode()).digest()[:16], version=5)}>"
+def _record_id(key, digest: str, nth: int = 0) -> str:
+    """Id of the ``nth`` record with this key and payload."""
+    name = f"{key}/{digest}" + (f"/{nth}" if nth else "")
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(name.encode()).digest()[:16], version=5)}>"
 
 
 def _address(url: str | None, key) -> str:
@@ -66,11 +69,11 @@ def _address(url: str | None, key) -> str:
     return "".join(c if ord(c) > 32 and ord(c) != 127 else f"%{ord(c):02X}" for c in url)
 
 
-def record(key, url: str | None, payload: bytes, digest: str, first_key=None) -> bytes:
+def record(key, url: str | None, payload: bytes, digest: str, first_key=None, nth: int = 0) -> bytes:
     """One WARC/1.1 record; a revisit of ``first_key``'s response if that is given."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if first_key is not None else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'response' if first_key is None else 'revisit'}", f"WARC-Record-ID: {_record_id(key, digest)}",
+    head = ["WARC/1.1", f"WARC-Type: {'response' if first_key is None else 'revisit'}", f"WARC-Record-ID: {_record_id(key, digest, nth)}",
             f"WARC-Date: {DATE}", f"WARC-Target-URI: {_address(url, key)}", "Content-Type: application/http; msgtype=response"]
     if first_key is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
@@ -115,7 +118,7 @@ def _writer(path: str, roll_bytes: int):
         from pyarrow import fs as pafs
 
         store, root = pafs.FileSystem.from_uri(path)
-        state, done, last = None, [], (None, None)
+        state, done, last, nth = None, [], None, 0
 
         def begin(shard, number):
             temporary = f"_temporary-{shard:08d}-{number:04d}-{uuid.uuid4().hex}"
@@ -138,11 +141,11 @@ def _writer(path: str, roll_bytes: int):
                     close(state)
                     state = begin(r["shard"], number)
                 key, first = r["key"], r["first_key"]
-                again = key is not None and first == key and last == (key, r["digest"])
-                refers = first if first is not None and key is not None and (first != key or again) else None
+                nth = nth + 1 if last == (key, r["digest"]) else 0  # equal keys lie together, wherever a file ends
+                refers = first if first is not None and key is not None and (first != key or nth) else None
                 last = key, r["digest"]
                 squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
-                data = squeeze.compress(record(key, r["url"], r["payload"], r["digest"], refers)) + squeeze.flush()
+                data = squeeze.compress(record(key, r["url"], r["payload"], r["digest"], refers, nth)) + squeeze.flush()
                 state["out"].write(data), state["sha"].update(data)
                 state["records"], state["bytes"] = state["records"] + 1, state["bytes"] + len(data)
             if done:
@@ -187,10 +190,10 @@ def write(pages: DataFrame, path: str | None = None, key_col: str = "page_id", u
     bounds = np.array(_bounds(narrow, shard_bytes), np.int64)
 
     @F.pandas_udf("long")
-    def shard_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.where(key.isna(), 0, np.searchsorted(bounds, key.fillna(0).to_numpy(np.int64), side="right")))
+    def shard_of(key: pd.Series, spread_over: pd.Series) -> pd.Series:
+        return pd.Series(np.where(key.isna(), spread_over, np.searchsorted(bounds, key.fillna(0).to_numpy(np.int64), side="right")))
 
-    dealt = rows.join(winners, "digest", "left").withColumn("shard", shard_of("key"))
+    dealt = rows.join(winners, "digest", "left").withColumn("shard", shard_of("key", F.pmod(F.xxhash64("digest"), F.lit(len(bounds) + 1))))
     dealt = dealt.select("shard", "key", "digest", "url", "payload", "first_key").repartitionById(len(bounds) + 1, F.col("shard").cast("int"))
     written = small_batches(dealt.sortWithinPartitions("shard", "key", "digest", "url")).mapInArrow(_writer(path, roll_bytes), MANIFEST_DDL)
     written.write.parquet(f"{path}/_written")

@@ -90,3 +90,16 @@ def test_records_are_plain_warc():
 def test_empty_table(spark, tmp):
     manifest, path = warc.write(frame(spark, [], DDL), f"file://{tmp}/w")
     assert manifest.count() == 0 and warc.read(manifest, path).count() == 0
+
+
+def test_record_ids_are_unique(spark, tmp):
+    rows = pages() + [(None, "http://n", "n" * 200, None, None)] * 3 + [(190, "again", pages()[70][2], None, None)] * 2 + [(302, "u", "tiny", None, None)]
+    manifest, path = warc.write(frame(spark, rows, DDL), f"file://{tmp}/w", shard_bytes=4_000, roll_bytes=3_000)
+    ids, refers = [], []
+    for f in manifest.collect():
+        with gzip.open(f"{tmp}/w/{f['file']}") as s:
+            for headers, _ in warc.parse(io.BytesIO(s.read())):
+                ids.append(headers["WARC-Record-ID"])
+                refers.append((headers["WARC-Record-ID"], headers.get("WARC-Refers-To")))
+    assert len(ids) == len(rows) == len(set(ids))
+    assert all(to is None or to in ids and to != own for own, to in refers)
