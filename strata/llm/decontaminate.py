@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import small_batches, staged, utf8
+from strata.llm.common import plain, small_batches, staged, utf8
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # UTF-8 bytes of [^\x00-\x2F\x3A-\x60\x7B-\x7F]
 BLOCK_BYTES = 32 << 20                     # pattern text held by a task at a time
@@ -111,8 +111,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
     patterns = staged(benchmark_patterns(benchmark, window, item_col, item_text_col), "bench-patterns")
     total = patterns.agg(F.sum(F.length("pattern") + 64)).first()[0] or 0
     blocks = int(total // block_bytes) + 1
-    own = [c for c in docs.columns if c not in RESULT.fieldNames()]
-    out = docs.select(*own, F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("long").alias("n_hit"),
+    own = [c for c in docs.columns if c.lower() not in RESULT.fieldNames()]
+    out = docs.select(*["`" + c.replace("`", "``") + "`" for c in own], F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("long").alias("n_hit"),
                       F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<bigint>").alias("item_ids"))
     at = own.index(text_col)
     for k in range(blocks):
@@ -149,6 +149,5 @@ def is_contaminated(items: str = "item_ids"):
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without those in which a benchmark window occurs; the columns stay as they are."""
-    renamed = {c: f"_own_{c}" for c in docs.columns if c in RESULT.fieldNames()}
-    marked = scan(docs.withColumnsRenamed(renamed), benchmark, window).where(~is_contaminated()).drop(*RESULT.fieldNames())
-    return marked.withColumnsRenamed({v: k for k, v in renamed.items()}).select(*docs.columns)
+    rows = plain(docs, "text")
+    return scan(rows, benchmark, window).where(~is_contaminated()).select(*rows.columns).toDF(*docs.columns)

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import plain, staged
 
 WEIGHTS = (5, 2, 1)
 CELLS = 4096
@@ -155,8 +155,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = 3, seed: int = 9, **
 
 def resample(docs: DataFrame, weights=WEIGHTS, max_copies: int = 3, seed: int = 9) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (0 to ``max_copies`` times); same columns."""
-    m = Mix(docs, weights, max_copies, seed)
-    rows = docs.select(F.col("doc_id").alias("id"), "source", words().alias("size"), uniform("doc_id", seed).alias("u"),
-                       F.struct(*docs.columns).alias("_row"))
+    known = plain(docs, "doc_id", "text", "source")
+    m = Mix(known, weights, max_copies, seed)
+    rows = known.select(F.col("doc_id").alias("id"), "source", words().alias("size"), uniform("doc_id", seed).alias("u"),
+                       F.struct(*known.columns).alias("_row"))
     rows = m.decide(rows).where("copies > 0").select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_copy"))
-    return rows.select("_row.*")
+    return rows.select("_row.*").toDF(*docs.columns)

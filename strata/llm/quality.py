@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import hash_sample, held_out, small_batches, staged, utf8
+from strata.llm.common import hash_sample, held_out, plain, small_batches, staged, utf8
 
 TOKEN = re.compile(rb"[a-z0-9_\x80-\xff]+|[^\sa-z0-9_\x80-\xff]+")
 HASH_BITS = 18
@@ -185,7 +185,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def keep_target_like(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000, seed: int = 8) -> DataFrame:
     """``docs`` without those the classifier rejects. Rows without an id stay."""
-    rejected = staged(score(docs, labels, max_labels=max_labels, seed=seed)
+    rows = plain(docs, "doc_id", "text")
+    rejected = staged(score(rows, labels, max_labels=max_labels, seed=seed)
                       .where(F.col("id").isNotNull()).groupBy("id").agg(F.max("kept").alias("kept")).where(~F.col("kept"))
                       .select(F.col("id").alias("doc_id")), "quality-rejected")
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(rejected, "doc_id", "left_anti").select(*rows.columns).toDF(*docs.columns)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import small_batches, staged, utf8
+from strata.llm.common import plain, small_batches, staged, utf8
 from strata.llm.components import connected_components
 
 SEED = 42
@@ -383,15 +383,23 @@ def one_per_class(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) ->
     Of rows that repeat an id the first by its columns stays. Rows without an id cannot be told
     apart from others and stay.
     """
-    found = staged(near_duplicates(docs, shingle_words, max_bits).where(F.col("id").isNotNull()), "simhash-found")
+    rows = plain(docs, "doc_id", "text")
+    found = staged(near_duplicates(rows, shingle_words, max_bits).where(F.col("id").isNotNull()), "simhash-found")
     dropped = staged(found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id"))
                      .unionAll(_repeats(found)).distinct(), "simhash-dropped")
-    kept = docs.join(dropped, "doc_id", "left_anti")
+    kept = rows.join(dropped, "doc_id", "left_anti")
     again = staged(_repeats(found).join(found.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct(),
                                         "doc_id", "left_semi"), "simhash-repeats")
-    first = Window.partitionBy("doc_id").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
-    repeated = docs.join(again, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
-    return kept.unionByName(repeated).select(*docs.columns)
+    first = Window.partitionBy("doc_id").orderBy(*[_ordered(f).asc_nulls_first() for f in rows.schema])
+    repeated = rows.join(again, "doc_id", "left_semi").withColumn("rank", F.row_number().over(first)).where("rank = 1").drop("rank")
+    return kept.unionByName(repeated).select(*rows.columns).toDF(*docs.columns)
+
+
+def _ordered(field):
+    """A column as it can be sorted: maps, and what holds them, as JSON with the keys in order."""
+    if "map<" not in field.dataType.simpleString():
+        return F.col(field.name)
+    return F.to_json(F.struct(field.name), {"spark.sql.mapKeySorted": "true"})
 
 
 def _repeats(found: DataFrame) -> DataFrame:

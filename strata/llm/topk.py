@@ -9,7 +9,8 @@ in full, and stops when the bound (the product of the query with the values
 now reached) cannot beat its k-th best score. Ties go to the smaller id, so a
 bound equal to the k-th score goes on. The block's best then merge per query.
 
-Components are whole numbers; scores are exact 64-bit integers.
+Components are whole numbers; scores are exact 64-bit integers. Where the largest
+components of a block and a group could make a longer score, the job raises.
 
 Edge cases: vectors that are null or hold null or non-finite components, and
 rows without an id, take no part; missing trailing components count as 0;
@@ -96,7 +97,9 @@ def _meet(k: int):
             return FOUND.empty_table()
         width = max(int(t.column("x").combine_chunks().value_lengths().to_numpy(zero_copy_only=False).max()) for t in (candidates, queries))
         x, q = _matrix(candidates, width), _matrix(queries, width)
-        largest = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(width, 1)
+        largest = float(np.abs(x.astype(np.float64)).max(initial=0)) * float(np.abs(q.astype(np.float64)).max(initial=0)) * max(width, 1)
+        if largest >= 2.0**63:
+            raise OverflowError("components are too large for scores of 64 bits")
         kind = np.float64 if largest < EXACT else np.int64  # products stay whole either way
         lists = Lists(candidates.column("id").to_numpy(), x.astype(kind))
         out = [], [], [], []

@@ -83,3 +83,14 @@ def test_empty_documents_pass(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, d)
     assert docs.count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, tables):
+    d, rows, _ = tables
+    names = {"lang": "_rank", "n_chars": "N_HIT"}
+    odd = frame(spark, rows + rows[60:64]).selectExpr("*", "map('b', doc_id, 'a', 1L) AS `tags.x`", "1 AS size", "2 AS `item_ids`", "3 AS rank")
+    odd = odd.withColumnsRenamed(names)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, d)
+        assert out.columns == odd.columns and out.count() > 0, name
+    assert out.select("`tags.x`").first()[0] is not None

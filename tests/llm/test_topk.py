@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import topk
@@ -76,3 +77,8 @@ def test_whole_number_products_beyond_doubles():
     lists = topk.Lists(np.arange(3), np.array([[2**31, 1], [2**31, 2], [2**31, 0]], np.int64))
     rows, scores = lists.top(np.array([2**31, 1], np.int64), -1, 2)
     assert rows.tolist() == [1, 0] and scores.tolist() == [2**62 + 2, 2**62 + 1]
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    with pytest.raises(Exception, match="too large"):
+        run(spark, [(50, [1e18, 1.0], 0, 0.0), (51, [1e18, 1.0], 0, 0.0)])
