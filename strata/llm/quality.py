@@ -6,32 +6,37 @@ n-grams are unigrams and bigrams of words and punctuation runs; a bigram of
 one word with itself is the same n-gram for all words. An n-gram counts once
 a document, and again as an n-gram of its own for every power of two that its
 count reaches, so a line repeated a thousand times does not outvote the corpus
-and yet shows. Both models get ``PRIOR`` counts of smoothing in units of the
-target, so n-grams too rare for the labelled sample to hold say little. A
-document's log importance weight is the mean log ratio of its n-grams, its own
-counts left out of both models, times ``LENGTH``: documents of any length are
-weighed as if they had ``LENGTH`` n-grams, else length alone would decide
-(``FEW`` neutral n-grams are added, so a text of ten words is not extreme).
+and yet shows. Both models get ``PRIOR`` counts a bucket of smoothing in units
+of the target (raw counts are scaled to the target's total) and are divided by
+their totals, so they are distributions over the buckets. A document's log
+importance weight is ``log p_target(x) - log p_raw(x)``, the sum over its
+n-grams, its own counts left out of both models.
 
 ``Gumbel noise + log weight`` ranks the documents, and the ``k`` largest keys
-are a sample without replacement with those weights. ``k`` is the number of
-documents that look like the target: those whose weight reaches the level
-that best parts the good from the rest among the labelled ones (a good one
-lost costs ``KEEP`` times a bad one kept). The k-th largest key is found by
-counting keys per digit, so nothing is gathered or sorted in one place.
+are a sample without replacement with those weights; ``k`` is the parameter
+``share`` of all rows, rounded up. The k-th largest key is found by counting
+keys per digit, so nothing is gathered or sorted in one place.
+
+A filter asks something else than a sample: whether one document looks like
+the target, however long it is and whatever else there is. ``accepted`` says
+so: the log weight per n-gram (``FEW`` neutral n-grams are added, so a text of
+ten words is not extreme) reaches the level that best parts the good from the
+rest among the labelled documents (a good one lost costs ``KEEP`` times a bad
+one kept). No noise takes part in it.
 
 Labels are read from at most ``max_labels`` labelled rows, taken in hash
 order (ids whose crc32 is a multiple of 5 stay out, for held-out checks).
 
 Edge cases: null and wordless texts have log weight 0; rows that repeat an id
-and a text share key and fate; documents tied with the last key kept are kept;
+and a text share key and fate; documents tied with the last key sampled are sampled;
 labels repeated for an id count as good if any says so; without labelled
 documents every weight is 1, and without labels of both kinds all documents
-are kept; an empty table gives an empty result; extra columns are left alone.
+are accepted; an empty table gives an empty result; extra columns are left alone.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from zlib import crc32
 
@@ -48,7 +53,8 @@ BUCKETS = 1 << HASH_BITS
 WORD_CACHE = 1 << 18      # tokens whose hash a task remembers
 MAX_COUNTERS = 8192       # counting tasks: each hands on up to BUCKETS rows
 PRIOR = 20.0              # smoothing, in counts of the target
-LENGTH, FEW = 200, 20
+FEW = 20
+SHARE = 0.5               # of all rows go into the sample
 KEEP = 10.0
 MIX = np.uint32(0x9E3779B1)
 SCALE = float(1 << 20)    # key units: keys are compared as whole numbers
@@ -80,7 +86,7 @@ class _Hasher:
         grams = np.concatenate(level)
         grams ^= grams >> np.uint32(15)
         grams *= MIX
-        return grams >> np.uint32(32 - HASH_BITS)
+        return np.unique(grams >> np.uint32(32 - HASH_BITS))  # n-grams that share a bucket are one
 
 
 def count_ngrams(docs: DataFrame, text_col: str, flag_col: str) -> tuple[np.ndarray, np.ndarray]:
@@ -104,11 +110,16 @@ def count_ngrams(docs: DataFrame, text_col: str, flag_col: str) -> tuple[np.ndar
     return raw, target
 
 
-def log_weight(grams: np.ndarray, flagged: bool, raw: np.ndarray, target: np.ndarray, share: float) -> float:
-    """``LENGTH`` times the mean log ratio of a document's n-grams under the models without that document."""
-    if not len(grams) or not share:
+def log_weight(grams: np.ndarray, flagged: bool, raw: np.ndarray, target: np.ndarray, share: float, totals: tuple[float, float]) -> float:
+    """Log of the probability of a document's n-grams under the target model over that under
+    the raw model, both without that document. ``share`` is the ratio of the ``totals``
+    (raw, target), which brings the raw counts to the scale of the target's."""
+    n = len(grams)
+    if not n or not share:
         return 0.0
-    return LENGTH * float(np.log((target[grams] - flagged + PRIOR) / ((raw[grams] - 1) * share + PRIOR)).sum()) / (len(grams) + FEW)
+    ratios = np.log((target[grams] - flagged + PRIOR) / ((raw[grams] - 1) * share + PRIOR)).sum()
+    smoothing = PRIOR * BUCKETS
+    return float(ratios + n * np.log(((totals[0] - n) * share + smoothing) / (totals[1] - n * flagged + smoothing)))
 
 
 def best_level(weights: np.ndarray, good: np.ndarray) -> float | None:
@@ -147,46 +158,51 @@ def kth_largest(keys: DataFrame, col: str, k: int) -> int | None:
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labels: int = 20_000,
-          seed: int = 8) -> DataFrame:
-    """(id, log_weight double, gumbel_key double, kept boolean) for every document."""
+          share: float = SHARE, seed: int = 8) -> DataFrame:
+    """(id, log_weight double, gumbel_key double, kept boolean, accepted boolean) for every document;
+    ``kept`` are the ``share`` of the rows that the sample takes."""
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     sample = staged(hash_sample(usable.groupBy("doc_id").agg(F.max("quality").alias("quality")), max_labels, "doc_id"), "quality-labels")
     known = F.broadcast(sample.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality")))  # max_labels rows at most
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = rows.join(known, rows["id"] == known["_id"], "left").select("id", "text", "_quality")
     raw, target = count_ngrams(rows.select("text", (F.col("_quality") == 1).alias("flag")), "text", "flag")
-    part = target.sum() / max(raw.sum(), 1)
+    totals = float(raw.sum()), float(target.sum())
+    part = totals[1] / max(totals[0], 1.0)
     table = docs.sparkSession.sparkContext.broadcast((raw.astype(np.float32), target.astype(np.float32)))  # two floats a bucket
 
     def run(batches):
         grams, (r, t) = _Hasher(), table.value
         for b in batches:
-            w = [log_weight(grams(text), q == 1, r, t, part)
-                 for text, q in zip(utf8(b.column(1)), b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(w, pa.float64()), b.column(2)], names=["id", "log_weight", "quality"])
+            weights, levels = [], []
+            for text, q in zip(utf8(b.column(1)), b.column(2).to_pylist(), strict=True):
+                g = grams(text)
+                weights.append(log_weight(g, q == 1, r, t, part, totals))
+                levels.append(weights[-1] / (len(g) + FEW))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(weights, pa.float64()), pa.array(levels, pa.float64()), b.column(2)],
+                                             names=["id", "log_weight", "per_gram", "quality"])
 
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    weights = small_batches(rows).mapInArrow(run, f"id {types['id']}, log_weight double, quality {types['_quality']}")
+    weights = small_batches(rows).mapInArrow(run, f"id {types['id']}, log_weight double, per_gram double, quality {types['_quality']}")
     key = F.col("log_weight") + gumbel("id", seed)
     half = float(1 << (BITS - 1))
     keyed = staged(weights.withColumn("gumbel_key", key).withColumn(
         "rank_key", F.least(F.greatest(F.floor(F.coalesce("gumbel_key", "log_weight") * SCALE) + half, F.lit(0.0)), F.lit(2 * half - 1)).cast("long")),
         "quality-keys")
-    seen = keyed.where("quality is not null").groupBy("id").agg(F.max("log_weight").alias("w"), F.max("quality").alias("q"))
+    seen = keyed.where("quality is not null").groupBy("id").agg(F.max("per_gram").alias("w"), F.max("quality").alias("q"))
     judged = [(x["w"], x["q"]) for x in seen.toLocalIterator()]  # max_labels rows at most
     level = best_level(np.array([w for w, _ in judged]), np.array([q == 1 for _, q in judged], bool)) if judged else None
-    kept = F.lit(True)
-    if level is not None:
-        k = keyed.where(F.col("log_weight") >= level).count()
-        last = kth_largest(keyed, "rank_key", k) if k else None
-        kept = F.col("rank_key") >= last if last is not None else F.lit(True)
-    return keyed.select("id", "log_weight", "gumbel_key", kept.alias("kept"))
+    accepted = F.lit(True) if level is None else F.col("per_gram") >= level
+    k = math.ceil(share * keyed.count())
+    last = kth_largest(keyed, "rank_key", k) if k else None
+    kept = F.lit(k > 0) if last is None else F.col("rank_key") >= last
+    return keyed.select("id", "log_weight", "gumbel_key", kept.alias("kept"), accepted.alias("accepted"))
 
 
 def keep_target_like(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000, seed: int = 8) -> DataFrame:
     """``docs`` without those the classifier rejects. Rows without an id stay."""
     rows = plain(docs, "doc_id", "text")
     rejected = staged(score(rows, labels, max_labels=max_labels, seed=seed)
-                      .where(F.col("id").isNotNull()).groupBy("id").agg(F.max("kept").alias("kept")).where(~F.col("kept"))
+                      .where(F.col("id").isNotNull()).groupBy("id").agg(F.max("accepted").alias("accepted")).where(~F.col("accepted"))
                       .select(F.col("id").alias("doc_id")), "quality-rejected")
     return rows.join(rejected, "doc_id", "left_anti").select(*rows.columns).toDF(*docs.columns)

@@ -38,8 +38,8 @@ def test_every_stage_matches_its_brute_force(spark, tables):
     assert list(steps) == ["quality classifier", "SimHash near-dedup", "benchmark decontamination", "mixing sources to target weights",
                            "token-ID / binary output"]
     kept = steps["quality classifier"](spark, docs, d)
-    rejected = {r["id"] for r in quality.score(docs, spark.read.parquet(f"{d}/labels.parquet")).where("NOT kept").collect()}
-    accepted = {r["id"] for r in quality.score(docs, spark.read.parquet(f"{d}/labels.parquet")).where("kept").collect()}
+    rejected = {r["id"] for r in quality.score(docs, spark.read.parquet(f"{d}/labels.parquet")).where("NOT accepted").collect()}
+    accepted = {r["id"] for r in quality.score(docs, spark.read.parquet(f"{d}/labels.parquet")).where("accepted").collect()}
     want = sorted((tuple(r) for r in rows if r[0] is None or r[0] not in rejected - accepted), key=str)
     assert as_rows(kept) == want and kept.columns == docs.columns and len(want) < len(rows)
 
