@@ -3,14 +3,18 @@
 Writer:
 1. Payload digests are grouped (pre-aggregated) to find payloads that occur
    more than once; the smallest key of each is the response, the others are
-   revisits that refer to it.
-2. Shards are key ranges. Their bounds are quantiles of the keys whose hash
-   falls in a fixed class, so they depend on the keys alone, not on how the
-   table is laid out. The payloads are shuffled once, straight to the range.
-3. A task sorts its range, regenerates every header and digest, writes one
+   revisits that refer to it. All this happens on (key, digest, size).
+2. Shards are key ranges of about equal bytes. The keys whose hash falls in a
+   fixed class part the keys into cells, whose bytes are summed exactly;
+   bounds lie between cells, so they depend on the keys and payloads alone,
+   not on how the table is laid out.
+3. The payloads are shuffled once, straight to their range, whatever the
+   number of revisits: for a key and digest that revisit, a note with the
+   response's key travels to the same range and sorts before the record.
+4. A task sorts its range, regenerates every header and digest, writes one
    gzip member per record and begins a new file when the compressed size
-   reaches ``roll_bytes``.
-4. Files are written under temporary names; the rows of finished tasks form
+   reaches ``roll_bytes``, the normal end of a file.
+5. Files are written under temporary names; the rows of finished tasks form
    the manifest. A commit job then gives the files of the manifest their final
    names (again and again with the same outcome) and publishes it.
 
@@ -41,10 +45,11 @@ from pyspark.sql import functions as F
 from strata.llm.common import small_batches, spread, staged
 from strata.session import scratch_path
 
-SHARD_BYTES = 32 << 20   # payload bytes a shard aims at
-MAX_SHARDS = 20_000      # beyond it shards grow instead
-KEYS_PER_SHARD = 16      # sampled keys behind each bound, so at most 320,000 reach the driver
-ROLL_BYTES = 1 << 30
+SHARD_BYTES = 128 << 20  # payload bytes a shard, the work of a task, aims at
+MAX_SHARDS = 20_000      # beyond it shards grow and roll more files instead
+KEYS_PER_SHARD = 16      # cells that a shard consists of, so at most 320,000 reach the driver
+HEAD_BYTES = 512         # what a record counts beside its payload
+ROLL_BYTES = 16 << 20    # compressed
 DATE = "2000-01-01T00:00:00Z"  # records carry no clock
 
 MANIFEST = pa.schema([("shard", pa.int64()), ("number", pa.int64()), ("temporary", pa.string()), ("file", pa.string()),
@@ -100,17 +105,28 @@ def parse(stream):
 
 
 # -- writer -----------------------------------------------------------------
-def _bounds(records: DataFrame, shard_bytes: int) -> list[int]:
-    """Upper bounds (exclusive) of all shards but the last; keys alone decide them."""
-    total, n = records.agg(F.sum("size"), F.count("key")).first()
+def _bounds(records: DataFrame, shard_bytes: int) -> np.ndarray:
+    """Upper bounds (exclusive) of all shards but the last: the cell limits next to equal parts of the bytes."""
+    weight = F.col("size") + HEAD_BYTES
+    total, n = records.agg(F.sum(weight), F.count("key")).first()
     shards = min(MAX_SHARDS, max(1, -(-(total or 0) // shard_bytes)), max(1, n))
     if shards == 1:
-        return []
+        return np.array([], np.int64)
     every = max(1, n // (shards * KEYS_PER_SHARD))
-    keys = [r["key"] for r in records.where(F.col("key").isNotNull() & (F.pmod(F.xxhash64("key"), F.lit(every)) == 0))
-            .select("key").distinct().orderBy("key").collect()]
-    at = np.linspace(0, len(keys), shards + 1)[1:-1].astype(int)
-    return sorted({keys[i] for i in at if i < len(keys)})
+    keyed = records.where(F.col("key").isNotNull())
+    limits = np.array([r["key"] for r in keyed.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0)
+                       .select("key").distinct().orderBy("key").collect()], np.int64)
+
+    @F.pandas_udf("int")
+    def cell(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(limits, key.to_numpy(np.int64), side="right").astype(np.int32))
+
+    held = np.zeros(len(limits) + 1, np.int64)
+    for r in keyed.groupBy(cell("key").alias("cell")).agg(F.sum(weight).alias("bytes")).collect():  # a row per cell
+        held[r["cell"]] = r["bytes"]
+    filled = np.cumsum(held)
+    at = np.searchsorted(filled, filled[-1] * np.arange(1, shards) / shards)
+    return np.unique(limits[at[at < len(limits)]])
 
 
 def _writer(path: str, roll_bytes: int):
@@ -118,7 +134,7 @@ def _writer(path: str, roll_bytes: int):
         from pyarrow import fs as pafs
 
         store, root = pafs.FileSystem.from_uri(path)
-        state, done, last, nth = None, [], None, 0
+        state, done, last, nth, noted = None, [], None, 0, None
 
         def begin(shard, number):
             temporary = f"_temporary-{shard:08d}-{number:04d}-{uuid.uuid4().hex}"
@@ -131,6 +147,9 @@ def _writer(path: str, roll_bytes: int):
 
         for b in batches:
             for r in b.to_pylist():
+                if r["note"]:
+                    noted = r["key"], r["digest"], r["first_key"]
+                    continue
                 if state and state["shard"] != r["shard"]:
                     close(state)
                     state = None
@@ -140,9 +159,9 @@ def _writer(path: str, roll_bytes: int):
                     number = state["number"] + 1
                     close(state)
                     state = begin(r["shard"], number)
-                key, first = r["key"], r["first_key"]
+                key, first = r["key"], noted[2] if noted and noted[:2] == (r["key"], r["digest"]) else None
                 nth = nth + 1 if last == (key, r["digest"]) else 0  # equal keys lie together, wherever a file ends
-                refers = first if first is not None and key is not None and (first != key or nth) else None
+                refers = first if first is not None and (first != key or nth) else None
                 last = key, r["digest"]
                 squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
                 data = squeeze.compress(record(key, r["url"], r["payload"], r["digest"], refers, nth)) + squeeze.flush()
@@ -186,16 +205,23 @@ def write(pages: DataFrame, path: str | None = None, key_col: str = "page_id", u
     rows = rows.select("*", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").alias("size"))
     narrow = staged(rows.select("key", "digest", "size"), "warc-digests")
     winners = staged(narrow.where(F.col("size") >= min_dedup).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"))
-                     .where("n > 1").select("digest", "first_key"), "warc-winners")
-    bounds = np.array(_bounds(narrow, shard_bytes), np.int64)
+                     .where("n > 1 AND first_key IS NOT NULL").select("digest", "first_key"), "warc-winners")
+    notes = narrow.where(F.col("key").isNotNull()).join(winners, "digest").groupBy("key", "digest").agg(F.min("first_key").alias("first_key"))
+    bounds = _bounds(narrow, shard_bytes)
 
     @F.pandas_udf("long")
     def shard_of(key: pd.Series, spread_over: pd.Series) -> pd.Series:
         return pd.Series(np.where(key.isna(), spread_over, np.searchsorted(bounds, key.fillna(0).to_numpy(np.int64), side="right")))
 
-    dealt = rows.join(winners, "digest", "left").withColumn("shard", shard_of("key", F.pmod(F.xxhash64("digest"), F.lit(len(bounds) + 1))))
-    dealt = dealt.select("shard", "key", "digest", "url", "payload", "first_key").repartitionById(len(bounds) + 1, F.col("shard").cast("int"))
-    written = small_batches(dealt.sortWithinPartitions("shard", "key", "digest", "url")).mapInArrow(_writer(path, roll_bytes), MANIFEST_DDL)
+    def dealt(df, note, url, payload, first_key):
+        shard = shard_of("key", F.pmod(F.xxhash64("digest"), F.lit(len(bounds) + 1))).alias("shard")
+        return df.select(shard, "key", "digest", F.lit(note).alias("note"), url.alias("url"), payload.alias("payload"), first_key.alias("first_key"))
+
+    none = F.lit(None)
+    records = dealt(rows, False, F.col("url"), F.col("payload"), none.cast("long")).unionByName(
+        dealt(notes, True, none.cast("string"), none.cast("binary"), F.col("first_key")))
+    records = records.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "key", "digest", F.desc("note"), "url")
+    written = small_batches(records).mapInArrow(_writer(path, roll_bytes), MANIFEST_DDL)
     written.write.parquet(f"{path}/_written")
     written = spark.read.parquet(f"{path}/_written")
     spread(written, per_task=100).mapInArrow(_renamer(path), MANIFEST_DDL).write.parquet(f"{path}/_manifest")

@@ -103,3 +103,27 @@ def test_record_ids_are_unique(spark, tmp):
                 refers.append((headers["WARC-Record-ID"], headers.get("WARC-Refers-To")))
     assert len(ids) == len(rows) == len(set(ids))
     assert all(to is None or to in ids and to != own for own, to in refers)
+
+
+def test_files_end_by_rolling_and_shards_hold_equal_bytes(spark, tmp):
+    rng = random.Random(6)
+    rows = [(i, "u", "".join(chr(rng.randrange(33, 126)) for _ in range(20_000 if i < 40 else 200)), None, None) for i in range(400)]
+    manifest, path = warc.write(frame(spark, rows, DDL), f"file://{tmp}/w", shard_bytes=200_000, roll_bytes=50_000)
+    files = manifest.collect()
+    shards = {f["shard"] for f in files}
+    assert len(files) > len(shards) > 1 and sum(f["records"] for f in files) == len(rows)
+    per_shard = {s: sum(f["bytes"] for f in files if f["shard"] == s) for s in shards}
+    assert max(per_shard.values()) < 2 * sum(per_shard.values()) / len(shards)  # the 40 long pages do not make one long task
+    assert all(f["bytes"] < 50_000 + 25_000 for f in files)
+
+
+def test_payloads_are_shuffled_once_however_many_revisits(spark, tmp, monkeypatch):
+    seen = []
+    plain = warc.small_batches
+    monkeypatch.setattr(warc, "small_batches", lambda df: seen.append(df) or plain(df))
+    rows = [(i, "u", f"{i % 7}" * 500, None, None) for i in range(100)]
+    manifest, path = warc.write(frame(spark, rows, DDL), f"file://{tmp}/w")
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+    got, _ = read_back(manifest, path)
+    assert got == brute(rows)
