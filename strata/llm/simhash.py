@@ -13,7 +13,9 @@
    count with the least estimated cost, so wider and fewer partitions take
    over as the corpus grows and candidates a probe stay few.
 5. Probes meet index rows by key; each bucket is verified by the full bit
-   distance and leaves a spanning forest of its links, not its pairs.
+   distance and leaves a spanning forest of its links, not its pairs. Buckets
+   are counted first, and large ones parted by exact blocks of all bits, so
+   that none has to meet in one task.
 6. Components of the forest give the classes.
 
 Edge cases: a null or blank text has no words and fingerprint zero, which
@@ -40,6 +42,7 @@ SUB_BITS = 11          # histogram blocks of at most 2^11 cells
 MAX_UNITS = 3          # a partition is probed within at most two flipped bits
 PROBE_COST, CANDIDATE_COST = 1.0, 0.2
 SMALL_BUCKET, SPLIT_BUCKET = 32, 8192
+HOT_BUCKET = 1 << 16   # rows beyond which a bucket is parted before the shuffle
 SAMPLE_FOR_COST = 2000  # fingerprints on which the partition counts are compared (a cost choice only)
 
 
@@ -334,26 +337,44 @@ def links(distinct: DataFrame, max_bits: int, layout: Layout | None = None) -> D
                                                   pa.array(np.concatenate(flags))], names=["key", "fp", "own"])
 
     def verify(batches):
-        held = [np.array([], np.int64), np.array([], np.uint64), np.array([], np.int8)]
+        held = []  # pieces of the bucket that the batches so far end with
 
-        def emit(rows):
-            found = _links_of(*rows, max_bits) if len(rows[0]) else []
-            ab = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+        def emit():
+            key, fp, own = (np.concatenate(x) for x in zip(*held, strict=True))
+            ab = np.array(_links_of(key, fp, own, max_bits), np.uint64).reshape(-1, 2).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            new = [b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64), b.column(2).to_numpy()]
-            rows = [np.concatenate([h, x]) for h, x in zip(held, new, strict=True)]
+            rows = [b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64), b.column(2).to_numpy()]
             cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last bucket may go on
-            held = [x[cut:] for x in rows]
-            if cut:
-                yield emit([x[:cut] for x in rows])
-        yield emit(held)
+            if cut or held and held[-1][0][-1] != rows[0][0]:
+                if cut:
+                    held.append([x[:cut] for x in rows])
+                yield emit()
+                held.clear()
+            held.append([x[cut:] for x in rows])
+        if held:
+            yield emit()
 
-    rows = distinct.select("fp").mapInArrow(probe, "key long, fp long, own byte")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(verify, "a long, b long")
+    probes = distinct.select("fp").mapInArrow(probe, "key long, fp long, own byte")
+    return _split(probes, max_bits).repartition("key").sortWithinPartitions("key").mapInArrow(verify, "a long, b long")
+
+
+def _split(probes: DataFrame, max_bits: int) -> DataFrame:
+    """``probes`` whose buckets of more than ``HOT_BUCKET`` rows are parted before they meet.
+
+    Two fingerprints within ``max_bits`` agree in one of ``max_bits + 1`` blocks of their bits at
+    least, so a row of a large bucket goes to one smaller bucket for each block, and no link is lost.
+    """
+    large = staged(probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_BUCKET).select("key"), "simhash-large")
+    if large.isEmpty():
+        return probes
+    blocks = [int(sum(1 << int(b) for b in bits)) for bits in np.array_split(np.arange(64), max_bits + 1)]
+    parts = [F.xxhash64("key", F.lit(i), F.col("fp").bitwiseAND(F.lit(int(np.uint64(m).view(np.int64))))) for i, m in enumerate(blocks)]
+    marked = probes.join(large.withColumn("large", F.lit(True)), "key", "left")
+    return marked.select(F.explode(F.when(F.col("large"), F.array(*parts)).otherwise(F.array("key"))).alias("key"), "fp", "own")
 
 
 def classes(fps: DataFrame, max_bits: int) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from strata.llm import simhash
@@ -85,7 +86,9 @@ def clustered(rng, n):
     return sorted(out)
 
 
-def test_every_partition_count_finds_all_links(spark):
+@pytest.mark.parametrize("hot", [simhash.HOT_BUCKET, 20])  # the second parts most buckets before they meet
+def test_every_partition_count_finds_all_links(spark, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT_BUCKET", hot)
     rng = random.Random(11)
     fps = clustered(rng, 600)
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
@@ -180,3 +183,17 @@ def test_one_per_class_and_empty(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
     empty = frame(spark, [])
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_per_class(empty).count() == 0
+
+
+def test_buckets_over_many_batches(spark):
+    """A bucket that Arrow batches cut at any place is verified whole."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = random.Random(21)
+        fps = sorted({x ^ (1 << rng.randrange(64)) for x in [rng.getrandbits(64)] for _ in range(60)} | {rng.getrandbits(64) for _ in range(40)})
+        distinct = spark.createDataFrame([(x,) for x in np.array(fps, np.uint64).view(np.int64).tolist()], "fp long")
+        got = connected_components(simhash.links(distinct, 4)).groupBy("root").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = _by(roots(set(fps), lambda a, b: (a ^ b).bit_count() <= 4))
+    assert sorted(r["count"] for r in got) == sorted(len(v) for v in want.values() if len(v) > 1)
