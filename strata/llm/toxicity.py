@@ -8,7 +8,10 @@ are scored in Arrow batches; a task holds one text's features at a time.
 
 Training reads at most ``max_rows`` labelled documents, taken in hash order of
 their ids from those whose crc32 is not a multiple of 5; ``features`` n-grams
-with the largest spread between the classes enter the regression.
+with the largest spread between the classes enter the regression, which is
+fitted on documents in hash order of their features until these hold ``max_ids``
+n-grams in all. Both bounds limit what the driver holds, however long the
+labelled texts are; the counts behind the ratios are over all ``max_rows``.
 
 Edge cases: null and empty texts have one feature set, that of a blank, and
 so the base score; rows that repeat an id score alike if their texts do;
@@ -30,6 +33,7 @@ from strata.llm.common import hash_sample, held_out, small_batches, staged
 
 ORDERS = (3, 4, 5)
 HASH_BITS = 20
+CHUNK = 1 << 18  # features of the rows whose gradient is taken at a time
 BLANK = re.compile(r"\s+")
 
 
@@ -122,28 +126,54 @@ class Model:
         return score
 
 
-def _fit(rows: list[tuple[np.ndarray, int]], ratio: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, float]:
-    """Logistic regression on ratio-scaled presence features: gradient descent with Nesterov momentum."""
-    sizes = np.array([len(f) for f, _ in rows], np.int64)
-    flat = np.concatenate([f for f, _ in rows]).astype(np.int32)
-    of = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-    y = np.array([t for _, t in rows], np.float64)
-    x = ratio[flat].astype(np.float32)
-    norm = np.bincount(of, x.astype(np.float64) ** 2, minlength=len(rows)).mean() + 1
+def _chunks(sizes: np.ndarray):
+    """Ranges of rows with about ``CHUNK`` features each."""
+    at, ends = 0, np.cumsum(sizes)
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
+        yield at, to, int(ends[at - 1]) if at else 0, int(ends[to - 1])
+        at = to
+
+
+def _fit(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, ratio: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, float]:
+    """Logistic regression on ratio-scaled presence features: gradient descent with Nesterov momentum.
+
+    ``flat`` holds the features of all rows one after the other, ``sizes`` how many each has.
+    Beside it only a chunk of rows is expanded at a time.
+    """
+    parts, square = list(_chunks(sizes)), ratio.astype(np.float64) ** 2
+    norm = sum(square[flat[lo:hi]].sum() for _, _, lo, hi in parts) / len(sizes) + 1
     w, b, prior = np.zeros(len(ratio)), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), np.zeros(len(ratio))
     rate, b_prior = 8.0 / norm, b
     for t in range(steps):
         momentum = t / (t + 3)
         v, vb = w + momentum * (w - prior), b + momentum * (b - b_prior)
-        z = vb + np.bincount(of, v[flat] * x, minlength=len(rows))
-        g = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(y)
-        grad = np.bincount(flat, g[of] * x, minlength=len(ratio)) + penalty * v
+        scaled, grad, b_grad = v * ratio, np.zeros(len(ratio)), 0.0
+        for i, j, lo, hi in parts:
+            f, of = flat[lo:hi], np.repeat(np.arange(j - i), sizes[i:j])
+            z = vb + np.bincount(of, scaled[f], minlength=j - i)
+            g = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[i:j]) / len(y)
+            grad += np.bincount(f, g[of], minlength=len(ratio))
+            b_grad += g.sum()
         prior, b_prior = w, b
-        w, b = v - rate * grad, vb - rate * g.sum()
+        w, b = v - rate * (grad * ratio + penalty * v), vb - rate * b_grad
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, features: int = 1 << 14, penalty: float = 1e-4, steps: int = 150) -> Model:
+def _within(bags: DataFrame, max_ids: int) -> DataFrame:
+    """``bags`` (hash, row, size, ...) in the order of their hashes as far as ``max_ids`` features go; the first
+    always. Bags with one hash are alike, so it does not matter which of them ``row`` puts first."""
+    sizes = sorted((r["hash"], r["row"], r["size"]) for r in bags.select("hash", "row", "size").toLocalIterator())  # max_rows of them
+    total = 0
+    for n, (h, row, size) in enumerate(sizes):
+        total += size
+        if n and total > max_ids:
+            return bags.where((F.col("hash") < h) | (F.col("hash") == h) & (F.col("row") < row))
+    return bags
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, features: int = 1 << 14, penalty: float = 1e-4, steps: int = 150,
+          max_ids: int = 1 << 25) -> Model:
     rows = staged(training_rows(docs, labels, max_rows), "toxic-rows")
     n, holds = _count(rows)
     if not n.all():
@@ -165,9 +195,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, features:
             found = [at[distinct(ngram_buckets(t))] for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f[f >= 0].tobytes() for f in found], pa.binary()), b.column(1)], names=["f", "toxic"])
 
-    bags = [(np.frombuffer(bytes(r["f"]), np.int32), int(r["toxic"] > 0))
-            for r in small_batches(rows).mapInArrow(extract, "f binary, toxic int").toLocalIterator()]  # max_rows documents at most
-    w, bias = _fit(bags, ratio[chosen], penalty, steps)
+    bags = small_batches(rows).mapInArrow(extract, "f binary, toxic int")
+    bags = staged(bags.select("f", "toxic", F.xxhash64("f", "toxic").alias("hash"), (F.octet_length("f") / 4).cast("long").alias("size"),
+                              F.monotonically_increasing_id().alias("row")), "toxic-bags")
+    pieces, y = [], []
+    for r in _within(bags, max_ids).select("f", "toxic").toLocalIterator():  # about max_ids numbers at most
+        pieces.append(np.frombuffer(bytes(r["f"]), np.int32)), y.append(float(r["toxic"] > 0))
+    sizes = np.array([len(x) for x in pieces], np.int64)
+    w, bias = _fit(np.concatenate(pieces), sizes, np.array(y), ratio[chosen], penalty, steps)
     return Model(chosen, w * ratio[chosen], bias)
 
 
