@@ -21,6 +21,8 @@ columns, and clashing names belong to the result.
 from __future__ import annotations
 
 import re
+import uuid
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -53,45 +55,93 @@ def windows(words: list[bytes], size: int) -> set[bytes]:
 
 
 class Tables:
-    """Shift and bucket tables, one set per pattern length."""
+    """Shift and bucket tables, one set per pattern length, in sorted arrays.
+
+    Words are numbered, so a pattern takes four bytes a word. A block of two
+    words is one number; ``blocks`` holds those of the patterns in order,
+    ``shift`` how far each lets the search jump, and ``first`` where the
+    bucket of patterns that end with it begins. A bucket is in the order of
+    the patterns' first blocks, their prefixes.
+    """
 
     def __init__(self, patterns: list[tuple[bytes, int]]):
-        items = defaultdict(set)
+        self.number: dict[bytes, int] = {}
+        rows = defaultdict(lambda: (array("i"), array("q")))
         for text, item in patterns:
-            items[tuple(text.split(b" "))].add(item)
-        by_length = defaultdict(list)
-        for words in items:
-            by_length[len(words)].append(words)
-        self.searches = []
-        for length, group in sorted(by_length.items()):
-            block = min(2, length)
-            furthest = length - block + 1
-            shift, buckets = {}, defaultdict(lambda: defaultdict(list))
-            for words in group:
-                for end in range(block, length + 1):
-                    at = words[end - block:end]
-                    shift[at] = min(shift.get(at, furthest), length - end)
-                buckets[words[-block:]][words[:block]].append((words, tuple(items[words])))
-            self.searches.append((length, block, furthest, shift, {k: dict(v) for k, v in buckets.items()}))
+            words = text.split(b" ")
+            flat, items = rows[len(words)]
+            flat.extend(self.number.setdefault(w, len(self.number)) for w in words)
+            items.append(item)
+        self.searches = [self._tables(length, np.frombuffer(flat, np.int32).reshape(-1, length), np.frombuffer(items, np.int64))
+                         for length, (flat, items) in sorted(rows.items())]
+
+    @staticmethod
+    def _tables(length: int, words: np.ndarray, items: np.ndarray):
+        block = min(2, length)
+        furthest = length - block + 1
+        prefix, suffix = _blocks(words, block)[:, 0], _blocks(words, block)[:, -1]
+        order = np.lexsort((items, *words.T[::-1], prefix, suffix))
+        words, items, prefix, suffix = words[order], items[order], prefix[order], suffix[order]
+        new = np.flatnonzero(np.append(True, (words[1:] != words[:-1]).any(axis=1)))  # a pattern of several items
+        item_at = np.append(new, len(items))
+        words, prefix, suffix = words[new], prefix[new], suffix[new]
+        every = _blocks(words, block)
+        known = np.unique(every)
+        shift = np.full(len(known), furthest, np.int32)
+        for at in range(furthest):
+            np.minimum.at(shift, np.searchsorted(known, every[:, at]), furthest - 1 - at)
+        first = np.append(np.searchsorted(suffix, known), len(suffix))
+        return length, block, furthest, known, shift, first, words, prefix, items, item_at
+
+    def jump(self, length: int, *words: bytes) -> int:
+        """How far the search for patterns of ``length`` words moves on from a block."""
+        _, block, furthest, known, shift, *_ = next(s for s in self.searches if s[0] == length)
+        at = np.flatnonzero(known == _blocks(np.array([[self.number.get(w, -1) for w in words]]), block)[0, 0])
+        return int(shift[at[0]]) if len(at) else furthest
 
     def search(self, words: list[bytes]):
         """Yields (start, end, item ids) of every occurrence."""
         n = len(words)
-        for length, block, furthest, shift, buckets in self.searches:
-            i = length
-            while i <= n:
-                at = tuple(words[i - block:i])
-                jump = shift.get(at, furthest)
+        numbers = np.array([self.number.get(w, -1) for w in words], np.int32)
+        for length, block, furthest, known, shift, first, pattern, prefix, items, item_at in self.searches:
+            if n < length:
+                continue
+            blocks = _blocks(numbers[None, :], block)[0]
+            place = np.minimum(np.searchsorted(known, blocks), len(known) - 1)
+            jumps = np.where(known[place] == blocks, shift[place], furthest).tolist()  # of the block that begins at each word
+            i, last = length - block, n - block
+            while i <= last:
+                jump = jumps[i]
                 if jump:
                     i += jump
                     continue
-                start = i - length
-                for pattern, ids in buckets[at].get(tuple(words[start:start + block]), ()):
-                    if words[start:i] == list(pattern):
-                        yield start, i, ids
+                start = i + block - length
+                lo, hi = first[place[i]], first[place[i] + 1]
+                lo, hi = lo + np.searchsorted(prefix[lo:hi], blocks[start]), lo + np.searchsorted(prefix[lo:hi], blocks[start], side="right")
+                if lo < hi:
+                    for k in lo + np.flatnonzero((pattern[lo:hi] == numbers[start:start + length]).all(axis=1)):
+                        yield start, start + length, tuple(items[item_at[k]:item_at[k + 1]].tolist())
                 i += 1
 
 
+def _blocks(words: np.ndarray, block: int) -> np.ndarray:
+    """Rows of word numbers -> their blocks of ``block`` (1 or 2) words as numbers; negative where a word is unknown."""
+    w = words.astype(np.int64)
+    if block == 1:
+        return w
+    return np.where((w[:, :-1] < 0) | (w[:, 1:] < 0), -1, w[:, :-1] << 32 | w[:, 1:])
+
+
+_READY: dict = {}  # the tables that this Python worker built last, so that its next task need not
+
+
+def _tables(token: str, patterns) -> Tables:
+    if token not in _READY:
+        _READY.clear()
+        _READY[token] = Tables(patterns.value)
+    return _READY[token]
+
+
 def benchmark_patterns(benchmark: DataFrame, window: int, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct (pattern, item) rows of a benchmark."""
 
@@ -125,8 +175,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
 
 
 def _scanner(patterns, text_at: int, n_own: int):
+    token = uuid.uuid4().hex
+
     def run(batches):
-        tables = Tables(patterns.value)
+        tables = _tables(token, patterns)
         for b in batches:
             counts, hit, marks, found = [], [], [], []
             for text, hits, items in zip(utf8(b.column(text_at)), b.column(n_own + 2).to_pylist(), b.column(n_own + 3).to_pylist(), strict=True):

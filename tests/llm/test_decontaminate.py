@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 from strata.llm import decontaminate
 from tests.llm.fixtures import doc, frame, odd_documents, prose
@@ -52,8 +53,7 @@ def test_matches_brute_force(spark):
 
 def test_shift_tables_jump():
     t = decontaminate.Tables([(b"a b c d e f", 1), (b"x y", 2)])
-    long = next(s for s in t.searches if s[0] == 6)
-    assert long[2] == 5 and long[3][(b"e", b"f")] == 0 and long[3][(b"a", b"b")] == 4
+    assert t.jump(6, b"q", b"a") == 5 and t.jump(6, b"e", b"f") == 0 and t.jump(6, b"a", b"b") == 4
     assert [(s, e) for s, e, _ in t.search(b"q a b c d e f x y".split())] == [(7, 9), (1, 7)]
 
 
@@ -68,3 +68,31 @@ def test_clean_and_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.clean(docs, none).count() == len(rows)
     assert decontaminate.scan(frame(spark, []), benchmark).count() == 0
+
+
+def test_tables_of_a_full_block_stay_small():
+    rng = random.Random(12)
+    vocabulary = [f"word{i}".encode() for i in range(20_000)]
+    patterns = []
+    for item in range(400):
+        w = [rng.choice(vocabulary) for _ in range(200)]
+        patterns += [(b" ".join(w[i:i + 10]), item) for i in range(191)]
+    text = sum(len(p) + 64 for p, _ in patterns)
+    tracemalloc.start()
+    tables = decontaminate.Tables(patterns)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < text, (held, text)  # 32 MB of patterns take less than 32 MB
+    assert all(tables.jump(10, *p.split(b" ")[-2:]) == 0 for p, _ in patterns[:500:50])
+    found = {(s, e, i) for s, e, i in tables.search([b"x", *patterns[0][0].split(b" "), b"y"])}
+    assert found == {(1, 11, (0,))}
+
+
+def test_search_against_brute_force_on_a_small_vocabulary():
+    rng = random.Random(13)
+    for _ in range(60):
+        patterns = {(b" ".join(rng.choice([b"a", b"b", b"c"]) for _ in range(rng.choice([1, 2, 3, 5]))), rng.randrange(4)) for _ in range(12)}
+        words = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(rng.randrange(40))]
+        want = {(s, s + len(p.split(b" ")), i) for p, i in patterns for s in range(len(words)) if words[s:s + len(p.split(b" "))] == p.split(b" ")}
+        got = [(s, e, i) for s, e, ids in decontaminate.Tables(list(patterns)).search(words) for i in ids]
+        assert set(got) == want and len(got) == len(want)
