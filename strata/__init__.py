@@ -6,6 +6,6 @@ shipped to a Python worker. Storage-touching helpers live in ``sources`` and
 ``streaming``; composite flows in ``plans``.
 """
 
-from strata.session import get_session, scratch_path, sizing_conf
+from strata.session import get_session, scratch_path, scratch_run, sizing_conf
 
-__all__ = ["get_session", "scratch_path", "sizing_conf"]
+__all__ = ["get_session", "scratch_path", "scratch_run", "sizing_conf"]

@@ -106,7 +106,9 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str],
                version_ts, new_key_start=None, close_missing: bool = False, sk_col: str | None = None,
                hash_col: str = "attributes_hash", legacy_hash: bool = False, validate: bool = True,
                valid_from: str = "valid_from", valid_to: str = "valid_to", current: str = "is_current") -> DataFrame:
-    """Next state of an SCD2 dimension, in one pass.
+    """Next state of an SCD2 dimension. ``incoming`` is evaluated once, into a
+    staged copy, and compared with ``dim`` once; the (few) changes are staged
+    too, so validation and the result read what was found.
 
     Changed keys: the current version is closed at ``effective_date`` and a
     new current version opens there. New keys open at ``new_key_start``
@@ -117,17 +119,18 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: list[str],
     version being closed (out-of-order loads are rejected, not repaired), or
     if ``incoming`` repeats a natural key or has a NULL one.
     """
+    incoming = staged(incoming, "scd2-load")
     if validate:
         require_natural_key(incoming, key)
     sk_col = sk_col or f"{key}_sk"
     eff = _lit_date(effective_date)
-    changes = scd2_changes(dim, incoming, key, attrs, hash_col, legacy_hash, current)
+    changes = staged(scd2_changes(dim, incoming, key, attrs, hash_col, legacy_hash, current), "scd2-changes")
     closing = changes.where("_had_active").select(F.col(key).alias("_c_key"))
     if close_missing:
         gone = dim.where(F.col(current)).select(F.col(key).alias("_c_key")).join(
             incoming.select(F.col(key).alias("_c_key")), "_c_key", "left_anti")
         closing = closing.unionByName(gone)
-    closing = closing.distinct()  # one row per key: the join below cannot fan out
+    closing = staged(closing.distinct(), "scd2-closing")  # one row per key: the joins below cannot fan out
     if validate:
         bad = dim.where(F.col(current)).join(closing, dim[key] == closing["_c_key"]).where(F.col(valid_from) > eff)
         if not bad.isEmpty():

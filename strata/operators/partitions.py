@@ -54,15 +54,17 @@ def write_partitions(batch: DataFrame, path: str, part_cols: list[str],
 def overwrite_table(batch: DataFrame, path: str, part_cols: list[str] | None = None, allow_loss: bool = False) -> None:
     """Static overwrite of a whole directory. Unless ``allow_loss`` is set it
     is refused when partitions (or, without partition columns, rows) that the
-    directory holds would not come back: see ``overwrite_impact``."""
+    directory holds would not come back: see ``overwrite_impact``. The batch
+    is evaluated once, into a staged copy that the check and the write read."""
     from strata.sources.table import path_exists
 
     spark = batch.sparkSession
+    batch = staged(batch, "overwrite")
     if not allow_loss and path_exists(spark, path):
         lost = overwrite_impact(spark.read.parquet(path), batch, part_cols or [], "static").where("lost")
         if not lost.isEmpty():
             raise OverwriteLoss(f"the overwrite of {path} would lose {lost.count()} partitions it does not replace")
-    writer = staged(batch, "overwrite").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*part_cols) if part_cols else writer).parquet(path)
 
 
@@ -72,8 +74,10 @@ def replace_where(target: DataFrame, batch: DataFrame, predicate: Column | str,
 
     Target rows where the predicate is NULL are kept. With ``validate`` a
     batch row that does not satisfy the predicate raises (it would land
-    outside the replaced range)."""
+    outside the replaced range); the batch is then evaluated once, into a
+    staged copy."""
     pred = F.expr(predicate) if isinstance(predicate, str) else predicate
+    batch = staged(batch, "replace") if validate else batch
     if validate and not batch.where(~F.coalesce(pred, F.lit(False))).isEmpty():
         raise PredicateViolation("batch has rows outside the replaced predicate")
     return target.where(~F.coalesce(pred, F.lit(False))).unionByName(batch.select(*target.columns))

@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,7 +71,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return "/".join([root, "strata-scratch", *_RUNS, f"{name}-{uuid.uuid4().hex[:12]}"])
+
+
+_RUNS: list[str] = []  # folders of the runs this driver is in, outermost first
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """One folder for everything staged inside the block, removed at its end,
+    also when the block fails. Results that are to outlive it must be written
+    elsewhere within the block: a lazy DataFrame that leaves it has lost its
+    files. Runs may nest; they belong to the driver's thread that opens them.
+    """
+    _RUNS.append(f"run-{uuid.uuid4().hex[:12]}")
+    path = "/".join([checkpoint_root(spark).rstrip("/"), "strata-scratch", *_RUNS])
+    try:
+        yield path
+    finally:
+        _RUNS.pop()
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators import checks, dims, facts, metrics, skew
+from strata.operators import checks, dims, facts, metrics, partitions, skew
 from strata.operators.register import REGISTER, event_register, merge_registers, register_state
 from strata.operators.state import consolidate_state
 from strata.sources import evolve
@@ -216,3 +216,47 @@ def test_sketches_merge_to_coarser_grains(spark):
     stored = metrics.distinct_sketches(df, ["half", "month"], ["c"])
     got = metrics.sketch_counts(metrics.merge_sketches(stored, ["half"], ["c"]), ["c"]).collect()
     assert [r["n_rows"] for r in got] == [10_000] * 2 and all(abs(r["distinct_c"] - 2500) < 2500 * 0.065 for r in got)
+
+
+def counted(spark, rows, schema):
+    """A frame and a count of how many of its rows were evaluated."""
+    seen = spark.sparkContext.accumulator(0)
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    return spark.createDataFrame(rows, schema).mapInArrow(count, schema), seen
+
+
+def test_loads_and_overwrites_evaluate_their_input_once(spark, tmp):
+    base = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, v string")
+    dim = dims.scd2_init(base, "k", ["v"], "t1")
+    load, seen = counted(spark, [("a", "z"), ("c", "w")], "k string, v string")
+    out = dims.scd2_apply(dim, load, "k", ["v"], "2031-02-01", "t2", close_missing=True)
+    assert out.count() == 4 and out.where("is_current").count() == 2 and seen.value == 2
+    path = f"file://{tmp}/t"
+    partitions.overwrite_table(base, path, ["k"])
+    batch, seen = counted(spark, [("a", "1"), ("b", "2"), ("c", "3")], "k string, v string")
+    partitions.overwrite_table(batch, path, ["k"])
+    assert spark.read.parquet(path).count() == 3 and seen.value == 3
+    batch, seen = counted(spark, [("a", "9")], "k string, v string")
+    assert partitions.replace_where(base, batch, "k = 'a'").count() == 2 and seen.value == 1
+
+
+def test_scratch_run_removes_what_it_staged(spark):
+    from strata.session import scratch_path, scratch_run, staged
+
+    outside = staged(spark.range(3), "outside")
+    with scratch_run(spark) as outer:
+        kept = staged(spark.range(5), "inside")
+        with scratch_run(spark) as inner:
+            assert inner.startswith(outer + "/") and staged(spark.range(7), "nested").count() == 7
+        assert not os.path.exists(inner.removeprefix("file:")) and kept.count() == 5
+    assert not os.path.exists(outer.removeprefix("file:")) and outside.count() == 3
+    try:
+        with scratch_run(spark) as failed:
+            staged(spark.range(2), "x")
+            raise KeyError("stop")
+    except KeyError:
+        assert not os.path.exists(failed.removeprefix("file:"))
+    assert "/run-" not in scratch_path(spark, "after")
