@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.keys import surrogate_key
 from strata.operators.dims import calendar_dim, scd1_dim, scd2_apply, scd2_has_changes, scd2_init
 from strata.operators.facts import build_fact, ratio_pct
 from strata.operators.metrics import rollup_metrics
 from strata.operators.state import consolidate_state
+from strata.session import scratch_run
 from strata.sources.evolve import ingest_batches
 from strata.sources.files import read_typed
 from strata.sources.table import Table
@@ -59,22 +61,23 @@ def star_schema_flow(spark: SparkSession, facts: DataFrame, fact_key: str | list
     initialised or advanced at ``effective_date``; the fact is re-read
     against the published dimensions and upserted on ``fact_key``.
     """
-    Table(spark, f"{base_path}/dim_calendar").publish(calendar_dim(spark, *calendar))
-    lookups = []
-    for name, df, key, attrs, fact_col in scd1:
-        t = Table(spark, f"{base_path}/{name}")
-        t.upsert(scd1_dim(df, key, attrs), [key])
-        lookups.append((t.read(), fact_col, key, f"{key}_sk"))
-    name, df, key, attrs, fact_col, date_col = scd2
-    t2 = Table(spark, f"{base_path}/{name}")
-    if not t2.exists():
-        t2.publish(scd2_init(df, key, attrs, version_ts))
-    elif scd2_has_changes(t2.read(), df, key, attrs):  # no change: no new snapshot
-        t2.publish(scd2_apply(t2.read(), df, key, attrs, effective_date, version_ts))
-    fact = build_fact(facts, lookups=lookups, asof=[(t2.read(), fact_col, date_col, key, f"{key}_sk")],
-                      measures=measures, keep=keep)
-    tf = Table(spark, f"{base_path}/fact")
-    tf.upsert(fact, [fact_key] if isinstance(fact_key, str) else fact_key)
+    with scratch_run(spark):  # what the loads stage goes with them
+        Table(spark, f"{base_path}/dim_calendar").publish(calendar_dim(spark, *calendar))
+        lookups = []
+        for name, df, key, attrs, fact_col in scd1:
+            t = Table(spark, f"{base_path}/{name}")
+            t.upsert(scd1_dim(df, key, attrs), [key])
+            lookups.append((t.read(), fact_col, key, f"{key}_sk", surrogate_key))
+        name, df, key, attrs, fact_col, date_col = scd2
+        t2 = Table(spark, f"{base_path}/{name}")
+        if not t2.exists():
+            t2.publish(scd2_init(df, key, attrs, version_ts))
+        elif scd2_has_changes(t2.read(), df, key, attrs):  # no change: no new snapshot
+            t2.publish(scd2_apply(t2.read(), df, key, attrs, effective_date, version_ts))
+        fact = build_fact(facts, lookups=lookups, asof=[(t2.read(), fact_col, date_col, key, f"{key}_sk")],
+                          measures=measures, keep=keep)
+        tf = Table(spark, f"{base_path}/fact")
+        tf.upsert(fact, [fact_key] if isinstance(fact_key, str) else fact_key)
     return tf.read()
 
 

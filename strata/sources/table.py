@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.ordering import orderable
 from strata.operators.merge import _keyed_merge, require_unique, split_by_keys
 from strata.operators.partitions import spread_for_write
 from strata.session import staged
@@ -317,6 +318,11 @@ class Table:
         elif partition_by:
             parts = staged(source.select(*partition_by).distinct(), "upsert-partitions")
             inside = split_by_keys(target, parts, partition_by)[1]
+        if not (partition_by or feed or newer_by or coalesce_existing or when_changed or combine):
+            rows, inserted, updated = self._replaced(target, source, keys, null_safe)
+            if rows is not None:
+                return self._write(rows, self._next(), [], None, None, contracts, {
+                    "operation": "upsert", "buckets": buckets, "keys": keys, "n_inserted": inserted, "n_updated": updated}, committed_at)
         untouched, touched = split_by_keys(inside, source, keys, null_safe)
         merged = staged(_keyed_merge(touched, source, keys, null_safe, newer_by, coalesce_existing, when_changed, "_changed", combine), "upsert-merged")
         inserted, updated = merged.agg(F.count_if(F.col("_changed") & F.col("_changed_new")), F.count_if(F.col("_changed") & ~F.col("_changed_new"))).first()
@@ -335,6 +341,30 @@ class Table:
             rows = rest.unionByName(rows, allowMissingColumns=True).select(*rows.columns)
         return self._write(rows, v, partition_by or [], None, 1 if buckets else None, contracts, meta, committed_at)
 
+    def _replaced(self, target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool):
+        """(rows, inserted, updated) of a whole-table upsert by a batch about as large as the table, in which the
+        new row always wins. Then the result is the stored source with the target rows it lacks, and only keys
+        and row hashes need to meet; wide rows are neither shuffled nor staged again. (None, 0, 0) where this
+        does not hold: a small batch, other columns or types, keys repeated in the target, or no row that
+        differs by its hashes (the full comparison then decides)."""
+        types = {f.name: f.dataType for f in target.schema}
+        if {f.name: f.dataType for f in source.schema} != types or not all(orderable(t) for t in types.values()):
+            return None, 0, 0
+        n = source.count()
+        if 2 * n < target.count():
+            return None, 0, 0
+        values = [c for k in types for c in (F.col(f"`{k}`"), F.col(f"`{k}`").isNull())]
+        hashed = F.struct(*[F.xxhash64(F.lit(i), *values) for i in (1, 2)]).alias("_hash")
+        t, s = target.select(*keys, hashed).alias("t"), source.select(*keys, hashed).alias("s")
+        same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe else F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+        in_t, in_s = F.col("t._hash").isNotNull(), F.col("s._hash").isNotNull()
+        both, inserted, updated, kept = t.join(s, same, "full_outer").agg(
+            F.count_if(in_t & in_s), F.count_if(in_s & ~in_t), F.count_if(in_t & in_s & (F.col("t._hash") != F.col("s._hash"))), F.count_if(in_t & ~in_s)).first()
+        if both + inserted != n or not inserted + updated:
+            return None, 0, 0
+        rows = source.select(*target.columns)
+        return (split_by_keys(target, source, keys, null_safe)[0].unionByName(rows) if kept else rows), inserted, updated
+
     def _feed(self, changed: DataFrame, v: int, feed: bool, committed_at) -> None:
         if feed:
             at = F.lit(_utc(committed_at).isoformat()).cast("timestamp")
