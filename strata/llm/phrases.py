@@ -46,6 +46,7 @@ HASHES = 2_000_000      # hashes of the sieve a task holds before it hands them
 MAX_BITS = 26           # a bit table of at most 8 MB
 SEED = 42
 RANK_ROWS = 100_000     # phrases of a language ranked in one task
+TASK_WORDS = 10_000_000  # words a task counts, once all cores have their tasks
 
 _TABLE = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 _GAP = re.compile(rb"[ \n]")
@@ -199,7 +200,7 @@ class Marks:
     @classmethod
     def of(cls, frequent: DataFrame) -> Marks:
         """``frequent``: stored rows (h long)."""
-        bits = min(MAX_BITS, max(16, (16 * frequent.count()).bit_length()))
+        bits = min(MAX_BITS, max(16, (64 * frequent.count()).bit_length()))
         low, high = F.col("h"), F.shiftrightunsigned("h", 32)
         at = F.explode(F.array(*[x.bitwiseAND(F.lit((1 << bits) - 1)) for x in (low, high)])).alias("at")
         cells = frequent.select(at).groupBy(F.shiftright("at", 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("word"))
@@ -374,12 +375,11 @@ class Counter:
                                               pa.array(phrase, pa.binary()), pa.array(n, pa.int64())], schema=RUN_SCHEMA)
 
 
-def frequent_phrases(docs: DataFrame, min_count: int, max_words: int, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(lang, k, phrase, f): all phrases of 1 to ``max_words`` words that occur at least ``min_count`` times;
-    and (lang, n): all words of each language."""
-    sieved = staged(sieve(docs, min_count, lang_col, text_col), "phrases-sieve")
-    marks = Marks.of(sieved.where("lang is null"))
-    triples = Marks.of(staged(sieve_triples(docs, min_count, marks, lang_col, text_col), "phrases-triples"))
+def counted_runs(docs: DataFrame, max_words: int, marks: Marks, triples: Marks, words: int, lang_col: str = "lang",
+                 text_col: str = "text") -> DataFrame:
+    """(lang, part, k, phrase, n): counts of the phrases that the sieve lets through, one row per phrase and task
+    or spill. So the scan of ``words`` words gets no more tasks than the cores or ``TASK_WORDS`` ask for: over many
+    small files each common phrase would come once from every one of them."""
 
     def run(batches):
         counter = Counter(max_words, marks, triples)
@@ -389,10 +389,22 @@ def frequent_phrases(docs: DataFrame, min_count: int, max_words: int, lang_col:
                 yield from counter.spill()
         yield from counter.spill(all_of_it=True)
 
-    runs = _rows(docs, lang_col, text_col).mapInArrow(run, "lang binary, part long, k int, phrase binary, n long").repartition("part")
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-words // TASK_WORDS))
+    return _rows(docs.coalesce(tasks), lang_col, text_col).mapInArrow(run, "lang binary, part long, k int, phrase binary, n long")
+
+
+def frequent_phrases(docs: DataFrame, min_count: int, max_words: int, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(lang, k, phrase, f): all phrases of 1 to ``max_words`` words that occur at least ``min_count`` times;
+    and (lang, n): all words of each language."""
+    sieved = staged(sieve(docs, min_count, lang_col, text_col), "phrases-sieve")
+    marks = Marks.of(sieved.where("lang is null"))
+    triples = Marks.of(staged(sieve_triples(docs, min_count, marks, lang_col, text_col), "phrases-triples"))
+
+    words = sieved.where("lang is not null").select("lang", "n")
+    runs = counted_runs(docs, max_words, marks, triples, words.agg(F.sum("n")).first()[0] or 0, lang_col, text_col).repartition("part")
     merged = runs.groupBy("part", "lang", "k", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
     found = merged.select(F.col("lang").cast("string").alias("lang"), "k", F.col("phrase").cast("string").alias("phrase"), "f")
-    return staged(found, "phrases-all"), sieved.where("lang is not null").select("lang", "n")
+    return staged(found, "phrases-all"), words
 
 
 # -- collocations -----------------------------------------------------------

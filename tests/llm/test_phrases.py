@@ -115,3 +115,20 @@ def test_slices_lose_and_repeat_no_word(monkeypatch, size):
 def test_words_hash_alike_wherever_they_are():
     one = list(phrases.Slicer(0).of(b"ka lo  ka\nlomi ka"))[0]
     assert one[3][0] == one[3][2] == one[3][4] and len(np.unique(one[3])) == 3
+
+
+def test_counting_rows_do_not_grow_with_the_files(spark):
+    docs = [doc(i, "ka lo mi ru ten", lang="aa") for i in range(4000)]
+    files = 50 * spark.sparkContext.defaultParallelism
+    sieved = phrases.staged(phrases.sieve(frame(spark, docs), 100), "test-sieve")
+    marks = phrases.Marks.of(sieved.where("lang is null"))
+    triples = phrases.Marks.of(phrases.staged(phrases.sieve_triples(frame(spark, docs), 100, marks), "test-triples"))
+    runs = phrases.counted_runs(frame(spark, docs).repartition(files), 5, marks, triples, 20_000)
+    assert runs.count() <= 15 * 2 * spark.sparkContext.defaultParallelism  # 15 phrases
+    assert {r["f"] for r in runs.groupBy("phrase").sum("n").toDF("phrase", "f").collect()} == {4000}
+
+
+def test_bit_table_lets_few_rare_hashes_through(spark):
+    marks = phrases.Marks.of(phrases.staged(spark.range(20_000).selectExpr("xxhash64(id) as h"), "test-marks"))
+    rare = spark.range(10**6, 10**6 + 200_000).selectExpr("xxhash64(id) as h").toPandas()["h"].to_numpy().view(np.uint64)
+    assert marks.has(rare).mean() < 0.001
